@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The warehouse is an offline batch system; it has no stream source, watermark,
+windowed aggregation or stateful operator, so this package is intentionally
+empty. A deployment that wants fresher marts re-runs the batch jobs for the
+affected ``(travel_year, travel_quarter)`` partitions.
+"""
