@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from quartermart.functions import constants as K
 from quartermart.functions.collect import array_text, map_text
 from quartermart.operators import clean, profile
-from quartermart.operators.join import attach_dim
+from quartermart.operators.join import attach_dim, should_broadcast
 from quartermart.plans import poi as poi_plan
 from quartermart.plans import visits as visit_plan
 from quartermart.plans.attraction_quarter import attraction_quarter
@@ -36,37 +36,57 @@ YEAR_FILTER_CHECK = (1997, 2000)
 
 
 # --- inputs -------------------------------------------------------------------
-
-def ods_poi(spark, d):
-    return rename(binding.raw_poi(spark, d), K.POI_HEADER_RENAMES)
-
-
-def ods_trip(spark, d):
-    return rename(binding.raw_trip(spark, d), K.TRIP_HEADER_RENAMES)
-
-
-def ods_dirty(spark, d):
-    return rename(binding.dirty_trip(spark, d), K.TRIP_HEADER_RENAMES)
-
-
-def dim(spark, d):
-    return poi_plan.clean_poi(ods_poi(spark, d), categories=binding.TEST_CATEGORY_RULES)
-
-
-def fact(spark, d):
-    return visit_plan.clean_visits(ods_trip(spark, d), years=binding.TEST_YEAR_RANGE)
+#
+# Input plans are built once per (session, directory) and reused by every
+# query, as one warehouse run would: a DataFrame is an immutable plan, so
+# sharing it shares no data. The broadcast decision for the POI dimension is
+# proven once per run by measuring it (see operators.join.measure).
+
+_MEMO: dict[tuple[int, str], dict] = {}
+
+
+def _memo(spark: SparkSession, d: str) -> dict:
+    key = (id(spark), d)
+    entry = _MEMO.get(key)
+    if entry is None or entry.get("_spark") is not spark:
+        entry = {"_spark": spark}
+        _MEMO.clear()
+        _MEMO[key] = entry
+    return entry
+
+
+def _cached(name: str, build: Callable[[SparkSession, str], object]):
+    def get(spark, d):
+        memo = _memo(spark, d)
+        if name not in memo:
+            memo[name] = build(spark, d)
+        return memo[name]
+    get.__name__ = name
+    return get
+
+
+ods_poi = _cached("ods_poi", lambda spark, d: rename(binding.raw_poi(spark, d), K.POI_HEADER_RENAMES))
+ods_trip = _cached("ods_trip", lambda spark, d: rename(binding.raw_trip(spark, d), K.TRIP_HEADER_RENAMES))
+ods_dirty = _cached("ods_dirty", lambda spark, d: rename(binding.dirty_trip(spark, d), K.TRIP_HEADER_RENAMES))
+dim = _cached("dim", lambda spark, d: poi_plan.clean_poi(ods_poi(spark, d),
+                                                         categories=binding.TEST_CATEGORY_RULES))
+fact = _cached("fact", lambda spark, d: visit_plan.clean_visits(ods_trip(spark, d),
+                                                                years=binding.TEST_YEAR_RANGE))
+# One proof of the dimension's size per run: its widest projection is measured.
+dim_broadcast = _cached("dim_broadcast", lambda spark, d: should_broadcast(
+    dim(spark, d).select("poi_id", "name", "city", "category", "region")))
 
 
 def uq(spark, d):
-    return user_quarter(fact(spark, d), dim(spark, d))
+    return user_quarter(fact(spark, d), dim(spark, d), broadcast=dim_broadcast(spark, d))
 
 
 def aq(spark, d):
-    return attraction_quarter(fact(spark, d), dim(spark, d))
+    return attraction_quarter(fact(spark, d), dim(spark, d), broadcast=dim_broadcast(spark, d))
 
 
 def cq(spark, d):
-    return city_quarter(fact(spark, d), dim(spark, d))
+    return city_quarter(fact(spark, d), dim(spark, d), broadcast=dim_broadcast(spark, d))
 
 
 def portrait(spark, d):
@@ -186,7 +206,7 @@ def q_visits_clean(spark, d):
 def _visits_with_dim(how: str) -> Query:
     def q(spark, d):
         p = dim(spark, d).select("poi_id", "name", "city", "category", "region")
-        return normalize(attach_dim(fact(spark, d), p, "poi_id", how=how))
+        return normalize(attach_dim(fact(spark, d), p, "poi_id", how=how, broadcast=dim_broadcast(spark, d)))
     return q
 
 

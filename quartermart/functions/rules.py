@@ -1,8 +1,9 @@
 """Ordered first-match rules as data, compiled into one CASE WHEN column.
 
 Rules are plain data so a deployment can swap them (for example a finer
-region table) without touching the jobs. Compilation produces a single
-``CASE WHEN`` expression, so classification stays inside whole-stage codegen.
+region table) without touching the jobs. Each rule list compiles to a single
+SQL ``CASE WHEN`` expression (one parse instead of one driver round trip per
+comparison), so classification stays inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -26,6 +27,20 @@ def first_match(rules: Sequence[tuple[Column, str]], default: str | None) -> Col
     return expr.otherwise(F.lit(default)) if default is not None else expr
 
 
+def sql_string(text: str) -> str:
+    """A Spark SQL string literal: backslashes and quotes backslash-escaped."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def first_match_sql(rules: Sequence[tuple[str, str]], default: str | None) -> str:
+    """``CASE WHEN c1 THEN 'l1' ... ELSE 'default' END`` from SQL conditions."""
+    if not rules:
+        return "NULL" if default is None else sql_string(default)
+    body = " ".join(f"WHEN {cond} THEN {sql_string(label)}" for cond, label in rules)
+    tail = "" if default is None else f" ELSE {sql_string(default)}"
+    return f"CASE {body}{tail} END"
+
+
 @dataclass(frozen=True)
 class Box:
     """Axis-aligned region rule; ``None`` bounds are open."""
@@ -54,6 +69,20 @@ class Box:
             cond = cond & p
         return cond
 
+    def sql_condition(self, lat: str, lon: str) -> str:
+        parts = []
+        if self.lat_min is not None:
+            parts.append(f"{lat} >= {self.lat_min!r}")
+        if self.lat_below is not None:
+            parts.append(f"{lat} < {self.lat_below!r}")
+        if self.lat_at_most is not None:
+            parts.append(f"{lat} <= {self.lat_at_most!r}")
+        if self.lon_min is not None:
+            parts.append(f"{lon} >= {self.lon_min!r}")
+        if self.lon_below is not None:
+            parts.append(f"{lon} < {self.lon_below!r}")
+        return " AND ".join(parts) if parts else "TRUE"
+
 
 @dataclass(frozen=True)
 class RegionRules:
@@ -65,6 +94,9 @@ class RegionRules:
         return [b.label for b in self.boxes] + [self.default]
 
     def column(self, lat: str | Column = "latitude", lon: str | Column = "longitude") -> Column:
+        if isinstance(lat, str) and isinstance(lon, str):
+            return F.expr(first_match_sql([(b.sql_condition(f"`{lat}`", f"`{lon}`"), b.label)
+                                           for b in self.boxes], self.default))
         lat_c = F.col(lat) if isinstance(lat, str) else lat
         lon_c = F.col(lon) if isinstance(lon, str) else lon
         return first_match([(b.condition(lat_c, lon_c), b.label) for b in self.boxes], self.default)
@@ -84,7 +116,12 @@ class CategoryRules:
         return [label for label, _ in self.patterns] + [self.unclassified, self.default]
 
     def column(self, label_text: str | Column = "label_zh") -> Column:
-        text = F.col(label_text) if isinstance(label_text, str) else label_text
+        if isinstance(label_text, str):
+            col = f"`{label_text}`"
+            rules = [(f"{col} RLIKE {sql_string(rx)}", label) for label, rx in self.patterns]
+            rules.append((f"{col} = {sql_string(self.no_label)}", self.unclassified))
+            return F.expr(first_match_sql(rules, self.default))
+        text = label_text
         rules = [(text.rlike(rx), label) for label, rx in self.patterns]
         rules.append((text == F.lit(self.no_label), self.unclassified))
         return first_match(rules, self.default)

@@ -25,8 +25,21 @@ TEST_YEAR_RANGE = (1995, 2002)
 TEST_CATEGORY_RULES = CategoryRules(patterns=(("fastener", "ring|bolt"), ("drive", "gear|rod")))
 
 
+# Declared schemas of the columns the binding reads (no schema inference:
+# inference costs a footer-reading job per scan and hides type drift).
+TEST_TABLE_SCHEMAS = {
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_type STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TEST_TABLE_SCHEMAS.get(name)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 def raw_poi(spark: SparkSession, sf_dir: str) -> DataFrame:
