@@ -76,9 +76,10 @@ class SchemaMismatch(ValueError):
 
 
 def check(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Raise unless ``df`` has exactly the declared column names, order and types."""
-    got = [(f.name, f.dataType) for f in df.schema.fields]
-    want = [(f.name, f.dataType) for f in schema.fields]
+    """Raise unless ``df`` has exactly the declared column names, order and types
+    (nullability is not part of the contract)."""
+    got = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    want = [(f.name, f.dataType.simpleString()) for f in schema.fields]
     if got != want:
         raise SchemaMismatch(f"schema mismatch:\n got  {got}\n want {want}")
     return df
