@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from quartermart.functions import constants as K
 from quartermart.functions.collect import array_text, map_text
 from quartermart.operators import clean, profile
-from quartermart.operators.join import attach_dim, should_broadcast
+from quartermart.operators.join import attach_dim, measure, should_broadcast
 from quartermart.plans import poi as poi_plan
 from quartermart.plans import visits as visit_plan
 from quartermart.plans.attraction_quarter import attraction_quarter
@@ -73,20 +73,24 @@ dim = _cached("dim", lambda spark, d: poi_plan.clean_poi(ods_poi(spark, d),
 fact = _cached("fact", lambda spark, d: visit_plan.clean_visits(ods_trip(spark, d),
                                                                 years=binding.TEST_YEAR_RANGE))
 # One proof of the dimension's size per run: its widest projection is measured.
-dim_broadcast = _cached("dim_broadcast", lambda spark, d: should_broadcast(
+dim_size = _cached("dim_size", lambda spark, d: measure(
     dim(spark, d).select("poi_id", "name", "city", "category", "region")))
 
 
+def dim_broadcast(spark, d):
+    return should_broadcast(dim(spark, d), size=dim_size(spark, d))
+
+
 def uq(spark, d):
-    return user_quarter(fact(spark, d), dim(spark, d), broadcast=dim_broadcast(spark, d))
+    return user_quarter(fact(spark, d), dim(spark, d), dim_size=dim_size(spark, d))
 
 
 def aq(spark, d):
-    return attraction_quarter(fact(spark, d), dim(spark, d), broadcast=dim_broadcast(spark, d))
+    return attraction_quarter(fact(spark, d), dim(spark, d), dim_size=dim_size(spark, d))
 
 
 def cq(spark, d):
-    return city_quarter(fact(spark, d), dim(spark, d), broadcast=dim_broadcast(spark, d))
+    return city_quarter(fact(spark, d), dim(spark, d), dim_size=dim_size(spark, d))
 
 
 def portrait(spark, d):

@@ -63,21 +63,24 @@ def broadcast_limit(spark) -> int:
         return 10 << 20
 
 
-def should_broadcast(dim: DataFrame, broadcast: bool | None = None, limit: int | None = None) -> bool:
-    """``broadcast`` True/False forces the choice; None measures ``dim`` against ``limit``."""
+def should_broadcast(dim: DataFrame, broadcast: bool | None = None, limit: int | None = None,
+                     size: DimSize | None = None) -> bool:
+    """``broadcast`` True/False forces the choice; None compares the measured
+    size of ``dim`` (or the given ``size``) with ``limit``."""
     if broadcast is not None:
         return broadcast
     cap = broadcast_limit(dim.sparkSession) if limit is None else limit
     if cap < 0:
         return False
-    return measure(dim).bytes <= cap
+    return (size or measure(dim)).bytes <= cap
 
 
 def attach_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left",
-               broadcast: bool | None = None, limit: int | None = None) -> DataFrame:
+               broadcast: bool | None = None, limit: int | None = None,
+               size: DimSize | None = None) -> DataFrame:
     """``fact JOIN dim USING (on)``; the dimension is broadcast only behind a size check."""
     keys = [on] if isinstance(on, str) else list(on)
-    right = F.broadcast(dim) if should_broadcast(dim, broadcast, limit) else dim
+    right = F.broadcast(dim) if should_broadcast(dim, broadcast, limit, size) else dim
     return fact.join(right, on=keys, how=how)
 
 

@@ -1,6 +1,19 @@
 """Ranks, arg-max, ties-of-the-best and top-N.
 
 Every ordering ends in a unique tie-break, so ``row_number`` is repeatable.
+
+Full ranking of a scope (``rank_in``) has two physical forms:
+
+* ``window``: ``row_number() OVER (PARTITION BY scope ORDER BY ...)``. One task
+  sorts each scope, so it is used only when the caller proves the largest
+  scope small (``bound_rows``, e.g. the measured row count of a dimension the
+  ranked rows are keyed by).
+* ``range``: exact and distributed for unbounded scopes. Rows are range
+  partitioned on (scope, order) and checkpointed to the cluster's checkpoint
+  directory, which fixes each row's partition; a row's rank is its position
+  inside its range partition plus the number of rows of its scope in earlier
+  partitions. Every window then holds at most one range partition, or at most
+  one row per partition and scope.
 """
 
 from __future__ import annotations
@@ -15,21 +28,55 @@ def _order(by: str, tiebreak: Sequence[str]) -> list[Column]:
     return [F.col(by).desc()] + [F.col(t).asc() for t in tiebreak]
 
 
+# Largest scope (rows) a single window task may sort.
+WINDOW_RANK_LIMIT = 5_000_000
+
+
 def rank_in(df: DataFrame, scopes: Mapping[str, Sequence[str]], by: str,
-            tiebreak: Sequence[str]) -> DataFrame:
-    """Add one ``row_number`` column per scope: ``{out_col: partition_cols}``.
+            tiebreak: Sequence[str], bound_rows: int | None = None,
+            window_limit: int = WINDOW_RANK_LIMIT) -> DataFrame:
+    """Add one rank column per scope: ``{out_col: partition_cols}``.
 
-    Order is ``by`` descending then ``tiebreak`` ascending. Scopes are added
-    coarsest first (fewest partition columns), so finer scopes that contain the
-    coarser partition keys reuse its clustering instead of shuffling again.
+    Order is ``by`` descending then ``tiebreak`` ascending (unique), ranks are
+    1..n per scope. ``bound_rows`` is a proven upper bound of rows per scope;
+    without one, or above ``window_limit``, the distributed form is used.
     """
-    order = _order(by, tiebreak)
-    for out in sorted(scopes, key=lambda k: len(scopes[k])):
-        w = Window.partitionBy(*scopes[out]).orderBy(*order)
-        df = df.withColumn(out, F.row_number().over(w))
+    if bound_rows is not None and bound_rows <= window_limit:
+        order = _order(by, tiebreak)
+        # Coarsest scope first: finer scopes that contain its keys reuse its clustering.
+        for out in sorted(scopes, key=lambda k: len(scopes[k])):
+            df = df.withColumn(out, F.row_number().over(Window.partitionBy(*scopes[out]).orderBy(*order)))
+        return df
+    for out, scope in scopes.items():
+        df = range_rank(df, scope, by, tiebreak, out)
     return df
 
 
+def range_rank(df: DataFrame, scope: Sequence[str], by: str, tiebreak: Sequence[str], out: str,
+               partitions: int | None = None) -> DataFrame:
+    """Exact ``row_number`` per scope without sorting a whole scope in one task."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = _order(by, tiebreak)
+    keyed = (df.repartitionByRange(n, *[F.col(c).asc() for c in scope], *order)
+               .withColumn("_part", F.spark_partition_id()))
+    # Range bounds come from a sample; the checkpoint pins each row's partition
+    # so the two reads below (positions and counts) agree, also after a lost executor.
+    keyed = keyed.checkpoint(eager=True)
+    local = keyed.withColumn("_local", F.row_number().over(
+        Window.partitionBy("_part", *scope).orderBy(*order)))
+    counts = keyed.groupBy(*scope, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*scope).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(c).alias(f"_o_{c}") for c in scope], F.col("_part").alias("_o_part"),
+                            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    cond = F.col("_part") == F.col("_o_part")
+    for c in scope:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    ranked = local.join(offsets, cond, "inner")
+    return (ranked.withColumn(out, (F.col("_off") + F.col("_local")).cast("int"))
+                  .drop("_part", "_local", "_off", "_o_part", *[f"_o_{c}" for c in scope]))
+
+
 def top_n(df: DataFrame, keys: Sequence[str], by: str, n: int, tiebreak: Sequence[str],
           rank_col: str = "rank") -> DataFrame:
     """Rows ranked ``<= n`` per ``keys``; Catalyst plans a partial group limit

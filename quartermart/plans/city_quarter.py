@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from quartermart.functions import constants as K
 from quartermart.functions.metrics import floor_ratio, quarter_of, ratio
 from quartermart.operators.growth import growth
-from quartermart.operators.join import attach_dim, should_broadcast
+from quartermart.operators.join import DimSize, attach_dim, measure, should_broadcast
 from quartermart.operators.ranking import rank_in
 from quartermart.sources import schemas
 
@@ -33,11 +33,12 @@ RANK_SCOPES = {
 }
 
 
-def city_counts(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def city_counts(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None,
+                dim_size: DimSize | None = None) -> DataFrame:
     """Per (city, region, year, quarter): users, trips (= visit rows), visits, POIs, solo visits."""
     v = visits.withColumn("travel_quarter", quarter_of("travel_date"))
     dim = poi.select("poi_id", *CITY)
-    if should_broadcast(dim, broadcast):
+    if should_broadcast(dim, broadcast, size=dim_size):
         j = v.join(F.broadcast(dim), "poi_id", "inner")
         return j.groupBy(*CITY, *QUARTER).agg(
             F.countDistinct("blog_id").alias("visit_user_cnt"),
@@ -62,16 +63,19 @@ def city_counts(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None
 
 
 def city_quarter(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None,
-                 strict_growth: bool = False) -> DataFrame:
+                 strict_growth: bool = False, dim_size: DimSize | None = None) -> DataFrame:
     """The city mart with the declared columns of ``DWS_CITY_QUARTER``.
 
     avg_spot_per_user = floor(visits / users); solo_user_ratio = solo visits /
     visit rows; growth compares ``visit_trip_cnt`` (despite the column name,
     as in the original) with the previous present quarter of the same city.
+    A rank scope holds at most one row per (city, region), so the POI count of
+    the (measured) dimension bounds it.
     """
-    df = city_counts(visits, poi, broadcast)
+    size = dim_size or measure(poi.select("poi_id", *CITY))
+    df = city_counts(visits, poi, broadcast, size)
     df = (df.withColumn("avg_spot_per_user", floor_ratio("visit_spot_cnt", "visit_user_cnt"))
             .withColumn("solo_user_ratio", ratio("solo_trip_cnt", "visit_trip_cnt")))
-    df = rank_in(df, RANK_SCOPES, by="visit_trip_cnt", tiebreak=["city", "region"])
+    df = rank_in(df, RANK_SCOPES, by="visit_trip_cnt", tiebreak=["city", "region"], bound_rows=size.rows)
     df = growth(df, CITY, "visit_trip_cnt", strict=strict_growth)
     return schemas.conform(df, schemas.DWS_CITY_QUARTER)

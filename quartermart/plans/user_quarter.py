@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from quartermart.functions import constants as K
 from quartermart.functions.collect import count_map, top_keys
 from quartermart.functions.metrics import quarter_level, quarter_of, quarter_range_type, ratio
-from quartermart.operators.join import attach_dim
+from quartermart.operators.join import DimSize, attach_dim
 from quartermart.sources import schemas
 
 U = ["blog_id", "travel_year", "travel_quarter"]
@@ -66,12 +66,13 @@ def _gid(cols: list[str]) -> int:
 GID = {name: _gid(cols) for name, cols in SETS.items()}
 
 
-def joined_visits(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def joined_visits(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None,
+                  dim_size: DimSize | None = None) -> DataFrame:
     """Visits LEFT JOIN POI (city, category, region), with the quarter; unmatched visits kept."""
     v = visits.select("blog_id", "trip_id", "travel_date", "travel_year", "travel_month",
                       "travel_partners", "poi_id").withColumn("travel_quarter", quarter_of("travel_date"))
     dim = poi.select("poi_id", "city", "category", "region")
-    return attach_dim(v, dim, "poi_id", how="left", broadcast=broadcast)
+    return attach_dim(v, dim, "poi_id", how="left", broadcast=broadcast, size=dim_size)
 
 
 def grain_rows(joined: DataFrame, unclassified: str = K.UNCLASSIFIED) -> DataFrame:
@@ -159,7 +160,7 @@ def finish(df: DataFrame) -> DataFrame:
 
 
 def user_quarter(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None,
-                 unclassified: str = K.UNCLASSIFIED) -> DataFrame:
+                 unclassified: str = K.UNCLASSIFIED, dim_size: DimSize | None = None) -> DataFrame:
     """The user-quarter mart with the declared columns of ``DWS_USER_QUARTER``."""
-    rows = grain_rows(joined_visits(visits, poi, broadcast), unclassified)
+    rows = grain_rows(joined_visits(visits, poi, broadcast, dim_size), unclassified)
     return finish(quarter_metrics(rows, unclassified))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quartermart.functions import constants as K
 from quartermart.functions.rules import (DEFAULT_CATEGORY_RULES, DEFAULT_REGION_RULES,
                                          CategoryRules, RegionRules)
-from quartermart.operators.join import should_broadcast
+from quartermart.operators.join import measure
 from quartermart.plans.attraction_quarter import attraction_quarter
 from quartermart.plans.city_quarter import city_quarter
 from quartermart.plans.leaderboards import top_attractions, top_cities
@@ -81,15 +81,14 @@ def run_dwd(spark: SparkSession, cfg: Config = Config()) -> None:
 def run_dws(spark: SparkSession, cfg: Config = Config()) -> None:
     t = cfg.tables
     visits, poi = spark.table(t.dwd_visit), spark.table(t.dwd_poi)
+    size = measure(poi.select("poi_id", "name", "city", "category", "region"))   # one proof per run
     b = cfg.broadcast
-    if b is None:
-        b = should_broadcast(poi.select("poi_id", "name", "city", "category", "region"))
     unclassified = cfg.categories.unclassified
-    sinks.overwrite_table(user_quarter(visits, poi, b, unclassified), t.dws_user,
+    sinks.overwrite_table(user_quarter(visits, poi, b, unclassified, dim_size=size), t.dws_user,
                           schemas.DWS_USER_QUARTER, partition_by=QUARTER_PARTITION)
-    sinks.overwrite_table(attraction_quarter(visits, poi, b), t.dws_attraction,
+    sinks.overwrite_table(attraction_quarter(visits, poi, b, dim_size=size), t.dws_attraction,
                           schemas.DWS_ATTRACTION_QUARTER, partition_by=QUARTER_PARTITION)
-    sinks.overwrite_table(city_quarter(visits, poi, b), t.dws_city, schemas.DWS_CITY_QUARTER,
+    sinks.overwrite_table(city_quarter(visits, poi, b, dim_size=size), t.dws_city, schemas.DWS_CITY_QUARTER,
                           partition_by=QUARTER_PARTITION)
 
 

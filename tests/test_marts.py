@@ -132,3 +132,16 @@ def test_portrait(spark):
     v = out["v"]
     assert v.total_cities is None and v.total_regions is None and v.favorite_city is None
     assert v.region_type == "单城型" and v.travel_level == "中频"
+
+
+def test_distributed_rank_equals_window_rank(spark):
+    from quartermart.operators.ranking import rank_in
+    rows = [(f"p{i:04d}", f"s{i % 3}", i % 7 if i % 5 else 1, 2020, 1 + i % 2) for i in range(600)]
+    df = spark.createDataFrame(rows, "poi_id string, scope string, v long, travel_year int, travel_quarter int")
+    scopes = {"r_all": ["travel_year", "travel_quarter"], "r_scope": ["scope", "travel_year", "travel_quarter"]}
+    win = rank_in(df, scopes, "v", ["poi_id"], bound_rows=1000)
+    dist = rank_in(df.repartition(5), scopes, "v", ["poi_id"], bound_rows=None)
+    key = ["poi_id", "r_all", "r_scope"]
+    a = sorted(tuple(r) for r in win.select(*key).collect())
+    b = sorted(tuple(r) for r in dist.select(*key).collect())
+    assert a == b and len(a) == 600
