@@ -1,10 +1,23 @@
-"""Benchmark: the warehouse jobs end to end on one scale factor.
+"""Benchmark: the warehouse jobs, layer by layer, on one scale factor.
+
+Runs the warehouse the way it is deployed: every job reads the tables of the
+previous layer and writes its own table (Parquet, checked schema), so each
+job is timed from its input tables to its written output:
+
+    C1 ods_load            test tables -> raw ods tables (stands in for the CSV load)
+    C2 poi_clean           ods -> dwd POI dimension
+    C3 visits_clean        ods -> dwd visit fact (partitioned by year, month)
+    C4 user_quarter        dwd -> dws user x quarter (partitioned by year, quarter)
+    C5 attraction_quarter  dwd -> dws attraction x quarter
+    C6 city_quarter        dwd -> dws city x quarter
+    C7 user_portrait       dws -> ads portrait
+    C8 top50_attractions   dws -> ads leaderboard
+    C9 city_top10          dws -> ads leaderboard
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 1; the best of N runs is reported per query),
-BENCH_WARM_DIR (default the sibling sf0.001; every query runs once there first).
-Each query is fully materialised with the ``noop`` sink (all columns, no
-driver collect). Prints one JSON line.
+BENCH_WARM_DIR (default the sibling sf0.001: the whole run is done there once
+first, so JIT and generated code are warm). Tables go to a fresh scratch
+warehouse under /tmp. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -12,48 +25,50 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-HEADLINE = [
-    "poi_clean",            # C2
-    "visits_clean",         # C3
-    "user_quarter",         # C4
-    "attraction_quarter",   # C5
-    "city_quarter",         # C6
-    "user_portrait",        # C7
-    "top50_attractions",    # C8
-    "city_top10",           # C9
-]
+
+def jobs(spark, sf_dir, cfg):
+    from quartermart import catalog as C
+    from quartermart.plans import warehouse as W
+
+    return [
+        ("ods_load", lambda: W.load_ods(spark, C.ods_poi(spark, sf_dir), C.ods_trip(spark, sf_dir), cfg)),
+        ("poi_clean", lambda: W.job_poi(spark, cfg)),
+        ("visits_clean", lambda: W.job_visits(spark, cfg)),
+        ("user_quarter", lambda: W.job_user_quarter(spark, cfg)),
+        ("attraction_quarter", lambda: W.job_attraction_quarter(spark, cfg)),
+        ("city_quarter", lambda: W.job_city_quarter(spark, cfg)),
+        ("user_portrait", lambda: W.job_portrait(spark, cfg)),
+        ("top50_attractions", lambda: W.job_top_attractions(spark, cfg)),
+        ("city_top10", lambda: W.job_top_cities(spark, cfg)),
+    ]
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
-    from quartermart.session import build_session
-    from quartermart import catalog
-
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus)
-    qs = catalog.queries()
-    # Warm-up on the smallest tables: JIT and the generated-code cache are
-    # shared by identical plan shapes, so the timed runs measure steady state.
     warm_dir = os.environ.get("BENCH_WARM_DIR", os.path.join(os.path.dirname(sf_dir), "sf0.001"))
-    if os.path.isdir(warm_dir):
-        for name in HEADLINE:
-            qs[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
+    scratch = tempfile.mkdtemp(prefix="qm-bench-")
+    from quartermart.plans import warehouse as W
+    from quartermart.session import build_session
+    from quartermart.sources import binding
 
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus,
+                          extra={"spark.sql.warehouse.dir": os.path.join(scratch, "warehouse")})
+    cfg = W.Config(categories=binding.TEST_CATEGORY_RULES, years=binding.TEST_YEAR_RANGE)
+    if os.path.isdir(warm_dir) and warm_dir != sf_dir:
+        for _, run in jobs(spark, warm_dir, cfg):
+            run()
     times: dict[str, float] = {}
-    for name in HEADLINE:
-        best = None
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            el = time.perf_counter() - t0
-            best = el if best is None else min(best, el)
-        times[name] = round(best, 3)
+    for name, run in jobs(spark, sf_dir, cfg):
+        t0 = time.perf_counter()
+        run()
+        times[name] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({
         "metric": "warehouse_jobs_total_sec",

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quartermart.functions import constants as K
 from quartermart.functions.rules import (DEFAULT_CATEGORY_RULES, DEFAULT_REGION_RULES,
                                          CategoryRules, RegionRules)
-from quartermart.operators.join import measure
+from quartermart.operators.join import DimSize, measure
 from quartermart.plans.attraction_quarter import attraction_quarter
 from quartermart.plans.city_quarter import city_quarter
 from quartermart.plans.leaderboards import top_attractions, top_cities
@@ -70,38 +70,87 @@ def load_ods_csv(spark: SparkSession, poi_csv: str, trip_csv: str, cfg: Config =
     load_ods(spark, read_poi_csv(spark, poi_csv), read_trip_csv(spark, trip_csv), cfg)
 
 
-def run_dwd(spark: SparkSession, cfg: Config = Config()) -> None:
+def job_poi(spark: SparkSession, cfg: Config = Config()) -> None:
+    """C2: ods POI -> dwd POI dimension."""
     t = cfg.tables
-    poi = clean_poi(spark.table(t.ods_poi), cfg.regions, cfg.categories)
-    sinks.overwrite_table(poi, t.dwd_poi, schemas.DWD_POI)
-    visits = clean_visits(spark.table(t.ods_trip), years=cfg.years)
-    sinks.overwrite_table(visits, t.dwd_visit, schemas.DWD_VISIT, partition_by=MONTH_PARTITION)
+    sinks.overwrite_table(clean_poi(spark.table(t.ods_poi), cfg.regions, cfg.categories),
+                          t.dwd_poi, schemas.DWD_POI)
 
 
-def run_dws(spark: SparkSession, cfg: Config = Config()) -> None:
+def job_visits(spark: SparkSession, cfg: Config = Config()) -> None:
+    """C3: ods trips -> dwd visit fact, partitioned by (year, month)."""
     t = cfg.tables
-    visits, poi = spark.table(t.dwd_visit), spark.table(t.dwd_poi)
-    size = measure(poi.select("poi_id", "name", "city", "category", "region"))   # one proof per run
-    b = cfg.broadcast
-    unclassified = cfg.categories.unclassified
-    sinks.overwrite_table(user_quarter(visits, poi, b, unclassified, dim_size=size), t.dws_user,
-                          schemas.DWS_USER_QUARTER, partition_by=QUARTER_PARTITION)
-    sinks.overwrite_table(attraction_quarter(visits, poi, b, dim_size=size), t.dws_attraction,
-                          schemas.DWS_ATTRACTION_QUARTER, partition_by=QUARTER_PARTITION)
-    sinks.overwrite_table(city_quarter(visits, poi, b, dim_size=size), t.dws_city, schemas.DWS_CITY_QUARTER,
-                          partition_by=QUARTER_PARTITION)
+    sinks.overwrite_table(clean_visits(spark.table(t.ods_trip), years=cfg.years), t.dwd_visit,
+                          schemas.DWD_VISIT, partition_by=MONTH_PARTITION)
 
 
-def run_ads(spark: SparkSession, cfg: Config = Config()) -> None:
+def dim_size(spark: SparkSession, cfg: Config = Config()) -> DimSize:
+    """One proof of the POI dimension's size (rows, bytes) for the mart jobs."""
+    return measure(spark.table(cfg.tables.dwd_poi).select("poi_id", "name", "city", "category", "region"))
+
+
+def job_user_quarter(spark: SparkSession, cfg: Config = Config(), size: DimSize | None = None) -> None:
+    """C4: dwd visits + POI -> user x quarter mart."""
+    t = cfg.tables
+    df = user_quarter(spark.table(t.dwd_visit), spark.table(t.dwd_poi), cfg.broadcast,
+                      cfg.categories.unclassified, dim_size=size or dim_size(spark, cfg))
+    sinks.overwrite_table(df, t.dws_user, schemas.DWS_USER_QUARTER, partition_by=QUARTER_PARTITION)
+
+
+def job_attraction_quarter(spark: SparkSession, cfg: Config = Config(), size: DimSize | None = None) -> None:
+    """C5: dwd visits + POI -> attraction x quarter mart."""
+    t = cfg.tables
+    df = attraction_quarter(spark.table(t.dwd_visit), spark.table(t.dwd_poi), cfg.broadcast,
+                            dim_size=size or dim_size(spark, cfg))
+    sinks.overwrite_table(df, t.dws_attraction, schemas.DWS_ATTRACTION_QUARTER, partition_by=QUARTER_PARTITION)
+
+
+def job_city_quarter(spark: SparkSession, cfg: Config = Config(), size: DimSize | None = None) -> None:
+    """C6: dwd visits + POI -> city x quarter mart."""
+    t = cfg.tables
+    df = city_quarter(spark.table(t.dwd_visit), spark.table(t.dwd_poi), cfg.broadcast,
+                      dim_size=size or dim_size(spark, cfg))
+    sinks.overwrite_table(df, t.dws_city, schemas.DWS_CITY_QUARTER, partition_by=QUARTER_PARTITION)
+
+
+def job_portrait(spark: SparkSession, cfg: Config = Config()) -> None:
+    """C7: user x quarter mart -> lifetime portrait."""
     t = cfg.tables
     sinks.overwrite_table(user_portrait(spark.table(t.dws_user)), t.ads_portrait, schemas.ADS_USER_PORTRAIT)
+
+
+def job_top_attractions(spark: SparkSession, cfg: Config = Config()) -> None:
+    """C8: attraction mart -> top-N per quarter."""
+    t = cfg.tables
     sinks.overwrite_table(top_attractions(spark.table(t.dws_attraction), cfg.top_attractions),
-                          t.ads_top_attractions, schemas.ADS_TOP_ATTRACTIONS,
-                          sort_within=["year_quarter", "rank"])
+                          t.ads_top_attractions, schemas.ADS_TOP_ATTRACTIONS, sort_within=["year_quarter", "rank"])
+
+
+def job_top_cities(spark: SparkSession, cfg: Config = Config()) -> None:
+    """C9: city mart -> top-N per quarter."""
+    t = cfg.tables
     sinks.overwrite_table(top_cities(spark.table(t.dws_city), cfg.top_cities), t.ads_top_cities,
                           schemas.ADS_CITY_TOP, sort_within=["year_quarter", "rank"])
 
 
+def run_dwd(spark: SparkSession, cfg: Config = Config()) -> None:
+    job_poi(spark, cfg)
+    job_visits(spark, cfg)
+
+
+def run_dws(spark: SparkSession, cfg: Config = Config()) -> None:
+    size = dim_size(spark, cfg)
+    job_user_quarter(spark, cfg, size)
+    job_attraction_quarter(spark, cfg, size)
+    job_city_quarter(spark, cfg, size)
+
+
+def run_ads(spark: SparkSession, cfg: Config = Config()) -> None:
+    job_portrait(spark, cfg)
+    job_top_attractions(spark, cfg)
+    job_top_cities(spark, cfg)
+
+
 def run(spark: SparkSession, cfg: Config = Config(), layers=("dwd", "dws", "ads")) -> None:
     """Run the given layers in order (the raw layer is loaded separately)."""
     steps = {"dwd": run_dwd, "dws": run_dws, "ads": run_ads}
