@@ -25,6 +25,18 @@ shuffled; what reaches one task per U is bounded by the number of distinct
 cities, categories, regions, partners and months, never by the number of
 visits or trips. Nothing is cached and no exchange has to be reused.
 
+When the POI dimension is broadcast (its size is proven small) and its region
+and category domains are small (at most 62 values each, read from the
+dimension with a bounded collect), a second plan is used instead:
+``coded_metrics``. Region and category become small integer codes carried
+by the broadcast dimension, so the region set is a bitmask and the category
+counts are plain counters. Four narrow aggregates then read the
+(scan + map-side join) visits: per user-quarter fixed-width counts, per trip,
+per (user-quarter, city) distinct trips, and the partner set. Their outputs
+are joined 1:1 on the user-quarter key. Re-reading the visits costs a
+columnar scan each; this replaces two shuffles of ~3 wide rows per visit with
+narrow shuffles of about one row per trip, city pair or user-quarter.
+
 Semantics kept from the original: unmatched POIs count as visits; a category
 equal to "unclassified" (or null) is not a category; the category map is null
 when no categorised visit exists. Decisions where the original was undefined:
@@ -38,11 +50,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quartermart.functions import constants as K
 from quartermart.functions.collect import count_map, top_keys
 from quartermart.functions.metrics import quarter_level, quarter_of, quarter_range_type, ratio
-from quartermart.operators.join import DimSize, attach_dim
+from quartermart.operators.join import DimSize, attach_dim, measure, should_broadcast
 from quartermart.sources import schemas
 
 U = ["blog_id", "travel_year", "travel_quarter"]
@@ -159,8 +172,94 @@ def finish(df: DataFrame) -> DataFrame:
     return schemas.conform(df, schemas.DWS_USER_QUARTER)
 
 
+# Largest region / category domain encoded as bits of one bigint.
+MAX_CODES = 62
+
+
+def domain(dim: DataFrame, col: str, exclude: tuple[str, ...] = (), limit: int = MAX_CODES) -> list[str] | None:
+    """Sorted distinct non-null values of a dimension column, or None when more
+    than ``limit`` (at most ``limit + 1`` values ever reach the driver)."""
+    df = dim.select(col).where(F.col(col).isNotNull())
+    if exclude:
+        df = df.where(~F.col(col).isin(*exclude))
+    vals = [r[0] for r in df.distinct().orderBy(col).limit(limit + 1).collect()]
+    return vals if len(vals) <= limit else None
+
+
+def _bit(position) -> F.Column:
+    """``1L << position`` for a column position (0-based)."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), position)
+
+
+def _code(col: str, values: list[str]) -> F.Column:
+    """1-based position of ``col`` in the literal list; null when absent or null."""
+    pos = F.array_position(F.array(*[F.lit(v) for v in values]), F.col(col))
+    return F.when(pos > 0, pos.cast("int"))
+
+
+def coded_metrics(visits: DataFrame, poi: DataFrame, regions: list[str], categories: list[str]) -> DataFrame:
+    """Base metrics per U from four narrow aggregates over the broadcast-joined visits."""
+    dim = (poi.select("poi_id", "city", _code("region", regions).alias("rc"),
+                      _code("category", categories).alias("cc")))
+    v = visits.select("blog_id", "trip_id", "travel_date", "travel_month", "travel_partners", "poi_id",
+                      F.year("travel_date").alias("travel_year"), quarter_of("travel_date").alias("travel_quarter"))
+    j = v.join(F.broadcast(dim), "poi_id", "left")
+    partners = F.col("travel_partners")
+    month_pos = F.col("travel_month") - (F.col("travel_quarter") - 1) * 3
+
+    per_u = j.groupBy(*U).agg(
+        F.count(F.lit(1)).alias("total_spot_cnt"),
+        F.min("travel_date").alias("first_trip_date"),
+        F.max("travel_date").alias("last_trip_date"),
+        *[F.count_if(month_pos == k).alias(f"_m{k}") for k in (1, 2, 3)],
+        F.bit_or(_bit(F.col("rc") - 1)).alias("_regions"),
+        *[F.count_if(F.col("cc") == i + 1).alias(f"_c{i}") for i in range(len(categories))],
+    )
+    per_trip = j.groupBy(*U, "trip_id").agg(
+        F.count_if(partners == K.SOLO).alias("_solo"),
+        F.count_if(partners < K.SOLO).alias("_below"),
+        F.min("rc").alias("_rmin"), F.max("rc").alias("_rmax"),
+    ).groupBy(*U).agg(
+        F.count(F.lit(1)).alias("trip_total_cnt"),
+        F.count_if((F.col("_solo") > 0) & (F.col("_below") == 0)).alias("solo_trip_cnt"),
+        F.count_if(F.col("_rmin") != F.col("_rmax")).alias("cross_region_trip_cnt"),
+    )
+    per_city = (j.where(F.col("city").isNotNull())
+                 .groupBy(*U, "city").agg(F.countDistinct("trip_id").alias("_trips"))
+                 .groupBy(*U).agg(count_map("city", "_trips").alias("city_visit_map")))
+    per_partner = j.groupBy(*U).agg(F.sort_array(F.collect_set("travel_partners")).alias("partner_arr"))
+
+    out = (per_u.join(per_trip, U).join(per_partner, U).join(per_city, U, "left"))
+    empty_map = F.create_map().cast(T.MapType(T.StringType(), T.LongType()))
+    region_lits = F.array(*[F.lit(r) for r in regions])
+    cat_entries = F.filter(
+        F.array(*[F.struct(F.lit(c).alias("key"), F.col(f"_c{i}").alias("value")) for i, c in enumerate(categories)]),
+        lambda e: e["value"] > 0) if categories else F.array().cast(T.ArrayType(T.StructType([
+            T.StructField("key", T.StringType()), T.StructField("value", T.LongType())])))
+    m = [F.col("_m1"), F.col("_m2"), F.col("_m3")]
+    first_month = (F.col("travel_quarter") - 1) * 3
+    peak = (F.when((m[0] >= m[1]) & (m[0] >= m[2]), first_month + 1)
+             .when(m[1] >= m[2], first_month + 2)
+             .otherwise(first_month + 3))
+    return out.select(
+        *U, "trip_total_cnt", "total_spot_cnt", "cross_region_trip_cnt", "solo_trip_cnt",
+        "first_trip_date", "last_trip_date", peak.cast("int").alias("peak_month"),
+        F.filter(region_lits, lambda r, i: F.col("_regions").bitwiseAND(_bit(i)) != 0).alias("region_arr"),
+        "partner_arr",
+        F.coalesce(F.col("city_visit_map"), empty_map).alias("city_visit_map"),
+        F.when(F.size(cat_entries) > 0, F.map_from_entries(cat_entries)).alias("cate_visit_map"),
+    )
+
+
 def user_quarter(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None,
                  unclassified: str = K.UNCLASSIFIED, dim_size: DimSize | None = None) -> DataFrame:
     """The user-quarter mart with the declared columns of ``DWS_USER_QUARTER``."""
+    dim = poi.select("poi_id", "city", "category", "region")
+    size = dim_size if (dim_size is not None or broadcast is not None) else measure(dim)
+    if should_broadcast(dim, broadcast, size=size):
+        regions = domain(dim, "region")
+        categories = domain(dim, "category", exclude=(unclassified,))
+        if regions is not None and categories is not None:
+            return finish(coded_metrics(visits, poi, regions, categories))
     rows = grain_rows(joined_visits(visits, poi, broadcast, dim_size), unclassified)
     return finish(quarter_metrics(rows, unclassified))
