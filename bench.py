@@ -15,7 +15,7 @@ job is timed from its input tables to its written output:
     C9 city_top10          dws -> ads leaderboard
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_WARM_DIR (default the sibling sf0.001: the whole run is done there once
+BENCH_WARM_DIR (default the sibling sf0.01: the whole run is done there once
 first, so JIT and generated code are warm). Tables go to a fresh scratch
 warehouse under /tmp. Prints one JSON line.
 """
@@ -52,7 +52,7 @@ def jobs(spark, sf_dir, cfg):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    warm_dir = os.environ.get("BENCH_WARM_DIR", os.path.join(os.path.dirname(sf_dir), "sf0.001"))
+    warm_dir = os.environ.get("BENCH_WARM_DIR", os.path.join(os.path.dirname(sf_dir), "sf0.01"))
     scratch = tempfile.mkdtemp(prefix="qm-bench-")
     from quartermart.plans import warehouse as W
     from quartermart.session import build_session
