@@ -153,6 +153,10 @@ def q_poi_category(spark, d):
     return normalize(df.select("poi_id", "label_zh", "category"))
 
 
+def q_reject_null_region(spark, d):
+    return normalize(poi_plan.rejected_regions(ods_poi(spark, d), categories=binding.TEST_CATEGORY_RULES))
+
+
 def q_profile_bounds(spark, d):
     return normalize(profile.bounds(poi_plan.prepared_poi(ods_poi(spark, d)), ["latitude", "longitude"]))
 
@@ -231,6 +235,7 @@ def queries() -> dict[str, Query]:
         "poi_bbox": q_poi_bbox,
         "poi_region": q_poi_region,
         "poi_category": q_poi_category,
+        "reject_null_region": q_reject_null_region,
         "profile_bounds": q_profile_bounds,
         "profile_labels": q_profile_labels,
         "profile_category": q_profile_category,

@@ -312,6 +312,8 @@ def oracle_sql() -> dict[str, str]:
         "poi_bbox": _with(RAW, POI) + "SELECT poi_id, latitude, longitude FROM poi_box",
         "poi_region": _with(RAW, POI) + "SELECT poi_id, latitude, longitude, region FROM poi_class",
         "poi_category": _with(RAW, POI) + "SELECT poi_id, label_zh, category FROM poi_class",
+        "reject_null_region": _with(RAW, POI) + (
+            "SELECT poi_id, name_zh, latitude, longitude FROM poi_class WHERE region IS NULL"),
         "profile_bounds": _with(RAW, POI) + (
             "SELECT min(latitude) AS min_latitude, max(latitude) AS max_latitude, "
             "min(longitude) AS min_longitude, max(longitude) AS max_longitude FROM poi_box"),
