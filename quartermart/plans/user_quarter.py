@@ -227,7 +227,8 @@ def coded_metrics(visits: DataFrame, poi: DataFrame, regions: list[str], categor
     per_city = (j.where(F.col("city").isNotNull())
                  .groupBy(*U, "city").agg(F.countDistinct("trip_id").alias("_trips"))
                  .groupBy(*U).agg(count_map("city", "_trips").alias("city_visit_map")))
-    per_partner = j.groupBy(*U).agg(F.sort_array(F.collect_set("travel_partners")).alias("partner_arr"))
+    # Needs no POI attribute, so it reads the visits without the join.
+    per_partner = v.groupBy(*U).agg(F.sort_array(F.collect_set("travel_partners")).alias("partner_arr"))
 
     out = (per_u.join(per_trip, U).join(per_partner, U).join(per_city, U, "left"))
     empty_map = F.create_map().cast(T.MapType(T.StringType(), T.LongType()))
