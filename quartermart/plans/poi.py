@@ -59,8 +59,3 @@ def rejected_regions(ods_poi: DataFrame, regions: RegionRules = DEFAULT_REGION_R
     """POIs left without a region (the quality report; empty while the rules end in a default)."""
     df = classify(prepared_poi(ods_poi, no_label=categories.no_label), regions, categories)
     return df.filter(F.col("region").isNull()).select("poi_id", "name_zh", "latitude", "longitude")
-
-
-def poi_for_join(poi: DataFrame, cols: list[str]) -> DataFrame:
-    """The dimension columns a mart needs, keyed by ``poi_id``."""
-    return poi.select("poi_id", *cols)

@@ -25,9 +25,11 @@ shuffled; what reaches one task per U is bounded by the number of distinct
 cities, categories, regions, partners and months, never by the number of
 visits or trips. Nothing is cached and no exchange has to be reused.
 
-When the POI dimension is broadcast (its size is proven small) and its region
-and category domains are small (at most 62 values each, read from the
-dimension with a bounded collect), a second plan is used instead:
+When the visits are cheap to read more than once (``reread=True``: a table
+or files, not a lazy chain of shuffles, which each branch would recompute),
+the POI dimension is broadcast (its size is proven small) and its region and
+category domains are small (at most 62 values each, read from the dimension
+in one bounded aggregate), a second plan is used instead:
 ``coded_metrics``. Region and category become small integer codes carried
 by the broadcast dimension, so the region set is a bitmask and the category
 counts are plain counters. Four narrow aggregates then read the
@@ -176,14 +178,18 @@ def finish(df: DataFrame) -> DataFrame:
 MAX_CODES = 62
 
 
-def domain(dim: DataFrame, col: str, exclude: tuple[str, ...] = (), limit: int = MAX_CODES) -> list[str] | None:
-    """Sorted distinct non-null values of a dimension column, or None when more
-    than ``limit`` (at most ``limit + 1`` values ever reach the driver)."""
-    df = dim.select(col).where(F.col(col).isNotNull())
-    if exclude:
-        df = df.where(~F.col(col).isin(*exclude))
-    vals = [r[0] for r in df.distinct().orderBy(col).limit(limit + 1).collect()]
-    return vals if len(vals) <= limit else None
+def domains(dim: DataFrame, unclassified: str, limit: int = MAX_CODES) -> tuple[list[str], list[str]] | None:
+    """Sorted distinct regions and categories (without ``unclassified``) of a
+    broadcast-sized dimension, from one aggregate; None when either has more
+    than ``limit`` values."""
+    row = dim.agg(
+        F.sort_array(F.collect_set("region")).alias("regions"),
+        F.sort_array(F.collect_set(F.when(F.col("category") != unclassified, F.col("category")))).alias("cats"),
+    ).first()
+    regions, cats = list(row["regions"] or []), list(row["cats"] or [])
+    if len(regions) > limit or len(cats) > limit:
+        return None
+    return regions, cats
 
 
 def _bit(position) -> F.Column:
@@ -253,14 +259,20 @@ def coded_metrics(visits: DataFrame, poi: DataFrame, regions: list[str], categor
 
 
 def user_quarter(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None,
-                 unclassified: str = K.UNCLASSIFIED, dim_size: DimSize | None = None) -> DataFrame:
-    """The user-quarter mart with the declared columns of ``DWS_USER_QUARTER``."""
+                 unclassified: str = K.UNCLASSIFIED, dim_size: DimSize | None = None,
+                 reread: bool = False) -> DataFrame:
+    """The user-quarter mart with the declared columns of ``DWS_USER_QUARTER``.
+
+    ``reread=True`` declares ``visits`` cheap to scan several times (a table),
+    which allows the coded four-aggregate plan; otherwise the single-pass
+    grouping-sets plan is used. Both give identical rows.
+    """
     dim = poi.select("poi_id", "city", "category", "region")
-    size = dim_size if (dim_size is not None or broadcast is not None) else measure(dim)
-    if should_broadcast(dim, broadcast, size=size):
-        regions = domain(dim, "region")
-        categories = domain(dim, "category", exclude=(unclassified,))
-        if regions is not None and categories is not None:
-            return finish(coded_metrics(visits, poi, regions, categories))
+    if reread:
+        size = dim_size if (dim_size is not None or broadcast is not None) else measure(dim)
+        if should_broadcast(dim, broadcast, size=size):
+            doms = domains(dim, unclassified)
+            if doms is not None:
+                return finish(coded_metrics(visits, poi, *doms))
     rows = grain_rows(joined_visits(visits, poi, broadcast, dim_size), unclassified)
     return finish(quarter_metrics(rows, unclassified))

@@ -93,7 +93,7 @@ def job_user_quarter(spark: SparkSession, cfg: Config = Config(), size: DimSize
     """C4: dwd visits + POI -> user x quarter mart."""
     t = cfg.tables
     df = user_quarter(spark.table(t.dwd_visit), spark.table(t.dwd_poi), cfg.broadcast,
-                      cfg.categories.unclassified, dim_size=size or dim_size(spark, cfg))
+                      cfg.categories.unclassified, dim_size=size or dim_size(spark, cfg), reread=True)
     sinks.overwrite_table(df, t.dws_user, schemas.DWS_USER_QUARTER, partition_by=QUARTER_PARTITION)
 
 

@@ -67,7 +67,7 @@ def test_same_result_under_one_and_many_partitions(spark):
 def test_both_user_quarter_plans_agree(spark):
     from quartermart.plans.user_quarter import user_quarter
     fact, dim = C.fact(spark, SF01), C.dim(spark, SF01)
-    coded = C.normalize(user_quarter(fact, dim, broadcast=True))
-    sets = C.normalize(user_quarter(fact, dim, broadcast=False))
+    coded = C.normalize(user_quarter(fact, dim, broadcast=True, reread=True))
+    sets = C.normalize(user_quarter(fact, dim, broadcast=True))
     assert coded.count() == sets.count() == 12330
     assert coded.exceptAll(sets).count() == 0 and sets.exceptAll(coded).count() == 0

@@ -14,8 +14,12 @@ POIS = [("p1", "A", "cat1", "r1"), ("p2", "B", "cat2", "r1"), ("p3", "C", "未
 
 
 def _uq(spark, rows, pois=POIS, **kw):
-    return {(r.blog_id, r.travel_year, r.travel_quarter): r
-            for r in user_quarter(visits_df(spark, rows), poi_df(spark, pois), **kw).collect()}
+    """Both user-quarter plans must agree; returns the rows keyed by user-quarter."""
+    v, p = visits_df(spark, rows), poi_df(spark, pois)
+    coded = user_quarter(v, p, reread=True, **kw).collect()
+    sets = user_quarter(v, p, **kw).collect()
+    assert sorted(map(repr, coded)) == sorted(map(repr, sets))
+    return {(r.blog_id, r.travel_year, r.travel_quarter): r for r in coded}
 
 
 def test_unmatched_pois_count_but_leave_maps_empty(spark):
