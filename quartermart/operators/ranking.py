@@ -52,10 +52,23 @@ def rank_in(df: DataFrame, scopes: Mapping[str, Sequence[str]], by: str,
     return df
 
 
+def _require_checkpoint_dir(spark) -> None:
+    """Use the shared folder the cluster names in ``spark.checkpoint.dir``; never a local one."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        raise RuntimeError("the distributed rank checkpoints its input: set spark.checkpoint.dir "
+                           "to a folder shared by all executors")
+    sc.setCheckpointDir(configured)
+
+
 def range_rank(df: DataFrame, scope: Sequence[str], by: str, tiebreak: Sequence[str], out: str,
                partitions: int | None = None) -> DataFrame:
     """Exact ``row_number`` per scope without sorting a whole scope in one task."""
     spark = df.sparkSession
+    _require_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order(by, tiebreak)
     keyed = (df.repartitionByRange(n, *[F.col(c).asc() for c in scope], *order)
