@@ -24,3 +24,18 @@ def test_layered_run_matches_queries(spark):
         assert got.exceptAll(want).count() == 0, table
     parts = {r.partition for r in spark.sql(f"SHOW PARTITIONS {t.dws_user}").collect()}
     assert "travel_year=1995/travel_quarter=1" in parts
+
+
+def test_layered_run_from_csv_files(spark, tmp_path):
+    """C1 from headered CSV files (the original raw format) through every layer."""
+    cfg = W.Config(categories=binding.TEST_CATEGORY_RULES, years=binding.TEST_YEAR_RANGE)
+    poi_csv, trip_csv = str(tmp_path / "pois"), str(tmp_path / "trips")
+    binding.raw_poi(spark, SF001).write.option("header", True).csv(poi_csv)
+    binding.raw_trip(spark, SF001).write.option("header", True).csv(trip_csv)
+    W.load_ods_csv(spark, poi_csv, trip_csv, cfg)
+    W.run(spark, cfg)
+    want = C.queries()["top50_attractions"](spark, SF001)
+    got = C.normalize(spark.table(cfg.tables.ads_top_attractions)).select(*want.columns)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+    portrait = C.queries()["user_portrait"](spark, SF001)
+    assert spark.table(cfg.tables.ads_portrait).count() == portrait.count()
