@@ -158,20 +158,27 @@ def quarter_metrics(rows: DataFrame, unclassified: str = K.UNCLASSIFIED) -> Data
 
 
 def finish(df: DataFrame) -> DataFrame:
-    """Counts from maps, ratios, labels, top keys; declared column order and types."""
+    """Counts from maps, ratios, labels, top keys; declared column order and types.
+
+    One projection (a single analysis pass) instead of a chain of columns.
+    """
     trips = F.col("trip_total_cnt")
-    df = (df.withColumn("unique_city_cnt", F.size("city_visit_map").cast("long"))
-            .withColumn("unique_category_cnt", F.coalesce(F.size("cate_visit_map"), F.lit(0)).cast("long"))
-            .withColumn("top_city", top_keys("city_visit_map"))
-            .withColumn("top_category", top_keys("cate_visit_map"))
-            .withColumn("travel_level", quarter_level(trips))
-            .withColumn("region_type", quarter_range_type(F.size("region_arr"), F.size("city_visit_map")))
-            .withColumn("avg_spot_per_trip", ratio("total_spot_cnt", trips))
-            .withColumn("avg_city_per_trip", ratio("unique_city_cnt", trips))
-            .withColumn("solo_trip_ratio", ratio("solo_trip_cnt", trips)))
-    df = df.withColumn("avg_trip_per_month",
-                       F.when(trips > 0, F.round(trips / 3, K.RATIO_DIGITS)).otherwise(F.lit(0.0)).cast("double"))
-    return schemas.conform(df, schemas.DWS_USER_QUARTER)
+    n_cities = F.size("city_visit_map")
+    n_categories = F.coalesce(F.size("cate_visit_map"), F.lit(0))
+    derived = {
+        "travel_level": quarter_level(trips),
+        "region_type": quarter_range_type(F.size("region_arr"), n_cities),
+        "unique_city_cnt": n_cities,
+        "unique_category_cnt": n_categories,
+        "avg_spot_per_trip": ratio("total_spot_cnt", trips),
+        "avg_city_per_trip": ratio(n_cities, trips),
+        "avg_trip_per_month": F.when(trips > 0, F.round(trips / 3, K.RATIO_DIGITS)).otherwise(F.lit(0.0)),
+        "top_city": top_keys("city_visit_map"),
+        "top_category": top_keys("cate_visit_map"),
+        "solo_trip_ratio": ratio("solo_trip_cnt", trips),
+    }
+    return df.select(*[(derived[f.name] if f.name in derived else F.col(f.name)).cast(f.dataType).alias(f.name)
+                       for f in schemas.DWS_USER_QUARTER.fields])
 
 
 # Largest region / category domain encoded as bits of one bigint.
