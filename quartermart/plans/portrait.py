@@ -86,13 +86,19 @@ def user_portrait(mart: DataFrame) -> DataFrame:
         entries(is_c).alias("_cities"),
         entries(is_k).alias("_cats"),
     )
-    u = (u.withColumn("total_cities", F.when(F.col("_n_city") > 0, F.col("_n_city")))
-          .withColumn("total_regions", F.when(F.col("_n_region") > 0, F.col("_n_region")))
-          .withColumn("avg_spots_per_trip", exact_mean("_spt4", "_nq"))
-          .withColumn("solo_trip_ratio", exact_mean("_solo4", "_nq"))
-          .withColumn("favorite_city", F.when(F.size("_cities") > 0, keys_with_max(F.col("_cities"))))
-          .withColumn("favorite_category", F.when(F.size("_cats") > 0, keys_with_max(F.col("_cats"))))
-          .withColumn("travel_level", lifetime_level("total_trips", "active_years"))
-          .withColumn("region_type", lifetime_range_type("total_regions", "total_cities")))
-    return schemas.conform(u, schemas.ADS_USER_PORTRAIT)
+    n_city, n_region = F.col("_n_city"), F.col("_n_region")
+    total_cities = F.when(n_city > 0, n_city)
+    total_regions = F.when(n_region > 0, n_region)
+    derived = {
+        "total_cities": total_cities,
+        "total_regions": total_regions,
+        "avg_spots_per_trip": exact_mean("_spt4", "_nq"),
+        "solo_trip_ratio": exact_mean("_solo4", "_nq"),
+        "favorite_city": F.when(F.size("_cities") > 0, keys_with_max(F.col("_cities"))),
+        "favorite_category": F.when(F.size("_cats") > 0, keys_with_max(F.col("_cats"))),
+        "travel_level": lifetime_level("total_trips", "active_years"),
+        "region_type": lifetime_range_type(total_regions, total_cities),
+    }
+    return u.select(*[(derived[f.name] if f.name in derived else F.col(f.name)).cast(f.dataType).alias(f.name)
+                      for f in schemas.ADS_USER_PORTRAIT.fields])
 
