@@ -1,7 +1,9 @@
 """User x quarter wide table.
 
 The original builds this from ten aggregates and eight joins on
-(user, year, quarter). Here it is one linear plan of three hash aggregates:
+(user, year, quarter). Here there are two plans with identical results.
+
+The single-pass plan (always valid) is one linear chain of three hash aggregates:
 
 1. ``GROUPING SETS`` over the joined visits: every metric reads one of six
    small grains (all prefixed by the user-quarter key U)::
@@ -90,7 +92,7 @@ def joined_visits(visits: DataFrame, poi: DataFrame, broadcast: bool | None = No
     return attach_dim(v, dim, "poi_id", how="left", broadcast=broadcast, size=dim_size)
 
 
-def grain_rows(joined: DataFrame, unclassified: str = K.UNCLASSIFIED) -> DataFrame:
+def grain_rows(joined: DataFrame) -> DataFrame:
     """Steps 1 and 2: one row per (U, grain, key) with its counts."""
     partners = F.col("travel_partners")
     g = joined.groupingSets(list(SETS.values()), *SET_COLUMNS).agg(
@@ -281,5 +283,5 @@ def user_quarter(visits: DataFrame, poi: DataFrame, broadcast: bool | None = Non
             doms = domains(dim, unclassified)
             if doms is not None:
                 return finish(coded_metrics(visits, poi, *doms))
-    rows = grain_rows(joined_visits(visits, poi, broadcast, dim_size), unclassified)
+    rows = grain_rows(joined_visits(visits, poi, broadcast, dim_size))
     return finish(quarter_metrics(rows, unclassified))
