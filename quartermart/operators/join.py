@@ -36,9 +36,10 @@ def measure(dim: DataFrame) -> DimSize:
     fixed = 0
     for f in dim.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.length(F.col(f.name)), F.lit(0)) + 8
+            # bytes, not characters: UTF-8 text outside ASCII takes up to 4 bytes a character
+            width = width + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) + 8
         elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            width = width + F.coalesce(F.length(F.to_json(F.col(f.name))), F.lit(0)) + 16
+            width = width + F.coalesce(F.octet_length(F.to_json(F.col(f.name))), F.lit(0)) + 16
         else:
             fixed += _FIXED_WIDTH
     parts.append(F.sum(width).alias("var_bytes"))

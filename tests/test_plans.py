@@ -48,3 +48,9 @@ def test_portrait_shuffles_once(spark):
     mart = spark.createDataFrame(C.uq(spark, SF001).collect(), C.uq(spark, SF001).schema)
     full = user_portrait(mart)._jdf.queryExecution().executedPlan().toString()
     assert full.count("Exchange") == 1 and "Exchange hashpartitioning(blog_id" in full
+
+
+def test_measure_counts_bytes_not_characters(spark):
+    df = spark.createDataFrame([("无标签",), ("ab",)], "s string")
+    size = measure(df)
+    assert size.rows == 2 and size.bytes == (9 + 8) + (2 + 8) + 2 * 16
