@@ -54,12 +54,16 @@ def test_counts_reconcile(marts):
     assert row.a <= 0 and row.b <= 0
 
 
-def test_same_result_under_one_and_many_partitions(spark):
+@pytest.mark.parametrize("name", ["user_quarter", "attraction_quarter", "city_quarter", "user_portrait",
+                                  "top50_attractions", "city_top10", "visits_dedup"])
+def test_same_result_under_one_and_many_partitions(spark, name):
     def rows():
-        return sorted(tuple(r) for r in C.normalize(C.uq(spark, "/root/testdata/sf0.001")).collect())
+        return sorted(tuple(r) for r in C.queries()[name](spark, "/root/testdata/sf0.001").collect())
     spark.conf.set("spark.sql.shuffle.partitions", "1")
-    one = rows()
-    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        one = rows()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
     many = rows()
     assert one == many and len(one) > 0
 
