@@ -75,3 +75,34 @@ def test_both_user_quarter_plans_agree(spark):
     sets = C.normalize(user_quarter(fact, dim, broadcast=True))
     assert coded.count() == sets.count() == 12330
     assert coded.exceptAll(sets).count() == 0 and sets.exceptAll(coded).count() == 0
+
+
+def test_plans_agree_under_a_hot_user_and_poi(spark):
+    """One user-quarter and one POI hold about a third of all visits: every plan gives the same rows."""
+    import datetime as dt
+
+    from quartermart.plans.attraction_quarter import attraction_quarter
+    from quartermart.plans.city_quarter import city_quarter
+    from quartermart.plans.user_quarter import user_quarter
+    base = C.fact(spark, "/root/testdata/sf0.001")
+    n = base.count()
+    hot = spark.range(n // 2).select(
+        F.lit("hot").alias("blog_id"),
+        F.concat(F.lit("hot_1999/5/"), (F.col("id") % 28 + 1).cast("string")).alias("trip_id"),
+        F.make_date(F.lit(1999), F.lit(5), (F.col("id") % 28 + 1).cast("int")).alias("travel_date"),
+        F.lit(1999).alias("travel_year"), F.lit(5).alias("travel_month"),
+        F.when(F.col("id") % 3 == 0, "Solo").otherwise("Family").alias("travel_partners"),
+        F.when(F.col("id") % 2 == 0, F.lit("1")).otherwise((F.col("id") % 10).cast("string")).alias("poi_id"))
+    visits = base.unionByName(hot).repartition(8)
+    dim = C.dim(spark, "/root/testdata/sf0.001")
+
+    def same(a, b):
+        a, b = C.normalize(a), C.normalize(b)
+        return a.count() == b.count() and a.exceptAll(b).count() == 0
+
+    assert same(user_quarter(visits, dim, broadcast=True, reread=True), user_quarter(visits, dim, broadcast=False))
+    assert same(attraction_quarter(visits, dim, broadcast=True), attraction_quarter(visits, dim, broadcast=False))
+    assert same(city_quarter(visits, dim, broadcast=True), city_quarter(visits, dim, broadcast=False))
+    r = user_quarter(visits, dim, broadcast=True, reread=True).filter("blog_id = 'hot'").first()
+    assert r.total_spot_cnt == n // 2 and r.trip_total_cnt == 28 and r.peak_month == 5
+    assert dt.date(1999, 5, 1) == r.first_trip_date
