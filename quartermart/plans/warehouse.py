@@ -7,6 +7,7 @@ re-run on its own. Schemas are checked against the declared layer schemas
 before every write.
 
     python -m quartermart.plans.warehouse --poi POIs.csv --trips Visits.csv [--layers ods,dwd,dws,ads]
+    python -m quartermart.plans.warehouse --jobs user_quarter,portrait      # single jobs on existing tables
 """
 
 from __future__ import annotations
@@ -158,6 +159,18 @@ def run(spark: SparkSession, cfg: Config = Config(), layers=("dwd", "dws", "ads"
         steps[layer](spark, cfg)
 
 
+JOBS = {
+    "poi_clean": job_poi,
+    "visits_clean": job_visits,
+    "user_quarter": job_user_quarter,
+    "attraction_quarter": job_attraction_quarter,
+    "city_quarter": job_city_quarter,
+    "portrait": job_portrait,
+    "top_attractions": job_top_attractions,
+    "top_cities": job_top_cities,
+}
+
+
 def main(argv=None) -> None:
     from quartermart.session import build_session
 
@@ -165,9 +178,14 @@ def main(argv=None) -> None:
     p.add_argument("--poi", help="raw POI CSV (with header)")
     p.add_argument("--trips", help="raw trip CSV (with header)")
     p.add_argument("--layers", default="ods,dwd,dws,ads")
+    p.add_argument("--jobs", default=None, help=f"run only these jobs, in order: {','.join(JOBS)}")
     p.add_argument("--master", default=None, help="only for local runs; clusters pass it via spark-submit")
     a = p.parse_args(argv)
     spark = build_session(master=a.master) if a.master else SparkSession.builder.getOrCreate()
+    if a.jobs:
+        for name in [x.strip() for x in a.jobs.split(",") if x.strip()]:
+            JOBS[name](spark)
+        return
     layers = [x.strip() for x in a.layers.split(",") if x.strip()]
     if "ods" in layers:
         load_ods_csv(spark, a.poi, a.trips)

@@ -39,3 +39,15 @@ def test_layered_run_from_csv_files(spark, tmp_path):
     assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
     portrait = C.queries()["user_portrait"](spark, SF001)
     assert spark.table(cfg.tables.ads_portrait).count() == portrait.count()
+
+
+def test_cli_runs_single_jobs(spark):
+    """The CLI re-runs one job on the existing layer tables (here: the two leaderboards)."""
+    cfg = W.Config(categories=binding.TEST_CATEGORY_RULES, years=binding.TEST_YEAR_RANGE)
+    W.load_ods(spark, C.ods_poi(spark, SF001), C.ods_trip(spark, SF001), cfg)
+    W.run(spark, cfg, layers=("dwd", "dws"))
+    spark.sql(f"DROP TABLE IF EXISTS {cfg.tables.ads_top_cities}")
+    W.main(["--jobs", "top_cities"])
+    assert spark.table(cfg.tables.ads_top_cities).count() == C.queries()["city_top10"](spark, SF001).count()
+    assert set(W.JOBS) == {"poi_clean", "visits_clean", "user_quarter", "attraction_quarter", "city_quarter",
+                           "portrait", "top_attractions", "top_cities"}
