@@ -191,9 +191,11 @@ def domains(dim: DataFrame, unclassified: str, limit: int = MAX_CODES) -> tuple[
     """Sorted distinct regions and categories (without ``unclassified``) of a
     broadcast-sized dimension, from one aggregate; None when either has more
     than ``limit`` values."""
+    keep = limit + 1   # at most this many values per column reach the driver
     row = dim.agg(
-        F.sort_array(F.collect_set("region")).alias("regions"),
-        F.sort_array(F.collect_set(F.when(F.col("category") != unclassified, F.col("category")))).alias("cats"),
+        F.slice(F.sort_array(F.collect_set("region")), 1, keep).alias("regions"),
+        F.slice(F.sort_array(F.collect_set(F.when(F.col("category") != unclassified, F.col("category")))),
+                1, keep).alias("cats"),
     ).first()
     regions, cats = list(row["regions"] or []), list(row["cats"] or [])
     if len(regions) > limit or len(cats) > limit:
