@@ -7,6 +7,7 @@ cluster already has, except the few listed in ``build_session``'s arguments.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,13 +35,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when unset (tests) pick a scratch one."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="qm-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Use the cluster's ``spark.checkpoint.dir``. Only a local master (tests) may go without: a scratch folder is set."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="qm-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", path)
+    sc.setCheckpointDir(path)

@@ -8,6 +8,7 @@ import pytest
 from conftest import SF001
 
 import __spark_entry__ as E
+from quartermart import catalog, oracle
 
 TABLES = ["supplier", "nation", "part", "orders", "lineitem"]
 
@@ -35,14 +36,14 @@ def _canon(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF001)
+    df = catalog.queries()[name](spark, SF001)
     got_cols, got = df.columns, [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(oracle.oracle_sql()[name])
     want_cols = [d[0] for d in cur.description]
     want = cur.fetchall()
     assert sorted(got_cols) == sorted(want_cols)
