@@ -86,7 +86,8 @@ def source_targets(sized: DataFrame, weights: Sequence[int] = WEIGHTS, max_repea
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, block_tokens: int = BLOCK_TOKENS,
-        shard_tokens: int = SHARD_TOKENS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
+        shard_tokens: int = SHARD_TOKENS, max_repeat: int = MAX_REPEAT, seed: str = SEED,
+        keep_text: bool = True) -> DataFrame:
     """``docs`` (doc_id, text, source, ...) with what the mix takes of each row.
 
     Adds ``size`` (words), ``source_size``, ``target``, ``passes`` (whole copies),
@@ -94,7 +95,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, block_tokens: int = B
     repeats counted).
     """
     src = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("a"), F.col("source")))
-    sized = write_table(docs.withColumns({"size": n_words(F.col("text")), "_src": src}), "mix-sized")
+    sized = docs.withColumns({"size": n_words(F.col("text")), "_src": src})
+    sized = write_table(sized if keep_text else sized.drop("text"), "mix-sized")
     return deal(sized, weights, block_tokens, shard_tokens, max_repeat, seed)
 
 

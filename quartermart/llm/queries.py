@@ -9,13 +9,39 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .common import read
+from .language import label_languages
 from .mixing import mix
+from .nearest import nearest
+from .toxicity import judge_toxicity
 from .url_filter import judge
+from .warc import round_trip
+from .wordpiece import count_tokens
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix(docs).select("doc_id", "source", "size", "source_size", "target", "passes", "taken")
+    return mix(docs, keep_text=False).select("doc_id", "source", "size", "source_size", "target", "passes", "taken")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_tokens")
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return label_languages(read(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score", "runner_up")
+
+
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read(spark, sf_dir, "embeddings"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (judge_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+            .select("doc_id", "held_out", "score", "predicted", "n_windows"))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,8 +49,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op10_url_filter)}
+    return {f.__name__: f for f in (op1_mix_sources, op3_token_counts, op4_language, op6_nearest, op7_warc,
+                                     op8_toxicity, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": sql.OP1, "op10_url_filter": sql.OP10}
+    return {"op1_mix_sources": sql.OP1, "op6_nearest": sql.OP6, "op7_warc": sql.OP7, "op10_url_filter": sql.OP10}

@@ -106,3 +106,29 @@ best AS (
 SELECT page_id, best.host, best.path, r.rule AS rule, coalesce(r.verdict, i.verdict, 'allow') AS verdict
 FROM best LEFT JOIN inherited i ON best.host <> '' AND i.x = 'http://' || best.host || best.tail
 """
+
+OP6 = r"""
+WITH v AS (
+  SELECT vec_id, min(embedding)::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+  GROUP BY vec_id),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_reduce(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]), lambda s, x: s + x) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM pairs)
+WHERE rank <= 20
+"""
+
+OP7 = r"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+l AS (SELECT payload_digest, max(page_id) AS last FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest,
+       CASE WHEN last IS NULL OR page_id IS NOT DISTINCT FROM last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM p LEFT JOIN l ON p.payload_digest = l.payload_digest
+"""
