@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .common import read
+from .jaccard import near_groups
 from .language import label_languages
 from .mixing import mix
 from .nearest import nearest
@@ -44,13 +45,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "score", "predicted", "n_windows"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(read(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_mix_sources, op3_token_counts, op4_language, op6_nearest, op7_warc,
-                                     op8_toxicity, op10_url_filter)}
+                                     op8_toxicity, op9_jaccard_join, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:

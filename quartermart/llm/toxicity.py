@@ -38,7 +38,7 @@ WINDOW, STRIDE = 40, 32
 THRESHOLD = 0.3
 BUCKETS = 1 << 14
 EMBED, HIDDEN = 8, 8
-EPOCHS, BATCH, RATE = 14, 128, 6e-3
+EPOCHS, BATCH, RATE = 12, 192, 1e-2
 _MEMO = 150_000
 _AT_ONCE = 4096  # windows scored together
 
@@ -58,6 +58,17 @@ def window_starts(n: int) -> np.ndarray:
     return np.unique(np.append(np.arange(0, n - WINDOW, STRIDE), n - WINDOW))
 
 
+def _sum_rows(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows of ``values`` that share an index."""
+    out = np.zeros((size, values.shape[1]), np.float32)
+    if len(index):
+        order = np.argsort(index, kind="stable")
+        at = index[order]
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        out[at[first]] = np.add.reduceat(values[order], first)
+    return out
+
+
 class Network:
     """Parameters ``p`` and the passes forwards and backwards."""
 
@@ -151,10 +162,7 @@ class Network:
                 dside[t] = side
                 g["rec"][d] += before.T @ du
                 dh = dh * z + du @ p["rec"][d].T
-            flat, order = rows.T.ravel(), np.argsort(rows.T.ravel(), kind="stable")
-            first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-            dproj = np.zeros((len(x), 3 * HIDDEN), np.float32)
-            dproj[flat[order][first]] = np.add.reduceat(dside.reshape(-1, 3 * HIDDEN)[order], first)
+            dproj = _sum_rows(rows.T.ravel(), dside.reshape(-1, 3 * HIDDEN), len(x))
             g["in"][d], g["in_b"][d] = x.T @ dproj, dproj.sum(0)
             dx += dproj @ p["in"][d].T
         g["word"] = (word, dx[:, :EMBED])
@@ -171,16 +179,18 @@ class _Adam:
         fix = (1 - 0.999 ** self.t) ** 0.5 / (1 - 0.9 ** self.t)
         for k in p:
             if k == "word":
-                dense = np.zeros_like(p[k])
-                np.add.at(dense, g[k][0], g[k][1])
+                dense = _sum_rows(*g[k], len(p[k]))
             elif k == "tri":
                 tri, n, d = g[k]
-                dense = np.zeros_like(p[k])
-                np.add.at(dense, tri.ravel(), np.repeat(d / n[:, None], tri.shape[1], axis=0))
+                some = np.arange(tri.shape[1]) < n[:, None]
+                dense = _sum_rows(tri[some], np.repeat(d / n[:, None].astype(np.float32), n, axis=0), len(p[k]))
             else:
                 dense = g[k]
             self.m[k] += 0.1 * (dense - self.m[k])
-            self.v[k] += 0.001 * (dense * dense - self.v[k])
+            square = dense * dense
+            if k in ("word", "tri"):  # one scale for the table: rare words move little, words of many windows much
+                square = square.sum() / max(1, np.count_nonzero(dense))
+            self.v[k] += 0.001 * (square - self.v[k])
             p[k] -= rate * fix * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)
         p["word"][0] = p["tri"][0] = 0
 
