@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .common import read
+from .decontaminate import leaked_items
 from .jaccard import near_groups
 from .language import label_languages
+from .line_dedup import dedup_lines
 from .mixing import mix
 from .nearest import nearest
 from .toxicity import judge_toxicity
@@ -24,6 +26,12 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs, keep_text=False).select("doc_id", "source", "size", "source_size", "target", "passes", "taken")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone = F.aggregate("removed", F.lit(0), lambda n, r: n + r["end"] - r["start"])
+    return lines.select("doc_id", "n_lines", gone.alias("n_removed"), "text")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_tokens")
 
@@ -32,6 +40,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_languages(read(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score", "runner_up")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaked_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read(spark, sf_dir, "embeddings"))
 
@@ -54,9 +66,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op3_token_counts, op4_language, op6_nearest, op7_warc,
-                                     op8_toxicity, op9_jaccard_join, op10_url_filter)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_line_dedup, op3_token_counts, op4_language, op5_decontaminate,
+                                     op6_nearest, op7_warc, op8_toxicity, op9_jaccard_join, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": sql.OP1, "op6_nearest": sql.OP6, "op7_warc": sql.OP7, "op10_url_filter": sql.OP10}
+    return {"op1_mix_sources": sql.OP1, "op2_line_dedup": sql.OP2, "op6_nearest": sql.OP6, "op7_warc": sql.OP7, "op10_url_filter": sql.OP10}

@@ -132,3 +132,28 @@ SELECT page_id, payload_bytes, p.payload_digest,
        CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
 FROM p LEFT JOIN l ON p.payload_digest = l.payload_digest
 """
+
+OP2 = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i,
+         len(string_split(text, chr(10))) AS n FROM documents WHERE text IS NOT NULL),
+h AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM l),
+r AS (SELECT *, (h + 131 * lag(h) OVER (PARTITION BY doc_id ORDER BY i)) % 2147483647 AS r FROM h),
+c AS (
+  SELECT *, CASE WHEN i BETWEEN 2 AND n - 2 AND r < lag(r) OVER w AND r < lead(r) OVER w THEN 1 ELSE 0 END AS cut
+  FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+g AS (SELECT *, sum(cut) OVER (PARTITION BY doc_id ORDER BY i) AS chunk FROM c),
+ch AS (
+  SELECT doc_id, chunk, min(i) AS s, count(*) AS k, string_agg(line, chr(10) ORDER BY i) AS body
+  FROM g GROUP BY doc_id, chunk),
+marked AS (
+  SELECT *, k >= 2 AND regexp_matches(body, '[^\x20\x09-\x0D]')
+            AND row_number() OVER (PARTITION BY body, k >= 2 ORDER BY doc_id, s) > 1 AS gone FROM ch),
+texts AS (
+  SELECT doc_id, sum(k)::INT AS n_lines, coalesce(sum(k) FILTER (WHERE gone), 0)::INT AS n_removed,
+         coalesce(string_agg(body, chr(10) ORDER BY s) FILTER (WHERE NOT gone), '') AS text
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(t.n_lines, 0) AS n_lines, coalesce(t.n_removed, 0) AS n_removed,
+       CASE WHEN d.text IS NOT NULL THEN t.text END AS text
+FROM documents d LEFT JOIN texts t ON d.doc_id = t.doc_id
+"""
