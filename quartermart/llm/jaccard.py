@@ -49,7 +49,7 @@ NUMERATOR = 75
 CLASS_BITS, FREQUENT, LOCAL = 22, 32, 6
 NEIGHBOURS = 4
 _SEEN = 1_000_000  # sets a task remembers, so that its copies of one set are indexed once
-_NODES = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("class", pa.int32()), ("entries", pa.int64())])
+_NODES = pa.schema([("doc_id", pa.int64()), ("print", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("class", pa.int32()), ("entries", pa.int64())])
 _ENTRIES = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("slack", pa.int32())])
 _SETS = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("tokens", pa.binary())])
 
@@ -86,9 +86,9 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(tokens) and once(own):
                 np.add.at(classes, (tokens >> np.uint64(64 - CLASS_BITS)).astype(np.int64), 1)
         none = pa.nulls(len(b), pa.int32()), pa.nulls(len(b), pa.int64())
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(node), *none], schema=_NODES)
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("print"), pa.array(n), pa.array(node), *none], schema=_NODES)
     many = np.flatnonzero(classes >= LOCAL)
-    none = [pa.nulls(len(many), t) for t in (pa.int64(), pa.int32(), pa.int64())]
+    none = [pa.nulls(len(many), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int64())]
     yield pa.RecordBatch.from_arrays([*none, pa.array(many.astype(np.int32)), pa.array(classes[many].astype(np.int64))], schema=_NODES)
 
 
@@ -176,12 +176,17 @@ def _frequent_classes(found: DataFrame):
     return found.sparkSession.sparkContext.broadcast(bitmap)
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
+def near_groups(docs: DataFrame, with_groups: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
+
+    ``with_groups`` adds ``print`` (xxhash64 of the text) and ``group``, a name
+    of the component that is there even if none of its rows has an id (null: no shingle).
+    """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    found = write_table(texts.mapInArrow(_nodes, "doc_id long, n int, node long, class int, entries long"), "jaccard-nodes")
+    found = write_table(texts.withColumn("print", F.xxhash64("text"))
+                        .mapInArrow(_nodes, "doc_id long, print long, n int, node long, class int, entries long"), "jaccard-nodes")
     frequent = _frequent_classes(found)
-    rows = found.where("class is null").select("doc_id", "n", "node")
+    rows = found.where("class is null").select("doc_id", "print", "n", "node")
 
     # Entries that share a key, each with those it is paired with.
     order = W.partitionBy("key").orderBy(F.col("slack").desc(), "node")
@@ -241,7 +246,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     sets_of = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     placed = sets_of.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    component = placed.join(least, "component").select("node", "component_id")
-    full = rows.where("n > 0").join(component, "node").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
-    empty = rows.where("n = 0").select("doc_id", F.col("n").cast("long"), F.col("doc_id"))
-    return full.union(empty)
+    component = placed.join(least, "component").select("node", "component_id", F.col("component").alias("group"))
+    more = ["print", "group"] if with_groups else []
+    size = F.col("n").cast("long").alias("n_shingles")
+    full = rows.where("n > 0").join(component, "node").select("doc_id", size, "component_id", *more)
+    empty = rows.where("n = 0").withColumn("group", F.lit(None).cast("long"))
+    return full.union(empty.select("doc_id", size, F.col("doc_id").alias("component_id"), *more))

@@ -62,13 +62,15 @@ def learn(labelled: DataFrame, profile_size: int = PROFILE_SIZE, sample_docs: in
     """Profiles, ranked n-gram keys by language, from ``labelled`` (doc_id, text, lang).
 
     A language with more rows than ``sample_docs`` gives each row with the
-    probability that leaves about so many, decided by a hash of its id. Only
-    the finished profiles, ``profile_size`` keys a language, reach the driver.
+    probability that leaves about so many, decided by a hash of its id. Row
+    numbers (one a language) are broadcast, so texts aren't dealt out by
+    language; only the finished profiles, ``profile_size`` keys a language,
+    reach the driver.
     """
     rows = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang")
     n = rows.groupBy("lang").agg(F.count("*").alias("_n"))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) / float(1 << 31)
-    sample = rows.join(n, "lang").where(draw * F.col("_n") < sample_docs).select("lang", "text")
+    sample = rows.join(F.broadcast(n), "lang").where(draw * F.col("_n") < sample_docs).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters = _letters()
@@ -84,8 +86,8 @@ def learn(labelled: DataFrame, profile_size: int = PROFILE_SIZE, sample_docs: in
     return {lang: f["gram"].to_numpy() for lang, f in found.groupby("lang")}
 
 
-def identify(docs: DataFrame, profiles: dict[str, np.ndarray], profile_size: int = PROFILE_SIZE) -> DataFrame:
-    """``docs`` (doc_id, text) -> (doc_id, lang_pred, score, runner_up), one row for each row."""
+def with_language(docs: DataFrame, profiles: dict[str, np.ndarray], profile_size: int = PROFILE_SIZE) -> DataFrame:
+    """``docs`` with ``found``: struct(lang_pred, score, runner_up) for ``text``."""
     langs = sorted(profiles)
     known = np.unique(np.concatenate([profiles[x] for x in langs])) if langs else np.zeros(0, np.int64)
     ranks = np.full((len(known), len(langs)), -1, np.int64)  # -1: not in that profile
@@ -93,12 +95,13 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], profile_size: int
         ranks[np.searchsorted(known, profiles[x]), j] = np.arange(len(profiles[x]))
     model = docs.sparkSession.sparkContext.broadcast((langs, known, ranks))  # profile_size rows a language
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("lang_pred string, score double, runner_up string")
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         letters = _letters()
         langs, known, ranks = model.value
-        for b in batches:
+        for texts in batches:
             out = []
-            for text in b["text"]:
+            for text in texts:
                 own = _ranked(text, letters, profile_size)
                 if not len(own) or not langs:
                     out.append((UNKNOWN, 0.0, None))
@@ -107,11 +110,15 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], profile_size: int
                 place = np.where((known[at] == own)[:, None], ranks[at], -1)
                 far = np.where(place >= 0, np.abs(place - np.arange(len(own))[:, None]), profile_size).sum(axis=0)
                 best = np.argsort(far, kind="stable")
-                out.append((langs[best[0]], 1 - far[best[0]] / (profile_size * len(own)), langs[best[1]] if len(langs) > 1 else None))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "lang_pred": [x[0] for x in out],
-                                "score": [float(x[1]) for x in out], "runner_up": [x[2] for x in out]})
+                out.append((langs[best[0]], float(1 - far[best[0]] / (profile_size * len(own))), langs[best[1]] if len(langs) > 1 else None))
+            yield pd.DataFrame(out, columns=["lang_pred", "score", "runner_up"])
+
+    return docs.withColumn("found", judge(F.col("text")))
 
-    return docs.select("doc_id", "text").mapInPandas(judge, "doc_id long, lang_pred string, score double, runner_up string")
+
+def identify(docs: DataFrame, profiles: dict[str, np.ndarray], profile_size: int = PROFILE_SIZE) -> DataFrame:
+    """``docs`` (doc_id, text) -> (doc_id, lang_pred, score, runner_up), one row for each row."""
+    return with_language(docs.select("doc_id", "text"), profiles, profile_size).select("doc_id", "found.*")
 
 
 def label_languages(docs: DataFrame) -> DataFrame:
