@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,18 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT_FOLD
 
 
+def pack(df: DataFrame, *needed: str) -> DataFrame:
+    """The ``needed`` columns and ``_row``, a struct of all others, so that no other name can clash."""
+    others = [F.col(f"`{c}`") for c in df.columns if c not in needed]
+    return df.select(*needed, (F.struct(*others) if others else F.lit(None)).alias("_row"))
+
+
+def unpack(df: DataFrame, columns: Sequence[str], needed: Sequence[str], own: Sequence[str] = ()) -> DataFrame:
+    """``columns`` as they were before ``pack``, then the operator's ``own``, which replace columns of those names."""
+    names = {c.lower() for c in own}
+    return df.select(*(F.col(c) if c in needed else F.col("_row").getField(c).alias(c) for c in columns if c.lower() not in names), *own)
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 

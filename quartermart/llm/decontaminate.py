@@ -19,7 +19,8 @@ Defined results: null and empty texts and items match nothing; an item of
 fewer words than a window has one, the whole item; windows with fewer than
 three ordinary words (fewer than all, if shorter) are not looked up, and an
 item with none matches nothing; repeated rows and items are judged alike; an
-empty table on either side gives no leaks; other columns pass through.
+empty table on either side gives no leaks; other columns pass through, one
+named leaks is replaced.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import pack, unpack
 from .shingles import mix
 
 WINDOW = 5
@@ -214,7 +216,8 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, slice_bytes: int = SLICE_B
     send = docs.sparkSession.sparkContext.broadcast
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(slices))
     found = [_leaks_of(send(Index([tuple(r) for r in items.where(part == i).sort("item_id", "text").collect()]))) for i in range(slices)]
-    return docs.withColumn("leaks", F.concat(*found) if slices > 1 else found[0])
+    packed = pack(docs, "text").withColumn("leaks", F.concat(*found) if slices > 1 else found[0])
+    return unpack(packed, docs.columns, ["text"], ["leaks"])
 
 
 def leaked_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, pack, unpack
 
 PROFILE_SIZE = 300
 #: Expected number of labelled documents a language's profile is learnt from, at most.
@@ -113,7 +113,7 @@ def with_language(docs: DataFrame, profiles: dict[str, np.ndarray], profile_size
                 out.append((langs[best[0]], float(1 - far[best[0]] / (profile_size * len(own))), langs[best[1]] if len(langs) > 1 else None))
             yield pd.DataFrame(out, columns=["lang_pred", "score", "runner_up"])
 
-    return docs.withColumn("found", judge(F.col("text")))
+    return unpack(pack(docs, "text").withColumn("found", judge(F.col("text"))), docs.columns, ["text"], ["found"])
 
 
 def identify(docs: DataFrame, profiles: dict[str, np.ndarray], profile_size: int = PROFILE_SIZE) -> DataFrame:

@@ -13,7 +13,7 @@ Defined results: a null or empty text stays as it is; null ids come last; rows
 that repeat both id and text are one document, and each row keeps what it
 keeps; chunks without any word are never removed; the same line repeated
 gives no boundary; an empty table gives an empty result; other columns pass
-through (names starting with ``_`` are the operator's own and may not occur).
+through, those named n_lines or removed are replaced.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, write_table
+from .common import WORD, pack, unpack, write_table
 
 BASE, MODULUS = 131, (1 << 31) - 1
 _SPAN = 1 << 31  # a chunk is named start * _SPAN + end
@@ -61,7 +61,7 @@ def _body(name):
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text, ...) with repeated chunks taken out of ``text``; adds ``n_lines`` and ``removed`` (line ranges)."""
     fp = F.md5(F.coalesce("text", F.lit("")))
-    keyed = docs.withColumn("_doc", F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), fp))
+    keyed = pack(docs, "doc_id", "text").withColumn("_doc", F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), fp))
     chunks = _chunked(keyed.select("doc_id", "_doc", "text")).select("doc_id", "_doc", "_lines", F.explode("_chunks").alias("chunk"))
     chunks = (chunks.where(_end(F.col("chunk")) - _start(F.col("chunk")) >= 2)
               .withColumn("_body", _body(F.col("chunk"))).where(F.col("_body").rlike(WORD)))
@@ -87,4 +87,4 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         "text": F.when(F.size("_gone") == 0, F.col("text")).otherwise(F.array_join(F.flatten(kept), "\n")),
         "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")),
         "removed": F.transform("_gone", lambda c: F.struct(_start(c).alias("start"), _end(c).alias("end")))})
-    return d.drop("_doc", "_lines", "_chunks", "_removed", "_gone")
+    return unpack(d, docs.columns, ["doc_id", "text"], ["n_lines", "removed"])

@@ -12,8 +12,8 @@ the two ends of a run.
 
 Defined results: a null text has size 0 and nothing is taken; null sources
 form one source, last in order; repeated rows are rows of their own; an empty
-table gives an empty result; other columns pass through under their names
-(names starting with ``_`` are the operator's own and may not occur).
+table gives an empty result; other columns pass through under their names,
+those named like a column the operator adds are replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, write_table
+from .common import WORD, pack, unpack, write_table
 
 WEIGHTS = (1, 2, 3)
 BLOCK_TOKENS = 32
@@ -92,12 +92,14 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, block_tokens: int = B
 
     Adds ``size`` (words), ``source_size``, ``target``, ``passes`` (whole copies),
     ``pieces`` (word ranges [start, end) taken once more) and ``taken`` (words,
-    repeats counted).
+    repeats counted). Without ``keep_text`` only doc_id and source are kept of ``docs``.
     """
     src = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("a"), F.col("source")))
-    sized = docs.withColumns({"size": n_words(F.col("text")), "_src": src})
-    sized = write_table(sized if keep_text else sized.drop("text"), "mix-sized")
-    return deal(sized, weights, block_tokens, shard_tokens, max_repeat, seed)
+    needed = ["doc_id", "source", "text"] if keep_text else ["doc_id", "source"]
+    sized = pack(docs, "doc_id", "source", "text").withColumns({"size": n_words(F.col("text")), "_src": src})
+    sized = write_table(sized if keep_text else sized.drop("text", "_row"), "mix-sized")
+    mixed = deal(sized, weights, block_tokens, shard_tokens, max_repeat, seed)
+    return unpack(mixed, docs.columns if keep_text else needed, needed, ["size", "source_size", "target", "passes", "pieces", "taken"])
 
 
 def deal(sized: DataFrame, weights: Sequence[int], block_tokens: int, shard_tokens: int, max_repeat: int,
@@ -144,4 +146,4 @@ def deal(sized: DataFrame, weights: Sequence[int], block_tokens: int, shard_toke
     rows = rows.withColumns({"passes": F.col("_passes").cast("long"), "pieces": pieces})
     extra = F.aggregate("pieces", F.lit(0).cast("long"), lambda acc, p: acc + p["end"] - p["start"])
     rows = rows.withColumn("taken", F.col("passes") * F.col("size") + extra)
-    return rows.drop(*[c for c in rows.columns if c.startswith("_")])
+    return rows.drop(*[c for c in rows.columns if c.startswith("_") and c != "_row"])

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, read
+from .common import WORD, pack, read, unpack
 from .decontaminate import with_leaks
 from .jaccard import near_groups
 from .language import UNKNOWN, learn, with_language
@@ -26,33 +26,37 @@ MIN_LANGUAGE_SCORE = 0.2
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without letters or too far from every language's profile."""
-    found = with_language(docs, learn(docs))
-    return found.where((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    found = with_language(pack(docs, "text"), learn(docs))
+    known = found.where((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= MIN_LANGUAGE_SCORE))
+    return unpack(known, docs.columns, ["text"])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated chunks of lines out of the texts; a document that loses all its words goes."""
-    lines = dedup_lines(docs)
+    needed = ["doc_id", "text", "n_chars"]
+    lines = dedup_lines(pack(docs, *needed))
     lines = lines.where((F.size("removed") == 0) | F.col("text").rlike(WORD))
     n = F.when(F.size("removed") == 0, F.col("n_chars")).otherwise(F.length("text"))
-    return lines.withColumn("n_chars", n).select(*docs.columns)
+    return unpack(lines.withColumn("n_chars", n), docs.columns, needed)
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near duplicates."""
-    named = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "_print": F.xxhash64("text")})
+    needed, key = ["doc_id", "text"], ["_id", "_print"]
+    none = F.lit(-(1 << 63))
     groups = near_groups(docs, with_groups=True).where("n_shingles > 0")
     first = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("first"))
-    first = first.select(F.coalesce("first.doc_id", F.lit(-(1 << 63))).alias("_id"), F.col("first.print").alias("_print"))
-    key = ["_id", "_print"]
+    first = first.select(F.coalesce("first.doc_id", none).alias("_id"), F.col("first.print").alias("_print"))
     worded = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
-    kept = named.where(worded).join(first.hint("shuffle_hash"), key, "left_semi").dropDuplicates(key)
-    return kept.select(*docs.columns).union(docs.where(~worded))
+    named = pack(docs.where(worded), *needed).withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), none), "_print": F.xxhash64("text")})
+    kept = named.join(first.hint("shuffle_hash"), key, "left_semi").dropDuplicates(key)
+    return unpack(kept, docs.columns, needed).union(docs.where(~worded))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item, also with other numbers, names or units."""
-    return with_leaks(docs, read(spark, sf_dir, "benchmark")).where(F.size("leaks") == 0).select(*docs.columns)
+    clean = with_leaks(pack(docs, "text"), read(spark, sf_dir, "benchmark")).where(F.size("leaks") == 0)
+    return unpack(clean, docs.columns, ["text"])
 
 
 def _cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -68,11 +72,13 @@ def _cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix itself: a row for each copy or piece taken, numbered by ``copy``; ``n_words`` is its size."""
-    mixed = mix(docs)
+    needed = ["doc_id", "source", "text", "n_chars"]
+    mixed = mix(pack(docs, *needed))
     whole = F.array_repeat(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("end")), F.col("passes").cast("int"))
     rows = (mixed.where("taken > 0").select(*mixed.columns, F.posexplode(F.concat(whole, "pieces")).alias("copy", "piece"))
             .withColumns({"_a": F.col("piece.start"), "_b": F.col("piece.end")}))
     part = (F.col("_a") > 0) | (F.col("_b") < F.col("size"))
     cut = F.pandas_udf(_cut, "string")(F.when(part, F.col("text")), F.col("_a"), F.col("_b"))
-    rows = rows.withColumn("text", F.coalesce(cut, F.col("text"))).withColumn("n_chars", F.length("text").cast("long"))
-    return rows.select(*docs.columns, "copy", (F.col("_b") - F.col("_a")).alias("n_words"), "source_size", "target")
+    rows = rows.withColumn("text", F.coalesce(cut, F.col("text"))).withColumns({
+        "n_chars": F.length("text").cast("long"), "n_words": F.col("_b") - F.col("_a")})
+    return unpack(rows, docs.columns, needed, ["copy", "n_words", "source_size", "target"])

@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import pack, unpack
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MAX_WORD_BYTES = 200
 _MEMO = 200_000
@@ -124,5 +126,5 @@ def count_tokens(docs: DataFrame, vocabulary: tuple[set[bytes], set[bytes]] | No
                 tokens.append(sum(map(memo, ws)))
             yield pd.DataFrame({"n_words": words, "n_tokens": tokens}, dtype="int64")
 
-    kept = [c for c in docs.columns if c.lower() not in ("n_words", "n_tokens", "_c")]
-    return docs.select(*kept, counts(F.col("text")).alias("_c")).select(*kept, "_c.n_words", "_c.n_tokens")
+    counted = pack(docs, "text").withColumn("_c", counts(F.col("text"))).withColumns({"n_words": F.col("_c.n_words"), "n_tokens": F.col("_c.n_tokens")})
+    return unpack(counted, docs.columns, ["text"], ["n_words", "n_tokens"])
