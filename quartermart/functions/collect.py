@@ -14,16 +14,6 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def sorted_set(col: str | Column) -> Column:
-    """Aggregate: distinct non-null values, ascending."""
-    return F.sort_array(F.collect_set(_c(col)))
-
-
-def sorted_list(col: str | Column) -> Column:
-    """Aggregate: all non-null values, ascending."""
-    return F.sort_array(F.collect_list(_c(col)))
-
-
 def count_map(key: str | Column, value: str | Column, when: Column | None = None) -> Column:
     """Aggregate: ``map<key, value>`` from one row per key, keys ascending.
 

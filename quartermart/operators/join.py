@@ -1,19 +1,14 @@
-"""Fact-to-dimension equi-joins with a proven broadcast bound.
+"""Fact-to-dimension equi-joins: the planner's choice, or a forced form.
 
-A dimension is broadcast only when its measured size is under the session's
-``spark.sql.autoBroadcastJoinThreshold`` (or an explicit limit). The size is
-proven by one aggregate over the dimension (rows and string bytes of the
-projected columns), not guessed from file statistics. Above the bound the
-join is left to the shuffle planner, with AQE skew handling splitting hot keys.
+Forcing a broadcast takes a proof: one aggregate over the dimension (rows and
+string bytes of the projected columns) must be within the limit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,36 +59,23 @@ def broadcast_limit(spark) -> int:
         return 10 << 20
 
 
-def should_broadcast(dim: DataFrame, broadcast: bool | None = None, limit: int | None = None,
-                     size: DimSize | None = None) -> bool:
-    """``broadcast`` True/False forces the choice; None compares the measured
-    size of ``dim`` (or the given ``size``) with ``limit``."""
-    if broadcast is not None:
-        return broadcast
-    cap = broadcast_limit(dim.sparkSession) if limit is None else limit
-    if cap < 0:
-        return False
-    return (size or measure(dim)).bytes <= cap
-
-
 def attach_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left",
-               broadcast: bool | None = None, limit: int | None = None,
-               size: DimSize | None = None) -> DataFrame:
-    """``fact JOIN dim USING (on)``; the dimension is broadcast only behind a size check."""
-    keys = [on] if isinstance(on, str) else list(on)
-    right = F.broadcast(dim) if should_broadcast(dim, broadcast, limit, size) else dim
-    return fact.join(right, on=keys, how=how)
-
-
-@contextmanager
-def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
-    """Cache a frame reused by several actions for the duration of a block.
-
-    Blocks lost with an executor are recomputed from lineage, so this is safe
-    under executor loss; it is released when the block ends.
+               broadcast: bool | None = None, limit: int | None = None) -> DataFrame:
+    """``fact JOIN dim USING (on)``.
+
+    ``broadcast=None`` leaves the join to the planner, which broadcasts by the
+    known size and otherwise shuffles, with AQE splitting hot keys. ``True``
+    broadcasts a dimension whose measured size is within ``limit`` (default:
+    ``spark.sql.autoBroadcastJoinThreshold``) and raises beyond it. ``False``
+    plans a shuffled sort-merge join.
     """
-    df.persist(level)
-    try:
-        yield df
-    finally:
-        df.unpersist()
+    keys = [on] if isinstance(on, str) else list(on)
+    if broadcast:
+        cap = broadcast_limit(dim.sparkSession) if limit is None else limit
+        size = measure(dim).bytes
+        if size > cap:
+            raise ValueError(f"the dimension takes {size} bytes, more than may be broadcast ({cap})")
+        dim = F.broadcast(dim)
+    elif broadcast is False:
+        dim = dim.hint("merge")
+    return fact.join(dim, on=keys, how=how)

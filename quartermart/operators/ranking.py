@@ -2,13 +2,12 @@
 
 Every ordering ends in a unique tie-break, so ``row_number`` is repeatable.
 
-Full ranking of a scope (``rank_in``) has two physical forms:
+Full ranking of a scope (``rank_in``) has two physical forms, named by the caller:
 
-* ``window``: ``row_number() OVER (PARTITION BY scope ORDER BY ...)``. One task
-  sorts each scope, so it is used only when the caller proves the largest
-  scope small (``bound_rows``, e.g. the measured row count of a dimension the
-  ranked rows are keyed by).
-* ``range``: exact and distributed for unbounded scopes. Rows are range
+* ``WINDOW`` (default): ``row_number() OVER (PARTITION BY scope ORDER BY ...)``.
+  One task sorts each scope, spilling as needed. It suits scopes bounded by a
+  dimension, such as the POIs of a quarter.
+* ``RANGE``: exact and distributed for unbounded scopes. Rows are range
   partitioned on (scope, order) and checkpointed to the cluster's checkpoint
   directory, which fixes each row's partition; a row's rank is its position
   inside its range partition plus the number of rows of its scope in earlier
@@ -23,52 +22,42 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quartermart.session import ensure_checkpoint_dir
+
 
 def _order(by: str, tiebreak: Sequence[str]) -> list[Column]:
     return [F.col(by).desc()] + [F.col(t).asc() for t in tiebreak]
 
 
-# Largest scope (rows) a single window task may sort.
-WINDOW_RANK_LIMIT = 5_000_000
+WINDOW, RANGE = "window", "range"
 
 
 def rank_in(df: DataFrame, scopes: Mapping[str, Sequence[str]], by: str,
-            tiebreak: Sequence[str], bound_rows: int | None = None,
-            window_limit: int = WINDOW_RANK_LIMIT) -> DataFrame:
+            tiebreak: Sequence[str], form: str = WINDOW) -> DataFrame:
     """Add one rank column per scope: ``{out_col: partition_cols}``.
 
     Order is ``by`` descending then ``tiebreak`` ascending (unique), ranks are
-    1..n per scope. ``bound_rows`` is a proven upper bound of rows per scope;
-    without one, or above ``window_limit``, the distributed form is used.
+    1..n per scope, in either form.
     """
-    if bound_rows is not None and bound_rows <= window_limit:
+    if form not in (WINDOW, RANGE):
+        raise ValueError(f"unknown form of ranking: {form}")
+    if form == WINDOW:
         order = _order(by, tiebreak)
         # Coarsest scope first: finer scopes that contain its keys reuse its clustering.
         for out in sorted(scopes, key=lambda k: len(scopes[k])):
             df = df.withColumn(out, F.row_number().over(Window.partitionBy(*scopes[out]).orderBy(*order)))
         return df
+    ensure_checkpoint_dir(df.sparkSession)
     for out, scope in scopes.items():
         df = range_rank(df, scope, by, tiebreak, out)
     return df
 
 
-def _require_checkpoint_dir(spark) -> None:
-    """Use the shared folder the cluster names in ``spark.checkpoint.dir``; never a local one."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        raise RuntimeError("the distributed rank checkpoints its input: set spark.checkpoint.dir "
-                           "to a folder shared by all executors")
-    sc.setCheckpointDir(configured)
-
-
 def range_rank(df: DataFrame, scope: Sequence[str], by: str, tiebreak: Sequence[str], out: str,
                partitions: int | None = None) -> DataFrame:
     """Exact ``row_number`` per scope without sorting a whole scope in one task."""
     spark = df.sparkSession
-    _require_checkpoint_dir(spark)
+    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order(by, tiebreak)
     keyed = (df.repartitionByRange(n, *[F.col(c).asc() for c in scope], *order)
@@ -96,21 +85,3 @@ def top_n(df: DataFrame, keys: Sequence[str], by: str, n: int, tiebreak: Sequenc
     before the shuffle, so each group ships at most ``n`` rows per task."""
     w = Window.partitionBy(*keys).orderBy(*_order(by, tiebreak))
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
-
-
-def keep_best(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
-    """All rows whose ``by`` equals the largest ``by`` of their group (ties kept)."""
-    w = Window.partitionBy(*keys)
-    return (df.withColumn("_best", F.max(by).over(w))
-              .filter(F.col(by) == F.col("_best")).drop("_best"))
-
-
-def arg_max(df: DataFrame, keys: Sequence[str], value: str, by: str, out: str,
-            smaller_value_wins: bool = True) -> DataFrame:
-    """Per group, the ``value`` with the largest ``by``; ties go to the smaller value.
-
-    A plain aggregate (partial + final), no window: a large group is combined
-    map-side before the shuffle.
-    """
-    tie = -F.col(value) if smaller_value_wins else F.col(value)
-    return df.groupBy(*keys).agg(F.max_by(F.col(value), F.struct(F.col(by), tie)).alias(out))

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from quartermart.functions import constants as K
 from quartermart.functions.metrics import quarter_of, ratio
 from quartermart.operators.growth import growth
-from quartermart.operators.join import DimSize, attach_dim, measure
-from quartermart.operators.ranking import rank_in
+from quartermart.operators.join import attach_dim
+from quartermart.operators.ranking import WINDOW, rank_in
 from quartermart.sources import schemas
 
 QUARTER = ["travel_year", "travel_quarter"]
@@ -49,20 +49,19 @@ def attraction_counts(visits: DataFrame) -> DataFrame:
 
 
 def attraction_quarter(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None,
-                       strict_growth: bool = False, dim_size: DimSize | None = None) -> DataFrame:
+                       strict_growth: bool = False, rank_form: str = WINDOW) -> DataFrame:
     """The attraction mart with the declared columns of ``DWS_ATTRACTION_QUARTER``.
 
     solo_user_ratio = solo *visits* / distinct trips (can exceed 1, as in the
     original); growth compares distinct users with the previous present quarter.
 
-    ``dim_size`` (measured when not given) decides the broadcast and bounds the
-    rank scopes: a scope holds at most one row per POI.
+    A rank scope holds at most one row per POI; ``rank_form`` says how it is
+    ranked (see ``operators.ranking``).
     """
     counts = attraction_counts(visits)
     dim = poi.select("poi_id", *DIM_COLUMNS)
-    size = dim_size or measure(dim)
-    df = attach_dim(counts, dim, "poi_id", how="inner", broadcast=broadcast, size=size)
-    df = rank_in(df, RANK_SCOPES, by="visit_trip_cnt", tiebreak=["poi_id"], bound_rows=size.rows)
+    df = attach_dim(counts, dim, "poi_id", how="inner", broadcast=broadcast)
+    df = rank_in(df, RANK_SCOPES, by="visit_trip_cnt", tiebreak=["poi_id"], form=rank_form)
     df = df.withColumn("solo_user_ratio", ratio("solo_trip_cnt", "visit_trip_cnt"))
     df = growth(df, ["poi_id"], "visit_user_cnt", strict=strict_growth)
     return schemas.conform(df, schemas.DWS_ATTRACTION_QUARTER)

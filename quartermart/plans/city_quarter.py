@@ -4,13 +4,9 @@ A city name can fall in two regions (regions come from coordinates), so the
 key is (city, region) everywhere, including the growth window; joining the
 growth back on city alone would multiply rows.
 
-Two plans, chosen by the proven size of the dimension:
-
-* dimension under the broadcast bound: visits join it map-side, then one
-  aggregate (two distinct counts, planned as Expand + two-level aggregate);
-* otherwise: visits are first reduced to (poi, quarter, user) with their visit
-  and solo counts (map-side combined), and only that reduced frame is
-  shuffle-joined to the dimension. Both give identical rows.
+Visits are first reduced to (poi, quarter, user) with their visit and solo
+counts (map-side combined, and keyed by the user too, so a hot POI is spread);
+only that reduced frame meets the dimension.
 """
 
 from __future__ import annotations
@@ -21,8 +17,8 @@ from pyspark.sql import functions as F
 from quartermart.functions import constants as K
 from quartermart.functions.metrics import floor_ratio, quarter_of, ratio
 from quartermart.operators.growth import growth
-from quartermart.operators.join import DimSize, attach_dim, measure, should_broadcast
-from quartermart.operators.ranking import rank_in
+from quartermart.operators.join import attach_dim
+from quartermart.operators.ranking import WINDOW, rank_in
 from quartermart.sources import schemas
 
 QUARTER = ["travel_year", "travel_quarter"]
@@ -33,26 +29,16 @@ RANK_SCOPES = {
 }
 
 
-def city_counts(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None,
-                dim_size: DimSize | None = None) -> DataFrame:
+def city_counts(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """Per (city, region, year, quarter): users, trips (= visit rows), visits, POIs, solo visits."""
     v = visits.withColumn("travel_quarter", quarter_of("travel_date"))
     dim = poi.select("poi_id", *CITY)
-    if should_broadcast(dim, broadcast, size=dim_size):
-        j = v.join(F.broadcast(dim), "poi_id", "inner")
-        return j.groupBy(*CITY, *QUARTER).agg(
-            F.countDistinct("blog_id").alias("visit_user_cnt"),
-            F.count("trip_id").alias("visit_trip_cnt"),
-            F.count(F.lit(1)).alias("visit_spot_cnt"),
-            F.countDistinct("poi_id").alias("unique_attraction_cnt"),
-            F.count_if(F.col("travel_partners") == K.SOLO).alias("solo_trip_cnt"),
-        )
     reduced = v.groupBy("poi_id", *QUARTER, "blog_id").agg(
         F.count("trip_id").alias("n_trip"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("travel_partners") == K.SOLO).alias("n_solo"),
     )
-    j = attach_dim(reduced, dim, "poi_id", how="inner", broadcast=False)
+    j = attach_dim(reduced, dim, "poi_id", how="inner", broadcast=broadcast)
     return j.groupBy(*CITY, *QUARTER).agg(
         F.countDistinct("blog_id").alias("visit_user_cnt"),
         F.sum("n_trip").alias("visit_trip_cnt"),
@@ -63,19 +49,18 @@ def city_counts(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None
 
 
 def city_quarter(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None,
-                 strict_growth: bool = False, dim_size: DimSize | None = None) -> DataFrame:
+                 strict_growth: bool = False, rank_form: str = WINDOW) -> DataFrame:
     """The city mart with the declared columns of ``DWS_CITY_QUARTER``.
 
     avg_spot_per_user = floor(visits / users); solo_user_ratio = solo visits /
     visit rows; growth compares ``visit_trip_cnt`` (despite the column name,
     as in the original) with the previous present quarter of the same city.
-    A rank scope holds at most one row per (city, region), so the POI count of
-    the (measured) dimension bounds it.
+    A rank scope holds at most one row per (city, region); ``rank_form`` says
+    how it is ranked (see ``operators.ranking``).
     """
-    size = dim_size or measure(poi.select("poi_id", *CITY))
-    df = city_counts(visits, poi, broadcast, size)
+    df = city_counts(visits, poi, broadcast)
     df = (df.withColumn("avg_spot_per_user", floor_ratio("visit_spot_cnt", "visit_user_cnt"))
             .withColumn("solo_user_ratio", ratio("solo_trip_cnt", "visit_trip_cnt")))
-    df = rank_in(df, RANK_SCOPES, by="visit_trip_cnt", tiebreak=["city", "region"], bound_rows=size.rows)
+    df = rank_in(df, RANK_SCOPES, by="visit_trip_cnt", tiebreak=["city", "region"], form=rank_form)
     df = growth(df, CITY, "visit_trip_cnt", strict=strict_growth)
     return schemas.conform(df, schemas.DWS_CITY_QUARTER)

@@ -1,45 +1,17 @@
 """User x quarter wide table.
 
 The original builds this from ten aggregates and eight joins on
-(user, year, quarter). Here there are two plans with identical results.
-
-The single-pass plan (always valid) is one linear chain of three hash aggregates:
-
-1. ``GROUPING SETS`` over the joined visits: every metric reads one of six
-   small grains (all prefixed by the user-quarter key U)::
-
-       U + (trip, region)   regions per trip, solo/other partners per trip
-       U + (city, trip)     trips per city
-       U + (category)       visits per category
-       U + (month)          visits and first/last date per month
-       U + (region)         the region set
-       U + (partner)        the partner set
-
-   Only fixed-width aggregates (counts, min/max date) are computed, so this is
-   a codegen'd hash aggregate whose partial step combines the visit rows
-   map-side before the one shuffle of the fact.
-2. Collapse (trip, region) rows to trips and (city, trip) rows to cities.
-3. One aggregate per U builds counts, sets and maps.
-
-Every shuffle is a hash aggregate with a map-side partial step, so a user,
-trip or city holding a large share of all rows is combined before it is
-shuffled; what reaches one task per U is bounded by the number of distinct
-cities, categories, regions, partners and months, never by the number of
-visits or trips. Nothing is cached and no exchange has to be reused.
-
-When the visits are cheap to read more than once (``reread=True``: a table
-or files, not a lazy chain of shuffles, which each branch would recompute),
-the POI dimension is broadcast (its size is proven small) and its region and
-category domains are small (at most 62 values each, read from the dimension
-in one bounded aggregate), a second plan is used instead:
-``coded_metrics``. Region and category become small integer codes carried
-by the broadcast dimension, so the region set is a bitmask and the category
-counts are plain counters. Four narrow aggregates then read the
-(scan + map-side join) visits: per user-quarter fixed-width counts, per trip,
-per (user-quarter, city) distinct trips, and the partner set. Their outputs
-are joined 1:1 on the user-quarter key. Re-reading the visits costs a
-columnar scan each; this replaces two shuffles of ~3 wide rows per visit with
-narrow shuffles of about one row per trip, city pair or user-quarter.
+(user, year, quarter). Here it is one scan, one dimension join and two shuffles:
+
+1. Visits are reduced to (user-quarter, trip, month, category): counts, dates
+   and the sets of cities, regions and partners. The partial step combines
+   map-side, and the key holds the trip, so a user-quarter with a large share
+   of all visits is spread over many tasks. Sets hold distinct values only.
+2. The reduced rows are dealt out by user-quarter. A trip is one user's day, so
+   a user-quarter has at most 92 trips (times their categories), however many
+   visits it has. Within that partitioning, and without another shuffle, rows
+   become trips, trips become counted (kind, key) entries, and entries become
+   one row with all counts, sets and maps.
 
 Semantics kept from the original: unmatched POIs count as visits; a category
 equal to "unclassified" (or null) is not a category; the category map is null
@@ -52,106 +24,95 @@ all arrays are sorted.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quartermart.functions import constants as K
 from quartermart.functions.collect import count_map, top_keys
 from quartermart.functions.metrics import quarter_level, quarter_of, quarter_range_type, ratio
-from quartermart.operators.join import DimSize, attach_dim, measure, should_broadcast
+from quartermart.operators.join import attach_dim
 from quartermart.sources import schemas
 
 U = ["blog_id", "travel_year", "travel_quarter"]
-SET_COLUMNS = U + ["trip_id", "region", "city", "category", "travel_month", "travel_partners"]
-SETS = {
-    "trip_region": U + ["trip_id", "region"],
-    "city_trip": U + ["city", "trip_id"],
-    "category": U + ["category"],
-    "month": U + ["travel_month"],
-    "region": U + ["region"],
-    "partner": U + ["travel_partners"],
-}
-
-
-def _gid(cols: list[str]) -> int:
-    """``grouping_id()`` of a set: bit i (most significant first) set when column i is absent."""
-    width = len(SET_COLUMNS)
-    return sum(1 << (width - 1 - i) for i, c in enumerate(SET_COLUMNS) if c not in cols)
-
-
-GID = {name: _gid(cols) for name, cols in SETS.items()}
 
 
-def joined_visits(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None,
-                  dim_size: DimSize | None = None) -> DataFrame:
+def joined_visits(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """Visits LEFT JOIN POI (city, category, region), with the quarter; unmatched visits kept."""
     v = visits.select("blog_id", "trip_id", "travel_date", "travel_year", "travel_month",
                       "travel_partners", "poi_id").withColumn("travel_quarter", quarter_of("travel_date"))
     dim = poi.select("poi_id", "city", "category", "region")
-    return attach_dim(v, dim, "poi_id", how="left", broadcast=broadcast, size=dim_size)
+    return attach_dim(v, dim, "poi_id", how="left", broadcast=broadcast)
 
 
-def grain_rows(joined: DataFrame) -> DataFrame:
-    """Steps 1 and 2: one row per (U, grain, key) with its counts."""
+def trip_rows(joined: DataFrame) -> DataFrame:
+    """Steps 1 and 2 up to the trips: one row per (U, trip), dealt out by U."""
     partners = F.col("travel_partners")
-    g = joined.groupingSets(list(SETS.values()), *SET_COLUMNS).agg(
-        F.grouping_id().alias("gid"),
+    parts = joined.groupBy(*U, "trip_id", "travel_month", "category").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(partners == K.SOLO).alias("n_solo"),
         F.count_if(partners < K.SOLO).alias("n_below"),
         F.min("travel_date").alias("dmin"),
         F.max("travel_date").alias("dmax"),
-    )
-    gid = F.col("gid")
+        F.collect_set("city").alias("cities"),
+        F.collect_set("region").alias("regions"),
+        F.collect_set("travel_partners").alias("partners"),
+    ).repartition(*U)
 
-    def only(name: str, col: str):
-        return F.when(gid == GID[name], F.col(col))
+    def merged(col: str) -> Column:
+        return F.array_distinct(F.flatten(F.collect_list(col))).alias(col)
 
-    collapsed = g.select(
-        *U, "gid",
-        only("trip_region", "trip_id").alias("k_trip"),
-        only("city_trip", "city").alias("k_city"),
-        only("category", "category").alias("k_category"),
-        only("month", "travel_month").alias("k_month"),
-        only("region", "region").alias("k_region"),
-        only("partner", "travel_partners").alias("k_partner"),
-        F.when(gid == GID["trip_region"], F.col("region"))
-         .when(gid == GID["city_trip"], F.col("trip_id")).alias("member"),
-        "n", "n_solo", "n_below", "dmin", "dmax",
-    )
-    return collapsed.groupBy(*U, "gid", "k_trip", "k_city", "k_category", "k_month",
-                             "k_region", "k_partner").agg(
-        F.count("member").alias("cnt"),          # regions of a trip / trips of a city
+    def counted(col: str) -> Column:
+        return F.collect_list(F.struct(F.col(col).cast("string").alias("key"), "n"))
+
+    return parts.groupBy(*U, "trip_id").agg(
         F.sum("n").alias("n"),
-        F.sum("n_solo").alias("n_solo"),
-        F.sum("n_below").alias("n_below"),
-        F.min("dmin").alias("dmin"),
-        F.max("dmax").alias("dmax"),
+        ((F.sum("n_solo") > 0) & (F.sum("n_below") == 0)).alias("solo"),
+        F.min("dmin").alias("dmin"), F.max("dmax").alias("dmax"),
+        merged("cities"), merged("regions"), merged("partners"),
+        counted("category").alias("categories"), counted("travel_month").alias("months"),
     )
 
 
-def quarter_metrics(rows: DataFrame, unclassified: str = K.UNCLASSIFIED) -> DataFrame:
-    """Step 3: one row per U with every base metric, set and map."""
-    gid = F.col("gid")
-    is_trip = gid == GID["trip_region"]
-    is_month = gid == GID["month"]
-    is_cat = ((gid == GID["category"]) & F.col("k_category").isNotNull()
-              & (F.col("k_category") != unclassified))
-    cat_entries = F.collect_list(F.when(is_cat, F.struct(F.col("k_category").alias("key"),
-                                                         F.col("n").alias("value"))))
+def entry_rows(trips: DataFrame, unclassified: str = K.UNCLASSIFIED) -> DataFrame:
+    """One row per (U, kind, key) with its count; ``n`` counts visits for months and categories, trips else."""
+
+    def entry(kind: str, key, n) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), key.alias("key"), n.cast("long").alias("n"))
+
+    def each(kind: str, col: str) -> Column:
+        return F.transform(col, lambda x: entry(kind, x, F.lit(1)))
+
+    none = F.lit(None).cast("string")
+    classified = F.filter("categories", lambda c: c["key"].isNotNull() & (c["key"] != unclassified))
+    flags = F.array(entry("trip", none, F.lit(1)), entry("visit", none, F.col("n")),
+                    entry("solo", none, F.col("solo").cast("int")),
+                    entry("cross_region", none, (F.size("regions") >= 2).cast("int")))
+    entries = F.concat(flags, each("city", "cities"), each("region", "regions"), each("partner", "partners"),
+                       F.transform(classified, lambda c: entry("category", c["key"], c["n"])),
+                       F.transform("months", lambda m: entry("month", m["key"], m["n"])))
+    return (trips.select(*U, "dmin", "dmax", F.explode(entries).alias("e"))
+            .groupBy(*U, F.col("e.kind").alias("kind"), F.col("e.key").alias("key"))
+            .agg(F.sum("e.n").alias("n"), F.min("dmin").alias("dmin"), F.max("dmax").alias("dmax")))
+
+
+def quarter_metrics(rows: DataFrame) -> DataFrame:
+    """One row per U with every base metric, set and map."""
+    of = lambda kind: F.col("kind") == kind
+    count = lambda kind: F.coalesce(F.sum(F.when(of(kind), F.col("n"))), F.lit(0))
+    keys = lambda kind: F.sort_array(F.collect_set(F.when(of(kind), F.col("key"))))
+    month = F.col("key").cast("int")
+    cat_entries = F.collect_list(F.when(of("category"), F.struct("key", F.col("n").alias("value"))))
     return rows.groupBy(*U).agg(
-        F.count_if(is_trip).alias("trip_total_cnt"),
-        F.coalesce(F.sum(F.when(is_month, F.col("n"))), F.lit(0)).alias("total_spot_cnt"),
-        F.count_if(is_trip & (F.col("cnt") >= 2)).alias("cross_region_trip_cnt"),
-        F.count_if(is_trip & (F.col("n_solo") > 0) & (F.col("n_below") == 0)).alias("solo_trip_cnt"),
-        F.min(F.when(is_month, F.col("dmin"))).alias("first_trip_date"),
-        F.max(F.when(is_month, F.col("dmax"))).alias("last_trip_date"),
-        F.max_by(F.when(is_month, F.col("k_month")),
-                 F.when(is_month, F.struct(F.col("n"), -F.col("k_month")))).alias("peak_month"),
-        F.sort_array(F.collect_set(F.when(gid == GID["region"], F.col("k_region")))).alias("region_arr"),
-        F.sort_array(F.collect_set(F.when(gid == GID["partner"], F.col("k_partner")))).alias("partner_arr"),
-        count_map("k_city", "cnt", when=gid == GID["city_trip"]).alias("city_visit_map"),
+        count("trip").alias("trip_total_cnt"),
+        count("visit").alias("total_spot_cnt"),
+        count("cross_region").alias("cross_region_trip_cnt"),
+        count("solo").alias("solo_trip_cnt"),
+        F.min("dmin").alias("first_trip_date"),
+        F.max("dmax").alias("last_trip_date"),
+        F.max_by(F.when(of("month"), month), F.when(of("month"), F.struct(F.col("n"), -month))).alias("peak_month"),
+        keys("region").alias("region_arr"),
+        keys("partner").alias("partner_arr"),
+        count_map("key", "n", when=of("city")).alias("city_visit_map"),
         F.array_sort(cat_entries).alias("_cat_entries"),
     ).withColumn(
         "cate_visit_map",
@@ -183,107 +144,8 @@ def finish(df: DataFrame) -> DataFrame:
                        for f in schemas.DWS_USER_QUARTER.fields])
 
 
-# Largest region / category domain encoded as bits of one bigint.
-MAX_CODES = 62
-
-
-def domains(dim: DataFrame, unclassified: str, limit: int = MAX_CODES) -> tuple[list[str], list[str]] | None:
-    """Sorted distinct regions and categories (without ``unclassified``) of a
-    broadcast-sized dimension, from one aggregate; None when either has more
-    than ``limit`` values."""
-    keep = limit + 1   # at most this many values per column reach the driver
-    row = dim.agg(
-        F.slice(F.sort_array(F.collect_set("region")), 1, keep).alias("regions"),
-        F.slice(F.sort_array(F.collect_set(F.when(F.col("category") != unclassified, F.col("category")))),
-                1, keep).alias("cats"),
-    ).first()
-    regions, cats = list(row["regions"] or []), list(row["cats"] or [])
-    if len(regions) > limit or len(cats) > limit:
-        return None
-    return regions, cats
-
-
-def _bit(position) -> F.Column:
-    """``1L << position`` for a column position (0-based)."""
-    return F.call_function("shiftleft", F.lit(1).cast("long"), position)
-
-
-def _code(col: str, values: list[str]) -> F.Column:
-    """1-based position of ``col`` in the literal list; null when absent or null."""
-    pos = F.array_position(F.array(*[F.lit(v) for v in values]), F.col(col))
-    return F.when(pos > 0, pos.cast("int"))
-
-
-def coded_metrics(visits: DataFrame, poi: DataFrame, regions: list[str], categories: list[str]) -> DataFrame:
-    """Base metrics per U from four narrow aggregates over the broadcast-joined visits."""
-    dim = (poi.select("poi_id", "city", _code("region", regions).alias("rc"),
-                      _code("category", categories).alias("cc")))
-    v = visits.select("blog_id", "trip_id", "travel_date", "travel_month", "travel_partners", "poi_id",
-                      F.year("travel_date").alias("travel_year"), quarter_of("travel_date").alias("travel_quarter"))
-    j = v.join(F.broadcast(dim), "poi_id", "left")
-    partners = F.col("travel_partners")
-    month_pos = F.col("travel_month") - (F.col("travel_quarter") - 1) * 3
-
-    per_u = j.groupBy(*U).agg(
-        F.count(F.lit(1)).alias("total_spot_cnt"),
-        F.min("travel_date").alias("first_trip_date"),
-        F.max("travel_date").alias("last_trip_date"),
-        *[F.count_if(month_pos == k).alias(f"_m{k}") for k in (1, 2, 3)],
-        F.bit_or(_bit(F.col("rc") - 1)).alias("_regions"),
-        *[F.count_if(F.col("cc") == i + 1).alias(f"_c{i}") for i in range(len(categories))],
-    )
-    per_trip = j.groupBy(*U, "trip_id").agg(
-        F.count_if(partners == K.SOLO).alias("_solo"),
-        F.count_if(partners < K.SOLO).alias("_below"),
-        F.min("rc").alias("_rmin"), F.max("rc").alias("_rmax"),
-    ).groupBy(*U).agg(
-        F.count(F.lit(1)).alias("trip_total_cnt"),
-        F.count_if((F.col("_solo") > 0) & (F.col("_below") == 0)).alias("solo_trip_cnt"),
-        F.count_if(F.col("_rmin") != F.col("_rmax")).alias("cross_region_trip_cnt"),
-    )
-    per_city = (j.where(F.col("city").isNotNull())
-                 .groupBy(*U, "city").agg(F.countDistinct("trip_id").alias("_trips"))
-                 .groupBy(*U).agg(count_map("city", "_trips").alias("city_visit_map")))
-    # Needs no POI attribute, so it reads the visits without the join.
-    per_partner = v.groupBy(*U).agg(F.sort_array(F.collect_set("travel_partners")).alias("partner_arr"))
-
-    out = (per_u.join(per_trip, U).join(per_partner, U).join(per_city, U, "left"))
-    empty_map = F.create_map().cast(T.MapType(T.StringType(), T.LongType()))
-    region_lits = F.array(*[F.lit(r) for r in regions])
-    cat_entries = F.filter(
-        F.array(*[F.struct(F.lit(c).alias("key"), F.col(f"_c{i}").alias("value")) for i, c in enumerate(categories)]),
-        lambda e: e["value"] > 0) if categories else F.array().cast(T.ArrayType(T.StructType([
-            T.StructField("key", T.StringType()), T.StructField("value", T.LongType())])))
-    m = [F.col("_m1"), F.col("_m2"), F.col("_m3")]
-    first_month = (F.col("travel_quarter") - 1) * 3
-    peak = (F.when((m[0] >= m[1]) & (m[0] >= m[2]), first_month + 1)
-             .when(m[1] >= m[2], first_month + 2)
-             .otherwise(first_month + 3))
-    return out.select(
-        *U, "trip_total_cnt", "total_spot_cnt", "cross_region_trip_cnt", "solo_trip_cnt",
-        "first_trip_date", "last_trip_date", peak.cast("int").alias("peak_month"),
-        F.filter(region_lits, lambda r, i: F.col("_regions").bitwiseAND(_bit(i)) != 0).alias("region_arr"),
-        "partner_arr",
-        F.coalesce(F.col("city_visit_map"), empty_map).alias("city_visit_map"),
-        F.when(F.size(cat_entries) > 0, F.map_from_entries(cat_entries)).alias("cate_visit_map"),
-    )
-
-
 def user_quarter(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None,
-                 unclassified: str = K.UNCLASSIFIED, dim_size: DimSize | None = None,
-                 reread: bool = False) -> DataFrame:
-    """The user-quarter mart with the declared columns of ``DWS_USER_QUARTER``.
-
-    ``reread=True`` declares ``visits`` cheap to scan several times (a table),
-    which allows the coded four-aggregate plan; otherwise the single-pass
-    grouping-sets plan is used. Both give identical rows.
-    """
-    dim = poi.select("poi_id", "city", "category", "region")
-    if reread:
-        size = dim_size if (dim_size is not None or broadcast is not None) else measure(dim)
-        if should_broadcast(dim, broadcast, size=size):
-            doms = domains(dim, unclassified)
-            if doms is not None:
-                return finish(coded_metrics(visits, poi, *doms))
-    rows = grain_rows(joined_visits(visits, poi, broadcast, dim_size))
-    return finish(quarter_metrics(rows, unclassified))
+                 unclassified: str = K.UNCLASSIFIED) -> DataFrame:
+    """The user-quarter mart with the declared columns of ``DWS_USER_QUARTER``."""
+    trips = trip_rows(joined_visits(visits, poi, broadcast))
+    return finish(quarter_metrics(entry_rows(trips, unclassified)))

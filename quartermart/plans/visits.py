@@ -12,6 +12,8 @@ the same and the dedupe sees fewer rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,9 +59,15 @@ def trips_in_years(ods_trip: DataFrame, years: tuple[int, int] = K.YEAR_RANGE,
 
 
 def clean_visits(ods_trip: DataFrame, years: tuple[int, int] = K.YEAR_RANGE,
-                 pattern: str = K.DEPARTURE_DATE_PATTERN) -> DataFrame:
-    """The visit fact, columns :data:`VISIT_COLUMNS`."""
+                 pattern: str = K.DEPARTURE_DATE_PATTERN, cluster_by: Sequence[str] = ()) -> DataFrame:
+    """The visit fact, columns :data:`VISIT_COLUMNS`.
+
+    ``cluster_by``: trip columns to rebalance by for a partitioned write; done
+    before the visit lists are exploded, so trips are moved and not visits.
+    """
     trips = trips_in_years(ods_trip, years, pattern)
+    if cluster_by:
+        trips = trips.hint("rebalance", *cluster_by)
     exploded = clean.explode_list(trips.select(*VISIT_COLUMNS[:-1], "visit_sequence"),
                                   "visit_sequence", "poi_id", K.LIST_SEPARATOR)
     return exploded.select(*VISIT_COLUMNS)

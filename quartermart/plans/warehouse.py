@@ -7,20 +7,24 @@ re-run on its own. Schemas are checked against the declared layer schemas
 before every write.
 
     python -m quartermart.plans.warehouse --poi POIs.csv --trips Visits.csv [--layers ods,dwd,dws,ads]
-    python -m quartermart.plans.warehouse --jobs user_quarter,portrait      # single jobs on existing tables
+    python -m quartermart.plans.warehouse --root DIR --jobs user_quarter,portrait   # single jobs on existing tables
+
+With ``--root`` every table is a folder below it, so layers and jobs can run as
+separate processes; without, they need a metastore that outlives the process.
 """
 
 from __future__ import annotations
 
 import argparse
-from dataclasses import dataclass, field
+import json
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quartermart.functions import constants as K
 from quartermart.functions.rules import (DEFAULT_CATEGORY_RULES, DEFAULT_REGION_RULES,
                                          CategoryRules, RegionRules)
-from quartermart.operators.join import DimSize, measure
+from quartermart.operators.ranking import RANGE, WINDOW
 from quartermart.plans.attraction_quarter import attraction_quarter
 from quartermart.plans.city_quarter import city_quarter
 from quartermart.plans.leaderboards import top_attractions, top_cities
@@ -56,15 +60,28 @@ class Config:
     years: tuple[int, int] = K.YEAR_RANGE
     top_attractions: int = K.TOP_ATTRACTIONS
     top_cities: int = K.TOP_CITIES
-    broadcast: bool | None = None      # None: measure the POI dimension once
+    broadcast: bool | None = None      # None: the planner chooses (see operators.join)
+    rank_form: str = WINDOW            # or RANGE (see operators.ranking); needs spark.checkpoint.dir
     tables: Tables = field(default_factory=Tables)
+    root: str | None = None            # folder of all layers; None: tables of the session catalog
+
+    def __post_init__(self):
+        if self.rank_form not in (WINDOW, RANGE):
+            raise ValueError(f"unknown form of ranking: {self.rank_form}")
+
+
+def _read(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
+    return sinks.read_table(spark, name, cfg.root)
+
+
+def _write(df: DataFrame, cfg: Config, name: str, schema, **how) -> None:
+    sinks.overwrite_table(df, name, schema, root=cfg.root, **how)
 
 
 def load_ods(spark: SparkSession, poi: DataFrame, trip: DataFrame, cfg: Config = Config()) -> None:
     """Raw layer: the two raw inputs (already renamed to snake_case), all text."""
-    sinks.create_layers(spark)
-    sinks.overwrite_table(schemas.conform(poi, schemas.ODS_POI), cfg.tables.ods_poi, schemas.ODS_POI)
-    sinks.overwrite_table(schemas.conform(trip, schemas.ODS_TRIP), cfg.tables.ods_trip, schemas.ODS_TRIP)
+    _write(schemas.conform(poi, schemas.ODS_POI), cfg, cfg.tables.ods_poi, schemas.ODS_POI)
+    _write(schemas.conform(trip, schemas.ODS_TRIP), cfg, cfg.tables.ods_trip, schemas.ODS_TRIP)
 
 
 def load_ods_csv(spark: SparkSession, poi_csv: str, trip_csv: str, cfg: Config = Config()) -> None:
@@ -74,64 +91,53 @@ def load_ods_csv(spark: SparkSession, poi_csv: str, trip_csv: str, cfg: Config =
 def job_poi(spark: SparkSession, cfg: Config = Config()) -> None:
     """C2: ods POI -> dwd POI dimension."""
     t = cfg.tables
-    sinks.overwrite_table(clean_poi(spark.table(t.ods_poi), cfg.regions, cfg.categories),
-                          t.dwd_poi, schemas.DWD_POI)
+    _write(clean_poi(_read(spark, cfg, t.ods_poi), cfg.regions, cfg.categories), cfg, t.dwd_poi, schemas.DWD_POI)
 
 
 def job_visits(spark: SparkSession, cfg: Config = Config()) -> None:
     """C3: ods trips -> dwd visit fact, partitioned by (year, month)."""
     t = cfg.tables
-    sinks.overwrite_table(clean_visits(spark.table(t.ods_trip), years=cfg.years), t.dwd_visit,
-                          schemas.DWD_VISIT, partition_by=MONTH_PARTITION)
-
-
-def dim_size(spark: SparkSession, cfg: Config = Config()) -> DimSize:
-    """One proof of the POI dimension's size (rows, bytes) for the mart jobs."""
-    return measure(spark.table(cfg.tables.dwd_poi).select("poi_id", "name", "city", "category", "region"))
+    visits = clean_visits(_read(spark, cfg, t.ods_trip), years=cfg.years, cluster_by=MONTH_PARTITION)
+    _write(visits, cfg, t.dwd_visit, schemas.DWD_VISIT, partition_by=MONTH_PARTITION, rebalance=False)
 
 
-def job_user_quarter(spark: SparkSession, cfg: Config = Config(), size: DimSize | None = None) -> None:
+def job_user_quarter(spark: SparkSession, cfg: Config = Config()) -> None:
     """C4: dwd visits + POI -> user x quarter mart."""
     t = cfg.tables
-    df = user_quarter(spark.table(t.dwd_visit), spark.table(t.dwd_poi), cfg.broadcast,
-                      cfg.categories.unclassified, dim_size=size or dim_size(spark, cfg), reread=True)
-    sinks.overwrite_table(df, t.dws_user, schemas.DWS_USER_QUARTER, partition_by=QUARTER_PARTITION)
+    df = user_quarter(_read(spark, cfg, t.dwd_visit), _read(spark, cfg, t.dwd_poi), cfg.broadcast, cfg.categories.unclassified)
+    _write(df, cfg, t.dws_user, schemas.DWS_USER_QUARTER, partition_by=QUARTER_PARTITION)
 
 
-def job_attraction_quarter(spark: SparkSession, cfg: Config = Config(), size: DimSize | None = None) -> None:
+def job_attraction_quarter(spark: SparkSession, cfg: Config = Config()) -> None:
     """C5: dwd visits + POI -> attraction x quarter mart."""
     t = cfg.tables
-    df = attraction_quarter(spark.table(t.dwd_visit), spark.table(t.dwd_poi), cfg.broadcast,
-                            dim_size=size or dim_size(spark, cfg))
-    sinks.overwrite_table(df, t.dws_attraction, schemas.DWS_ATTRACTION_QUARTER, partition_by=QUARTER_PARTITION)
+    df = attraction_quarter(_read(spark, cfg, t.dwd_visit), _read(spark, cfg, t.dwd_poi), cfg.broadcast, rank_form=cfg.rank_form)
+    _write(df, cfg, t.dws_attraction, schemas.DWS_ATTRACTION_QUARTER, partition_by=QUARTER_PARTITION)
 
 
-def job_city_quarter(spark: SparkSession, cfg: Config = Config(), size: DimSize | None = None) -> None:
+def job_city_quarter(spark: SparkSession, cfg: Config = Config()) -> None:
     """C6: dwd visits + POI -> city x quarter mart."""
     t = cfg.tables
-    df = city_quarter(spark.table(t.dwd_visit), spark.table(t.dwd_poi), cfg.broadcast,
-                      dim_size=size or dim_size(spark, cfg))
-    sinks.overwrite_table(df, t.dws_city, schemas.DWS_CITY_QUARTER, partition_by=QUARTER_PARTITION)
+    df = city_quarter(_read(spark, cfg, t.dwd_visit), _read(spark, cfg, t.dwd_poi), cfg.broadcast, rank_form=cfg.rank_form)
+    _write(df, cfg, t.dws_city, schemas.DWS_CITY_QUARTER, partition_by=QUARTER_PARTITION)
 
 
 def job_portrait(spark: SparkSession, cfg: Config = Config()) -> None:
     """C7: user x quarter mart -> lifetime portrait."""
     t = cfg.tables
-    sinks.overwrite_table(user_portrait(spark.table(t.dws_user)), t.ads_portrait, schemas.ADS_USER_PORTRAIT)
+    _write(user_portrait(_read(spark, cfg, t.dws_user)), cfg, t.ads_portrait, schemas.ADS_USER_PORTRAIT)
 
 
 def job_top_attractions(spark: SparkSession, cfg: Config = Config()) -> None:
     """C8: attraction mart -> top-N per quarter."""
     t = cfg.tables
-    sinks.overwrite_table(top_attractions(spark.table(t.dws_attraction), cfg.top_attractions),
-                          t.ads_top_attractions, schemas.ADS_TOP_ATTRACTIONS, sort_within=["year_quarter", "rank"])
+    _write(top_attractions(_read(spark, cfg, t.dws_attraction), cfg.top_attractions), cfg, t.ads_top_attractions, schemas.ADS_TOP_ATTRACTIONS)
 
 
 def job_top_cities(spark: SparkSession, cfg: Config = Config()) -> None:
     """C9: city mart -> top-N per quarter."""
     t = cfg.tables
-    sinks.overwrite_table(top_cities(spark.table(t.dws_city), cfg.top_cities), t.ads_top_cities,
-                          schemas.ADS_CITY_TOP, sort_within=["year_quarter", "rank"])
+    _write(top_cities(_read(spark, cfg, t.dws_city), cfg.top_cities), cfg, t.ads_top_cities, schemas.ADS_CITY_TOP)
 
 
 def run_dwd(spark: SparkSession, cfg: Config = Config()) -> None:
@@ -140,10 +146,9 @@ def run_dwd(spark: SparkSession, cfg: Config = Config()) -> None:
 
 
 def run_dws(spark: SparkSession, cfg: Config = Config()) -> None:
-    size = dim_size(spark, cfg)
-    job_user_quarter(spark, cfg, size)
-    job_attraction_quarter(spark, cfg, size)
-    job_city_quarter(spark, cfg, size)
+    job_user_quarter(spark, cfg)
+    job_attraction_quarter(spark, cfg)
+    job_city_quarter(spark, cfg)
 
 
 def run_ads(spark: SparkSession, cfg: Config = Config()) -> None:
@@ -172,24 +177,37 @@ JOBS = {
 
 
 def main(argv=None) -> None:
-    from quartermart.session import build_session
+    from quartermart.session import build_session, ensure_checkpoint_dir
 
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     p.add_argument("--poi", help="raw POI CSV (with header)")
     p.add_argument("--trips", help="raw trip CSV (with header)")
     p.add_argument("--layers", default="ods,dwd,dws,ads")
     p.add_argument("--jobs", default=None, help=f"run only these jobs, in order: {','.join(JOBS)}")
+    p.add_argument("--root", help="folder of all layer tables, shared by all processes; default: the session catalog")
+    p.add_argument("--years", help="first,last: years kept, the last one excluded")
+    p.add_argument("--categories", help='JSON file: [["name", "regex"], ...], tried in order')
+    p.add_argument("--table", action="append", default=[], metavar="FIELD=LAYER.NAME", help="rename a table, e.g. dws_user=dws.users")
+    p.add_argument("--rank-form", default=WINDOW, choices=[WINDOW, RANGE])
     p.add_argument("--master", default=None, help="only for local runs; clusters pass it via spark-submit")
     a = p.parse_args(argv)
+    cfg = Config(root=a.root, rank_form=a.rank_form, tables=Tables(**dict(x.split("=", 1) for x in a.table)))
+    if a.years:
+        cfg = replace(cfg, years=tuple(int(y) for y in a.years.split(",")))
+    if a.categories:
+        with open(a.categories, encoding="utf-8") as f:
+            cfg = replace(cfg, categories=replace(cfg.categories, patterns=tuple(map(tuple, json.load(f)))))
     spark = build_session(master=a.master) if a.master else SparkSession.builder.getOrCreate()
+    if a.rank_form == RANGE:
+        ensure_checkpoint_dir(spark)
     if a.jobs:
         for name in [x.strip() for x in a.jobs.split(",") if x.strip()]:
-            JOBS[name](spark)
+            JOBS[name](spark, cfg)
         return
     layers = [x.strip() for x in a.layers.split(",") if x.strip()]
     if "ods" in layers:
-        load_ods_csv(spark, a.poi, a.trips)
-    run(spark, layers=[x for x in layers if x != "ods"])
+        load_ods_csv(spark, a.poi, a.trips, cfg)
+    run(spark, cfg, layers=[x for x in layers if x != "ods"])
 
 
 if __name__ == "__main__":

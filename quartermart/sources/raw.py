@@ -1,4 +1,4 @@
-"""Raw CSV scans: header row, UTF-8, every column text (no schema inference)."""
+"""Raw CSV scans: header row, UTF-8, every column text (no schema inference), columns found by header name."""
 
 from __future__ import annotations
 
@@ -14,12 +14,19 @@ from quartermart.sources import schemas
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType,
                  renames: Mapping[str, str] | None = None) -> DataFrame:
-    """Scan a headered UTF-8 CSV with an explicit all-string schema, then rename."""
-    df = (spark.read.schema(schema)
+    """Scan a headered UTF-8 CSV and pick the columns of ``schema`` by header name, then rename.
+
+    Columns may come in any order and among others; a missing one raises.
+    """
+    df = (spark.read
           .option("header", True)
           .option("encoding", "UTF-8")
           .option("mode", "PERMISSIVE")
           .csv(path))
+    missing = [c for c in schema.names if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(df.columns)}")
+    df = df.select(*[F.col(f"`{c}`") for c in schema.names])
     return rename(df, renames) if renames else df
 
 

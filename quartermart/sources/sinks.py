@@ -1,4 +1,9 @@
-"""Table sinks: one database per layer, full overwrite, optional partition columns."""
+"""Layer tables: full overwrite, optional partition columns, in the catalog or under a root path.
+
+With ``root`` a table ``layer.name`` lives in the folder ``root/layer/name`` and
+needs no metastore, so any process that knows the root can read it. Without,
+tables are those of the session catalog, one database per layer.
+"""
 
 from __future__ import annotations
 
@@ -17,30 +22,32 @@ def create_layers(spark: SparkSession, layers: Sequence[str] = LAYERS) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
 
 
+def location(name: str, root: str) -> str:
+    return f"{root.rstrip('/')}/{name.replace('.', '/')}"
+
+
+def read_table(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
+    return spark.read.parquet(location(name, root)) if root else spark.table(name)
+
+
 def overwrite_table(df: DataFrame, name: str, schema: T.StructType | None = None,
-                    partition_by: Sequence[str] = (), sort_within: Sequence[str] = ()) -> None:
+                    partition_by: Sequence[str] = (), root: str | None = None, rebalance: bool = True) -> None:
     """Replace table ``name`` with ``df`` (Parquet), after checking the declared schema.
 
     Partitioned tables are written as one directory per partition value. Rows
-    are clustered by the partition columns with a REBALANCE hint, so each task
-    writes few files while AQE still splits a partition value that holds a large
-    share of the rows across several tasks.
+    are clustered by the partition columns with a REBALANCE hint (unless
+    ``df`` comes clustered: ``rebalance=False``), so each task writes few files
+    while AQE still splits a partition value that holds a large share of the
+    rows across several tasks.
     """
     if schema is not None:
         schemas.check(df, schema)
-    out = df
-    if partition_by:
-        out = out.hint("rebalance", *partition_by)
-    if sort_within:
-        out = out.sortWithinPartitions(*sort_within)
+    out = df.hint("rebalance", *partition_by) if partition_by and rebalance else df
     writer = out.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-
-
-def overwrite_path(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    if root:
+        writer.save(location(name, root))
+    else:
+        create_layers(df.sparkSession, [name.partition(".")[0]] if "." in name else [])
+        writer.saveAsTable(name)

@@ -68,15 +68,6 @@ def test_same_result_under_one_and_many_partitions(spark, name):
     assert one == many and len(one) > 0
 
 
-def test_both_user_quarter_plans_agree(spark):
-    from quartermart.plans.user_quarter import user_quarter
-    fact, dim = C.fact(spark, SF01), C.dim(spark, SF01)
-    coded = C.normalize(user_quarter(fact, dim, broadcast=True, reread=True))
-    sets = C.normalize(user_quarter(fact, dim, broadcast=True))
-    assert coded.count() == sets.count() == 12330
-    assert coded.exceptAll(sets).count() == 0 and sets.exceptAll(coded).count() == 0
-
-
 def test_plans_agree_under_a_hot_user_and_poi(spark):
     """One user-quarter and one POI hold about a third of all visits: every plan gives the same rows."""
     import datetime as dt
@@ -100,9 +91,9 @@ def test_plans_agree_under_a_hot_user_and_poi(spark):
         a, b = C.normalize(a), C.normalize(b)
         return a.count() == b.count() and a.exceptAll(b).count() == 0
 
-    assert same(user_quarter(visits, dim, broadcast=True, reread=True), user_quarter(visits, dim, broadcast=False))
+    assert same(user_quarter(visits, dim, broadcast=True), user_quarter(visits, dim, broadcast=False))
     assert same(attraction_quarter(visits, dim, broadcast=True), attraction_quarter(visits, dim, broadcast=False))
     assert same(city_quarter(visits, dim, broadcast=True), city_quarter(visits, dim, broadcast=False))
-    r = user_quarter(visits, dim, broadcast=True, reread=True).filter("blog_id = 'hot'").first()
+    r = user_quarter(visits, dim, broadcast=True).filter("blog_id = 'hot'").first()
     assert r.total_spot_cnt == n // 2 and r.trip_total_cnt == 28 and r.peak_month == 5
     assert dt.date(1999, 5, 1) == r.first_trip_date

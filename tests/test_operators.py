@@ -1,25 +1,11 @@
-"""Generic operators not on the main job path: ties of the best, arg-max, top-N, scoped cache, rules."""
+"""Generic operators not on the main job path: top-N, rules, maps."""
 
 from pyspark.sql import functions as F
 
 from quartermart.functions.collect import keys_with_max, map_text, top_keys
 from quartermart.functions.metrics import exact_mean, ratio
 from quartermart.functions.rules import Box, CategoryRules, RegionRules, first_match
-from quartermart.operators.join import persisted
-from quartermart.operators.ranking import arg_max, keep_best, top_n
-
-
-def test_keep_best_keeps_ties(spark):
-    df = spark.createDataFrame([("u", "a", 3), ("u", "b", 3), ("u", "c", 1), ("v", "a", 2)],
-                               "u string, k string, n long")
-    got = sorted((r.u, r.k) for r in keep_best(df, ["u"], "n").collect())
-    assert got == [("u", "a"), ("u", "b"), ("v", "a")]
-
-
-def test_arg_max_smaller_value_wins_ties(spark):
-    df = spark.createDataFrame([("u", 1, 2), ("u", 2, 2), ("u", 3, 1), ("v", 3, 5)], "u string, m int, n long")
-    got = {r.u: r.peak for r in arg_max(df, ["u"], "m", "n", "peak").collect()}
-    assert got == {"u": 1, "v": 3}
+from quartermart.operators.ranking import top_n
 
 
 def test_top_n_per_group(spark):
@@ -29,13 +15,6 @@ def test_top_n_per_group(spark):
     assert sorted(r.i for r in out if r.g == "a") == ["i2", "i3", "i7"]   # 3, 3, then the first 2
 
 
-def test_persisted_releases(spark):
-    df = spark.range(10)
-    with persisted(df) as d:
-        assert d.count() == 10 and d.storageLevel.useMemory
-    assert not df.storageLevel.useMemory
-
-
 def test_rules_and_collections(spark):
     rules = RegionRules(boxes=(Box("N", lat_min=40), Box("S", lat_at_most=20)), default="M")
     cats = CategoryRules(patterns=(("x", "a|b"),), no_label="-", unclassified="U", default="O")

@@ -1,13 +1,18 @@
 """Physical plan properties: pruning reaches the scan, broadcasts are measured, shuffles are few."""
 
+import re
 import tempfile
 
+import pytest
+
 from conftest import SF001, SF01
 
 from quartermart import catalog as C
-from quartermart.operators.join import measure, should_broadcast
+from quartermart.operators.join import attach_dim, measure
 from quartermart.plans.attraction_quarter import attraction_quarter
+from quartermart.plans.city_quarter import city_quarter
 from quartermart.plans.portrait import user_portrait
+from quartermart.plans.user_quarter import user_quarter
 
 
 def _plan(df) -> str:
@@ -18,7 +23,7 @@ def test_scans_read_only_needed_columns(spark):
     path = tempfile.mkdtemp(prefix="qm-plan-") + "/visits"
     C.fact(spark, SF001).write.parquet(path)
     visits = spark.read.parquet(path)
-    df = attraction_quarter(visits, C.dim(spark, SF001), dim_size=C.dim_size(spark, SF001))
+    df = attraction_quarter(visits, C.dim(spark, SF001))
     plan = df._jdf.queryExecution().executedPlan().toString()
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "visits" in line][0]
     read_schema = scan.split("ReadSchema:")[1]
@@ -30,18 +35,35 @@ def test_broadcast_only_when_measured_small(spark):
     dim = C.dim(spark, SF01).select("poi_id", "name", "city", "category", "region")
     size = measure(dim)
     assert size.rows == 96 and 0 < size.bytes < 1 << 20
-    assert should_broadcast(dim, size=size)
-    assert not should_broadcast(dim, limit=size.bytes - 1, size=size)
-    assert not should_broadcast(dim, limit=-1, size=size)
-    plan = _plan(C.aq(spark, SF01))
-    assert "BroadcastHashJoin" in plan
+    fact = C.fact(spark, SF01)
+    assert "BroadcastHashJoin" in _plan(attach_dim(fact, dim, "poi_id", broadcast=True, limit=size.bytes))
+    with pytest.raises(ValueError, match="may be broadcast"):
+        attach_dim(fact, dim, "poi_id", broadcast=True, limit=size.bytes - 1)
 
 
 def test_attraction_non_broadcast_path_agrees(spark):
     fact, dim = C.fact(spark, SF01), C.dim(spark, SF01)
     a = C.normalize(attraction_quarter(fact, dim, broadcast=True))
-    b = C.normalize(attraction_quarter(fact, dim, broadcast=False))
+    b = C.normalize(attraction_quarter(fact, dim, broadcast=False)).cache()
     assert a.count() == b.count() == 2592 and a.exceptAll(b).count() == 0
+    b.unpersist()
+
+
+@pytest.mark.parametrize("mart", [user_quarter, attraction_quarter, city_quarter])
+def test_forced_shuffle_join_is_final(spark, mart):
+    """``broadcast=False`` holds in the plan that ran, after adaptive re-planning."""
+    df = mart(C.fact(spark, SF001), C.dim(spark, SF001), broadcast=False)
+    df.collect()
+    ran = _plan(df)
+    assert "isFinalPlan=true" in ran and "SortMergeJoin" in ran
+    assert not re.search(r"BroadcastHashJoin \[poi_id", ran)
+
+
+def test_user_quarter_scans_the_fact_once(spark):
+    path = tempfile.mkdtemp(prefix="qm-plan-") + "/visits"
+    C.fact(spark, SF001).write.parquet(path)
+    plan = _plan(user_quarter(spark.read.parquet(path), C.dim(spark, SF001)))
+    assert sum("FileScan parquet" in line and "/visits" in line for line in plan.splitlines()) == 1
 
 
 def test_portrait_shuffles_once(spark):

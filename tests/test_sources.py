@@ -51,3 +51,34 @@ def test_layers_and_checked_overwrite(spark):
     assert spark.table("dws.t_part").count() == 1     # full overwrite
     with pytest.raises(schemas.SchemaMismatch):
         sinks.overwrite_table(df, "ads.t_bad", schema=schemas.ADS_CITY_TOP)
+
+
+def test_csv_columns_are_found_by_header(spark, tmp_path):
+    header = list(K.TRIP_HEADER_RENAMES)
+    row = dict(zip(header, ["b1", "2021/1/2", "2020/12/3", "Solo", "e1;e2"]))
+    mixed = ["Extra", *reversed(header), "More"]
+    _write_csv(tmp_path / "t.csv", mixed, [[row.get(h, "x") for h in mixed]])
+    df = read_trip_csv(spark, str(tmp_path / "t.csv"))
+    assert df.columns == list(K.TRIP_HEADER_RENAMES.values())
+    assert tuple(df.first()) == tuple(row[h] for h in header)
+    _write_csv(tmp_path / "m.csv", header[1:], [[row[h] for h in header[1:]]])
+    with pytest.raises(ValueError, match=header[0]):
+        read_trip_csv(spark, str(tmp_path / "m.csv"))
+
+
+def test_tables_under_a_root_path(spark, tmp_path):
+    df = spark.createDataFrame([("a", 2020), ("b", 2021)], "k string, travel_year int")
+    sinks.overwrite_table(df, "dws.t_root", partition_by=["travel_year"], root=str(tmp_path))
+    assert sinks.read_table(spark, "dws.t_root", str(tmp_path)).count() == 2
+    sinks.overwrite_table(df.limit(1), "dws.t_root", partition_by=["travel_year"], root=str(tmp_path))
+    assert sinks.read_table(spark, "dws.t_root", str(tmp_path)).count() == 1
+
+
+def test_checkpoint_folder_is_required_beyond_local_masters():
+    from types import SimpleNamespace
+
+    from quartermart.session import ensure_checkpoint_dir
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"),
+                              conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(cluster)

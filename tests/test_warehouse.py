@@ -1,6 +1,11 @@
 """The layered run writes every table, and the tables equal the registered queries."""
 
-from conftest import SF001
+import json
+import os
+import subprocess
+import sys
+
+from conftest import ROOT, SF001
 
 from quartermart import catalog as C
 from quartermart.plans import warehouse as W
@@ -51,3 +56,27 @@ def test_cli_runs_single_jobs(spark):
     assert spark.table(cfg.tables.ads_top_cities).count() == C.queries()["city_top10"](spark, SF001).count()
     assert set(W.JOBS) == {"poi_clean", "visits_clean", "user_quarter", "attraction_quarter", "city_quarter",
                            "portrait", "top_attractions", "top_cities"}
+
+
+def test_layers_run_as_separate_processes(spark, tmp_path):
+    """One process a layer on a root folder, then the whole chain again: the tables equal the registered queries."""
+    binding.raw_poi(spark, SF001).write.option("header", True).csv(str(tmp_path / "pois"))
+    binding.raw_trip(spark, SF001).write.option("header", True).csv(str(tmp_path / "trips"))
+    (tmp_path / "rules.json").write_text(json.dumps(binding.TEST_CATEGORY_RULES.patterns, ensure_ascii=False), encoding="utf-8")
+    root = str(tmp_path / "layers")
+    years = ",".join(map(str, binding.TEST_YEAR_RANGE))
+
+    def process(*args):
+        subprocess.run([sys.executable, "-m", "quartermart.plans.warehouse", "--root", root, "--master", "local[2]", "--years", years,
+                        "--categories", str(tmp_path / "rules.json"), "--table", "ads_top_cities=ads.best_cities", *args],
+                       check=True, cwd=ROOT, env=os.environ | {"PYTHONPATH": ROOT}, timeout=300)
+
+    raw = ["--poi", str(tmp_path / "pois"), "--trips", str(tmp_path / "trips")]
+    process("--layers", "ods,dwd", *raw)
+    process("--layers", "dws")
+    process("--jobs", "portrait,top_attractions,top_cities")
+    process("--layers", "ods,dwd,dws,ads", *raw)
+    for folder, name in (("dws/dws_user_travel_quarter", "user_quarter"), ("ads/ads_user_portrait", "user_portrait"), ("ads/best_cities", "city_top10")):
+        want = C.queries()[name](spark, SF001)
+        got = C.normalize(spark.read.parquet(f"{root}/{folder}")).select(*want.columns)
+        assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0, name

@@ -41,15 +41,13 @@ def main() -> None:
     W.load_ods(spark, C.ods_poi(spark, sf_dir), C.ods_trip(spark, sf_dir), cfg)
     W.run(spark, cfg)
     t = cfg.tables
-    size = W.dim_size(spark, cfg)
     visits, poi = spark.table(t.dwd_visit), spark.table(t.dwd_poi)
     frames = {
         "poi_clean": lambda: clean_poi(spark.table(t.ods_poi), cfg.regions, cfg.categories),
         "visits_clean": lambda: clean_visits(spark.table(t.ods_trip), years=cfg.years),
-        "user_quarter": lambda: user_quarter(visits, poi, dim_size=size, reread=True),
-        "user_quarter_single_pass": lambda: user_quarter(visits, poi, dim_size=size),
-        "attraction_quarter": lambda: attraction_quarter(visits, poi, dim_size=size),
-        "city_quarter": lambda: city_quarter(visits, poi, dim_size=size),
+        "user_quarter": lambda: user_quarter(visits, poi),
+        "attraction_quarter": lambda: attraction_quarter(visits, poi),
+        "city_quarter": lambda: city_quarter(visits, poi),
         "user_portrait": lambda: user_portrait(spark.table(t.dws_user)),
         "top50_attractions": lambda: top_attractions(spark.table(t.dws_attraction)),
         "city_top10": lambda: top_cities(spark.table(t.dws_city)),
