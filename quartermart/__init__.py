@@ -8,7 +8,6 @@ Layers (each a pure DataFrame -> DataFrame function, no actions):
                  ranking, growth, quality profiles
 * ``plans``      the warehouse jobs: POI and visit cleaning, the three
                  quarterly marts, the user portrait and the leaderboards
-* ``streaming``  intentionally empty (the warehouse is batch only)
 """
 
 from quartermart.plans.poi import clean_poi

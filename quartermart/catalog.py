@@ -9,6 +9,7 @@ keeps native types. Every query reads whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,10 @@ from pyspark.sql import types as T
 
 from quartermart.functions import constants as K
 from quartermart.functions.collect import array_text, map_text
+from quartermart.functions.rules import DEFAULT_REGION_RULES
 from quartermart.operators import clean, profile
 from quartermart.operators.join import attach_dim
+from quartermart.operators.ranking import RANGE
 from quartermart.plans import poi as poi_plan
 from quartermart.plans import visits as visit_plan
 from quartermart.plans.attraction_quarter import attraction_quarter
@@ -218,8 +221,60 @@ def q_city_top10(spark, d):
     return normalize(top_cities(cq(spark, d)))
 
 
+# --- paths that other callers get ----------------------------------------------
+
+def q_poi_clean_dirty(spark, d):
+    """The shipped region and category rules over POIs with every kind of dirt."""
+    return normalize(poi_plan.clean_poi(rename(binding.dirty_poi(spark, d), K.POI_HEADER_RENAMES)))
+
+
+def q_poi_rows_dirty(spark, d):
+    """The same rows before ids are made unique: repeated ids stay."""
+    return normalize(poi_plan.clean_poi(rename(binding.dirty_poi(spark, d), K.POI_HEADER_RENAMES), unique=False))
+
+
+def q_reject_null_region_open(spark, d):
+    """Region rules without a default leave POIs without a region."""
+    rules = replace(DEFAULT_REGION_RULES, default=None)
+    return normalize(poi_plan.rejected_regions(ods_poi(spark, d), rules, binding.TEST_CATEGORY_RULES))
+
+
+def q_visits_clean_gappy(spark, d):
+    """Null users and null visit lists are dropped."""
+    return normalize(visit_plan.clean_visits(rename(binding.gappy_trip(spark, d), K.TRIP_HEADER_RENAMES), years=binding.TEST_YEAR_RANGE))
+
+
+def q_attraction_ranks_range(spark, d):
+    """The distributed form of ranking."""
+    df = attraction_quarter(fact(spark, d), dim(spark, d), rank_form=RANGE)
+    return normalize(df.select(*AQ_KEY, "user_rank_in_city", "user_rank_in_region", "user_rank_overall"))
+
+
+def q_attraction_growth_strict(spark, d):
+    """Growth against the adjacent calendar quarter only."""
+    df = attraction_quarter(fact(spark, d), dim(spark, d), strict_growth=True)
+    return normalize(df.select(*AQ_KEY, "user_cnt_growth_rate", "is_hot_rising"))
+
+
+def q_top50_recomputed(spark, d):
+    return normalize(top_attractions(aq(spark, d), recompute=True))
+
+
+def q_user_quarter_shuffled(spark, d):
+    """The user mart with a shuffled dimension join."""
+    return normalize(user_quarter(fact(spark, d), dim(spark, d), broadcast=False))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "poi_clean_dirty": q_poi_clean_dirty,
+        "poi_rows_dirty": q_poi_rows_dirty,
+        "reject_null_region_open": q_reject_null_region_open,
+        "visits_clean_gappy": q_visits_clean_gappy,
+        "attraction_ranks_range": q_attraction_ranks_range,
+        "attraction_growth_strict": q_attraction_growth_strict,
+        "top50_recomputed": q_top50_recomputed,
+        "user_quarter_shuffled": q_user_quarter_shuffled,
         # sources and cleaning
         "raw_rename": q_raw_rename,
         "raw_rename_trip": q_raw_rename_trip,

@@ -297,6 +297,40 @@ def _pt_select(*cols: str) -> str:
     return _with(RAW, POI, VISITS, UQ, PORTRAIT) + f"SELECT blog_id, {', '.join(cols)} FROM portrait"
 
 
+# --- inputs of the paths that other callers get -----------------------------------
+
+DIRTY_POI = """
+raw_poi AS (
+  SELECT CASE WHEN p_partkey % 53 <> 0 THEN CAST(p_partkey % 1500 AS VARCHAR) END AS poi_id,
+         CASE WHEN p_partkey % 59 <> 0 THEN 'n' || p_partkey END AS name_zh,
+         CASE WHEN p_partkey % 61 <> 0 THEN 'c' || (p_partkey % 40) END AS city_zh,
+         CASE WHEN p_partkey % 67 = 0 THEN NULL WHEN p_partkey % 31 = 0 THEN 'x12'
+              ELSE CAST(1 + (p_partkey * 7) % 56 AS VARCHAR) END AS latitude,
+         CASE WHEN p_partkey % 71 <> 0 THEN CAST(70 + (p_partkey * 11) % 68 AS VARCHAR) END AS longitude,
+         CASE p_partkey % 9 WHEN 0 THEN '峡谷漂流' WHEN 1 THEN '名人故居' WHEN 2 THEN '古镇' WHEN 3 THEN '高楼' WHEN 4 THEN '步行街;商圈'
+              WHEN 5 THEN '农庄' WHEN 6 THEN '湖泊' WHEN 7 THEN '写字楼' END AS label_zh
+  FROM part)"""
+# What each of those labels is by the seven shipped rules, the first that fits: 漂流 goes before 峡谷.
+DIRTY_CATEGORY = """
+dirty_class AS (
+  SELECT poi_id, name_zh AS name, city_zh AS city, latitude, longitude, label, region,
+         CASE label_zh WHEN '峡谷漂流' THEN '主题游乐' WHEN '名人故居' THEN '文化场馆' WHEN '古镇' THEN '历史人文古迹' WHEN '高楼' THEN '都市地标'
+              WHEN '步行街;商圈' THEN '都市休闲' WHEN '农庄' THEN '乡村生态' WHEN '湖泊' THEN '自然风光' WHEN '无标签' THEN '未分类'
+              ELSE '其他景点' END AS category
+  FROM poi_class)"""
+DIRTY_COLUMNS = "poi_id, name, city, latitude, longitude, array_to_string(list_sort(label), ',') AS label, category, region"
+GAPPY_TRIP = """
+gappy_trip AS (
+  SELECT CASE WHEN o.o_orderkey % 89 <> 0 THEN CAST(o.o_custkey AS VARCHAR) END AS blog_id,
+         strftime(o.o_orderdate, '%Y/%-m/%-d') AS departure_date, 'Solo' AS travel_partners, q.seq AS visit_sequence
+  FROM orders o LEFT JOIN seqs q ON q.l_orderkey = o.o_orderkey)"""
+STRICT = """
+strict_prev AS (
+  SELECT *, CASE WHEN travel_year * 4 + travel_quarter - lag(travel_year * 4 + travel_quarter) OVER w = 1
+                 THEN lag(visit_user_cnt) OVER w END AS before
+  FROM aq_agg WINDOW w AS (PARTITION BY poi_id ORDER BY travel_year, travel_quarter))"""
+
+
 VISIT_COLS = ("blog_id, trip_id, travel_date, CAST(travel_year AS BIGINT) AS travel_year, "
               "CAST(travel_month AS BIGINT) AS travel_month, travel_partners, poi_id")
 
@@ -304,6 +338,25 @@ VISIT_COLS = ("blog_id, trip_id, travel_date, CAST(travel_year AS BIGINT) AS tra
 def oracle_sql() -> dict[str, str]:
     dirty_visits = _visits("dirty_trip")
     return {
+        "poi_clean_dirty": _with(DIRTY_POI, POI, DIRTY_CATEGORY) + (
+            f"SELECT {DIRTY_COLUMNS} FROM dirty_class "
+            "QUALIFY row_number() OVER (PARTITION BY poi_id ORDER BY name, city, latitude, longitude) = 1"),
+        "poi_rows_dirty": _with(DIRTY_POI, POI, DIRTY_CATEGORY) + f"SELECT {DIRTY_COLUMNS} FROM dirty_class",
+        "reject_null_region_open": _with(RAW, POI) + (
+            "SELECT poi_id, name_zh, latitude, longitude FROM poi_class WHERE region = '西南'"),
+        "visits_clean_gappy": _with(RAW, GAPPY_TRIP, _visits("gappy_trip")) + f"SELECT {VISIT_COLS} FROM visits",
+        "attraction_ranks_range": _aq_select("user_rank_in_city", "user_rank_in_region", "user_rank_overall"),
+        "attraction_growth_strict": _with(RAW, POI, VISITS, AQ, STRICT) + (
+            "SELECT poi_id, CAST(travel_year AS BIGINT) AS travel_year, CAST(travel_quarter AS BIGINT) AS travel_quarter, "
+            "CASE WHEN before > 0 THEN round((visit_user_cnt - before) / before, 4) ELSE 0.0 END AS user_cnt_growth_rate, "
+            "CASE WHEN before IS NULL THEN '无上期数据' "
+            "WHEN before > 0 AND round((visit_user_cnt - before) / before, 4) > 0.3 THEN '是' ELSE '否' END AS is_hot_rising "
+            "FROM strict_prev"),
+        "top50_recomputed": _with(RAW, POI, VISITS, AQ) + (
+            "SELECT CAST(travel_year AS VARCHAR) || 'Q' || CAST(travel_quarter AS VARCHAR) AS year_quarter, "
+            "poi_id, name, city, category, region, visit_user_cnt, visit_trip_cnt, "
+            "user_rank_overall AS rank, is_hot_rising, user_cnt_growth_rate FROM aq WHERE user_rank_overall <= 50"),
+        "user_quarter_shuffled": _with(RAW, POI, VISITS, UQ) + "SELECT * FROM uq",
         "raw_rename": _with(RAW) + "SELECT * FROM raw_poi",
         "raw_rename_trip": _with(RAW) + "SELECT * FROM raw_trip",
         "poi_clean": _with(RAW, POI) + (

@@ -115,3 +115,38 @@ def dirty_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     dirty = base.withColumn("Departure_Date", dep).withColumn("Visit_Sequence", seq)
     copies = dirty.filter(k % 10 == 0).withColumn("Travel_Partners", F.lit("Family"))
     return dirty.select(*RAW_TRIP_COLUMNS).unionByName(copies.select(*RAW_TRIP_COLUMNS))
+
+
+#: One label for each default category rule in order, one that hits none, and null.
+RULE_LABELS = ("峡谷漂流", "名人故居", "古镇", "高楼", "步行街;商圈", "农庄", "湖泊", "写字楼", None)
+
+
+def dirty_poi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One POI row for each part, with the raw CSV headers and dirt by part key.
+
+    Ids repeat (k % 1500); k % 53, 59, 61, 67, 71 == 0: id, name, city,
+    latitude, longitude null; k % 31 == 0: latitude is no number. Labels hit
+    every default category rule, none, or are null (k % 9).
+    """
+    k = F.col("p_partkey")
+    text = lambda c: c.cast("string")
+    label = F.element_at(F.array(*map(F.lit, RULE_LABELS)), (k % 9 + 1).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", "p_name").select(
+        F.when(k % 53 != 0, text(k % 1500)).alias("Encrypted_ID"),
+        F.when(k % 59 != 0, F.concat(F.lit("n"), text(k))).alias("Name_ZH"),
+        F.col("p_name").alias("Name_EN"),
+        F.when(k % 61 != 0, F.concat(F.lit("c"), text(k % 40))).alias("City_ZH"),
+        F.concat(F.lit("c"), text(k % 40)).alias("City_EN"),
+        F.when(k % 67 == 0, F.lit(None)).when(k % 31 == 0, F.lit("x12")).otherwise(text(1 + (k * 7) % 56)).alias("Latitude_GCJ02"),
+        F.when(k % 71 != 0, text(70 + (k * 11) % 68)).alias("Longitude_GCJ02"),
+        label.alias("Label_ZH"), F.col("p_name").alias("Label_EN"))
+
+
+def gappy_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw trip for every order: the visit list is null without lines, the user is null for k % 89 == 0."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lists = _visit_lists(spark, sf_dir)
+    day = F.date_format("o_orderdate", "yyyy/M/d")
+    return o.join(lists, o.o_orderkey == lists.l_orderkey, "left").select(
+        F.when(F.col("o_orderkey") % 89 != 0, F.col("o_custkey").cast("string")).alias("Anonymized_Blog_ID"),
+        day.alias("Retrieval_Date"), day.alias("Departure_Date"), F.lit("Solo").alias("Travel_Partners"), F.col("seq").alias("Visit_Sequence"))
