@@ -72,6 +72,39 @@ ADS_CITY_TOP = _schema(
     ("unique_attraction_cnt", L), ("avg_spot_per_user", L), ("rank", I), ("is_hot_rising", S))
 
 
+#: What the columns of the layer tables mean, by name; written as their comments.
+COMMENTS = {
+    "blog_id": "anonymous user", "trip_id": "user and departure date", "poi_id": "place", "name": "name of the place",
+    "city": "city of the place", "region": "region by coordinates", "category": "category by label rules", "label": "labels of the place",
+    "latitude": "degrees north", "longitude": "degrees east", "travel_date": "departure date", "travel_year": "year of departure",
+    "travel_month": "month of departure", "travel_quarter": "quarter of departure", "year_quarter": "year and quarter, as 2020Q1",
+    "travel_partners": "with whom the user travels", "travel_level": "how often the user travels", "region_type": "how far the user travels",
+    "trip_total_cnt": "trips", "total_spot_cnt": "visits", "unique_city_cnt": "distinct cities", "unique_category_cnt": "distinct categories",
+    "cross_region_trip_cnt": "trips to two regions or more", "avg_spot_per_trip": "visits a trip", "avg_city_per_trip": "cities a trip",
+    "avg_trip_per_month": "trips a month", "region_arr": "distinct regions", "partner_arr": "distinct partners",
+    "top_city": "cities with most trips, ties kept", "top_category": "categories with most visits, ties kept",
+    "solo_trip_ratio": "share of trips alone", "city_visit_map": "trips to each city", "cate_visit_map": "visits of each category",
+    "peak_month": "month with most visits", "first_trip_date": "first departure", "last_trip_date": "last departure",
+    "visit_user_cnt": "distinct users", "visit_trip_cnt": "trips", "visit_total_cnt": "visits", "visit_spot_cnt": "visits",
+    "unique_attraction_cnt": "distinct places", "avg_spot_per_user": "visits a user, rounded down", "solo_user_ratio": "visits alone over trips",
+    "user_rank_in_city": "rank by trips in the city", "user_rank_in_region": "rank by trips in the region",
+    "user_rank_overall": "rank by trips in the quarter", "user_cnt_growth_rate": "growth against the quarter before",
+    "is_hot_rising": "whether the growth is above the threshold", "rank": "rank by trips in the quarter",
+    "total_trips": "trips in all years", "total_spots": "visits in all years", "total_cities": "distinct cities in all years",
+    "total_regions": "distinct regions in all years", "active_years": "years with a trip", "first_active_year": "first year with a trip",
+    "last_active_year": "last year with a trip", "avg_spots_per_trip": "mean of the quarters' visits a trip",
+    "favorite_city": "cities with most trips in all years", "favorite_category": "categories with most visits in all years",
+}
+
+
+def commented(df: DataFrame) -> DataFrame:
+    """``df`` with the comments of its columns as metadata, which Parquet files and catalog tables keep."""
+    for f in df.schema.fields:
+        if f.name in COMMENTS:
+            df = df.withMetadata(f.name, {"comment": COMMENTS[f.name]})
+    return df
+
+
 class SchemaMismatch(ValueError):
     pass
 

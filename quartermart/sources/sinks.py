@@ -32,7 +32,7 @@ def read_table(spark: SparkSession, name: str, root: str | None = None) -> DataF
 
 def overwrite_table(df: DataFrame, name: str, schema: T.StructType | None = None,
                     partition_by: Sequence[str] = (), root: str | None = None, rebalance: bool = True) -> None:
-    """Replace table ``name`` with ``df`` (Parquet), after checking the declared schema.
+    """Replace table ``name`` with ``df`` (Parquet), after checking the declared schema and adding its comments.
 
     Partitioned tables are written as one directory per partition value. Rows
     are clustered by the partition columns with a REBALANCE hint (unless
@@ -42,6 +42,7 @@ def overwrite_table(df: DataFrame, name: str, schema: T.StructType | None = None
     """
     if schema is not None:
         schemas.check(df, schema)
+        df = schemas.commented(df)
     out = df.hint("rebalance", *partition_by) if partition_by and rebalance else df
     writer = out.write.mode("overwrite").format("parquet")
     if partition_by:

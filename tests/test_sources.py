@@ -82,3 +82,11 @@ def test_checkpoint_folder_is_required_beyond_local_masters():
                               conf=SimpleNamespace(get=lambda key, default: default))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(cluster)
+
+
+def test_tables_carry_column_comments(spark, tmp_path):
+    df = spark.createDataFrame([tuple([None] * len(schemas.ADS_CITY_TOP))], schemas.ADS_CITY_TOP)
+    sinks.overwrite_table(df, "ads.t_comment", schemas.ADS_CITY_TOP)
+    sinks.overwrite_table(df, "ads.t_comment", schemas.ADS_CITY_TOP, root=str(tmp_path))
+    for back in (spark.table("ads.t_comment"), sinks.read_table(spark, "ads.t_comment", str(tmp_path))):
+        assert back.schema["avg_spot_per_user"].metadata == {"comment": schemas.COMMENTS["avg_spot_per_user"]}
