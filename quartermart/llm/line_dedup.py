@@ -18,6 +18,11 @@ through, those named n_lines or removed are replaced.
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,64 +32,78 @@ BASE, MODULUS = 131, (1 << 31) - 1
 _SPAN = 1 << 31  # a chunk is named start * _SPAN + end
 
 
-def _chunked(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_lines`` and ``_chunks``, the names of its chunks in order."""
-    cut = lambda a, skip, drop: F.slice(a, F.lit(skip + 1), F.greatest(F.size(a) - skip - drop, F.lit(0)))
-    below = lambda a, b: F.zip_with(a, b, lambda x, y: x < y)
-    hashed = F.transform("_lines", lambda x: F.conv(F.substring(F.md5(x), 1, 7), 16, 10).cast("long"))
-    d = docs.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n", -1)).withColumn("_h", hashed)
-    h = F.col("_h")
-    d = d.withColumn("_r", F.zip_with(cut(h, 1, 0), cut(h, 0, 1), lambda x, before: (x + BASE * before) % MODULUS))
-    r = F.col("_r")  # of line 1 onwards
-    lowest = F.zip_with(below(cut(r, 1, 1), cut(r, 0, 2)), below(cut(r, 1, 1), cut(r, 2, 0)), lambda x, y: x & y)
-    d = d.withColumn("_low", lowest)  # of line 2 up to the last but one
-    starts = F.filter(F.transform("_low", lambda low, i: F.when(low, i + 2)), lambda i: i.isNotNull())
-    d = d.withColumn("_cuts", starts)
-    end = F.array(F.size("_lines"))
-    chunks = F.zip_with(F.concat(F.array(F.lit(0)), "_cuts"), F.concat("_cuts", end),
-                        lambda a, b: a.cast("long") * _SPAN + b)
-    return d.withColumn("_chunks", chunks).drop("_h", "_r", "_low", "_cuts")
-
-
-def _start(name):
-    return F.floor(name / F.lit(_SPAN)).cast("int")
-
-
-def _end(name):
-    return (name % F.lit(_SPAN)).cast("int")
-
-
-def _body(name):
-    return F.array_join(F.slice("_lines", _start(name) + 1, _end(name) - _start(name)), "\n")
+def chunks_of(lines: list[str]) -> list[tuple[int, int]]:
+    """Line ranges [start, end) of the chunks."""
+    h = [int(hashlib.md5(x.encode("utf-8", "surrogatepass")).hexdigest()[:7], 16) for x in lines]
+    roll = [0] + [(h[i] + BASE * h[i - 1]) % MODULUS for i in range(1, len(h))]
+    cuts = [i for i in range(2, len(h) - 1) if roll[i] < roll[i - 1] and roll[i] < roll[i + 1]]
+    return list(zip([0, *cuts], [*cuts, len(lines)], strict=True))
+
+
+def _digests(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """(name, digest) of every chunk that may be removed: two lines at least, with a word."""
+    word = re.compile(WORD)
+    for texts in batches:
+        out = []
+        for text in texts:
+            lines = (text or "").split("\n")
+            bodies = ((a * _SPAN + b, "\n".join(lines[a:b])) for a, b in chunks_of(lines) if b - a >= 2) if len(lines) > 1 else ()
+            out.append([{"chunk": c, "digest": hashlib.md5(x.encode("utf-8", "surrogatepass")).digest()} for c, x in bodies if word.search(x)])
+        yield pd.Series(out)
+
+
+def _bodies(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """(name, text) of the named chunks."""
+    for texts, names in batches:
+        out = []
+        for text, chunks in zip(texts, names, strict=True):
+            lines = (text or "").split("\n")
+            out.append([{"chunk": int(c), "body": "\n".join(lines[int(c) // _SPAN:int(c) % _SPAN])} for c in chunks])
+        yield pd.Series(out)
+
+
+def _kept(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """The text without the named chunks, which come in order; null for a null list."""
+    for texts, names in batches:
+        out = []
+        for text, chunks in zip(texts, names, strict=True):
+            if chunks is None:
+                out.append(None)
+                continue
+            lines, left, at = text.split("\n"), [], 0
+            for c in map(int, chunks):
+                left += lines[at:c // _SPAN]
+                at = c % _SPAN
+            out.append("\n".join(left + lines[at:]))
+        yield pd.Series(out, dtype=object)
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text, ...) with repeated chunks taken out of ``text``; adds ``n_lines`` and ``removed`` (line ranges)."""
     fp = F.md5(F.coalesce("text", F.lit("")))
     keyed = pack(docs, "doc_id", "text").withColumn("_doc", F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), fp))
-    chunks = _chunked(keyed.select("doc_id", "_doc", "text")).select("doc_id", "_doc", "_lines", F.explode("_chunks").alias("chunk"))
-    chunks = (chunks.where(_end(F.col("chunk")) - _start(F.col("chunk")) >= 2)
-              .withColumn("_body", _body(F.col("chunk"))).where(F.col("_body").rlike(WORD)))
-    names = write_table(chunks.select("_doc", "chunk", F.unhex(F.md5("_body")).alias("digest")), "line-chunks")
-    # Copies of one row are one document: occurrences are counted once for each (document, chunk).
+    own = keyed.select("doc_id", "_doc", "text")
+    # Not deterministic to the planner, which may otherwise run them twice: in a filter and for their value.
+    digests = F.pandas_udf(_digests, "array<struct<chunk: long, digest: binary>>").asNondeterministic()
+    names = write_table(own.select("_doc", F.inline(digests("text"))), "line-chunks")
+    # Copies of one row are one document: what occurs in one (document, chunk) only is no repetition.
     often = names.groupBy("digest").agg(F.min(F.struct("_doc", "chunk")).alias("lo"), F.max(F.struct("_doc", "chunk")).alias("hi")).where("lo <> hi")
     wanted = (names.join(often.select("digest"), "digest", "left_semi").groupBy("_doc")
               .agg(F.collect_set("chunk").alias("_wanted")))  # at most a document's chunks
-    held = _chunked(keyed.select("doc_id", "_doc", "text").join(wanted.hint("shuffle_hash"), "_doc").dropDuplicates(["_doc"]))
-    bodies = write_table(held.select("doc_id", "_doc", "_lines", F.explode("_wanted").alias("chunk"))
-                         .select("doc_id", "_doc", "chunk", _body(F.col("chunk")).alias("body")), "line-bodies")
-    bodies = bodies.withColumn("digest", F.unhex(F.md5("body")))
+    held = own.join(wanted.hint("shuffle_hash"), "_doc").dropDuplicates(["_doc"])
+    bodies = F.pandas_udf(_bodies, "array<struct<chunk: long, body: string>>").asNondeterministic()
+    found = write_table(held.select("doc_id", "_doc", F.inline(bodies("text", "_wanted"))), "line-bodies")
+    found = found.withColumn("digest", F.unhex(F.md5("body")))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_doc", "chunk")
-    first = bodies.groupBy("digest", "body").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    removed = write_table(bodies.join(first, ["digest", "body"]).where(place != F.col("first")).groupBy("_doc")
-                          .agg(F.collect_set("chunk").alias("_removed")), "line-removed")
-
-    d = _chunked(keyed.join(removed.hint("shuffle_hash"), "_doc", "left"))
-    none = F.array().cast("array<bigint>")
-    d = d.withColumn("_gone", F.sort_array(F.coalesce("_removed", none)))
-    kept = F.transform(F.array_except("_chunks", "_gone"), lambda c: F.slice("_lines", _start(c) + 1, _end(c) - _start(c)))
-    d = d.withColumns({
-        "text": F.when(F.size("_gone") == 0, F.col("text")).otherwise(F.array_join(F.flatten(kept), "\n")),
-        "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")),
-        "removed": F.transform("_gone", lambda c: F.struct(_start(c).alias("start"), _end(c).alias("end")))})
+    first = found.groupBy("digest", "body").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    removed = write_table(found.join(first, ["digest", "body"]).where(place != F.col("first")).groupBy("_doc")
+                          .agg(F.sort_array(F.collect_set("chunk")).alias("_gone")), "line-removed")
+
+    d = keyed.join(removed.hint("shuffle_hash"), "_doc", "left")
+    left = F.pandas_udf(_kept, "string").asNondeterministic()(F.when(F.col("_gone").isNotNull(), F.col("text")), F.col("_gone"))
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    ranges = F.transform(F.coalesce("_gone", F.array().cast("array<bigint>")), lambda c: F.struct(
+        F.floor(c / F.lit(_SPAN)).cast("int").alias("start"), (c % F.lit(_SPAN)).cast("int").alias("end")))
+    d = d.withColumns({"_left": left, "n_lines": F.coalesce(lines, F.lit(0)), "removed": ranges})
+    d = d.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.col("_left")))
     return unpack(d, docs.columns, ["doc_id", "text"], ["n_lines", "removed"])
