@@ -7,8 +7,10 @@ string bytes of the projected columns) must be within the limit.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,3 +81,17 @@ def attach_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: st
     elif broadcast is False:
         dim = dim.hint("merge")
     return fact.join(dim, on=keys, how=how)
+
+
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+    """Cache a frame reused by several actions for the duration of a block.
+
+    Blocks lost with an executor are recomputed from lineage, so this is safe
+    under executor loss; it is released when the block ends.
+    """
+    df.persist(level)
+    try:
+        yield df
+    finally:
+        df.unpersist()

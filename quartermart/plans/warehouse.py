@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quartermart.functions import constants as K
 from quartermart.functions.rules import (DEFAULT_CATEGORY_RULES, DEFAULT_REGION_RULES,
                                          CategoryRules, RegionRules)
+from quartermart.operators.join import persisted
 from quartermart.operators.ranking import RANGE, WINDOW
 from quartermart.plans.attraction_quarter import attraction_quarter
 from quartermart.plans.city_quarter import city_quarter
@@ -101,24 +102,24 @@ def job_visits(spark: SparkSession, cfg: Config = Config()) -> None:
     _write(visits, cfg, t.dwd_visit, schemas.DWD_VISIT, partition_by=MONTH_PARTITION, rebalance=False)
 
 
-def job_user_quarter(spark: SparkSession, cfg: Config = Config()) -> None:
+def job_user_quarter(spark: SparkSession, cfg: Config = Config(), poi: DataFrame | None = None) -> None:
     """C4: dwd visits + POI -> user x quarter mart."""
     t = cfg.tables
-    df = user_quarter(_read(spark, cfg, t.dwd_visit), _read(spark, cfg, t.dwd_poi), cfg.broadcast, cfg.categories.unclassified)
+    df = user_quarter(_read(spark, cfg, t.dwd_visit), _read(spark, cfg, t.dwd_poi) if poi is None else poi, cfg.broadcast, cfg.categories.unclassified)
     _write(df, cfg, t.dws_user, schemas.DWS_USER_QUARTER, partition_by=QUARTER_PARTITION)
 
 
-def job_attraction_quarter(spark: SparkSession, cfg: Config = Config()) -> None:
+def job_attraction_quarter(spark: SparkSession, cfg: Config = Config(), poi: DataFrame | None = None) -> None:
     """C5: dwd visits + POI -> attraction x quarter mart."""
     t = cfg.tables
-    df = attraction_quarter(_read(spark, cfg, t.dwd_visit), _read(spark, cfg, t.dwd_poi), cfg.broadcast, rank_form=cfg.rank_form)
+    df = attraction_quarter(_read(spark, cfg, t.dwd_visit), _read(spark, cfg, t.dwd_poi) if poi is None else poi, cfg.broadcast, rank_form=cfg.rank_form)
     _write(df, cfg, t.dws_attraction, schemas.DWS_ATTRACTION_QUARTER, partition_by=QUARTER_PARTITION)
 
 
-def job_city_quarter(spark: SparkSession, cfg: Config = Config()) -> None:
+def job_city_quarter(spark: SparkSession, cfg: Config = Config(), poi: DataFrame | None = None) -> None:
     """C6: dwd visits + POI -> city x quarter mart."""
     t = cfg.tables
-    df = city_quarter(_read(spark, cfg, t.dwd_visit), _read(spark, cfg, t.dwd_poi), cfg.broadcast, rank_form=cfg.rank_form)
+    df = city_quarter(_read(spark, cfg, t.dwd_visit), _read(spark, cfg, t.dwd_poi) if poi is None else poi, cfg.broadcast, rank_form=cfg.rank_form)
     _write(df, cfg, t.dws_city, schemas.DWS_CITY_QUARTER, partition_by=QUARTER_PARTITION)
 
 
@@ -146,9 +147,11 @@ def run_dwd(spark: SparkSession, cfg: Config = Config()) -> None:
 
 
 def run_dws(spark: SparkSession, cfg: Config = Config()) -> None:
-    job_user_quarter(spark, cfg)
-    job_attraction_quarter(spark, cfg)
-    job_city_quarter(spark, cfg)
+    """The three marts, sharing one cached copy of the POI dimension."""
+    with persisted(_read(spark, cfg, cfg.tables.dwd_poi)) as poi:
+        job_user_quarter(spark, cfg, poi)
+        job_attraction_quarter(spark, cfg, poi)
+        job_city_quarter(spark, cfg, poi)
 
 
 def run_ads(spark: SparkSession, cfg: Config = Config()) -> None:
