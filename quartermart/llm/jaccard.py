@@ -11,22 +11,26 @@ so many some two shared tokens are neighbours in both orders (mismatches can't
 separate all), so indexing the combinations of neighbouring frequent tokens
 finds every such pair with a number of entries linear in n.
 
-Entries that meet need not be paired with each other in full. An entry at
-position i of a set of n has the slack n - 7 i (for a combination, i is the
-number of rare tokens): two sets whose slacks add up to less than zero differ in too many
-tokens. By falling slack, each entry is paired with the first of its key and
-the ``NEIGHBOURS`` before it; that is every pair of a small key. Verified links
-form components; keys with more entries are then searched for pairs that the
-slack allows and that join different components, until nothing is left to
-check. So no link between different components is lost, and a group of very
-many copies costs about one verification an entry.
+Entries that meet need not be paired with each other in full. An entry stands
+at position i of a set of n (for a combination, i is the number of rare
+tokens): if it is the first that two sets share, they share no more than what
+both have left from there, and a pair with too little left is dropped. By
+falling n - 7 i, the slack, each entry is paired with the first of its key and
+the ``NEIGHBOURS`` before it; that is every pair of a small key. So the rare
+tokens that two sets share in their prefixes are known but for those of larger
+keys, of which there are at most as many as the set with fewer has. A pair is
+dropped, too, if those and what is left after the prefix, or after the last
+shared token, are too few. The rest is verified on the whole sets, and links form components; keys with
+more entries are then searched for pairs that the slack allows and that join
+different components. So no link between different components is lost, and a
+group of very many copies costs about one verification an entry.
 
 Defined results: a null, empty or blank text has no shingle and is linked with
 nothing; a text of fewer than five words has one, the whole sequence; rows
 repeating a text are linked; a null doc_id takes part, and its component is
 the smallest id it reaches (null if none); an empty table gives an empty result;
-other columns are ignored. Sets count as equal if their sizes and 64-bit set
-hashes are.
+other columns are ignored. Sets count as equal if their 64-bit hashes (of size
+and tokens) are; the two sets of a pair are compared by 40 bits a token.
 """
 
 from __future__ import annotations
@@ -50,8 +54,10 @@ CLASS_BITS, FREQUENT, LOCAL = 22, 32, 6
 NEIGHBOURS = 4
 _SEEN = 1_000_000  # sets a task remembers, so that its copies of one set are indexed once
 _NODES = pa.schema([("doc_id", pa.int64()), ("print", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("class", pa.int32()), ("entries", pa.int64())])
-_ENTRIES = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("slack", pa.int32())])
+_ENTRIES = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("slack", pa.int32()), ("singles", pa.int32())])
 _SETS = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("tokens", pa.binary())])
+#: Words of 64 bits in the bitmap of nodes whose sets are needed.
+NODE_WORDS = 1 << 19
 
 
 def _sets(batch: pa.RecordBatch, hasher: Hasher) -> Iterator[tuple[int, np.ndarray, int]]:
@@ -92,20 +98,22 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([*none, pa.array(many.astype(np.int32)), pa.array(classes[many].astype(np.int64))], schema=_NODES)
 
 
-def _keys(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, slacks) under which a set of at least three tokens is indexed."""
+def _keys(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """(keys, slacks, number of single tokens) under which a set of at least three tokens is indexed."""
     n = len(tokens)
     of_class = (tokens >> np.uint64(64 - CLASS_BITS)).astype(np.int64)
     often = (frequent[of_class >> 3] >> (of_class & 7).astype(np.uint8)) & 1 == 1
     rare = tokens[~often]
     prefix = n - -(-NUMERATOR * n // 100) + 1
-    keys, at = rare[:prefix], np.arange(min(len(rare), prefix))
+    short, one = np.uint64(16), np.uint64(1)  # keys have 48 bits, the last of which marks combinations
+    singles = min(len(rare), prefix)
+    keys, at = rare[:prefix] >> short & ~one, np.arange(singles)
     if len(rare) < prefix:
         f = tokens[often][: max(0, n // 2 + 2 - len(rare))]
         with np.errstate(over="ignore"):
-            pairs = mix(f[:-1] * np.uint64(3) + f[1:])
+            pairs = mix(f[:-1] * np.uint64(3) + f[1:]) >> short | one
         keys, at = np.concatenate((keys, pairs)), np.concatenate((at, np.full(len(pairs), len(rare))))
-    return keys, n - 7 * at
+    return keys, n - 7 * at, singles
 
 
 def _entries(frequent):
@@ -115,16 +123,16 @@ def _entries(frequent):
 
         def flush() -> pa.RecordBatch:
             n = np.array([len(k) for k, *_ in out])
-            keys, slack = np.concatenate([k for k, *_ in out]), np.concatenate([s for *_, s in out])
-            return pa.RecordBatch.from_arrays([
-                pa.array(keys.view(np.int64)), pa.array(np.repeat(np.array([x[1] for x in out], np.int64), n)),
-                pa.array(np.repeat(np.array([x[2] for x in out], np.int32), n)), pa.array(slack.astype(np.int32))], schema=_ENTRIES)
+            each = lambda i, kind: pa.array(np.repeat(np.array([x[i] for x in out], kind), n))
+            keys, slack = np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), each(2, np.int64), each(3, np.int32), pa.array(slack.astype(np.int32)),
+                                               each(4, np.int32)], schema=_ENTRIES)
 
         for b in batches:
             for _, tokens, node in _sets(b, hasher):
                 if len(tokens) >= 3 and once(node):  # smaller sets are linked by being equal only
-                    keys, slack = _keys(tokens, bitmap)
-                    out.append((keys, node, len(tokens), slack))
+                    keys, slack, singles = _keys(tokens, bitmap)
+                    out.append((keys, slack, node, len(tokens), singles))
                     held += len(keys)
                     if held > 200_000:
                         yield flush()
@@ -135,23 +143,37 @@ def _entries(frequent):
     return entries
 
 
-def _token_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher = Hasher()
-    for b in batches:
-        rows = [(node, len(tokens), tokens.tobytes()) for _, tokens, node in _sets(b, hasher)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _SETS.types, strict=True)] if rows
-                                         else [pa.array([], t) for t in _SETS.types], schema=_SETS)
+def _token_sets(needed):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, once, bitmap = Hasher(), _Once(), needed.value
+        for b in batches:
+            rows = [(node, len(tokens), _packed(tokens)) for _, tokens, node in _sets(b, hasher)
+                    if int(bitmap[node >> 6 & NODE_WORDS - 1]) >> (node & 63) & 1 and once(node)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _SETS.types, strict=True)] if rows
+                                             else [pa.array([], t) for t in _SETS.types], schema=_SETS)
+
+    return sets
+
+
+def _packed(tokens: np.ndarray) -> bytes:
+    """The upper 40 bits of each token: first 32 bits of all, then 8 bits of all."""
+    high = np.unique(tokens >> np.uint64(24))
+    return (high >> np.uint64(8)).astype(np.uint32).tobytes() + (high & np.uint64(255)).astype(np.uint8).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n = len(data) // 5
+    return np.frombuffer(data, np.uint32, n).astype(np.uint64) << np.uint64(8) | np.frombuffer(data, np.uint8, n, 4 * n)
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         keep = []
-        for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.concatenate((x, y))
+        for x, y, n, m in zip(*(b.column(c).to_pylist() for c in ("x", "y", "n", "m")), strict=True):
+            both = np.concatenate((_unpacked(x), _unpacked(y)))
             both.sort(kind="stable")
             shared = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * shared >= NUMERATOR * (len(both) - shared))
+            keep.append(100 * shared >= NUMERATOR * (n + m - shared))
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -159,11 +181,26 @@ def _size_fits(n: Column, m: Column) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * NUMERATOR
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links."""
-    side = lambda node, tokens: sets.select(F.col("node").alias(node), F.col("tokens").alias(tokens))
-    both = pairs.select("a", "b").join(side("b", "y"), "b").join(side("a", "x"), "a")
-    return write_table(both.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long"), "jaccard-links")
+def _enough(shared: Column, n: Column, m: Column) -> Column:
+    """Whether two sets of ``n`` and ``m`` that share no more than ``shared`` can be linked."""
+    return shared * (100 + NUMERATOR) >= (n + m) * NUMERATOR
+
+
+def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are links.
+
+    Sets are made anew from the texts, only for nodes that a bounded bitmap
+    lets pass, and dealt out by node once for both ends.
+    """
+    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    words = needed.groupBy(F.expr(f"(node >> 6) & {NODE_WORDS - 1}").alias("at")).agg(F.expr("bit_or(shiftleft(1L, int(node & 63)))").alias("bits")).toPandas()
+    bitmap = np.zeros(NODE_WORDS, np.int64)
+    bitmap[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    sets = (texts.mapInArrow(_token_sets(texts.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))), "node long, n int, tokens binary")
+            .repartition("node").dropDuplicates(["node"]))
+    side = lambda node, n, tokens: sets.select(F.col("node").alias(node), F.col("n").alias(n), F.col("tokens").alias(tokens))
+    both = pairs.select("a", "b").join(side("b", "m", "y"), "b").join(side("a", "n", "x"), "a")
+    return write_table(both.select("a", "b", "x", "y", "n", "m").mapInArrow(_linked, "a long, b long"), "jaccard-links")
 
 
 def _frequent_classes(found: DataFrame):
@@ -190,58 +227,68 @@ def near_groups(docs: DataFrame, with_groups: bool = False) -> DataFrame:
 
     # Entries that share a key, each with those it is paired with.
     order = W.partitionBy("key").orderBy(F.col("slack").desc(), "node")
-    one = F.struct("node", "n", "slack")
-    entries = (texts.mapInArrow(_entries(frequent), "key long, node long, n int, slack int")
+    one = F.struct("node", "n", "slack", "singles")
+    entries = (texts.mapInArrow(_entries(frequent), "key long, node long, n int, slack int, singles int")
                .repartition("key").dropDuplicates(["key", "node"]))
     met = entries.withColumns({"m": F.count("*").over(W.partitionBy("key")), "first": F.first(one).over(order),
                                **{f"before{i}": F.lag(one, i).over(order) for i in range(1, NEIGHBOURS + 1)}}).where("m > 1")
     near = F.array_distinct(F.array("first", *(f"before{i}" for i in range(1, NEIGHBOURS + 1))))
-    viable = F.filter(near, lambda p: p.isNotNull() & (p["node"] != F.col("node")) & (p["slack"] + F.col("slack") >= 0)
-                      & _size_fits(p["n"], F.col("n")))
-    met = write_table(met.select("key", "node", "n", "slack", "m", F.col("first.slack").alias("top"),
-                                 F.transform(viable, lambda p: p["node"]).alias("near")), "jaccard-met")
-    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    pairs = write_table(met.select("node", F.explode("near").alias("other")).groupBy(*pair(F.col("node"), F.col("other")))
-                        .agg(F.count("*").alias("shared")), "jaccard-pairs")
-
-    # Each node with its most promising partner first, then the pairs that would still join components.
-    ends = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "shared").union(pairs.select("b", "a", "shared"))
-    best = ends.groupBy("x").agg(F.max_by("y", F.struct("shared", "y")).alias("y")).select(*pair(F.col("x"), F.col("y"))).distinct()
-    large = met.where(F.col("m") > NEIGHBOURS + 2).where("slack + top >= 0").select("key", "node", "n", "slack")
-    needed = ends.select(F.col("x").alias("node")).union(large.select("node")).distinct()
-    ids = rows.join(needed, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    chosen = texts.join(ids.select("doc_id").distinct().hint("shuffle_hash"), "doc_id", "left_semi")
-    nameless = rows.where("doc_id is null").select("node").join(needed, "node", "left_semi").limit(1)
-    if not nameless.isEmpty():  # texts without an id can't be fetched by it
-        chosen = chosen.union(texts.where("doc_id is null"))
-    sets = chosen.mapInArrow(_token_sets, "node long, n int, tokens binary").join(needed, "node", "left_semi")
-    sets = write_table(sets.select("node", "tokens").dropDuplicates(["node"]), "jaccard-sets")
-    links = _verify(best, sets)
+    left = lambda n, slack: n - ((n - slack) / 7).cast("int")
+    meets = lambda n, slack, m, other: _size_fits(n, m) & _enough(F.least(left(n, slack), left(m, other)), n, m)
+    near = F.filter(near, lambda p: p.isNotNull() & (p["node"] != F.col("node")) & _size_fits(p["n"], F.col("n")))
+    large = F.col("m") > NEIGHBOURS + 2
+    met = write_table(met.select("key", "node", "n", "slack", "singles", large.alias("large"), F.col("first.slack").alias("top"), near.alias("near"))
+                      .where((F.size("near") > 0) | F.col("large")), "jaccard-met")
+
+    # Candidate pairs a < b with the positions of the last shared token in both.
+    single = F.col("key") % 2 == 0
+    at = lambda n, slack: F.when(single, ((n - slack) / 7).cast("int"))
+    end = lambda of: F.struct(*(F.col(of + c).alias(c) for c in ("node", "n", "singles")),
+                              at(F.col(of + "n"), F.col(of + "slack")).alias("at"))
+    ends = met.select("node", "key", "n", "slack", "singles", "large", F.explode("near").alias("o"))
+    ends = ends.select(end("").alias("x"), end("o.").alias("y"), (single & ~F.col("large")).cast("int").alias("seen"),
+                       meets(*map(F.col, ("n", "slack", "o.n", "o.slack"))).alias("first"))
+    lower = F.col("x.node") < F.col("y.node")
+    ends = ends.select(F.when(lower, F.col("x")).otherwise(F.col("y")).alias("x"), F.when(lower, F.col("y")).otherwise(F.col("x")).alias("y"), "seen", "first")
+    pairs = ends.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(
+        F.max("x.n").alias("n"), F.max("y.n").alias("m"), F.sum("seen").alias("seen"), F.bool_or("first").alias("first"),
+        F.max(F.when(F.col("first"), F.col("x.at"))).alias("i"), F.max(F.when(F.col("first"), F.col("y.at"))).alias("j"),
+        F.max(F.col("x.n") - F.col("x.singles")).alias("after_a"), F.max(F.col("y.n") - F.col("y.singles")).alias("after_b"))
+    hidden = write_table(met.where(F.col("large") & single).groupBy("node").agg(F.count("*").alias("hidden")), "jaccard-hidden")
+
+    def could(pairs: DataFrame) -> DataFrame:
+        """With ``most``: what the prefixes of a and b can share at most, by the ``seen`` tokens and larger keys."""
+        of = lambda end: hidden.select(F.col("node").alias(end), F.col("hidden").alias(f"hidden_{end}"))
+        most = F.col("seen") + F.least(F.coalesce("hidden_a", F.lit(0)), F.coalesce("hidden_b", F.lit(0)))
+        return (pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").withColumn("most", most)
+                .withColumn("keep", _enough(F.col("most") + F.greatest("after_a", "after_b"), F.col("n"), F.col("m"))))
+
+    after = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) - 1
+    keep = F.col("keep") & (F.col("i").isNull() | _enough(F.col("most") + after, F.col("n"), F.col("m")))
+    tried = write_table(could(pairs).select("a", "b", "first", "seen", keep.alias("keep")), "jaccard-pairs")
+    pairs = tried.where("keep and first").select("a", "b")
+    links = _verify(pairs, texts)
 
     def labels(links: DataFrame) -> DataFrame:
         return write_table(connected_components(links), "jaccard-labels")
 
-    def across(candidates: DataFrame, label: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose ends are in different components."""
-        side = lambda end: label.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
-        both = candidates.join(side("a"), "a", "left").join(side("b"), "b", "left")
-        return both.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
-
-    label = labels(links)
-    links = links.union(_verify(across(pairs.join(best, ["a", "b"], "left_anti"), label), sets))
     label = labels(links)
 
     # Keys with more entries: what the slack allows between different components and was not tried yet.
-    held = large.join(label, "node", "left").withColumn("of", F.coalesce("component", "node")).drop("component")
+    held = met.where("large and slack + top >= 0").select("key", "node", "n", "slack", "singles")
+    held = held.join(label, "node", "left").withColumn("of", F.coalesce("component", "node")).drop("component")
     mixed = held.groupBy("key").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo <> hi").select("key")
     held = write_table(held.join(mixed, "key", "left_semi"), "jaccard-large")
-    if not held.isEmpty():
-        other = held.select("key", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "slack", "of")))
-        rest = (held.join(other, "key").where("node < node2 and of <> of2 and slack + slack2 >= 0")
-                .where(_size_fits(F.col("n"), F.col("n2"))).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
-                .join(pairs, ["a", "b"], "left_anti"))
-        links = links.union(_verify(rest, sets))
-        label = labels(links)
+    other = held.select("key", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "slack", "singles", "of")))
+    rest = (held.join(other, "key").where("node < node2 and of <> of2").where(meets(*map(F.col, ("n", "slack", "n2", "slack2"))))
+            .select(F.col("node").alias("a"), F.col("node2").alias("b"), "n", F.col("n2").alias("m"), (F.col("n") - F.col("singles")).alias("after_a"),
+                    (F.col("n2") - F.col("singles2")).alias("after_b")).distinct()
+            .join(tried, ["a", "b"], "left").where("first is null or (keep and not first)")  # met at no key that could be their first
+            .withColumn("seen", F.coalesce("seen", F.lit(0))).drop("keep", "first"))
+    rest = could(rest).where("keep").select("a", "b")
+    rest = write_table(rest, "jaccard-rest")
+    if not rest.isEmpty():
+        label = labels(links.union(_verify(rest, texts)))
 
     sets_of = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     placed = sets_of.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
