@@ -205,7 +205,7 @@ def _leaks_of(index) -> Column:
                 out.append([dict(zip(("item_id", "start", "kept", "windows", "verbatim"), x, strict=True)) for x in found.values()])
             yield pd.Series(out)
 
-    return leaks(F.col("text"))
+    return leaks.asNondeterministic()(F.col("text"))  # else the planner may run it twice: in a filter and for its value
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:

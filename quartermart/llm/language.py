@@ -113,7 +113,7 @@ def with_language(docs: DataFrame, profiles: dict[str, np.ndarray], profile_size
                 out.append((langs[best[0]], float(1 - far[best[0]] / (profile_size * len(own))), langs[best[1]] if len(langs) > 1 else None))
             yield pd.DataFrame(out, columns=["lang_pred", "score", "runner_up"])
 
-    return unpack(pack(docs, "text").withColumn("found", judge(F.col("text"))), docs.columns, ["text"], ["found"])
+    return unpack(pack(docs, "text").withColumn("found", judge.asNondeterministic()(F.col("text"))), docs.columns, ["text"], ["found"])
 
 
 def identify(docs: DataFrame, profiles: dict[str, np.ndarray], profile_size: int = PROFILE_SIZE) -> DataFrame:
