@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -58,6 +59,24 @@ def window_starts(n: int) -> np.ndarray:
     return np.unique(np.append(np.arange(0, n - WINDOW, STRIDE), n - WINDOW))
 
 
+class Words(NamedTuple):
+    """Distinct words: bucket of each, buckets of all their trigrams in a row, number of trigrams of each."""
+
+    word: np.ndarray
+    tri: np.ndarray
+    n: np.ndarray
+
+    @classmethod
+    def of(cls, keys: list[tuple[int, list[int]]]) -> Words:
+        return cls(np.array([w for w, _ in keys], np.int32), np.array([t for _, ts in keys for t in ts], np.int32),
+                   np.array([len(ts) for _, ts in keys], np.int64))
+
+    def take(self, rows: np.ndarray) -> Words:
+        n = self.n[rows]
+        first = np.repeat((np.cumsum(self.n) - self.n)[rows] - (np.cumsum(n) - n), n)
+        return Words(self.word[rows], self.tri[first + np.arange(len(first))], n)
+
+
 def _sum_rows(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     """Sums of the rows of ``values`` that share an index."""
     out = np.zeros((size, values.shape[1]), np.float32)
@@ -82,16 +101,11 @@ class Network:
                   "out": make(2 * h, s=0.3), "out_b": np.zeros(1, np.float32)}
         self.p["word"][0] = self.p["tri"][0] = 0
 
-    def inputs(self, keys: list[tuple[int, list[int]]]) -> tuple:
-        """(features, buckets of words, padded trigram buckets, their numbers)."""
-        n = np.array([len(t) for _, t in keys])
-        tri = np.zeros((len(keys), n.max()), np.int64)
-        tri[np.arange(tri.shape[1]) < n[:, None]] = np.concatenate([t for _, t in keys])
-        word = np.array([w for w, _ in keys])
-        return self.features(word, tri, n), word, tri, n
-
-    def features(self, word, tri, n):
-        return np.concatenate((self.p["word"][word], self.p["tri"][tri].sum(1) / n[:, None].astype(np.float32)), 1)
+    def features(self, words: Words) -> np.ndarray:
+        """Word vector and mean trigram vector of each word."""
+        first = np.cumsum(words.n) - words.n
+        mean = np.add.reduceat(self.p["tri"][words.tri], first) / words.n[:, None].astype(np.float32)
+        return np.concatenate((self.p["word"][words.word], mean), 1)
 
     def project(self, x: np.ndarray) -> np.ndarray:
         """Input side of both layers: (words, 2, 3 h)."""
@@ -134,10 +148,10 @@ class Network:
     def logits(self, proj: np.ndarray, rows: np.ndarray, mask: np.ndarray | None) -> np.ndarray:
         return self.pool(self.states(proj, rows, mask), mask)[2]
 
-    def gradient(self, word, tri, n, rows, mask, y, weight) -> dict:
-        """Gradient of the weighted log loss over windows ``rows`` (indices into word, tri, n)."""
-        p, h2, b = self.p, 2 * HIDDEN, len(rows)
-        x = self.features(word, tri, n)
+    def gradient(self, words: Words, rows, mask, y, weight) -> dict:
+        """Gradient of the weighted log loss over windows ``rows`` (indices into ``words``)."""
+        p, b = self.p, len(rows)
+        x = self.features(words)
         keep: list = []
         out = self.states(self.project(x), rows, mask, keep)
         a, pooled, logit = self.pool(out, mask)
@@ -165,8 +179,8 @@ class Network:
             dproj = _sum_rows(rows.T.ravel(), dside.reshape(-1, 3 * HIDDEN), len(x))
             g["in"][d], g["in_b"][d] = x.T @ dproj, dproj.sum(0)
             dx += dproj @ p["in"][d].T
-        g["word"] = (word, dx[:, :EMBED])
-        g["tri"] = (tri, n, dx[:, EMBED:])
+        g["word"] = (words.word, dx[:, :EMBED])
+        g["tri"] = (words.tri, np.repeat(dx[:, EMBED:] / words.n[:, None].astype(np.float32), words.n, axis=0))
         return g
 
 
@@ -178,14 +192,7 @@ class _Adam:
         self.t += 1
         fix = (1 - 0.999 ** self.t) ** 0.5 / (1 - 0.9 ** self.t)
         for k in p:
-            if k == "word":
-                dense = _sum_rows(*g[k], len(p[k]))
-            elif k == "tri":
-                tri, n, d = g[k]
-                some = np.arange(tri.shape[1]) < n[:, None]
-                dense = _sum_rows(tri[some], np.repeat(d / n[:, None].astype(np.float32), n, axis=0), len(p[k]))
-            else:
-                dense = g[k]
+            dense = _sum_rows(*g[k], len(p[k])) if k in ("word", "tri") else g[k]
             self.m[k] += 0.1 * (dense - self.m[k])
             square = dense * dense
             if k in ("word", "tri"):  # one scale for the table: rare words move little, words of many windows much
@@ -217,12 +224,12 @@ def train(texts: list[str], y: np.ndarray, share: float, seed: int = 7) -> tuple
     """(network, slope, offset): the fit over ``texts`` with labels ``y``; ``share``: of label 1 among all rows."""
     net, r = Network(seed), np.random.default_rng(seed)
     keys, rows, mask, doc = _windows(texts)
-    _, word, tri, n = net.inputs(keys)
+    words = Words.of(keys)
     adam, yw = _Adam(net.p), y[doc].astype(np.float32)
     balance = np.where(yw == 1, 0.5 / max(y.mean(), 1e-6), 0.5 / max(1 - y.mean(), 1e-6)).astype(np.float32)
 
     def all_logits() -> np.ndarray:
-        proj = net.project(net.features(word, tri, n))
+        proj = net.project(net.features(words))
         return np.concatenate([net.logits(proj, rows[i:i + _AT_ONCE], mask[i:i + _AT_ONCE]) for i in range(0, len(rows), _AT_ONCE)])
 
     def place_in_doc(value: np.ndarray) -> np.ndarray:
@@ -245,7 +252,7 @@ def train(texts: list[str], y: np.ndarray, share: float, seed: int = 7) -> tuple
             w = picked[i:i + BATCH]
             own, local = np.unique(rows[w], return_inverse=True)
             rate = RATE * min(1.0, 2 * (1 - epoch / EPOCHS))
-            adam.step(net.p, net.gradient(word[own], tri[own], n[own], local.reshape(len(w), -1), mask[w], yw[w], balance[w]), rate)
+            adam.step(net.p, net.gradient(words.take(own), local.reshape(len(w), -1), mask[w], yw[w], balance[w]), rate)
     best = np.full(len(texts), -20.0)
     np.maximum.at(best, doc, all_logits())
     weight = np.where(y == 1, share / max(y.mean(), 1e-6), (1 - share) / max(1 - y.mean(), 1e-6))
@@ -288,7 +295,7 @@ def score(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
             return
         net, slope, offset = sent.value
         width = 3 * HIDDEN
-        empty = net.project(net.inputs([(0, [0])])[0]).reshape(1, 2 * width)
+        empty = net.project(net.features(Words.of([(0, [0])]))).reshape(1, 2 * width)
         memo, proj = {}, empty
 
         def logits(rows: list[np.ndarray]) -> np.ndarray:
@@ -327,7 +334,7 @@ def score(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
                             proj = np.concatenate((proj, np.zeros((max(len(proj), len(memo) + 1 - len(proj)), 2 * width), np.float32)))
                         for j in range(0, len(new), 20_000):
                             keys = [word_keys(w) for w in new[j:j + 20_000]]
-                            proj[first + j:first + j + len(keys)] = net.project(net.inputs(keys)[0]).reshape(-1, 2 * width)
+                            proj[first + j:first + j + len(keys)] = net.project(net.features(Words.of(keys))).reshape(-1, 2 * width)
                     seq = np.fromiter(map(memo.__getitem__, part), np.int64, len(part))
                     starts = window_starts(len(seq))
                     span = starts[:, None] + np.arange(WINDOW)
