@@ -9,11 +9,16 @@ Chunks that occur more than once in the corpus, found by digest and then
 compared byte by byte, stay at their first occurrence (smallest doc_id, then
 place) and are removed elsewhere.
 
+Chunks of lines miss most passages of a few lines only. With ``passage_words``
+all repeated passages of that many words go too, wherever their lines begin
+and end (``passages.py``). Both rules look at the whole texts and keep what
+comes first in one order, so every text that is taken out stays somewhere.
+
 Defined results: a null or empty text stays as it is; null ids come last; rows
 that repeat both id and text are one document, and each row keeps what it
 keeps; chunks without any word are never removed; the same line repeated
 gives no boundary; an empty table gives an empty result; other columns pass
-through, those named n_lines or removed are replaced.
+through, those named n_lines or removed (and passages, if asked for) are replaced.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, pack, unpack, write_table
+from .passages import repeated_words, without
 
 BASE, MODULUS = 131, (1 << 31) - 1
 _SPAN = 1 << 31  # a chunk is named start * _SPAN + end
@@ -78,8 +84,22 @@ def _kept(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]
         yield pd.Series(out, dtype=object)
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with repeated chunks taken out of ``text``; adds ``n_lines`` and ``removed`` (line ranges)."""
+def _without(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """The text without the named chunks and the word ranges; null for null ranges."""
+    for texts, names, words in batches:
+        out = []
+        for text, chunks, ranges in zip(texts, names, words, strict=True):
+            lines = [(int(c) // _SPAN, int(c) % _SPAN) for c in (() if chunks is None else chunks)]
+            out.append(None if ranges is None else without(text, lines, [(int(r["start"]), int(r["end"])) for r in ranges]))
+        yield pd.Series(out, dtype=object)
+
+
+def dedup_lines(docs: DataFrame, passage_words: int | None = None) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with repeated chunks taken out of ``text``; adds ``n_lines`` and ``removed`` (line ranges).
+
+    With ``passage_words``, repeated passages of so many words are taken out
+    too, and ``passages`` has their word ranges.
+    """
     fp = F.md5(F.coalesce("text", F.lit("")))
     keyed = pack(docs, "doc_id", "text").withColumn("_doc", F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), fp))
     own = keyed.select("doc_id", "_doc", "text")
@@ -105,5 +125,13 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     ranges = F.transform(F.coalesce("_gone", F.array().cast("array<bigint>")), lambda c: F.struct(
         F.floor(c / F.lit(_SPAN)).cast("int").alias("start"), (c % F.lit(_SPAN)).cast("int").alias("end")))
     d = d.withColumns({"_left": left, "n_lines": F.coalesce(lines, F.lit(0)), "removed": ranges})
+    own_columns = ["n_lines", "removed"]
+    if passage_words:
+        d = d.join(repeated_words(own, passage_words).hint("shuffle_hash"), "_doc", "left")
+        cut = F.pandas_udf(_without, "string").asNondeterministic()(F.when(F.col("_words").isNotNull(), F.col("text")), F.col("_gone"), F.col("_words"))
+        d = d.withColumn("passages", F.coalesce("_words", F.array().cast("array<struct<start: bigint, end: bigint>>"))).withColumn("_cut", cut)
+        d = d.withColumn("_left", F.when(F.col("_words").isNotNull(), F.col("_cut")).otherwise(F.col("_left")))
+        d = d.withColumn("_gone", F.coalesce(F.col("_gone"), F.when(F.col("_words").isNotNull(), F.array().cast("array<bigint>"))))
+        own_columns.append("passages")
     d = d.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.col("_left")))
-    return unpack(d, docs.columns, ["doc_id", "text"], ["n_lines", "removed"])
+    return unpack(d, docs.columns, ["doc_id", "text"], own_columns)

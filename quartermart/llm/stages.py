@@ -22,6 +22,8 @@ from .mixing import mix
 
 #: Documents whose profile is farther from every language are rejected; prose scores 0.35 and more.
 MIN_LANGUAGE_SCORE = 0.2
+#: Repeated passages of so many words and more go, in whatever lines they stand.
+PASSAGE_WORDS = 50
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,11 +34,12 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes repeated chunks of lines out of the texts; a document that loses all its words goes."""
+    """Takes repeated chunks of lines and repeated passages out of the texts; a document that loses all its words goes."""
     needed = ["doc_id", "text", "n_chars"]
-    lines = dedup_lines(pack(docs, *needed))
-    lines = lines.where((F.size("removed") == 0) | F.col("text").rlike(WORD))
-    n = F.when(F.size("removed") == 0, F.col("n_chars")).otherwise(F.length("text"))
+    lines = dedup_lines(pack(docs, *needed), PASSAGE_WORDS)
+    same = (F.size("removed") == 0) & (F.size("passages") == 0)
+    lines = lines.where(same | F.col("text").rlike(WORD))
+    n = F.when(same, F.col("n_chars")).otherwise(F.length("text"))
     return unpack(lines.withColumn("n_chars", n), docs.columns, needed)
 
 
