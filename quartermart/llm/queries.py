@@ -33,7 +33,8 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_tokens")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, max_word_bytes=None).select("doc_id", "n_words", "n_tokens")
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,10 @@ The vocabulary becomes a byte trie. Every state has a failure link and the
 number of pieces that following the link gives up ("pops"), so a word is
 counted in one pass over its bytes: match a byte if the trie goes on, else add
 the pops of the state and go on from its link. No piece is ever built. A word
-that the vocabulary can't spell counts as one unknown piece, as does a word
-longer than ``max_word_bytes``; that is the usual rule of word pieces.
+that the vocabulary can't spell counts as one unknown piece. Words of any
+length are counted, text in scripts without spaces too. ``max_word_bytes``
+gives the usual cap of word pieces, by which a longer word is one unknown
+piece; None is no cap, and so the query has it.
 
 Vocabularies are public byte-level files (``token rank`` lines, the token in
 base 64): a token with a leading space starts a word, one without white space
@@ -30,7 +32,7 @@ from .common import pack, unpack
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MAX_WORD_BYTES = 200
-_MEMO = 200_000
+_MEMO, _MEMO_BYTES = 200_000, 200
 
 
 def load_vocabulary(path: str = VOCABULARY) -> tuple[set[bytes], set[bytes]]:
@@ -102,19 +104,24 @@ class Automaton:
 
 
 def count_tokens(docs: DataFrame, vocabulary: tuple[set[bytes], set[bytes]] | None = None,
-                 max_word_bytes: int = MAX_WORD_BYTES) -> DataFrame:
-    """``docs`` with ``n_words`` and ``n_tokens`` of ``text``; the vocabulary bounds what is sent out."""
+                 max_word_bytes: int | None = MAX_WORD_BYTES) -> DataFrame:
+    """``docs`` with ``n_words`` and ``n_tokens`` of ``text``; the vocabulary bounds what is sent out.
+
+    Words longer than ``max_word_bytes`` count as one token; None counts every word's pieces.
+    """
     model = docs.sparkSession.sparkContext.broadcast(Automaton(*(vocabulary or load_vocabulary())))
 
     @F.pandas_udf("n_words long, n_tokens long")
     def counts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         automaton = model.value
 
-        class Memo(dict):  # repeated words are counted once; emptied when full
+        class Memo(dict):  # repeated words are counted once; emptied when full; long words don't enter
             def __missing__(self, word):
+                if len(word) > _MEMO_BYTES:
+                    return automaton.count(word) if max_word_bytes is None or len(word) <= max_word_bytes else 1
                 if len(self) >= _MEMO:
                     self.clear()
-                n = self[word] = automaton.count(word) if len(word) <= max_word_bytes else 1
+                n = self[word] = automaton.count(word) if max_word_bytes is None or len(word) <= max_word_bytes else 1
                 return n
 
         memo = Memo().__getitem__
