@@ -5,7 +5,10 @@ become typed placeholders, other words lose case and outer punctuation. A
 capitalised word is a name unless its lower-case form occurs as a word of the
 benchmark. Hashes of windows of ``WINDOW`` template words of a document are
 looked up among those of the benchmark items; hits of one item at one shift
-form an alignment. Its slots must be consistent: a value that fills
+form an alignment, and so does a chain of hits of neighbouring shifts in which
+both places grow: names side by side are one name and a number and its unit
+are one, so a slot may get another number of words, and further words may be
+put in (shifts may drift by the item's length). Its slots must be consistent: a value that fills
 placeholders of the item may be replaced by one other value throughout, so
 windows whose slot disagrees with the usual replacement do not count. An
 alignment that keeps at least half of the item's windows is a leak, whether
@@ -27,6 +30,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -116,6 +120,58 @@ def windows(template: np.ndarray, size: int = WINDOW) -> np.ndarray:
     return mix(h)
 
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def collapse(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names side by side as one name, a number and its unit as one; and the place of each one's first word."""
+    kind = ids[:, 0]
+    joins = (kind[1:] == NAME) & (kind[:-1] == NAME) | (kind[1:] == UNIT) & (kind[:-1] == NUMBER)
+    if not joins.any():
+        return ids, np.arange(len(ids))
+    first = np.flatnonzero(np.concatenate(([True], ~joins)))
+    size = np.diff(np.append(first, len(ids)))
+    nth = (np.arange(len(ids)) - np.repeat(first, size)).astype(np.uint64)
+    out = ids[first]
+    out[(size > 1) & (out[:, 0] == NUMBER), 0] = NUMBER_UNIT
+    with np.errstate(over="ignore"):
+        value = np.add.reduceat(mix(ids[:, 1] + nth * _ODD), first)
+    out[:, 1] = np.where(size > 1, value | np.uint64(16), out[:, 1])
+    return out, first
+
+
+class Table:
+    """Hashes of windows with the item and the place they stand at."""
+
+    def __init__(self, rows: list[tuple[int, int, np.ndarray, np.ndarray]]):
+        """``rows``: item, window size, places, hashes."""
+        none = np.zeros(0, np.int64)
+        h = np.concatenate([r[3] for r in rows]) if rows else none.astype(np.uint64)
+        order = np.argsort(h, kind="stable")
+        self.hashes = h[order]
+        self.owner = np.concatenate([np.full(len(r[2]), r[0]) for r in rows])[order] if rows else none
+        self.place = np.concatenate([r[2] for r in rows])[order] if rows else none
+        self.sizes = sorted({r[1] for r in rows if len(r[2])})
+        self.size_of = {r[0]: r[1] for r in rows}
+        self.maybe = np.zeros(1 << 21, bool)
+        self.maybe[(self.hashes >> np.uint64(43)).astype(np.int64)] = True
+
+    def hits(self, values: np.ndarray) -> dict[int, dict[int, set[int]]]:
+        """item -> shift -> places of the item's windows found in ``values``."""
+        found: dict[int, dict[int, set[int]]] = {}
+        for size in self.sizes:
+            h = windows(values, size)
+            pos = np.flatnonzero(self.maybe[(h >> np.uint64(43)).astype(np.int64)])
+            if not len(pos):
+                continue
+            lo, hi = np.searchsorted(self.hashes, h[pos], "left"), np.searchsorted(self.hashes, h[pos], "right")
+            for p, a, b in zip(pos[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
+                for o, j in zip(self.owner[a:b].tolist(), self.place[a:b].tolist()):
+                    if self.size_of[o] == size:
+                        found.setdefault(o, {}).setdefault(p - j, set()).add(j)
+        return found
+
+
 class Index:
     """Windows of the items of one slice."""
 
@@ -123,62 +179,89 @@ class Index:
         raw = [(i, [w for w in (text or "").encode().split()]) for i, text in items]
         self.common = frozenset(s for _, ws in raw for w in ws if (s := w.decode("utf-8", "replace").strip(_EDGE)) and s == s.lower())
         template = Templates(self.common)
-        self.items, hashes, owner, place = [], [], [], []
-        for item, ws in raw:
-            ids = template(ws) if ws else np.zeros((0, 2), np.uint64)
-            ids = ids[ids[:, 0] != 0]
+        self.items, likes = [], []
+        self.longest = 0
+        for o, (item, ws) in enumerate(raw):
+            words = template(ws) if ws else np.zeros((0, 2), np.uint64)
+            words = words[words[:, 0] != 0]
+            ids, _ = collapse(words)
             size = min(WINDOW, len(ids))
             ordinary = ids[:, 0] > NAME
-            use = np.array([j for j in range(len(ids) - size + 1) if ordinary[j:j + size].sum() >= min(LITERALS, size)], np.int64) if size else []
+            n = len(ids) - size + 1 if size else 0
+            use = np.array([j for j in range(n) if ordinary[j:j + size].sum() >= min(LITERALS, size)], np.int64)
             self.items.append((item, ids, size, len(use)))
+            self.longest = max(self.longest, len(words))
             if len(use):
-                hashes.append(windows(ids[:, 0], size)[use])
-                owner.append(np.full(len(use), len(self.items) - 1))
-                place.append(use)
-        h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        order = np.argsort(h, kind="stable")
-        self.hashes = h[order]
-        self.owner, self.place = (np.concatenate(x)[order] if hashes else np.zeros(0, np.int64) for x in (owner, place))
-        self.sizes = sorted({size for _, _, size, n in self.items if n})
-        self.longest = max((len(ids) for _, ids, *_ in self.items), default=0)
-        self.maybe = np.zeros(1 << 21, bool)
-        self.maybe[(self.hashes >> np.uint64(43)).astype(np.int64)] = True
+                likes.append((o, size, use, windows(ids[:, 0], size)[use]))
+        self.likes = Table(likes)
 
 
-def _consistent(item: np.ndarray, doc: np.ndarray, at: list[int], size: int) -> tuple[int, bool]:
-    """(windows at places ``at`` whose slots agree with the usual replacement, whether nothing was replaced)."""
-    covered = sorted({j for p in at for j in range(p, p + size)})
+def _consistent(item: np.ndarray, doc: np.ndarray, at: list[tuple[int, int]], size: int) -> tuple[int, bool]:
+    """(windows ``at`` (place in the item, place in the text) whose slots agree with the usual replacement, whether nothing was replaced)."""
+    covered = sorted({(j + k, p + k) for j, p in at for k in range(size)})
     used = defaultdict(Counter)
-    for j in covered:
+    for j, p in covered:
         if item[j, 0] <= NAME:
-            used[int(item[j, 0]), int(item[j, 1])][int(doc[j, 1])] += 1
+            used[int(item[j, 0]), int(item[j, 1])][int(doc[p, 1])] += 1
     usual = {k: max(c, key=lambda v: (c[v], v)) for k, c in used.items()}
-    good = [j for j in covered if item[j, 0] > NAME or usual[int(item[j, 0]), int(item[j, 1])] == int(doc[j, 1])]
-    ok = set(good)
-    kept = [p for p in at if all(j in ok for j in range(p, p + size))]
-    return len(kept), all(item[j, 1] == doc[j, 1] for p in kept for j in range(p, p + size))
+    ok = {(j, p) for j, p in covered if item[j, 0] > NAME or usual[int(item[j, 0]), int(item[j, 1])] == int(doc[p, 1])}
+    kept = [(j, p) for j, p in at if all((j + k, p + k) in ok for k in range(size))]
+    return len(kept), all(item[j + k, 1] == doc[p + k, 1] for j, p in kept for k in range(size))
+
+
+def _chain(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Most (place in the item, place in the text) in which both grow."""
+    tails, ends, before = [], [], {}
+    for j, p in sorted(pairs, key=lambda x: (x[1], -x[0])):
+        k = bisect_left(tails, j)
+        before[j, p] = ends[k - 1] if k else None
+        tails[k:k + 1], ends[k:k + 1] = [j], [(j, p)]
+    out, at = [], ends[-1] if ends else None
+    while at is not None:
+        out.append(at)
+        at = before[at]
+    return out[::-1]
+
+
+def _best_alignment(words: np.ndarray, ids: np.ndarray, size: int, n: int, shifts: dict[int, set[int]], share: float) -> tuple[int, int, bool] | None:
+    """(windows kept, start, nothing replaced) of the best alignment with ``share`` of the ``n`` windows."""
+    least, best = share * n, None
+    if len(set().union(*shifts.values())) < least:
+        return None
+    found = {s: [(j, j + s) for j in sorted(shifts[s])] for s in sorted(shifts)}
+
+    def judge(at):
+        nonlocal best
+        if len(at) >= least and (best is None or len(at) > best[0]):
+            kept, same = _consistent(words, ids, at, size)
+            start = at[0][1] - at[0][0]
+            if kept >= least and (best is None or (kept, -start) > (best[0], -best[1])):
+                best = kept, start, same
+
+    for at in found.values():
+        judge(at)
+    if len(found) > 1 and (best is None or best[0] < n):
+        # Chains over neighbouring shifts: bands that overlap by half hold all drifts up to the item's length.
+        step, bands = max(8, len(words)), defaultdict(list)
+        for s in found:
+            bands[s // step].append(s)
+            bands[s // step - 1].append(s)
+        for band in bands.values():
+            if len(band) > 1 and len({j for s in band for j, _ in found[s]}) >= least:
+                judge(_chain([x for s in band for x in found[s]]))
+    return best
 
 
 def find_leaks(ids: np.ndarray, index: Index, share: float = SHARE) -> list[tuple]:
-    """(item, shift, windows kept, windows of the item, word for word) for every leak in the words ``ids``."""
-    hits = defaultdict(set)
-    for size in index.sizes:
-        h = windows(ids[:, 0], size)
-        pos = np.flatnonzero(index.maybe[(h >> np.uint64(43)).astype(np.int64)])
-        lo, hi = np.searchsorted(index.hashes, h[pos], "left"), np.searchsorted(index.hashes, h[pos], "right")
-        for p, a, b in zip(pos[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
-            for k in range(a, b):
-                if index.items[index.owner[k]][2] == size:
-                    hits[int(index.owner[k]), p - int(index.place[k])].add(int(index.place[k]))
-    best = {}
-    for (o, shift), places in hits.items():
+    """(item, start, windows kept, windows of the item, word for word) for every leak in the words ``ids``."""
+    leaks = {}
+    like, first = collapse(ids)
+    for o, shifts in index.likes.hits(like[:, 0]).items():
         item, words, size, n = index.items[o]
-        if len(places) >= share * n:
-            at = np.clip(np.arange(len(words)) + shift, 0, len(ids) - 1)
-            kept, same = _consistent(words, ids[at], sorted(places), size)
-            if kept >= share * n and (o not in best or (kept, -shift) > (best[o][2], -best[o][1])):
-                best[o] = (item, shift, kept, n, same)
-    return [best[o] for o in sorted(best)]
+        if (best := _best_alignment(words, like, size, n, shifts, share)):
+            kept, start, same = best
+            leaks[o] = (item, int(first[min(max(start, 0), len(first) - 1)]), kept, n, same)
+    return [leaks[o] for o in sorted(leaks)]
 
 
 _LEAKS = "array<struct<item_id: long, start: long, kept: int, windows: int, verbatim: boolean>>"
@@ -195,7 +278,7 @@ def _leaks_of(index) -> Column:
                 words = text.encode().split() if text else []
                 found = {}
                 for at in range(0, max(1, len(words)), _PIECE):
-                    part = words[at:at + _PIECE + 4 * slice_.longest]
+                    part = words[at:at + _PIECE + 8 * slice_.longest]
                     ids = template(part) if part else np.zeros((0, 2), np.uint64)
                     kept = np.flatnonzero(ids[:, 0] != 0)
                     for item, shift, n, of, same in find_leaks(ids[kept], slice_):
