@@ -12,16 +12,22 @@ put in (shifts may drift by the item's length). Its slots must be consistent: a
 placeholders of the item may be replaced by one other value throughout, so
 windows whose slot disagrees with the usual replacement do not count. An
 alignment that keeps at least half of the item's windows is a leak, whether
-word for word or with new numbers, names and units.
+word for word or with new numbers, names and units. Windows with fewer than
+three ordinary words are too common to be looked up; at the shifts that the
+others give they are compared directly and count like them.
+
+Windows of the words themselves, case aside, are looked up besides, so copies
+word for word are found of any item, be it all figures or names; half of them
+at one shift is a leak too.
 
 The benchmark is cut into slices of at most about ``SLICE_BYTES`` of text by a
 hash of its rows. A slice's index is sent to all tasks, and each further slice
 is one more lookup, so what is broadcast stays bounded at any benchmark size.
 
 Defined results: null and empty texts and items match nothing; an item of
-fewer words than a window has one, the whole item; windows with fewer than
-three ordinary words (fewer than all, if shorter) are not looked up, and an
-item with none matches nothing; repeated rows and items are judged alike; an
+fewer words than a window has one, the whole item, so an item of one word is in
+every text with that word; an item without a window of three ordinary words
+(all, if shorter) is found word for word only; repeated rows and items are judged alike; an
 empty table on either side gives no leaks; other columns pass through, one
 named leaks is replaced.
 """
@@ -120,6 +126,7 @@ def windows(template: np.ndarray, size: int = WINDOW) -> np.ndarray:
     return mix(h)
 
 
+_COPY = np.uint64(0xA5A5A5A5A5A5A5A5)  # keeps windows of values apart from windows of templates
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -173,13 +180,13 @@ class Table:
 
 
 class Index:
-    """Windows of the items of one slice."""
+    """Windows of the items of one slice: of templates, and of the words themselves."""
 
     def __init__(self, items: list[tuple[int | None, str]]):
         raw = [(i, [w for w in (text or "").encode().split()]) for i, text in items]
         self.common = frozenset(s for _, ws in raw for w in ws if (s := w.decode("utf-8", "replace").strip(_EDGE)) and s == s.lower())
         template = Templates(self.common)
-        self.items, likes = [], []
+        self.items, likes, copies = [], [], []
         self.longest = 0
         for o, (item, ws) in enumerate(raw):
             words = template(ws) if ws else np.zeros((0, 2), np.uint64)
@@ -189,11 +196,16 @@ class Index:
             ordinary = ids[:, 0] > NAME
             n = len(ids) - size + 1 if size else 0
             use = np.array([j for j in range(n) if ordinary[j:j + size].sum() >= min(LITERALS, size)], np.int64)
-            self.items.append((item, ids, size, len(use)))
+            raw_size = min(WINDOW, len(words))
+            self.items.append((item, ids, size, n, len(words) - raw_size + 1))
             self.longest = max(self.longest, len(words))
             if len(use):
                 likes.append((o, size, use, windows(ids[:, 0], size)[use]))
-        self.likes = Table(likes)
+            if raw_size:
+                h = windows(words[:, 1] ^ _COPY, raw_size)
+                copies.append((o, raw_size, np.arange(len(h)), h))
+        self.likes, self.copies = Table(likes), Table(copies)
+        self.rich = {o: len(use) for o, _, use, _ in likes}
 
 
 def _consistent(item: np.ndarray, doc: np.ndarray, at: list[tuple[int, int]], size: int) -> tuple[int, bool]:
@@ -223,12 +235,22 @@ def _chain(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def _best_alignment(words: np.ndarray, ids: np.ndarray, size: int, n: int, shifts: dict[int, set[int]], share: float) -> tuple[int, int, bool] | None:
-    """(windows kept, start, nothing replaced) of the best alignment with ``share`` of the ``n`` windows."""
-    least, best = share * n, None
-    if len(set().union(*shifts.values())) < least:
+def _alike(words: np.ndarray, ids: np.ndarray, size: int, shift: int) -> list[tuple[int, int]]:
+    """All windows of the item ``words`` that the text has at this shift, also those too poor to be looked up."""
+    a, b = max(0, -shift), min(len(words), len(ids) - shift)
+    if b - a < size:
+        return []
+    same = (words[a:b] == ids[a + shift:b + shift]).any(axis=1)
+    sums = np.concatenate(([0], np.cumsum(same)))
+    return [(j, j + shift) for j in (np.flatnonzero(sums[size:] - sums[:-size] == size) + a).tolist()]
+
+
+def _best_alignment(words: np.ndarray, ids: np.ndarray, size: int, n: int, rich: int, shifts: dict[int, set[int]], share: float) -> tuple[int, int, bool] | None:
+    """(windows kept, start, nothing replaced) of the best alignment with ``share`` of all ``n`` windows."""
+    least, poor, best = share * n, n - rich, None
+    if len(set().union(*shifts.values())) + poor < least:
         return None
-    found = {s: [(j, j + s) for j in sorted(shifts[s])] for s in sorted(shifts)}
+    found = {s: _alike(words, ids, size, s) for s in sorted(shifts)}
 
     def judge(at):
         nonlocal best
@@ -255,10 +277,17 @@ def _best_alignment(words: np.ndarray, ids: np.ndarray, size: int, n: int, shift
 def find_leaks(ids: np.ndarray, index: Index, share: float = SHARE) -> list[tuple]:
     """(item, start, windows kept, windows of the item, word for word) for every leak in the words ``ids``."""
     leaks = {}
+    for o, shifts in index.copies.hits(ids[:, 1] ^ _COPY).items():
+        item, n = index.items[o][0], index.items[o][4]
+        places, shift = max((len(places), -shift) for shift, places in shifts.items())
+        if places >= share * n:
+            leaks[o] = (item, -shift, places, n, True)
     like, first = collapse(ids)
     for o, shifts in index.likes.hits(like[:, 0]).items():
-        item, words, size, n = index.items[o]
-        if (best := _best_alignment(words, like, size, n, shifts, share)):
+        if o in leaks and leaks[o][2] == leaks[o][3]:
+            continue  # a whole copy
+        item, words, size, n, _ = index.items[o]
+        if (best := _best_alignment(words, like, size, n, index.rich[o], shifts, share)):
             kept, start, same = best
             leaks[o] = (item, int(first[min(max(start, 0), len(first) - 1)]), kept, n, same)
     return [leaks[o] for o in sorted(leaks)]
