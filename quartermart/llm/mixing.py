@@ -97,7 +97,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, block_tokens: int = B
     src = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("a"), F.col("source")))
     needed = ["doc_id", "source", "text"] if keep_text else ["doc_id", "source"]
     sized = pack(docs, "doc_id", "source", "text").withColumns({"size": n_words(F.col("text")), "_src": src})
-    sized = write_table(sized if keep_text else sized.drop("text", "_row"), "mix-sized")
+    sized = write_table(sized.withColumn("_print", F.xxhash64("text")) if keep_text else sized.drop("text", "_row"), "mix-sized")
     mixed = deal(sized, weights, block_tokens, shard_tokens, max_repeat, seed)
     return unpack(mixed, docs.columns if keep_text else needed, needed, ["size", "source_size", "target", "passes", "pieces", "taken"])
 
@@ -133,7 +133,8 @@ def deal(sized: DataFrame, weights: Sequence[int], block_tokens: int, shard_toke
         "_passes": F.when(F.col("_words") > 0, F.floor(F.col("_give") / F.col("_words"))).otherwise(0),
         "_end": F.when(F.col("_words") > 0, F.col("_give") % F.col("_words")).otherwise(0) + F.col("_start")})
 
-    order = W.partitionBy("_src", "_shard").orderBy("_draw", "doc_id", "size")
+    ties = ["_print"] if "_print" in placed.columns else []  # rows of one id and size differ by their text only
+    order = W.partitionBy("_src", "_shard").orderBy("_draw", "doc_id", "size", *ties)
     rows = placed.join(shards, ["_src", "_shard"]).withColumn(
         "_to", F.sum("size").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
     rows = rows.withColumn("_from", F.col("_to") - F.col("size"))
