@@ -157,3 +157,47 @@ SELECT d.doc_id, coalesce(t.n_lines, 0) AS n_lines, coalesce(t.n_removed, 0) AS
        CASE WHEN d.text IS NOT NULL THEN t.text END AS text
 FROM documents d LEFT JOIN texts t ON d.doc_id = t.doc_id
 """
+
+OP12 = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+d AS (
+  SELECT doc_id, text, u, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM t),
+f AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS i, greatest(h1 % (n + 1), h2 % (n + 1)) AS j,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (
+  SELECT *, coalesce(array_to_string(u[1:i], ''), '') AS prefix, coalesce(array_to_string(u[i + 1:j], ''), '') AS middle,
+         coalesce(array_to_string(u[j + 1:n], ''), '') AS suffix FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM p"""
+
+OP13 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS d,
+         regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+q AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, m, unnest(list_transform(generate_series(1, len(w) - m + 1), lambda i: w[i:i + m - 1])) AS words
+  FROM q, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE len(w) >= m),
+n AS (SELECT lang, count(*) AS n FROM g WHERE m = 1 GROUP BY lang),
+f AS (SELECT lang, m, words, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+longer AS (
+  SELECT lang, words, max(a) AS a FROM (SELECT lang, words[1:m - 1] AS words, a FROM f WHERE m > 2 UNION ALL SELECT lang, words[2:m], a FROM f WHERE m > 2)
+  GROUP BY ALL),
+c AS (
+  SELECT f.lang, f.words, f.a, l.a AS l, r.a AS r, l.m AS k, n.n, (1000::HUGEINT * f.a * n.n) // (l.a::HUGEINT * r.a) AS score
+  FROM f JOIN n USING (lang) JOIN f l ON l.lang = f.lang AND l.m < f.m AND l.words = f.words[1:l.m]
+  JOIN f r ON r.lang = f.lang AND r.m = f.m - l.m AND r.words = f.words[l.m + 1:f.m]
+  WHERE f.m > 1),
+best AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+kept AS (
+  SELECT b.lang, array_to_string(b.words, ' ') AS phrase, b.a, b.l, b.r, b.n, b.score
+  FROM best b LEFT JOIN longer ON longer.lang = b.lang AND longer.words = b.words WHERE longer.a IS NULL OR longer.a < b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000"""
