@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -12,7 +12,7 @@ from .shingles import texts_of
 
 #: Classes of bytes: part of a word, white space between words, end of a run of words.
 IN_WORD, BLANK, BREAK = 0, 1, 2
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
 
 
 class Words(NamedTuple):
@@ -34,8 +34,12 @@ def byte_classes(blanks: bytes, breaks: bytes = b"") -> np.ndarray:
     return kind
 
 
-def words_of(column: pa.Array, kind: np.ndarray, lower: bool = False, piece: int = PIECE_BYTES) -> Iterator[Words]:
-    """Pieces of about ``piece`` bytes, whole texts each; null is an empty text; ``lower`` lower-cases A-Z."""
+def words_of(column: pa.Array, kind: np.ndarray, lower: bool = False, piece: int = PIECE_BYTES,
+             cuts_in: Callable[[np.ndarray], np.ndarray] | None = None, intact: bytes = b"") -> Iterator[Words]:
+    """Pieces of about ``piece`` bytes, whole texts each; null is an empty text; ``lower`` lower-cases A-Z.
+
+    ``cuts_in`` marks bytes at which a word is cut further. Words with the two bytes ``intact`` are neither cut nor lower-cased.
+    """
     data, offsets = texts_of(column)
     fold = np.arange(256, dtype=np.uint8)
     if lower:
@@ -53,8 +57,22 @@ def words_of(column: pa.Array, kind: np.ndarray, lower: bool = False, piece: int
         borders = cuts[1:-1][(cuts[1:-1] > 0) & (cuts[1:-1] < len(raw))]
         starts[borders] = inside[borders]
         ends[borders - 1] = inside[borders - 1]
-        starts, ends = np.flatnonzero(starts), np.flatnonzero(ends)
         clean = fold[raw]
+        if cuts_in:
+            cut = cuts_in(raw) & inside
+            hits = np.flatnonzero((raw[:-1] == intact[0]) & (raw[1:] == intact[1])) if intact else ()
+            if len(hits):
+                first, last = np.flatnonzero(starts), np.flatnonzero(ends)
+                held = np.unique(np.searchsorted(first, hits, "right") - 1)
+                depth = np.zeros(len(raw) + 1, np.int32)
+                depth[first[held]] += 1
+                depth[last[held] + 1] -= 1
+                keep = np.cumsum(depth[:-1]) > 0
+                cut &= ~keep
+                clean[keep] = raw[keep]
+            starts |= cut
+            ends[:-1] |= cut[1:] & inside[:-1]
+        starts, ends = np.flatnonzero(starts), np.flatnonzero(ends)
         bounds = np.concatenate(([0], np.cumsum(ends - starts + 1)))
         array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(clean[inside])])
         at = np.searchsorted(starts, cuts)

@@ -1,9 +1,10 @@
 """Operator 13: phrase collocations from sorted streams of counts.
 
-1. Sketch. Every task counts the hashes of its n-grams (1 to 5 words, by group) in
+1. Sketch. Every task counts the hashes of its n-grams (2 to 5 words, by group) in
    classes, one table for each length, capped at ``min_count``; the tables are added
    up. An n-gram can occur ``min_count`` times only if its class does, so the
    resulting bitmaps (a fixed number of bits) rule out most n-grams and no frequent one.
+   Single words are counted without: the vocabulary is small beside the n-grams.
 2. Counts. Every task numbers the words of its texts exactly, joins numbers to n-grams
    by sorting (an n-gram is its first words' number and its last word), leaves out those
    that the bitmaps rule out, and sends (group, phrase, count). Spark adds up; what
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +54,8 @@ UNKNOWN = "und"
 CLASS_BITS = 24
 #: Classes that travel together when the tasks' tables are added up.
 _BLOCK_BITS = 16
+_SLICE = 1 << 22
+LENGTHS = MAX_WORDS - 1
 
 
 def _pieces(b: pa.RecordBatch, kind: np.ndarray):
@@ -64,17 +68,16 @@ def _pieces(b: pa.RecordBatch, kind: np.ndarray):
 
 
 def _classes(w, of_word: np.ndarray, names: list[str], hasher: Hasher, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For lengths 1 to 5: (places where an n-gram starts, their classes)."""
+    """For lengths 2 to 5: (places where an n-gram starts, their classes)."""
     hashes, _ = hasher.words(w.clean, w.offsets[1:-1])
     seeds = np.array([zlib.crc32(x.encode()) for x in names], np.uint64)
     at = np.arange(len(hashes))
     h = hashes + mix(seeds)[of_word]
-    for m in range(1, MAX_WORDS + 1):
-        if m > 1:
-            keep = w.joined[at + m - 2]
-            at = at[keep]
-            with np.errstate(over="ignore"):
-                h = h[keep] * np.uint64(0x9E3779B97F4A7C15) + hashes[at + m - 1]
+    for m in range(2, MAX_WORDS + 1):
+        keep = w.joined[at + m - 2]
+        at = at[keep]
+        with np.errstate(over="ignore"):
+            h = h[keep] * np.uint64(0x9E3779B97F4A7C15) + hashes[at + m - 1]
         yield at, (mix(h) >> np.uint64(64 - bits)).astype(np.int64)
 
 
@@ -88,9 +91,13 @@ def _sketch(texts: DataFrame, min_count: int, bits: int) -> list[np.ndarray]:
         for b in batches:
             for w, of_word, names in _pieces(b, kind):
                 if tables is None:
-                    tables = np.zeros((MAX_WORDS, 1 << bits), np.uint8)
+                    tables = np.zeros((LENGTHS, 1 << bits), np.uint8)
                 for table, (_, c) in zip(tables, _classes(w, of_word, names, hasher, bits), strict=True):
-                    np.minimum(np.bincount(c, minlength=len(table)) + table, cap, out=table, casting="unsafe")
+                    for lo in range(0, len(table), _SLICE):  # counted in slices that stay small
+                        part = table[lo:lo + _SLICE]
+                        n = np.bincount(c[(c >= lo) & (c < lo + _SLICE)] - lo, minlength=len(part))
+                        n += part
+                        part[:] = np.minimum(n, cap, out=n)
         if tables is not None:
             for m, table in enumerate(tables):
                 for k, part in enumerate(table.reshape(-1, 1 << block)):
@@ -115,8 +122,8 @@ def _sketch(texts: DataFrame, min_count: int, bits: int) -> list[np.ndarray]:
             yield bitmap()
 
     parts = texts.mapInArrow(count, "m int, block int, part binary").repartition("m", "block").sortWithinPartitions("m", "block")
-    maps = [np.zeros((1 << (bits - block), (1 << block) // 8), np.uint8) for _ in range(MAX_WORDS)]
-    for r in parts.mapInArrow(add, "m int, block int, bits binary").toLocalIterator():  # 5 * 2^bits bits in all
+    maps = [np.zeros((1 << (bits - block), (1 << block) // 8), np.uint8) for _ in range(LENGTHS)]
+    for r in parts.mapInArrow(add, "m int, block int, bits binary").toLocalIterator():  # 4 * 2^bits bits in all
         maps[r.m][r.block] = np.frombuffer(r.bits, np.uint8)
     return [x.ravel() for x in maps]
 
@@ -138,12 +145,13 @@ def phrase_counts(docs: DataFrame, group: str, min_count: int = MIN_COUNT, bits:
                 coded = w.array.dictionary_encode()
                 word, codes = coded.dictionary.cast(pa.large_string()), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
                 number, alive = of_word.copy(), np.ones(len(codes), bool)  # of the first words at each place; whether they may be frequent
-                phrase = None
-                for m, (at, c) in enumerate(_classes(w, of_word, names, hasher, bits)):
-                    at, c = at[alive[at]], c[alive[at]]
-                    at = at[(maps[m][c >> 3] >> (7 - (c & 7)) & 1).astype(bool)]
-                    alive = np.zeros(len(codes), bool)
-                    alive[at] = True
+                phrase, every = None, [(np.arange(len(codes)), None)]
+                for m, (at, c) in enumerate(chain(every, _classes(w, of_word, names, hasher, bits))):
+                    if m:
+                        at, c = at[alive[at]], c[alive[at]]
+                        at = at[(maps[m - 1][c >> 3] >> (7 - (c & 7)) & 1).astype(bool)]
+                        alive = np.zeros(len(codes), bool)
+                        alive[at] = True
                     keys, inverse, n = np.unique(number[at] << 32 | codes[at + m], return_inverse=True, return_counts=True)
                     first, last = keys >> 32, word.take(pa.array(keys & 0xFFFFFFFF))
                     if phrase is None:
