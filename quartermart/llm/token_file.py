@@ -14,10 +14,12 @@ files of its own name, and returns one row. Only rows that Spark commits enter
 the table of shards, so files of lost or repeated attempts are never read. The
 bases are prefix sums of the shards' token counts, in two levels.
 
-Words between ASCII white space are encoded once a batch by the tokenizers
-library and put together from there: the vocabulary's normaliser and splitter
-never reach across white space. A vocabulary of which that isn't true takes
-``by_word=False`` and has its texts encoded whole.
+The tokenizers library encodes every distinct unit of a batch once, and texts are
+put together from there. A unit ends at ASCII white space, between ASCII letters
+(Latin-1 letters too), digits and punctuation, and around each digit: the default
+vocabulary's normaliser and splitter never reach across these borders, nor do they
+tell A from a. Words with ``<|``, which may be special tokens, stay whole. A
+vocabulary of which that isn't true takes ``by_word=False``: whole texts are encoded.
 
 Defined results: a null or empty text has the end id alone; null ids come first;
 rows of one id come by a hash of their texts; repeated rows each keep a place;
@@ -26,6 +28,7 @@ an empty table gives an empty folder and result; other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
@@ -47,8 +50,9 @@ from .common import write_table
 
 VOCABULARY, END_ID = "word_bpe_49k.json", 2
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
-#: Words kept encoded between batches, and the longest of them in bytes.
-_MEMO, _MEMO_BYTES = 200_000, 64
+#: Words kept encoded between pieces (the first so many: frequent ones come early), and the longest of them in bytes.
+_MEMO, _MEMO_BYTES = 300_000, 64
+_LIST = 2048
 #: Shards whose counts are added up in one task.
 _BLOCK = 4096
 
@@ -62,29 +66,63 @@ def store(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri)
 
 
+def _unit_classes() -> np.ndarray:
+    """1 for ASCII letters, 2 for digits, 3 for punctuation but the apostrophe, which may start a unit with the letters after it."""
+    kind = np.zeros(256, np.uint8)
+    kind[0x21:0x7F] = 3
+    kind[[*range(65, 91), *range(97, 123)]] = 1
+    kind[48:58] = 2
+    kind[39] = 0
+    return kind
+
+
+def unit_cuts(raw: np.ndarray, kind: np.ndarray = _unit_classes()) -> np.ndarray:
+    """Bytes of UTF-8 text at which a unit starts inside a word."""
+    c = kind[raw]
+    # U+00C0 to U+00FF are letters, but for the signs of multiplication and division
+    latin = np.flatnonzero((raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7))
+    c[latin] = c[latin + 1] = 1
+    cut = np.zeros(len(raw), bool)
+    cut[1:] = (c[1:] > 0) & (c[:-1] > 0) & ((c[1:] != c[:-1]) | (c[1:] == 2))
+    return cut
+
+
 class WordEncoder:
-    """Ids of texts from those of their distinct words, encoded by the library."""
+    """Ids of texts from those of their distinct units, encoded by the library."""
 
     def __init__(self, tokenizer, end_id: int, dtype: str):
-        self.tokenizer, self.end, self.dtype, self.memo = tokenizer, np.array([end_id], dtype), dtype, {}
+        self.whole, self.end, self.dtype, self.memo = tokenizer, np.array([end_id], dtype).tobytes(), dtype, {}
         self.kind = byte_classes(SPACES)
-
-    def ids_of(self, words: list[bytes]) -> list[np.ndarray]:
-        new = [w for w in words if w not in self.memo]
-        found = dict(zip(new, (np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(
-            [w.decode() for w in new], add_special_tokens=False)), strict=True))
-        out = [found[w] if w in found else self.memo[w] for w in words]
-        if len(self.memo) + len(found) > _MEMO:
-            self.memo.clear()
-        self.memo.update((w, i) for w, i in found.items() if len(w) <= _MEMO_BYTES)
+        # runs of a-z pass normaliser and splitter as they are, so the model alone will do for them
+        spec = json.loads(tokenizer.to_str())
+        self.plain = type(tokenizer).from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}))
+
+    def ids_of(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word as they lie in a file."""
+        out = [self.memo.get(w) for w in words]
+        new = [k for k, x in enumerate(out) if x is None]
+        plain = [words[k].isalpha() and words[k].islower() for k in new]  # of bytes: ASCII alone
+        for tokenizer, some in ((self.plain, [k for k, p in zip(new, plain, strict=True) if p]), (self.whole, [k for k, p in zip(new, plain, strict=True) if not p])):
+            for lo in range(0, len(some), _LIST):
+                part = some[lo:lo + _LIST]
+                # a list of words is one input, whose tokens know their word
+                found = tokenizer.encode([words[k].decode() for k in part], is_pretokenized=True, add_special_tokens=False)
+                ids = np.array(found.ids, self.dtype).tobytes()
+                stops = np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part))) * np.dtype(self.dtype).itemsize
+                start = 0
+                for k, stop in zip(part, stops.tolist(), strict=True):
+                    out[k] = ids[start:stop]
+                    start = stop
+                    if len(words[k]) <= _MEMO_BYTES and len(self.memo) < _MEMO:
+                        self.memo[words[k]] = out[k]
         return out
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, tokens of each document) for pieces of a column, the end id behind every document."""
-        for w in words_of(texts, self.kind):
+        for w in words_of(texts, self.kind, lower=True, cuts_in=unit_cuts, intact=b"<|"):
             coded = w.array.dictionary_encode()
             lists = [*self.ids_of(coded.dictionary.to_pylist()), self.end]
-            sizes = np.array([len(x) for x in lists])
+            sizes = np.array([len(x) for x in lists]) // np.dtype(self.dtype).itemsize
             at = np.concatenate(([0], np.cumsum(sizes)))
             order = np.insert(coded.indices.to_numpy(zero_copy_only=False), w.at[1:], len(lists) - 1)
             n = sizes[order]
@@ -92,7 +130,7 @@ class WordEncoder:
             # place of every id in the flat list of distinct words' ids
             flat = np.repeat(at[order] - (stops - n), n) + np.arange(stops[-1])
             ends = stops[w.at[1:] + np.arange(w.rows)]
-            yield np.concatenate(lists)[flat], np.diff(ends, prepend=0)
+            yield np.frombuffer(b"".join(lists), self.dtype)[flat], np.diff(ends, prepend=0)
 
 
 class TextEncoder:
