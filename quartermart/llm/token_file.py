@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -50,8 +51,10 @@ from .common import write_table
 
 VOCABULARY, END_ID = "word_bpe_49k.json", 2
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
+#: Runs of a-z and the lower-case letters U+00DF to U+00FF in UTF-8.
+PLAIN = re.compile(rb"(?:[a-z]|\xC3[\x9F-\xB6\xB8-\xBF])+")
 #: Words kept encoded between pieces (the first so many: frequent ones come early), and the longest of them in bytes.
-_MEMO, _MEMO_BYTES = 300_000, 64
+_MEMO, _MEMO_BYTES = 500_000, 64
 _LIST = 2048
 #: Shards whose counts are added up in one task.
 _BLOCK = 4096
@@ -93,15 +96,16 @@ class WordEncoder:
     def __init__(self, tokenizer, end_id: int, dtype: str):
         self.whole, self.end, self.dtype, self.memo = tokenizer, np.array([end_id], dtype).tobytes(), dtype, {}
         self.kind = byte_classes(SPACES)
-        # runs of a-z pass normaliser and splitter as they are, so the model alone will do for them
+        # lower-case Latin-1 letters pass normaliser and splitter as they are: the byte alphabet and the model will do for them
         spec = json.loads(tokenizer.to_str())
-        self.plain = type(tokenizer).from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}))
+        letters = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        self.plain = type(tokenizer).from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": letters, "added_tokens": []}))
 
     def ids_of(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word as they lie in a file."""
         out = [self.memo.get(w) for w in words]
         new = [k for k, x in enumerate(out) if x is None]
-        plain = [words[k].isalpha() and words[k].islower() for k in new]  # of bytes: ASCII alone
+        plain = [bool(PLAIN.fullmatch(words[k])) for k in new]
         for tokenizer, some in ((self.plain, [k for k, p in zip(new, plain, strict=True) if p]), (self.whole, [k for k, p in zip(new, plain, strict=True) if not p])):
             for lo in range(0, len(some), _LIST):
                 part = some[lo:lo + _LIST]
@@ -154,13 +158,17 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None, en
         model = f.read()  # its size bounds what is sent out
     size = max(Tokenizer.from_buffer(model).get_vocab(with_added_tokens=True).values()) + 1
     dtype = "<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4"
-    spec = docs.sparkSession.sparkContext.broadcast(model)
+    # the worker processes that Spark reuses keep the encoder, with the words it knows, beside the model that made it
+    spec = docs.sparkSession.sparkContext.broadcast({"model": model})
     files, root = store(folder)
     files.create_dir(root, recursive=True)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread a task: Spark has the other cores
-        encoder = (WordEncoder if by_word else TextEncoder)(Tokenizer.from_buffer(spec.value), end_id, dtype)
+        kept = spec.value
+        encoder = kept.get("encoder")
+        if encoder is None:
+            encoder = kept["encoder"] = (WordEncoder if by_word else TextEncoder)(Tokenizer.from_buffer(kept["model"]), end_id, dtype)
         fs, path = store(folder)
         shard = TaskContext.get().partitionId()
         name = f"{shard:08d}-{uuid.uuid4().hex}"
