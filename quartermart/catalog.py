@@ -8,6 +8,7 @@ keeps native types. Every query reads whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -22,13 +23,15 @@ from quartermart.operators import clean, profile
 from quartermart.operators.join import attach_dim
 from quartermart.operators.ranking import RANGE
 from quartermart.plans import poi as poi_plan
+from quartermart.plans import refresh, warehouse
 from quartermart.plans import visits as visit_plan
 from quartermart.plans.attraction_quarter import attraction_quarter
 from quartermart.plans.city_quarter import city_quarter
 from quartermart.plans.leaderboards import top_attractions, top_cities
 from quartermart.plans.portrait import user_portrait
 from quartermart.plans.user_quarter import user_quarter
-from quartermart.sources import binding
+from quartermart.session import ensure_checkpoint_dir
+from quartermart.sources import binding, raw, schemas, sinks
 from quartermart.sources.raw import rename
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,8 +268,72 @@ def q_user_quarter_shuffled(spark, d):
     return normalize(user_quarter(fact(spark, d), dim(spark, d), broadcast=False))
 
 
+# --- stores: what a reader gets from files that the tables were written to --------
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def q_raw_mixed_headers(spark, d):
+    """Raw CSV files with two orders of columns load by name."""
+    path = _scratch(spark, "csv")
+    binding.write_messy_csv(spark, d, path)
+    return normalize(raw.read_trip_csv(spark, path))
+
+
+def q_raw_rejects(spark, d):
+    """Rows of raw CSV files that don't fit their header, with the reason."""
+    path = _scratch(spark, "csv")
+    binding.write_messy_csv(spark, d, path)
+    return normalize(raw.scan_trip_csv(spark, path)[1].select("reason", "line"))
+
+
+def q_read_after_failed_write(spark, d):
+    """A write that breaks off leaves the table as it was."""
+    root, name = _scratch(spark, "root"), "ods.trips"
+    sinks.overwrite_table(schemas.conform(ods_trip(spark, d), schemas.ODS_TRIP), name, schemas.ODS_TRIP, root=root)
+    broken = F.when(F.col("travel_partners") == K.SOLO, F.raise_error(F.lit("broken off"))).otherwise(F.lit("lost"))
+    try:
+        sinks.overwrite_table(ods_trip(spark, d).withColumn("travel_partners", broken), name, root=root)
+    except Exception as e:  # the job's own error
+        if "broken off" not in str(e):
+            raise
+    return normalize(sinks.read_table(spark, name, root))
+
+
+def _refreshed(spark, d) -> warehouse.Config:
+    """All layers after two loads, the second one by refresh."""
+    cfg = warehouse.Config(categories=binding.TEST_CATEGORY_RULES, years=binding.TEST_YEAR_RANGE, root=_scratch(spark, "layers"))
+    first, second = (rename(x, K.TRIP_HEADER_RENAMES) for x in binding.two_loads(spark, d))
+    warehouse.load_ods(spark, ods_poi(spark, d), first, cfg)
+    warehouse.run(spark, cfg)
+    refresh.start(spark, cfg)
+    refresh.refresh(spark, second, cfg)
+    return cfg
+
+
+refreshed = _cached("refreshed", _refreshed)
+
+
+def _refreshed_table(field: str) -> Query:
+    def q(spark, d):
+        cfg = refreshed(spark, d)
+        return normalize(sinks.read_table(spark, getattr(cfg.tables, field), cfg.root))
+    return q
+
+
 def queries() -> dict[str, Query]:
     return {
+        "raw_mixed_headers": q_raw_mixed_headers,
+        "raw_rejects": q_raw_rejects,
+        "read_after_failed_write": q_read_after_failed_write,
+        "refresh_visits": _refreshed_table("dwd_visit"),
+        "refresh_user_quarter": _refreshed_table("dws_user"),
+        "refresh_attraction_quarter": _refreshed_table("dws_attraction"),
+        "refresh_city_quarter": _refreshed_table("dws_city"),
+        "refresh_user_portrait": _refreshed_table("ads_portrait"),
         "poi_clean_dirty": q_poi_clean_dirty,
         "poi_rows_dirty": q_poi_rows_dirty,
         "reject_null_region_open": q_reject_null_region_open,

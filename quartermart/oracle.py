@@ -335,9 +335,40 @@ VISIT_COLS = ("blog_id, trip_id, travel_date, CAST(travel_year AS BIGINT) AS tra
               "CAST(travel_month AS BIGINT) AS travel_month, travel_partners, poi_id")
 
 
+MESSY = """
+messy AS (
+  SELECT *, CASE WHEN k % 11 <> 0 AND k % 13 <> 0 AND k % 17 = 0 THEN '"' ELSE '' END || coalesce(travel_partners, '') AS partner FROM trip_base),
+messy_lines AS (
+  SELECT *, CASE WHEN k % 2 = 0 THEN [blog_id, departure_date, departure_date, partner, visit_sequence]
+                 ELSE [visit_sequence, partner, departure_date, departure_date, blog_id] END AS f FROM messy)"""
+
+# --- two loads: the second brings the same trips, so the late copies' partner is the smaller of both ----------
+
+TWO_LOADS = """
+two_loads AS (
+  SELECT blog_id, departure_date, travel_partners, visit_sequence FROM trip_base
+  UNION ALL
+  SELECT blog_id, departure_date, 'zz', visit_sequence FROM trip_base
+  WHERE k % 30 = 0 AND departure_date SIMILAR TO '1997/[456]/.*')"""
+LOADED = _visits("two_loads")
+
+
 def oracle_sql() -> dict[str, str]:
     dirty_visits = _visits("dirty_trip")
     return {
+        "raw_mixed_headers": _with(RAW, MESSY) + (
+            "SELECT blog_id, departure_date AS retrieval_date, departure_date, travel_partners, visit_sequence FROM messy "
+            "WHERE k % 11 <> 0 AND k % 13 <> 0 AND k % 17 <> 0"),
+        "raw_rejects": _with(RAW, MESSY) + (
+            "SELECT CASE WHEN k % 11 = 0 THEN 'short' WHEN k % 13 = 0 THEN 'long' ELSE 'quote' END AS reason, "
+            "array_to_string(CASE WHEN k % 11 = 0 THEN f[1:4] WHEN k % 13 = 0 THEN list_append(f, 'surplus') ELSE f END, ',') AS line "
+            "FROM messy_lines WHERE k % 11 = 0 OR k % 13 = 0 OR k % 17 = 0"),
+        "read_after_failed_write": _with(RAW) + "SELECT * FROM raw_trip",
+        "refresh_visits": _with(RAW, TWO_LOADS, LOADED) + f"SELECT {VISIT_COLS} FROM visits",
+        "refresh_user_quarter": _with(RAW, TWO_LOADS, POI, LOADED, UQ) + "SELECT * FROM uq",
+        "refresh_attraction_quarter": _with(RAW, TWO_LOADS, POI, LOADED, AQ) + "SELECT * FROM aq",
+        "refresh_city_quarter": _with(RAW, TWO_LOADS, POI, LOADED, CQ) + "SELECT * FROM cq",
+        "refresh_user_portrait": _with(RAW, TWO_LOADS, POI, LOADED, UQ, PORTRAIT) + "SELECT * FROM portrait",
         "poi_clean_dirty": _with(DIRTY_POI, POI, DIRTY_CATEGORY) + (
             f"SELECT {DIRTY_COLUMNS} FROM dirty_class "
             "QUALIFY row_number() OVER (PARTITION BY poi_id ORDER BY name, city, latitude, longitude) = 1"),

@@ -20,6 +20,7 @@ import json
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quartermart.functions import constants as K
 from quartermart.functions.rules import (DEFAULT_CATEGORY_RULES, DEFAULT_REGION_RULES,
@@ -34,7 +35,7 @@ from quartermart.plans.portrait import user_portrait
 from quartermart.plans.user_quarter import user_quarter
 from quartermart.plans.visits import clean_visits
 from quartermart.sources import schemas, sinks
-from quartermart.sources.raw import read_poi_csv, read_trip_csv
+from quartermart.sources.raw import scan_poi_csv, scan_trip_csv
 
 QUARTER_PARTITION = ["travel_year", "travel_quarter"]
 MONTH_PARTITION = ["travel_year", "travel_month"]
@@ -44,7 +45,9 @@ MONTH_PARTITION = ["travel_year", "travel_month"]
 class Tables:
     ods_poi: str = "ods.ods_poi_dim"
     ods_trip: str = "ods.ods_user_travel_sequence"
+    ods_reject: str = "ods.ods_rejects"
     dwd_poi: str = "dwd.dwd_poi_info"
+    dwd_trip: str = "dwd.dwd_user_trips"
     dwd_visit: str = "dwd.dwd_user_travel_sequence_info"
     dws_user: str = "dws.dws_user_travel_quarter"
     dws_attraction: str = "dws.dws_attraction_travel_quarter"
@@ -86,7 +89,11 @@ def load_ods(spark: SparkSession, poi: DataFrame, trip: DataFrame, cfg: Config =
 
 
 def load_ods_csv(spark: SparkSession, poi_csv: str, trip_csv: str, cfg: Config = Config()) -> None:
-    load_ods(spark, read_poi_csv(spark, poi_csv), read_trip_csv(spark, trip_csv), cfg)
+    """Raw layer from CSV files; rows that don't fit their file's header go to the reject table."""
+    (poi, bad_poi), (trip, bad_trip) = scan_poi_csv(spark, poi_csv), scan_trip_csv(spark, trip_csv)
+    load_ods(spark, poi, trip, cfg)
+    rejects = bad_poi.withColumn("source", F.lit("poi")).unionByName(bad_trip.withColumn("source", F.lit("trip")))
+    _write(schemas.conform(rejects, schemas.ODS_REJECT), cfg, cfg.tables.ods_reject, schemas.ODS_REJECT)
 
 
 def job_poi(spark: SparkSession, cfg: Config = Config()) -> None:
@@ -179,14 +186,10 @@ JOBS = {
 }
 
 
-def main(argv=None) -> None:
+def configured(p: argparse.ArgumentParser, argv=None) -> tuple[Config, argparse.Namespace, SparkSession]:
+    """The options that every command of the warehouse shares, parsed; with the session."""
     from quartermart.session import build_session, ensure_checkpoint_dir
 
-    p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    p.add_argument("--poi", help="raw POI CSV (with header)")
-    p.add_argument("--trips", help="raw trip CSV (with header)")
-    p.add_argument("--layers", default="ods,dwd,dws,ads")
-    p.add_argument("--jobs", default=None, help=f"run only these jobs, in order: {','.join(JOBS)}")
     p.add_argument("--root", help="folder of all layer tables, shared by all processes; default: the session catalog")
     p.add_argument("--years", help="first,last: years kept, the last one excluded")
     p.add_argument("--categories", help='JSON file: [["name", "regex"], ...], tried in order')
@@ -203,6 +206,16 @@ def main(argv=None) -> None:
     spark = build_session(master=a.master) if a.master else SparkSession.builder.getOrCreate()
     if a.rank_form == RANGE:
         ensure_checkpoint_dir(spark)
+    return cfg, a, spark
+
+
+def main(argv=None) -> None:
+    p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
+    p.add_argument("--poi", help="raw POI CSV (with header)")
+    p.add_argument("--trips", help="raw trip CSV (with header)")
+    p.add_argument("--layers", default="ods,dwd,dws,ads")
+    p.add_argument("--jobs", default=None, help=f"run only these jobs, in order: {','.join(JOBS)}")
+    cfg, a, spark = configured(p, argv)
     if a.jobs:
         for name in [x.strip() for x in a.jobs.split(",") if x.strip()]:
             JOBS[name](spark, cfg)

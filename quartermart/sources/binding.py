@@ -150,3 +150,38 @@ def gappy_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.join(lists, o.o_orderkey == lists.l_orderkey, "left").select(
         F.when(F.col("o_orderkey") % 89 != 0, F.col("o_custkey").cast("string")).alias("Anonymized_Blog_ID"),
         day.alias("Retrieval_Date"), day.alias("Departure_Date"), F.lit("Solo").alias("Travel_Partners"), F.col("seq").alias("Visit_Sequence"))
+
+
+def write_messy_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The raw trips as CSV files below ``path``, a line for each, with two orders of columns and broken lines.
+
+    Odd order keys go to files whose header is reversed. k % 11 == 0: the last
+    field is missing; else k % 13 == 0: a field too many; else k % 17 == 0: the
+    partner starts with a quotation mark that nothing closes.
+    """
+    k = F.col("_k")
+    partner = F.coalesce("Travel_Partners", F.lit(""))
+    partner = F.when((k % 11 != 0) & (k % 13 != 0) & (k % 17 == 0), F.concat(F.lit('"'), partner)).otherwise(partner)
+    rows = _raw_trip_columns(spark, sf_dir).withColumn("Travel_Partners", partner)
+    for odd, columns in ((0, RAW_TRIP_COLUMNS), (1, RAW_TRIP_COLUMNS[::-1])):
+        line = (F.when(k % 11 == 0, F.concat_ws(",", *columns[:-1]))
+                 .when(k % 13 == 0, F.concat_ws(",", *columns, F.lit("surplus")))
+                 .otherwise(F.concat_ws(",", *columns)))
+        # one column whose name is the header; separator and quote are characters that no line has
+        (rows.where(k % 2 == odd).select(line.alias(",".join(columns)))
+         .write.option("header", True).option("sep", "\u0001").option("quote", "\u0002").csv(f"{path}/order={odd}"))
+
+
+#: Orders from this day on, and those of one earlier quarter whose key divides by three, arrive in a second load.
+SECOND_LOAD_FROM, LATE_QUARTER = "2001-01-01", (1997, 2)
+
+
+def two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The raw trips, cut into those of a first load and those that arrive later; every tenth late one comes in both, with another partner."""
+    base = _raw_trip_columns(spark, sf_dir).withColumn("_day", F.to_date("Departure_Date", "yyyy/M/d"))
+    k, day = F.col("_k"), F.col("_day")
+    late = (F.year(day) == LATE_QUARTER[0]) & (F.quarter(day) == LATE_QUARTER[1]) & (k % 3 == 0)
+    second = (day >= SECOND_LOAD_FROM) | late
+    copies = base.where(late & (k % 10 == 0)).withColumn("Travel_Partners", F.lit("zz"))
+    first = base.where(~second).unionByName(copies)
+    return first.select(*RAW_TRIP_COLUMNS), base.where(second).select(*RAW_TRIP_COLUMNS)

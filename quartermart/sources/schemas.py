@@ -26,8 +26,12 @@ ODS_POI = _schema(*[(c, S) for c in (
 ODS_TRIP = _schema(*[(c, S) for c in (
     "blog_id", "retrieval_date", "departure_date", "travel_partners", "visit_sequence")])
 
+ODS_REJECT = _schema(("source", S), ("file", S), ("reason", S), ("line", S))
+
 DWD_POI = _schema(("poi_id", S), ("name", S), ("city", S), ("latitude", D), ("longitude", D),
                   ("label", ARR), ("category", S), ("region", S))
+DWD_TRIP = _schema(("blog_id", S), ("departure_date", S), ("visit_sequence", S), ("travel_partners", S),
+                   ("travel_date", DT), ("travel_year", I), ("travel_month", I))
 DWD_VISIT = _schema(("blog_id", S), ("trip_id", S), ("travel_date", DT), ("travel_year", I),
                     ("travel_month", I), ("travel_partners", S), ("poi_id", S))
 

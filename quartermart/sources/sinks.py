@@ -48,7 +48,7 @@ def read_table(spark: SparkSession, name: str, root: str | None = None) -> DataF
 
 
 def overwrite_table(df: DataFrame, name: str, schema: T.StructType | None = None, partition_by: Sequence[str] = (), root: str | None = None,
-                    rebalance: bool = True, replace: Collection[tuple] | None = None) -> None:
+                    rebalance: bool = True, replace: Collection[tuple] | None = None, append: bool = False) -> None:
     """Replace table ``name`` with ``df`` (Parquet), after checking the declared schema and adding its comments.
 
     Partitioned tables are written as one directory per partition value. Rows
@@ -56,17 +56,19 @@ def overwrite_table(df: DataFrame, name: str, schema: T.StructType | None = None
     ``df`` comes clustered: ``rebalance=False``), so each task writes few files
     while AQE still splits a partition value that holds a large share of the
     rows across several tasks. ``replace`` names the partitions to replace;
-    all others keep their files.
+    all others keep their files. ``append`` adds the rows to the table.
     """
     if schema is not None:
         schemas.check(df, schema)
         df = schemas.commented(df)
     out = df.hint("rebalance", *partition_by) if partition_by and rebalance else df
     spark = df.sparkSession
+    if append and not root:
+        raise ValueError(f"{name}: the catalog holds one folder a table or partition; rows are added under a root path only")
     if not root:
         create_layers(spark, [name.partition(".")[0]] if "." in name else [])
     home = _home(spark, name, root)
-    commit = versions.publish(out, home, partition_by, replace)
+    commit = versions.publish(out, home, partition_by, replace, append)
     if not root:
         _register(spark, name, home, commit)
 
@@ -80,7 +82,6 @@ def _register(spark: SparkSession, name: str, home: str, commit: versions.Commit
     place = home if commit.partition_by else commit.paths(home)[0]
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {by} LOCATION {quoted(place)}")
-    for part, path in zip(sorted(commit.places), commit.paths(home), strict=True):
-        if commit.partition_by:
-            values = ", ".join(f"`{c}` = {quoted(v)}" for c, _, v in (x.partition("=") for x in part.split("/")))
-            spark.sql(f"ALTER TABLE {name} ADD PARTITION ({values}) LOCATION {quoted(path)}")
+    for part, held in sorted(commit.places.items()) if commit.partition_by else ():
+        values = ", ".join(f"`{c}` = {quoted(v)}" for c, _, v in (x.partition("=") for x in part.split("/")))
+        spark.sql(f"ALTER TABLE {name} ADD PARTITION ({values}) LOCATION {quoted(f'{home}/{held[0]}/{part}')}")

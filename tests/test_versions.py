@@ -44,7 +44,7 @@ def test_partial_replacement_keeps_other_files(spark, tmp_path):
     at = str(tmp_path / "t")
     df = spark.createDataFrame(ROWS, SCHEMA)
     first = versions.publish(df, at, ["y", "q"])
-    kept = first.places["y=2020/q=2"]
+    kept = first.places["y=2020/q=2"][0]
     files = sorted(os.listdir(tmp_path / "t" / kept / "y=2020" / "q=2"))
     versions.publish(df.where("k = 'a'").withColumn("k", F.lit("z")), at, ["y", "q"], replace=[(2020, 1), (2021, 1)])
     assert rows(versions.read(spark, at)) == [("b", 2020, 2), ("z", 2020, 1)]
@@ -100,3 +100,18 @@ def test_empty_tables_keep_their_schema_and_old_folders_are_taken_over(spark, tm
     versions.publish(df.where("1 = 0"), at, ["y", "q"])
     back = versions.read(spark, at)
     assert back.columns == ["k", "y", "q"] and back.count() == 0
+
+
+def test_append_adds_rows_and_keeps_files(spark, tmp_path):
+    at = str(tmp_path / "t")
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    with pytest.raises(ValueError, match="yet"):
+        versions.publish(df, at, ["y", "q"], append=True)
+    versions.publish(df, at, ["y", "q"])
+    versions.publish(df.where("k = 'a'"), at, ["y", "q"], append=True)
+    assert rows(versions.read(spark, at)) == sorted([*ROWS, ROWS[0]])
+    versions.publish(df.where("k = 'a'"), at, ["y", "q"], replace=[(2020, 1)])
+    assert rows(versions.read(spark, at)) == ROWS
+    sinks.overwrite_table(df, "dws.t_app")
+    with pytest.raises(ValueError, match="root path"):
+        sinks.overwrite_table(df, "dws.t_app", append=True)
