@@ -20,10 +20,10 @@ from quartermart.functions import constants as K
 from quartermart.functions.collect import array_text, map_text
 from quartermart.functions.rules import DEFAULT_REGION_RULES
 from quartermart.operators import clean, profile
-from quartermart.operators.join import attach_dim
+from quartermart.operators.join import SPLIT, attach_dim
 from quartermart.operators.ranking import RANGE
 from quartermart.plans import poi as poi_plan
-from quartermart.plans import refresh, warehouse
+from quartermart.plans import presence, refresh, warehouse
 from quartermart.plans import visits as visit_plan
 from quartermart.plans.attraction_quarter import attraction_quarter
 from quartermart.plans.city_quarter import city_quarter
@@ -324,8 +324,63 @@ def _refreshed_table(field: str) -> Query:
     return q
 
 
+# --- counts from bitmaps, joins of heavy keys --------------------------------------
+
+def _write(spark: SparkSession):
+    """Writer of intermediate tables below the shared checkpoint folder."""
+    def write(df: DataFrame, name: str) -> DataFrame:
+        path = _scratch(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    return write
+
+
+def _place_state(spark, d) -> DataFrame:
+    return _write(spark)(presence.place_state(presence.numbered(fact(spark, d), _write(spark))), "place_state")
+
+
+place_state = _cached("place_state", _place_state)
+
+
+def q_attraction_counts_bitmaps(spark, d):
+    """Distinct users and trips by bitmaps, for places that the dimension has."""
+    df = attach_dim(presence.attraction_counts(place_state(spark, d)), dim(spark, d).select("poi_id"), "poi_id", how="inner")
+    return normalize(df.select(*AQ_KEY, "visit_user_cnt", "visit_trip_cnt", "visit_total_cnt"))
+
+
+def q_city_counts_bitmaps(spark, d):
+    """The city mart's counts from the places' bitmaps."""
+    return normalize(presence.city_counts(place_state(spark, d), dim(spark, d)).drop("solo_trip_cnt"))
+
+
+def q_attraction_year_bitmaps(spark, d):
+    """Distinct users and trips of places over whole years, from the quarters' bitmaps."""
+    return normalize(presence.counts_over(place_state(spark, d), ["poi_id", "travel_year"]))
+
+
+skewed = _cached("skewed", lambda spark, d: binding.skewed_visits(fact(spark, d)))
+
+
+def _skewed_with_dim(how: str) -> Query:
+    def q(spark, d):
+        cols = dim(spark, d).select("poi_id", "name", "city", "category", "region")
+        return normalize(attach_dim(skewed(spark, d), cols, "poi_id", how=how, broadcast=SPLIT))
+    return q
+
+
+def q_user_quarter_split(spark, d):
+    """The user mart over visits of which one place has a third, by a split join."""
+    return normalize(user_quarter(skewed(spark, d), dim(spark, d), broadcast=SPLIT))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "attraction_counts_bitmaps": q_attraction_counts_bitmaps,
+        "city_counts_bitmaps": q_city_counts_bitmaps,
+        "attraction_year_bitmaps": q_attraction_year_bitmaps,
+        "skewed_left_poi_split": _skewed_with_dim("left"),
+        "skewed_inner_poi_split": _skewed_with_dim("inner"),
+        "user_quarter_split": q_user_quarter_split,
         "raw_mixed_headers": q_raw_mixed_headers,
         "raw_rejects": q_raw_rejects,
         "read_after_failed_write": q_read_after_failed_write,

@@ -61,17 +61,55 @@ def broadcast_limit(spark) -> int:
         return 10 << 20
 
 
+#: Heavy keys looked for, and the share of the rows, as a part of a shuffle partition, above which a key is heavy.
+HEAVY_KEYS, HEAVY_SHARE = 1000, 0.25
+SPLIT = "split"
+
+
+def heavy_keys(fact: DataFrame, key: str, share: float | None = None, most: int = HEAVY_KEYS) -> list:
+    """Values of ``key`` that may hold more than ``share`` of the rows: at most ``most``, from a summary that merges.
+
+    The summary (Spark's frequent-items sketch) holds 8 times as many counters as asked for, whatever the number of
+    keys, and is built map-side. By its error bound it misses no key above 1 / (3 * most) of the rows. A key that is
+    taken for heavy by mistake costs one more broadcast row.
+    """
+    if share is None:
+        share = HEAVY_SHARE / int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = fact.agg(F.call_function("approx_top_k", F.col(key), F.lit(most), F.lit(8 * most)).alias("top"), F.count(key).alias("n")).first()
+    return [r["item"] for r in found["top"] or [] if r["item"] is not None and r["count"] > share * found["n"]]
+
+
+def split_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left", share: float | None = None, heavy: Sequence | None = None) -> DataFrame:
+    """``fact JOIN dim USING (key)`` whose heavy keys never meet in one task, with or without AQE.
+
+    Rows of heavy keys (``heavy``, or those found) and of null keys stay where they are and meet a broadcast of the
+    dimension's rows of those keys, at most ``HEAVY_KEYS`` keys; all others are shuffled into a merge join. ``dim`` is
+    unique by key, else its rows of heavy keys are as many as they are.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"a split join is left or inner, not {how}")
+    keys = [k for k in (heavy_keys(fact, key, share) if heavy is None else heavy) if k is not None]
+    hot = F.col(key).isNull() | F.col(key).isin(keys) if keys else F.col(key).isNull()
+    few = dim.where(F.col(key).isin(keys)) if keys else dim.where(F.lit(False))
+    near = fact.where(hot).join(F.broadcast(few), on=key, how=how)
+    far = fact.where(~hot).join(dim.hint("merge"), on=key, how=how)
+    return near.unionByName(far)
+
+
 def attach_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left",
-               broadcast: bool | None = None, limit: int | None = None) -> DataFrame:
+               broadcast: bool | str | None = None, limit: int | None = None) -> DataFrame:
     """``fact JOIN dim USING (on)``.
 
     ``broadcast=None`` leaves the join to the planner, which broadcasts by the
     known size and otherwise shuffles, with AQE splitting hot keys. ``True``
     broadcasts a dimension whose measured size is within ``limit`` (default:
     ``spark.sql.autoBroadcastJoinThreshold``) and raises beyond it. ``False``
-    plans a shuffled sort-merge join.
+    plans a shuffled sort-merge join. ``SPLIT`` is ``split_join``, for one key.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    if broadcast == SPLIT:
+        (key,) = keys
+        return split_join(fact, dim, key, how)
     if broadcast:
         cap = broadcast_limit(dim.sparkSession) if limit is None else limit
         size = measure(dim).bytes

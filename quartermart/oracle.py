@@ -351,11 +351,25 @@ two_loads AS (
   SELECT blog_id, departure_date, 'zz', visit_sequence FROM trip_base
   WHERE k % 30 = 0 AND departure_date SIMILAR TO '1997/[456]/.*')"""
 LOADED = _visits("two_loads")
+SKEWED = VISITS.replace("visits AS (", "even_visits AS (") + """,
+visits AS (
+  SELECT * EXCLUDE (n) REPLACE (CASE WHEN n % 3 = 0 THEN '1' WHEN n % 17 <> 0 THEN poi_id END AS poi_id)
+  FROM (SELECT *, length(trip_id) + length(poi_id) + travel_month AS n FROM even_visits))"""
 
 
 def oracle_sql() -> dict[str, str]:
     dirty_visits = _visits("dirty_trip")
+    skewed_join = (f"SELECT v.poi_id, {VISIT_COLS.replace(', poi_id', '').replace('blog_id', 'v.blog_id', 1)}, "
+                   "p.name, p.city, p.category, p.region FROM visits v {} JOIN poi p ON v.poi_id = p.poi_id")
     return {
+        "attraction_counts_bitmaps": _aq_select("visit_user_cnt", "visit_trip_cnt", "visit_total_cnt"),
+        "city_counts_bitmaps": _cq_select("visit_user_cnt", "visit_trip_cnt", "visit_spot_cnt", "unique_attraction_cnt"),
+        "attraction_year_bitmaps": _with(RAW, VISITS) + (
+            "SELECT poi_id, CAST(travel_year AS BIGINT) AS travel_year, count(DISTINCT blog_id) AS visit_user_cnt, "
+            "count(DISTINCT trip_id) AS visit_trip_cnt, count(*) AS visit_total_cnt FROM visits GROUP BY poi_id, travel_year"),
+        "skewed_left_poi_split": _with(RAW, POI, SKEWED) + skewed_join.format("LEFT"),
+        "skewed_inner_poi_split": _with(RAW, POI, SKEWED) + skewed_join.format(""),
+        "user_quarter_split": _with(RAW, POI, SKEWED, UQ) + "SELECT * FROM uq",
         "raw_mixed_headers": _with(RAW, MESSY) + (
             "SELECT blog_id, departure_date AS retrieval_date, departure_date, travel_partners, visit_sequence FROM messy "
             "WHERE k % 11 <> 0 AND k % 13 <> 0 AND k % 17 <> 0"),

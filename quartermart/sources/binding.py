@@ -185,3 +185,9 @@ def two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     copies = base.where(late & (k % 10 == 0)).withColumn("Travel_Partners", F.lit("zz"))
     first = base.where(~second).unionByName(copies)
     return first.select(*RAW_TRIP_COLUMNS), base.where(second).select(*RAW_TRIP_COLUMNS)
+
+
+def skewed_visits(visits: DataFrame, poi_id: str = "1") -> DataFrame:
+    """The visits with one place in about a third of them, and no place in some."""
+    n = F.length("trip_id") + F.length("poi_id") + F.col("travel_month")
+    return visits.withColumn("poi_id", F.when(n % 3 == 0, F.lit(poi_id)).when(n % 17 != 0, F.col("poi_id")))
