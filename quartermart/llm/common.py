@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +54,30 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a table of ``write_table`` that nothing reads any more."""
+    sc = df.sparkSession.sparkContext
+    home = sc.getCheckpointDir()
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getParent().toUri().getPath() == sc._jvm.org.apache.hadoop.fs.Path(home).toUri().getPath():  # ours
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def bitmap_of(keys: DataFrame, key: str, bits: int) -> np.ndarray:
+    """A bitmap of ``2 ** bits`` classes (16 bits and more) with a bit set for the class (top bits) of every 64-bit ``key``; its size is fixed."""
+    block = F.shiftrightunsigned(F.col(key), 64 - bits + 15)
+    place = F.shiftrightunsigned(F.col(key), 64 - bits).bitwiseAND(F.lit((1 << 15) - 1))
+    rows = keys.groupBy(block.alias("block")).agg(F.bitmap_construct_agg(place).alias("bits"))
+    out = np.zeros((1 << bits - 15, 4096), np.uint8)
+    for r in rows.toLocalIterator():
+        out[r["block"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
+def in_bitmap(bitmap: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
+    """Whether the classes of the 64-bit ``keys`` have their bit set."""
+    c = keys.view(np.uint64) >> np.uint64(64 - bits)
+    return (bitmap[c >> np.uint64(3)] >> (c & np.uint64(7)).astype(np.uint8) & 1).astype(bool)

@@ -5,8 +5,10 @@ before it is lowest at some lines among their neighbours, and a chunk starts
 at each such line. Boundaries depend on four lines around them only, so they
 move along with the text when lines are put in or taken out before. Chunks
 have at least two lines (a text of one line is one chunk, never removed).
-Chunks that occur more than once in the corpus, found by digest and then
-compared byte by byte, stay at their first occurrence (smallest doc_id, then
+Chunks that occur more than once in the corpus, found by digest (a first pass
+counts 8 bytes of it a chunk, a bitmap of fixed size holds what occurs twice,
+and a second pass writes only chunks it lets through) and then compared byte by
+byte, stay at their first occurrence (smallest doc_id, then
 place) and are removed elsewhere.
 
 Chunks of lines miss most passages of a few lines only. With ``passage_words``
@@ -25,14 +27,18 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import WORD, pack, unpack, write_table
-from .passages import repeated_words, without
+from .common import WORD, bitmap_of, drop_table, in_bitmap, pack, unpack, write_table
+from .passages import KEY_BITS, repeated_words, without
 
 BASE, MODULUS = 131, (1 << 31) - 1
 _SPAN = 1 << 31  # a chunk is named start * _SPAN + end
@@ -46,26 +52,46 @@ def chunks_of(lines: list[str]) -> list[tuple[int, int]]:
     return list(zip([0, *cuts], [*cuts, len(lines)], strict=True))
 
 
-def _digests(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """(name, digest) of every chunk that may be removed: two lines at least, with a word."""
+def _chunk_rows(texts: pa.Array) -> Iterator[tuple[int, int, bytes, str]]:
+    """(row, name, digest, body) of every chunk that may be removed: two lines at least, with a word."""
     word = re.compile(WORD)
-    for texts in batches:
-        out = []
-        for text in texts:
-            lines = (text or "").split("\n")
-            bodies = ((a * _SPAN + b, "\n".join(lines[a:b])) for a, b in chunks_of(lines) if b - a >= 2) if len(lines) > 1 else ()
-            out.append([{"chunk": c, "digest": hashlib.md5(x.encode("utf-8", "surrogatepass")).digest()} for c, x in bodies if word.search(x)])
-        yield pd.Series(out)
+    for k in range(0, len(texts), 256):
+        for row, text in enumerate(texts[k:k + 256].to_pylist(), k):
+            lines = text.split("\n") if text else []
+            for a, b in chunks_of(lines) if len(lines) > 1 else ():
+                if b - a >= 2 and word.search(body := "\n".join(lines[a:b])):
+                    yield row, a * _SPAN + b, hashlib.md5(body.encode("utf-8", "surrogatepass")).digest(), body
 
 
-def _bodies(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """(name, text) of the named chunks."""
-    for texts, names in batches:
-        out = []
-        for text, chunks in zip(texts, names, strict=True):
-            lines = (text or "").split("\n")
-            out.append([{"chunk": int(c), "body": "\n".join(lines[int(c) // _SPAN:int(c) % _SPAN])} for c in chunks])
-        yield pd.Series(out)
+def _class(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often (twice at most) a class of digests occurs in a batch."""
+    for b in batches:
+        found, n = np.unique(np.array([_class(d) for _, _, d, _ in _chunk_rows(b.column("text"))], np.int64), return_counts=True)
+        yield pa.RecordBatch.from_pydict({"key": found, "n": np.minimum(n, 2).astype(np.int8)})
+
+
+def _bodies(often) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The chunks whose digests may occur twice."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap, bits = often.value
+        for b in batches:
+            found, size = [], 0
+            for c in chain(_chunk_rows(b.column("text")), [None]):
+                if c and in_bitmap(bitmap, bits, np.array([_class(c[2])]))[0]:
+                    found.append(c)
+                    size += len(c[3])
+                if found and (c is None or size > 8_000_000):
+                    row, chunk, digest, body = zip(*found, strict=True)
+                    own = b.select(["doc_id", "_fp"]).take(pa.array(row))
+                    yield pa.RecordBatch.from_arrays([*own.columns, pa.array(chunk), pa.array(digest), pa.array(body)], ["doc_id", "_fp", "chunk", "digest", "body"])
+                    found, size = [], 0
+
+    return rows
 
 
 def _kept(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -100,25 +126,21 @@ def dedup_lines(docs: DataFrame, passage_words: int | None = None) -> DataFrame:
     With ``passage_words``, repeated passages of so many words are taken out
     too, and ``passages`` has their word ranges.
     """
-    fp = F.md5(F.coalesce("text", F.lit("")))
-    keyed = pack(docs, "doc_id", "text").withColumn("_doc", F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), fp))
-    own = keyed.select("doc_id", "_doc", "text")
-    # Not deterministic to the planner, which may otherwise run them twice: in a filter and for their value.
-    digests = F.pandas_udf(_digests, "array<struct<chunk: long, digest: binary>>").asNondeterministic()
-    names = write_table(own.select("_doc", F.inline(digests("text"))), "line-chunks")
-    # Copies of one row are one document: what occurs in one (document, chunk) only is no repetition.
-    often = names.groupBy("digest").agg(F.min(F.struct("_doc", "chunk")).alias("lo"), F.max(F.struct("_doc", "chunk")).alias("hi")).where("lo <> hi")
-    wanted = (names.join(often.select("digest"), "digest", "left_semi").groupBy("_doc")
-              .agg(F.collect_set("chunk").alias("_wanted")))  # at most a document's chunks
-    held = own.join(wanted.hint("shuffle_hash"), "_doc").dropDuplicates(["_doc"])
-    bodies = F.pandas_udf(_bodies, "array<struct<chunk: long, body: string>>").asNondeterministic()
-    found = write_table(held.select("doc_id", "_doc", F.inline(bodies("text", "_wanted"))), "line-bodies")
-    found = found.withColumn("digest", F.unhex(F.md5("body")))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_doc", "chunk")
-    first = found.groupBy("digest", "body").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    removed = write_table(found.join(first, ["digest", "body"]).where(place != F.col("first")).groupBy("_doc")
+    spark = docs.sparkSession
+    keyed = pack(docs, "doc_id", "text").withColumn("_fp", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    own = keyed.select("doc_id", "_fp", "text")
+    # Copies of one row are one document: they let a chunk through here, but have one place below.
+    keys = own.select("text").mapInArrow(_keys, "key long, n byte").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
+    often = spark.sparkContext.broadcast((bitmap_of(keys, "key", KEY_BITS), KEY_BITS))
+    schema = T.StructType([own.schema["doc_id"], own.schema["_fp"], *T.StructType.fromDDL("chunk long, digest binary, body string")])
+    found = write_table(own.mapInArrow(_bodies(often), schema), "line-bodies")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_fp", "chunk")
+    first = found.groupBy("digest", "body").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
+    removed = write_table(found.join(first, ["digest", "body"]).where(place != F.col("first")).groupBy(F.struct("doc_id", "_fp").alias("_doc"))
                           .agg(F.sort_array(F.collect_set("chunk")).alias("_gone")), "line-removed")
+    drop_table(found)
 
+    keyed = keyed.withColumn("_doc", F.struct("doc_id", "_fp")).drop("_fp")
     d = keyed.join(removed.hint("shuffle_hash"), "_doc", "left")
     left = F.pandas_udf(_kept, "string").asNondeterministic()(F.when(F.col("_gone").isNotNull(), F.col("text")), F.col("_gone"))
     lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1

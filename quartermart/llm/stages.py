@@ -1,7 +1,15 @@
 """Stages of the corpus pipeline, each a decision of one operator over whole documents.
 
 Every stage takes and returns the columns of ``documents`` (the last one adds
-its own). Rows with null or empty text: the language stage rejects them.
+its own). Whole texts go through Python workers, so the stages set
+``spark.sql.execution.arrow.maxRecordsPerBatch`` to ``BATCH_ROWS`` at most for
+their session: a batch then takes a few MB on either side.
+
+Defined results: the language stage rejects null and empty texts and those
+without letters; the others take them as their operators do. Rows that repeat id
+and text are one document to line dedup (each row keeps what it keeps) and to
+the Jaccard stage (one row stays); of ties the smallest id stays. Further columns
+pass through, whatever their names. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -24,10 +32,19 @@ from .mixing import mix
 MIN_LANGUAGE_SCORE = 0.2
 #: Repeated passages of so many words and more go, in whatever lines they stand.
 PASSAGE_WORDS = 50
+#: Texts that travel together between Spark and a Python worker.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without letters or too far from every language's profile."""
+    _small_batches(spark)
     found = with_language(pack(docs, "text"), learn(docs))
     known = found.where((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= MIN_LANGUAGE_SCORE))
     return unpack(known, docs.columns, ["text"])
@@ -35,6 +52,7 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated chunks of lines and repeated passages out of the texts; a document that loses all its words goes."""
+    _small_batches(spark)
     needed = ["doc_id", "text", "n_chars"]
     lines = dedup_lines(pack(docs, *needed), PASSAGE_WORDS)
     same = (F.size("removed") == 0) & (F.size("passages") == 0)
@@ -45,6 +63,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near duplicates."""
+    _small_batches(spark)
     needed, key = ["doc_id", "text"], ["_id", "_print"]
     none = F.lit(-(1 << 63))
     groups = near_groups(docs, with_groups=True).where("n_shingles > 0")
@@ -58,6 +77,7 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item, also with other numbers, names or units."""
+    _small_batches(spark)
     clean = with_leaks(pack(docs, "text"), read(spark, sf_dir, "benchmark")).where(F.size("leaks") == 0)
     return unpack(clean, docs.columns, ["text"])
 
@@ -75,6 +95,7 @@ def _cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix itself: a row for each copy or piece taken, numbered by ``copy``; ``n_words`` is its size."""
+    _small_batches(spark)
     needed = ["doc_id", "source", "text", "n_chars"]
     mixed = mix(pack(docs, *needed))
     whole = F.array_repeat(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("end")), F.col("passes").cast("int"))

@@ -63,3 +63,20 @@ def test_random_texts_of_few_words_equal_the_search(spark):
     for n in (4, 7, 12):
         got = {x.doc_id: x.text for x in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), n).collect()}
         assert got == brute_texts(rows, n)
+
+
+def test_windows_that_repeat_inside_one_segment(spark):
+    """Texts of one period, so short that all windows share one key."""
+    rows = [(d, " ".join(f"p{d}q{k % period}" for k in range(length))) for d, (period, length) in enumerate([(1, 13), (2, 14), (3, 15), (5, 17), (7, 40), (1, 90)])]
+    got = {x.doc_id: x.text for x in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), 12).collect()}
+    assert got == brute_texts(rows, 12) and got[0] != rows[0][1]
+
+
+def test_a_bitmap_without_room_changes_nothing(spark, monkeypatch):
+    from quartermart.llm import passages
+
+    monkeypatch.setattr(passages, "KEY_BITS", 16)
+    r = random.Random(2)
+    rows = [(d, "".join(r.choice("abc") + r.choice("  \n") for _ in range(r.randint(0, 60)))) for d in range(60)]
+    got = {x.doc_id: x.text for x in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), 7).collect()}
+    assert got == brute_texts(rows, 7)
