@@ -11,7 +11,8 @@ Segments whose key occurs once can't hold a repeated window: a first pass counts
 the keys alone (8 bytes each), a bitmap of fixed size holds those that occur
 twice, and a second pass writes only the segments it lets through. Of equal
 segments all but the first go. No text is shuffled: a third pass finds the places
-where single windows are compared by another bitmap. Only where one key has different segments (at the ends
+where single windows are compared by another bitmap, counts those windows, and a
+fourth writes the ones that may occur twice. Only where one key has different segments (at the ends
 of passages) single windows are compared. Words, segments and windows are
 compared by 128 bits of hash. Nothing pairs the members of a group.
 
@@ -212,8 +213,11 @@ def _spot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((mix(texts), spots(texts, lo))).view(np.int64))], ["spot"])
 
 
-def _window_rows(n: int, heads) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Single windows of the segments that start at the places ``heads`` (a few others may come along)."""
+def _window_rows(n: int, heads, often=None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Single windows of the segments that start at the places ``heads`` (a few others may come along).
+
+    Without ``often`` only how often (twice at most) a window's first hash occurs; with it the windows it lets through.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = Words()
@@ -234,8 +238,15 @@ def _window_rows(n: int, heads) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                 head = in_bitmap(bitmap, bits, spots(prints[row[first]], local[first]))
                 keep = np.repeat(head, np.diff(np.append(first, len(at))))
                 at, local, row = at[keep], local[keep], row[keep]
-                if len(at):
-                    yield _named(batch, row, lo=local, h0=run(at, at + n, 0).view(np.int64), h1=run(at, at + n, 1).view(np.int64))
+                h0 = run(at, at + n, 0)
+                if often is None:
+                    found, count = np.unique(h0, return_counts=True)
+                    yield pa.RecordBatch.from_pydict({"h0": found.view(np.int64), "n": np.minimum(count, 2).astype(np.int8)})
+                    continue
+                keep = in_bitmap(*often.value, h0)
+                if keep.any():
+                    at = at[keep]
+                    yield _named(batch, row[keep], lo=local[keep], h0=h0[keep].view(np.int64), h1=run(at, at + n, 1).view(np.int64))
 
     return rows
 
@@ -283,7 +294,9 @@ def repeated_words(docs: DataFrame, n: int) -> DataFrame:
     copies = found.join(again, same).where(F.col("place") != F.col("start")).select("place", (F.col("hi") + n).alias("end"))
     kinds = first.groupBy("key").agg(F.count("*").alias("n"), F.max("twice").alias("t")).where("n > 1 or t").select("key")
     heads = first.join(kinds, "key", "left_semi").select("first.place._fp", "first.place.lo").mapInArrow(_spot_rows, "spot long")
-    single = write_table(flat.mapInArrow(_window_rows(n, send(heads, "spot")), named("lo long, h0 long, h1 long"))
+    places = send(heads, "spot")
+    windows = flat.mapInArrow(_window_rows(n, places), "h0 long, n byte").groupBy("h0").agg(F.sum("n").alias("n")).where("n > 1")
+    single = write_table(flat.mapInArrow(_window_rows(n, places, send(windows, "h0")), named("lo long, h0 long, h1 long"))
                          .withColumn("place", place).drop("doc_id", "_fp", "lo"), "passage-windows")
     least = single.groupBy("h0", "h1").agg(F.min("place").alias("start"), F.max("place").alias("last")).where("start <> last").drop("last")
     more = single.join(least, ["h0", "h1"]).where(F.col("place") != F.col("start")).select("place", (F.col("place.lo") + n).alias("end"))
