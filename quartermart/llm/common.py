@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,18 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT_FOLD
 
 
+def send(spark: SparkSession, model: object) -> Broadcast:
+    """Broadcast an object of one of this package's classes with its class, so executors need no copy of the package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def received(sent: Broadcast) -> object:
+    """What ``send`` sent, built once for each Python worker."""
+    if not hasattr(sent, "_model"):
+        sent._model = cloudpickle.loads(sent.value)
+    return sent._model
+
+
 def pack(df: DataFrame, *needed: str) -> DataFrame:
     """The ``needed`` columns and ``_row``, a struct of all others, so that no other name can clash."""
     others = [F.col(f"`{c}`") for c in df.columns if c not in needed]

@@ -16,8 +16,11 @@ sorted, so reruns agree.
 
 Defined results: a null or empty text scores 0; without labelled rows of both
 kinds every score is 0; a row labelled more than once counts with its largest
-label, labels other than 0 and 1 are ignored; repeated rows are scored alike;
-an empty table gives an empty result; other columns are ignored.
+label, labels other than 0 and 1 are ignored; of repeated ids the smallest text
+is learnt from, so the sample is bounded by rows; repeated rows are scored alike;
+ids are kept exactly, beside null ids too; a text of any length is scored over the
+windows of ``window_starts`` of all its words; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, received, send
 
 TRAIN_DOCS = 1500
 MAX_TRAIN_CHARS = 50_000
@@ -42,6 +45,7 @@ EMBED, HIDDEN = 8, 8
 EPOCHS, BATCH, RATE = 12, 192, 1e-2
 _MEMO = 150_000
 _AT_ONCE = 4096  # windows scored together
+_PIECE = 3000  # windows of one text whose words are looked up together
 
 
 def word_keys(word: str) -> tuple[int, list[int]]:
@@ -278,7 +282,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, max_
     rate = F.when(F.col("toxic") == 1, train_docs / numbers[1]).otherwise(train_docs / numbers[0])
     sample = known.where(draw < rate)  # about 2 * train_docs rows
     rows = (docs.where(F.length("text").between(1, max_train_chars)).join(F.broadcast(sample), "doc_id")
-            .select("doc_id", "text", "toxic").toPandas().sort_values(["doc_id", "text"]))
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).toPandas().sort_values("doc_id"))
     if rows["toxic"].nunique() < 2:
         return None
     return train(rows["text"].tolist(), rows["toxic"].to_numpy(np.float32), numbers[1] / sum(numbers.values()))
@@ -286,14 +290,16 @@ def learn(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, max_
 
 def score(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` (doc_id, text) -> (doc_id, score, predicted, n_windows) over all windows of every whole text."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
+    sent = send(docs.sparkSession, model)  # of fixed size
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if sent.value is None:
+    @F.pandas_udf("score double, predicted int, n_windows long")
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        got = received(sent)
+        if got is None:
             for b in batches:
-                yield pd.DataFrame({"doc_id": b["doc_id"], "score": 0.0, "predicted": 0, "n_windows": 0})
+                yield pd.DataFrame({"score": np.zeros(len(b)), "predicted": np.zeros(len(b), np.int32), "n_windows": np.zeros(len(b), np.int64)})
             return
-        net, slope, offset = sent.value
+        net, slope, offset = got
         width = 3 * HIDDEN
         empty = net.project(net.features(Words.of([(0, [0])]))).reshape(1, 2 * width)
         memo, proj = {}, empty
@@ -318,10 +324,13 @@ def score(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
                     np.maximum.at(best, np.concatenate(owner), logits(rows))
                 rows, owner, held = [], [], 0
 
-            for i, text in enumerate(b["text"]):
+            for i, text in enumerate(b):
                 words = (text or "").split()
-                for at in range(0, len(words), 100_000 - WINDOW + STRIDE):  # keeps a huge text's word table small
-                    part = words[at:at + 100_000]
+                starts = window_starts(len(words))
+                number[i] = len(starts)
+                for k in range(0, len(starts), _PIECE):  # keeps a huge text's word table small
+                    at = starts[k:k + _PIECE]
+                    part = words[at[0]:at[-1] + WINDOW]
                     new = [w for w in dict.fromkeys(part) if w not in memo]
                     if len(memo) + len(new) > _MEMO:
                         flush()
@@ -336,20 +345,19 @@ def score(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
                             keys = [word_keys(w) for w in new[j:j + 20_000]]
                             proj[first + j:first + j + len(keys)] = net.project(net.features(Words.of(keys))).reshape(-1, 2 * width)
                     seq = np.fromiter(map(memo.__getitem__, part), np.int64, len(part))
-                    starts = window_starts(len(seq))
-                    span = starts[:, None] + np.arange(WINDOW)
+                    span = (at - at[0])[:, None] + np.arange(WINDOW)
                     rows.append(np.where(span < len(seq), seq[np.minimum(span, len(seq) - 1)], 0))
-                    owner.append(np.full(len(starts), i))
-                    number[i] += len(starts)
-                    held += len(starts)
+                    owner.append(np.full(len(at), i))
+                    held += len(at)
                     if held >= 4 * _AT_ONCE:
                         flush()
             flush()
             s = 1 / (1 + np.exp(-np.clip(slope * best + offset, -60, 60)))
             s = np.where(number > 0, s, 0.0)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "score": s, "predicted": (s >= threshold).astype(np.int32), "n_windows": number})
+            yield pd.DataFrame({"score": s, "predicted": (s >= threshold).astype(np.int32), "n_windows": number})
 
-    return docs.select("doc_id", "text").mapInPandas(judge, "doc_id long, score double, predicted int, n_windows long")
+    judged = docs.select("doc_id", judge.asNondeterministic()(F.col("text")).alias("_s"))
+    return judged.select("doc_id", "_s.score", "_s.predicted", "_s.n_windows")
 
 
 def judge_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
