@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pack, unpack
+from .common import pack, received, send, unpack
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MAX_WORD_BYTES = 200
@@ -109,11 +109,11 @@ def count_tokens(docs: DataFrame, vocabulary: tuple[set[bytes], set[bytes]] | No
 
     Words longer than ``max_word_bytes`` count as one token; None counts every word's pieces.
     """
-    model = docs.sparkSession.sparkContext.broadcast(Automaton(*(vocabulary or load_vocabulary())))
+    model = send(docs.sparkSession, Automaton(*(vocabulary or load_vocabulary())))
 
     @F.pandas_udf("n_words long, n_tokens long")
     def counts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        automaton = model.value
+        automaton = received(model)
 
         class Memo(dict):  # repeated words are counted once; emptied when full; long words don't enter
             def __missing__(self, word):
