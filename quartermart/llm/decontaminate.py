@@ -21,8 +21,10 @@ word for word are found of any item, be it all figures or names; half of them
 at one shift is a leak too.
 
 The benchmark is cut into slices of at most about ``SLICE_BYTES`` of text by a
-hash of its rows. A slice's index is sent to all tasks, and each further slice
-is one more lookup, so what is broadcast stays bounded at any benchmark size.
+hash of its rows. Each slice's index is sent to all tasks, and one Python worker
+a task looks a text up in all of them: what is sent out, and a worker's memory,
+grow with the benchmark (not with the documents). What is a name is told by the
+whole benchmark, so the number of slices changes no result.
 
 Defined results: null and empty texts and items match nothing; an item of
 fewer words than a window has one, the whole item, so an item of one word is in
@@ -38,14 +40,15 @@ import re
 import zlib
 from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pack, unpack
+from .common import pack, received, send, unpack
 from .shingles import mix
 
 WINDOW = 5
@@ -179,12 +182,19 @@ class Table:
         return found
 
 
+def lower_words(texts: Iterable[str | None]) -> frozenset[str]:
+    """Distinct words in lower case: no such word is a name elsewhere."""
+    return frozenset(s for text in texts for w in (text or "").encode().split()
+                     if (s := w.decode("utf-8", "replace").strip(_EDGE)) and s == s.lower())
+
+
 class Index:
     """Windows of the items of one slice: of templates, and of the words themselves."""
 
-    def __init__(self, items: list[tuple[int | None, str]]):
+    def __init__(self, items: list[tuple[int | None, str]], common: frozenset[str] | None = None):
+        """``common``: lower-case words of the whole benchmark, if ``items`` is a part of it."""
         raw = [(i, [w for w in (text or "").encode().split()]) for i, text in items]
-        self.common = frozenset(s for _, ws in raw for w in ws if (s := w.decode("utf-8", "replace").strip(_EDGE)) and s == s.lower())
+        self.common = lower_words(text for _, text in items) if common is None else common
         template = Templates(self.common)
         self.items, likes, copies = [], [], []
         self.longest = 0
@@ -296,25 +306,27 @@ def find_leaks(ids: np.ndarray, index: Index, share: float = SHARE) -> list[tupl
 _LEAKS = "array<struct<item_id: long, start: long, kept: int, windows: int, verbatim: boolean>>"
 
 
-def _leaks_of(index) -> Column:
+def _leaks_of(sent: list[Broadcast]) -> Column:
     @F.pandas_udf(_LEAKS)
     def leaks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        slice_ = index.value
-        template = Templates(slice_.common)
+        slices = [received(s) for s in sent]
+        template = Templates(slices[0].common)
+        reach = 8 * max(s.longest for s in slices)
         for texts in batches:
             out = []
             for text in texts:
                 words = text.encode().split() if text else []
-                found = {}
+                found = [{} for _ in slices]
                 for at in range(0, max(1, len(words)), _PIECE):
-                    part = words[at:at + _PIECE + 8 * slice_.longest]
+                    part = words[at:at + _PIECE + reach]
                     ids = template(part) if part else np.zeros((0, 2), np.uint64)
                     kept = np.flatnonzero(ids[:, 0] != 0)
-                    for item, shift, n, of, same in find_leaks(ids[kept], slice_):
-                        start = at + int(kept[min(max(shift, 0), len(kept) - 1)])
-                        if item not in found or n > found[item][2]:
-                            found[item] = (item, start, n, of, same)
-                out.append([dict(zip(("item_id", "start", "kept", "windows", "verbatim"), x, strict=True)) for x in found.values()])
+                    for slice_, best in zip(slices, found, strict=True):
+                        for item, shift, n, of, same in find_leaks(ids[kept], slice_):
+                            start = at + int(kept[min(max(shift, 0), len(kept) - 1)])
+                            if item not in best or n > best[item][2]:
+                                best[item] = (item, start, n, of, same)
+                out.append([dict(zip(("item_id", "start", "kept", "windows", "verbatim"), x, strict=True)) for best in found for x in best.values()])
             yield pd.Series(out)
 
     return leaks.asNondeterministic()(F.col("text"))  # else the planner may run it twice: in a filter and for its value
@@ -325,10 +337,12 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, slice_bytes: int = SLICE_B
     items = benchmark.where(F.length("text") > 0).select(F.col("item_id").cast("long").alias("item_id"), "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = max(1, -(-total // slice_bytes))
-    send = docs.sparkSession.sparkContext.broadcast
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(slices))
-    found = [_leaks_of(send(Index([tuple(r) for r in items.where(part == i).sort("item_id", "text").collect()]))) for i in range(slices)]
-    packed = pack(docs, "text").withColumn("leaks", F.concat(*found) if slices > 1 else found[0])
+    rows = lambda i: [tuple(r) for r in items.where(part == i).sort("item_id", "text").collect()]
+    # Names are told from words by the whole benchmark, so the number of slices changes no result.
+    common = frozenset().union(*(lower_words(text for _, text in rows(i)) for i in range(slices))) if slices > 1 else None
+    found = _leaks_of([send(docs.sparkSession, Index(rows(i), common)) for i in range(slices)])
+    packed = pack(docs, "text").withColumn("leaks", found)
     return unpack(packed, docs.columns, ["text"], ["leaks"])
 
 
