@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 
 from quartermart.functions import constants as K
 from quartermart.functions.collect import array_text, map_text
-from quartermart.functions.rules import DEFAULT_REGION_RULES
-from quartermart.operators import clean, profile
+from quartermart.functions.rules import DEFAULT_CATEGORY_RULES, DEFAULT_REGION_RULES
+from quartermart.operators import clean, profile, top, words
 from quartermart.operators.join import SPLIT, attach_dim
 from quartermart.operators.ranking import RANGE
 from quartermart.plans import poi as poi_plan
@@ -32,6 +32,7 @@ from quartermart.plans.portrait import user_portrait
 from quartermart.plans.user_quarter import user_quarter
 from quartermart.session import ensure_checkpoint_dir
 from quartermart.sources import binding, raw, schemas, sinks
+from quartermart.sources.buckets import write_bucketed
 from quartermart.sources.raw import rename
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -324,6 +325,56 @@ def _refreshed_table(field: str) -> Query:
     return q
 
 
+# --- buckets, rules by words, top values by summaries -----------------------------
+
+def _bucketed(spark, d, df: DataFrame, by: list[str], partition_by: list[str]) -> DataFrame:
+    """``df`` as a table in 8 buckets below the shared checkpoint folder."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    write_bucketed(df, name, by, 8, partition_by=partition_by, home=_scratch(spark, name))
+    return spark.table(name)
+
+
+def _bucketed_mart(spark, d) -> DataFrame:
+    visits = _bucketed(spark, d, fact(spark, d), warehouse.TRIP_BUCKETS, [])
+    mart = user_quarter(visits, dim(spark, d))
+    return _bucketed(spark, d, mart, warehouse.USER_BUCKETS, warehouse.QUARTER_PARTITION)
+
+
+bucketed_mart = _cached("bucketed_mart", _bucketed_mart)
+
+
+def q_user_quarter_bucketed(spark, d):
+    """The user mart from visits in buckets of trips, read back from buckets of users."""
+    return normalize(bucketed_mart(spark, d))
+
+
+def q_user_portrait_bucketed(spark, d):
+    """Portraits from a mart in buckets of users, without a shuffle."""
+    return normalize(user_portrait(bucketed_mart(spark, d), clustered=True))
+
+
+def q_poi_category_words(spark, d):
+    """Categories by joining substrings of labels with the rules' words."""
+    df = words.categories_by_words(poi_plan.prepared_poi(ods_poi(spark, d)), binding.TEST_CATEGORY_RULES)
+    return normalize(df.select("poi_id", "label_zh", "category"))
+
+
+def q_poi_category_words_dirty(spark, d):
+    """The shipped category rules by words over POIs with every kind of dirt; repeated ids stay."""
+    df = poi_plan.prepared_poi(rename(binding.dirty_poi(spark, d), K.POI_HEADER_RENAMES))
+    return normalize(words.categories_by_words(df, DEFAULT_CATEGORY_RULES, broadcast=SPLIT).select("poi_id", "label_zh", "category"))
+
+
+def q_profile_labels_summary(spark, d):
+    """The most frequent labels from bounded summaries and exact counts of the candidates."""
+    return normalize(top.top_frequency(poi_plan.prepared_poi(ods_poi(spark, d)), "label_zh", 50)[0])
+
+
+def q_top_places_summary(spark, d):
+    """The 50 places with most visits from bounded summaries and exact counts of the candidates."""
+    return normalize(top.top_frequency(skewed(spark, d), "poi_id", 50)[0])
+
+
 # --- counts from bitmaps, joins of heavy keys --------------------------------------
 
 def _write(spark: SparkSession):
@@ -375,6 +426,12 @@ def q_user_quarter_split(spark, d):
 
 def queries() -> dict[str, Query]:
     return {
+        "user_quarter_bucketed": q_user_quarter_bucketed,
+        "user_portrait_bucketed": q_user_portrait_bucketed,
+        "poi_category_words": q_poi_category_words,
+        "poi_category_words_dirty": q_poi_category_words_dirty,
+        "profile_labels_summary": q_profile_labels_summary,
+        "top_places_summary": q_top_places_summary,
         "attraction_counts_bitmaps": q_attraction_counts_bitmaps,
         "city_counts_bitmaps": q_city_counts_bitmaps,
         "attraction_year_bitmaps": q_attraction_year_bitmaps,

@@ -378,6 +378,16 @@ def oracle_sql() -> dict[str, str]:
             "array_to_string(CASE WHEN k % 11 = 0 THEN f[1:4] WHEN k % 13 = 0 THEN list_append(f, 'surplus') ELSE f END, ',') AS line "
             "FROM messy_lines WHERE k % 11 = 0 OR k % 13 = 0 OR k % 17 = 0"),
         "read_after_failed_write": _with(RAW) + "SELECT * FROM raw_trip",
+        "user_quarter_bucketed": _with(RAW, POI, VISITS, UQ) + "SELECT * FROM uq",
+        "user_portrait_bucketed": _with(RAW, POI, VISITS, UQ, PORTRAIT) + "SELECT * FROM portrait",
+        "poi_category_words": _with(RAW, POI) + "SELECT poi_id, label_zh, category FROM poi_class",
+        "poi_category_words_dirty": _with(DIRTY_POI, POI, DIRTY_CATEGORY) + "SELECT poi_id, array_to_string(label, ';') AS label_zh, category FROM dirty_class",
+        "profile_labels_summary": _with(RAW, POI) + (
+            "SELECT label_zh, count(*) AS count FROM poi_box GROUP BY label_zh "
+            "ORDER BY count DESC, label_zh LIMIT 50"),
+        "top_places_summary": _with(RAW, POI, SKEWED) + (
+            "SELECT poi_id, count(*) AS count FROM visits GROUP BY poi_id "
+            "ORDER BY count DESC, poi_id NULLS FIRST LIMIT 50"),
         "refresh_visits": _with(RAW, TWO_LOADS, LOADED) + f"SELECT {VISIT_COLS} FROM visits",
         "refresh_user_quarter": _with(RAW, TWO_LOADS, POI, LOADED, UQ) + "SELECT * FROM uq",
         "refresh_attraction_quarter": _with(RAW, TWO_LOADS, POI, LOADED, AQ) + "SELECT * FROM aq",

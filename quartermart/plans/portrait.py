@@ -48,8 +48,11 @@ def _or_empty(arr: Column) -> Column:
     return F.coalesce(arr, F.array().cast(T.ArrayType(ENTRY)))
 
 
-def portrait_entries(mart: DataFrame) -> DataFrame:
-    """(blog_id, kind, key) -> summed values; kinds Y(ear), C(ity), K (category), R(egion)."""
+def portrait_entries(mart: DataFrame, clustered: bool = False) -> DataFrame:
+    """(blog_id, kind, key) -> summed values; kinds Y(ear), C(ity), K (category), R(egion).
+
+    ``clustered``: the mart is stored in buckets of blog_id, so it isn't dealt out again.
+    """
     year = F.array(_entry("Y", F.col("travel_year"), trips=F.col("trip_total_cnt"),
                           spots=F.col("total_spot_cnt"), spt4=scaled("avg_spot_per_trip"),
                           solo4=scaled("solo_trip_ratio"), nq=F.lit(1)))
@@ -57,15 +60,15 @@ def portrait_entries(mart: DataFrame) -> DataFrame:
     cats = F.transform(F.map_entries("cate_visit_map"), lambda e: _entry("K", e["key"], cnt=e["value"]))
     regions = F.transform("region_arr", lambda r: _entry("R", r, cnt=F.lit(1)))
     entries = F.concat(year, _or_empty(cities), _or_empty(cats), _or_empty(regions))
-    by_user = mart.repartition("blog_id")
+    by_user = mart if clustered else mart.repartition("blog_id")
     e = by_user.select("blog_id", F.explode(entries).alias("e")).select("blog_id", "e.*")
     return e.groupBy("blog_id", "kind", "key").agg(
         *[F.sum(c).alias(c) for c in VALUE_FIELDS])
 
 
-def user_portrait(mart: DataFrame) -> DataFrame:
+def user_portrait(mart: DataFrame, clustered: bool = False) -> DataFrame:
     """The portrait with the declared columns of ``ADS_USER_PORTRAIT``."""
-    e = portrait_entries(mart)
+    e = portrait_entries(mart, clustered)
     kind = F.col("kind")
     is_y, is_c, is_k, is_r = kind == "Y", kind == "C", kind == "K", kind == "R"
 

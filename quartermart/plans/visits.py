@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from quartermart.functions import constants as K
 from quartermart.operators import clean
+from quartermart.sources.buckets import dealt
 
 VISIT_COLUMNS = ["blog_id", "trip_id", "travel_date", "travel_year", "travel_month", "travel_partners", "poi_id"]
 DEDUPE_KEYS = ["blog_id", "departure_date", "visit_sequence"]
@@ -59,15 +60,16 @@ def trips_in_years(ods_trip: DataFrame, years: tuple[int, int] = K.YEAR_RANGE,
 
 
 def clean_visits(ods_trip: DataFrame, years: tuple[int, int] = K.YEAR_RANGE,
-                 pattern: str = K.DEPARTURE_DATE_PATTERN, cluster_by: Sequence[str] = ()) -> DataFrame:
+                 pattern: str = K.DEPARTURE_DATE_PATTERN, cluster_by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """The visit fact, columns :data:`VISIT_COLUMNS`.
 
     ``cluster_by``: trip columns to rebalance by for a partitioned write; done
     before the visit lists are exploded, so trips are moved and not visits.
+    With ``buckets``, trips are dealt into that many buckets of ``cluster_by``.
     """
     trips = trips_in_years(ods_trip, years, pattern)
     if cluster_by:
-        trips = trips.hint("rebalance", *cluster_by)
+        trips = dealt(trips, cluster_by, buckets) if buckets else trips.hint("rebalance", *cluster_by)
     exploded = clean.explode_list(trips.select(*VISIT_COLUMNS[:-1], "visit_sequence"),
                                   "visit_sequence", "poi_id", K.LIST_SEPARATOR)
     return exploded.select(*VISIT_COLUMNS)

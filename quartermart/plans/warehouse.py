@@ -35,10 +35,13 @@ from quartermart.plans.portrait import user_portrait
 from quartermart.plans.user_quarter import user_quarter
 from quartermart.plans.visits import clean_visits
 from quartermart.sources import schemas, sinks
+from quartermart.sources.buckets import write_bucketed
 from quartermart.sources.raw import scan_poi_csv, scan_trip_csv
 
 QUARTER_PARTITION = ["travel_year", "travel_quarter"]
 MONTH_PARTITION = ["travel_year", "travel_month"]
+#: A user with a large share of all visits has many trips, so trips spread them; the user mart has a row a user and quarter.
+TRIP_BUCKETS, USER_BUCKETS = ["trip_id"], ["blog_id"]
 
 
 @dataclass(frozen=True)
@@ -68,10 +71,13 @@ class Config:
     rank_form: str = WINDOW            # or RANGE (see operators.ranking); needs spark.checkpoint.dir
     tables: Tables = field(default_factory=Tables)
     root: str | None = None            # folder of all layers; None: tables of the session catalog
+    buckets: int | None = None         # visits by trip and user mart by user in that many buckets (catalog only)
 
     def __post_init__(self):
         if self.rank_form not in (WINDOW, RANGE):
             raise ValueError(f"unknown form of ranking: {self.rank_form}")
+        if self.buckets and self.root:
+            raise ValueError("buckets are kept by the catalog: leave out root")
 
 
 def _read(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
@@ -105,6 +111,10 @@ def job_poi(spark: SparkSession, cfg: Config = Config()) -> None:
 def job_visits(spark: SparkSession, cfg: Config = Config()) -> None:
     """C3: ods trips -> dwd visit fact, partitioned by (year, month)."""
     t = cfg.tables
+    if cfg.buckets:
+        visits = clean_visits(_read(spark, cfg, t.ods_trip), years=cfg.years, cluster_by=TRIP_BUCKETS, buckets=cfg.buckets)
+        write_bucketed(visits, t.dwd_visit, TRIP_BUCKETS, cfg.buckets, schemas.DWD_VISIT, MONTH_PARTITION, ready=True)
+        return
     visits = clean_visits(_read(spark, cfg, t.ods_trip), years=cfg.years, cluster_by=MONTH_PARTITION)
     _write(visits, cfg, t.dwd_visit, schemas.DWD_VISIT, partition_by=MONTH_PARTITION, rebalance=False)
 
@@ -113,6 +123,9 @@ def job_user_quarter(spark: SparkSession, cfg: Config = Config(), poi: DataFrame
     """C4: dwd visits + POI -> user x quarter mart."""
     t = cfg.tables
     df = user_quarter(_read(spark, cfg, t.dwd_visit), _read(spark, cfg, t.dwd_poi) if poi is None else poi, cfg.broadcast, cfg.categories.unclassified)
+    if cfg.buckets:
+        write_bucketed(df, t.dws_user, USER_BUCKETS, cfg.buckets, schemas.DWS_USER_QUARTER, QUARTER_PARTITION)
+        return
     _write(df, cfg, t.dws_user, schemas.DWS_USER_QUARTER, partition_by=QUARTER_PARTITION)
 
 
@@ -133,7 +146,7 @@ def job_city_quarter(spark: SparkSession, cfg: Config = Config(), poi: DataFrame
 def job_portrait(spark: SparkSession, cfg: Config = Config()) -> None:
     """C7: user x quarter mart -> lifetime portrait."""
     t = cfg.tables
-    _write(user_portrait(_read(spark, cfg, t.dws_user)), cfg, t.ads_portrait, schemas.ADS_USER_PORTRAIT)
+    _write(user_portrait(_read(spark, cfg, t.dws_user), clustered=bool(cfg.buckets)), cfg, t.ads_portrait, schemas.ADS_USER_PORTRAIT)
 
 
 def job_top_attractions(spark: SparkSession, cfg: Config = Config()) -> None:
@@ -195,9 +208,10 @@ def configured(p: argparse.ArgumentParser, argv=None) -> tuple[Config, argparse.
     p.add_argument("--categories", help='JSON file: [["name", "regex"], ...], tried in order')
     p.add_argument("--table", action="append", default=[], metavar="FIELD=LAYER.NAME", help="rename a table, e.g. dws_user=dws.users")
     p.add_argument("--rank-form", default=WINDOW, choices=[WINDOW, RANGE])
+    p.add_argument("--buckets", type=int, help="store visits and the user mart in that many buckets (catalog tables)")
     p.add_argument("--master", default=None, help="only for local runs; clusters pass it via spark-submit")
     a = p.parse_args(argv)
-    cfg = Config(root=a.root, rank_form=a.rank_form, tables=Tables(**dict(x.split("=", 1) for x in a.table)))
+    cfg = Config(root=a.root, rank_form=a.rank_form, buckets=a.buckets, tables=Tables(**dict(x.split("=", 1) for x in a.table)))
     if a.years:
         cfg = replace(cfg, years=tuple(int(y) for y in a.years.split(",")))
     if a.categories:
