@@ -288,17 +288,17 @@ def repeated_words(docs: DataFrame, n: int) -> DataFrame:
     found = write_table(flat.mapInArrow(_segment_rows(n, send(keys, "key")), named("lo long, hi long, key long, h0 long, h1 long, twice boolean"))
                         .withColumn("place", place).drop("doc_id", "_fp", "lo"), "passage-segments")
     same = ["key", "h0", "h1"]
-    first = write_table(found.groupBy(*same).agg(F.min(F.struct("place", "hi")).alias("first"), F.max("place").alias("last"), F.max("twice").alias("twice")),
+    first = write_table(found.groupBy(*same).agg(F.min("place").alias("first"), F.count("*").alias("n"), F.max("twice").alias("twice")),
                         "passage-first")
-    again = first.where(F.col("last") != F.col("first.place")).select(*same, F.col("first.place").alias("start"))
+    again = first.where("n > 1").select(*same, F.col("first").alias("start"))
     copies = found.join(again, same).where(F.col("place") != F.col("start")).select("place", (F.col("hi") + n).alias("end"))
     kinds = first.groupBy("key").agg(F.count("*").alias("n"), F.max("twice").alias("t")).where("n > 1 or t").select("key")
-    heads = first.join(kinds, "key", "left_semi").select("first.place._fp", "first.place.lo").mapInArrow(_spot_rows, "spot long")
+    heads = first.join(kinds, "key", "left_semi").select("first._fp", "first.lo").mapInArrow(_spot_rows, "spot long")
     places = send(heads, "spot")
     windows = flat.mapInArrow(_window_rows(n, places), "h0 long, n byte").groupBy("h0").agg(F.sum("n").alias("n")).where("n > 1")
     single = write_table(flat.mapInArrow(_window_rows(n, places, send(windows, "h0")), named("lo long, h0 long, h1 long"))
                          .withColumn("place", place).drop("doc_id", "_fp", "lo"), "passage-windows")
-    least = single.groupBy("h0", "h1").agg(F.min("place").alias("start"), F.max("place").alias("last")).where("start <> last").drop("last")
+    least = single.groupBy("h0", "h1").agg(F.min("place").alias("start"), F.count("*").alias("n")).where("n > 1").drop("n")
     more = single.join(least, ["h0", "h1"]).where(F.col("place") != F.col("start")).select("place", (F.col("place.lo") + n).alias("end"))
     gone = copies.union(more).groupBy(F.struct("place.doc_id", "place._fp").alias("_doc")).agg(
         F.collect_set(F.struct("place.lo", "end")).alias("_r"))  # at most a document's windows
