@@ -33,7 +33,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,32 +94,31 @@ def _bodies(often) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
     return rows
 
 
-def _kept(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """The text without the named chunks, which come in order; null for a null list."""
-    for texts, names in batches:
-        out = []
-        for text, chunks in zip(texts, names, strict=True):
-            if chunks is None:
-                out.append(None)
-                continue
-            lines, left, at = text.split("\n"), [], 0
-            for c in map(int, chunks):
-                left += lines[at:c // _SPAN]
-                at = c % _SPAN
-            out.append("\n".join(left + lines[at:]))
-        yield pd.Series(out, dtype=object)
-
-
 def _without(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """The text without the named chunks and the word ranges; null for null ranges."""
+    """The text without the named chunks and the word ranges; null for a null text."""
     for texts, names, words in batches:
         out = []
         for text, chunks, ranges in zip(texts, names, words, strict=True):
             lines = [(int(c) // _SPAN, int(c) % _SPAN) for c in (() if chunks is None else chunks)]
-            out.append(None if ranges is None else without(text, lines, [(int(r["start"]), int(r["end"])) for r in ranges]))
+            runs = [(int(r["start"]), int(r["end"])) for r in (() if ranges is None else ranges)]
+            out.append(None if text is None else without(text, lines, runs))
         yield pd.Series(out, dtype=object)
 
 
+def _split_by(docs: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` whose 64-bit ``key`` may be among ``keys`` (column ``key``), and those whose key is not: told by a bitmap, without a shuffle."""
+    some = docs.sparkSession.sparkContext.broadcast((bitmap_of(keys, "key", KEY_BITS), KEY_BITS))
+
+    @F.pandas_udf("boolean")
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bitmap, bits = some.value
+        for k in batches:
+            yield pd.Series(in_bitmap(bitmap, bits, k.to_numpy()))
+
+    told = docs.withColumn("_told", known.asNondeterministic()(key))
+    return told.where("_told").drop("_told"), told.where("not _told").drop("_told")
+
+
 def dedup_lines(docs: DataFrame, passage_words: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text, ...) with repeated chunks taken out of ``text``; adds ``n_lines`` and ``removed`` (line ranges).
 
@@ -135,25 +134,27 @@ def dedup_lines(docs: DataFrame, passage_words: int | None = None) -> DataFrame:
     schema = T.StructType([own.schema["doc_id"], own.schema["_fp"], *T.StructType.fromDDL("chunk long, digest binary, body string")])
     found = write_table(own.mapInArrow(_bodies(often), schema), "line-bodies")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_fp", "chunk")
-    first = found.groupBy("digest", "body").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
+    first = found.groupBy("digest", "body").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     removed = write_table(found.join(first, ["digest", "body"]).where(place != F.col("first")).groupBy(F.struct("doc_id", "_fp").alias("_doc"))
                           .agg(F.sort_array(F.collect_set("chunk")).alias("_gone")), "line-removed")
     drop_table(found)
 
-    keyed = keyed.withColumn("_doc", F.struct("doc_id", "_fp")).drop("_fp")
-    d = keyed.join(removed.hint("shuffle_hash"), "_doc", "left")
-    left = F.pandas_udf(_kept, "string").asNondeterministic()(F.when(F.col("_gone").isNotNull(), F.col("text")), F.col("_gone"))
     lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    keyed = keyed.withColumns({"_doc": F.struct("doc_id", "_fp"), "n_lines": F.coalesce(lines, F.lit(0))}).drop("_fp")
+    word_ranges = "array<struct<start: bigint, end: bigint>>"
+    if passage_words:
+        words = repeated_words(own, passage_words)
+        gone, ids = removed.join(words.hint("shuffle_hash"), "_doc", "full"), removed.select("_doc").union(words.select("_doc"))
+    else:
+        gone, ids = removed.withColumn("_words", F.lit(None).cast(word_ranges)), removed.select("_doc")
+    # Only texts that lose something (and the few that share their class) are shuffled.
+    lose, same = _split_by(keyed, F.xxhash64("_doc._fp"), ids.select(F.xxhash64("_doc._fp").alias("key")))
+    lose = lose.join(gone.hint("shuffle_hash"), "_doc", "left")
+    changed = F.col("_gone").isNotNull() | F.col("_words").isNotNull()
+    left = F.pandas_udf(_without, "string").asNondeterministic()(F.when(changed, F.col("text")), F.col("_gone"), F.col("_words"))
+    lose = lose.withColumn("_left", left).withColumn("text", F.when(changed, F.col("_left")).otherwise(F.col("text"))).drop("_left")
     ranges = F.transform(F.coalesce("_gone", F.array().cast("array<bigint>")), lambda c: F.struct(
         F.floor(c / F.lit(_SPAN)).cast("int").alias("start"), (c % F.lit(_SPAN)).cast("int").alias("end")))
-    d = d.withColumns({"_left": left, "n_lines": F.coalesce(lines, F.lit(0)), "removed": ranges})
-    own_columns = ["n_lines", "removed"]
-    if passage_words:
-        d = d.join(repeated_words(own, passage_words).hint("shuffle_hash"), "_doc", "left")
-        cut = F.pandas_udf(_without, "string").asNondeterministic()(F.when(F.col("_words").isNotNull(), F.col("text")), F.col("_gone"), F.col("_words"))
-        d = d.withColumn("passages", F.coalesce("_words", F.array().cast("array<struct<start: bigint, end: bigint>>"))).withColumn("_cut", cut)
-        d = d.withColumn("_left", F.when(F.col("_words").isNotNull(), F.col("_cut")).otherwise(F.col("_left")))
-        d = d.withColumn("_gone", F.coalesce(F.col("_gone"), F.when(F.col("_words").isNotNull(), F.array().cast("array<bigint>"))))
-        own_columns.append("passages")
-    d = d.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.col("_left")))
-    return unpack(d, docs.columns, ["doc_id", "text"], own_columns)
+    out = lose.unionByName(same, allowMissingColumns=True).withColumns({
+        "removed": ranges, "passages": F.coalesce("_words", F.array().cast(word_ranges))})
+    return unpack(out, docs.columns, ["doc_id", "text"], ["n_lines", "removed", *(["passages"] if passage_words else [])])
