@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 WORDS = 5
-_PIECE = 1 << 21  # bytes hashed at once; a longer text is cut between words
+_PIECE = 1 << 18  # bytes hashed at once, which take some 35 times as much memory; a longer text is cut between words
 _U = np.uint64
 
 
