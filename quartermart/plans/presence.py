@@ -1,7 +1,7 @@
 """Distinct users and trips of places from bitmaps; cities, regions and years from those of their places.
 
-``numbered`` writes the visits once with numbers of users and trips.
-``place_state`` reduces them to one row a (place, quarter, kind, bitmap), the only
+``numbered`` writes the visits with numbers of users and trips.
+``place_state`` reduces them to one row a (place, quarter, kind, word of bits), the only
 pass over visits. All counts of the attraction mart and of the city mart, and
 distinct users over any longer time, come from that table.
 """
@@ -28,15 +28,15 @@ Write = Callable[[DataFrame, str], DataFrame]
 
 
 def numbered(visits: DataFrame, write: Write) -> DataFrame:
-    """The visits with ``user_no`` and ``trip_no``. Trips are numbered by quarter, so a quarter's trips share bitmaps."""
-    v = visits.withColumn("travel_quarter", quarter_of("travel_date"))
+    """The visits with ``user_no`` and ``trip_no``. Trips are numbered by quarter, so a quarter's trips share words."""
+    v = write(visits.withColumn("travel_quarter", quarter_of("travel_date")), "quarter_visits")     # read three times below
     users = write(bitmaps.number(v, "blog_id", "user_no"), "user_numbers")
     trips = write(bitmaps.number(v, "trip_id", "trip_no", order=QUARTER), "trip_numbers")
     return write(v.join(users, "blog_id", "left").join(trips, "trip_id", "left"), "numbered_visits")
 
 
 def place_state(visits: DataFrame) -> DataFrame:
-    """(poi_id, year, quarter, kind, bucket): bitmaps of users and trips, sums of visits."""
+    """(poi_id, year, quarter, kind, bucket): bits of users and trips, sums of visits."""
     sums = {"visit_total_cnt": F.lit(1), "trip_row_cnt": F.col("trip_id").isNotNull().cast("int"),
             "solo_trip_cnt": F.coalesce((F.col("travel_partners") == K.SOLO).cast("int"), F.lit(0))}
     return bitmaps.presence(visits, PLACE, {USERS: "user_no", TRIPS: "trip_no"}, sums)
@@ -51,7 +51,8 @@ def attraction_counts(state: DataFrame) -> DataFrame:
 def city_counts(state: DataFrame, poi: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """As ``plans.city_quarter.city_counts``, without the visits: a place is in one city."""
     group = ["city", "region", *QUARTER]
-    placed = attach_dim(state, poi.select("poi_id", "city", "region"), "poi_id", how="inner", broadcast=broadcast)
+    users = state.where(F.col("kind") != TRIPS)     # trips are visit rows here
+    placed = attach_dim(users, poi.select("poi_id", "city", "region"), "poi_id", how="inner", broadcast=broadcast)
     placed = placed.withColumn("places", (F.col("kind") == "rows").cast("int"))
     sums = [*SUMS, "places"]
     df = bitmaps.counts(bitmaps.merged(placed, group, sums), group, {USERS: "visit_user_cnt"}, sums)

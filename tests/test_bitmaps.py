@@ -61,3 +61,15 @@ def test_place_state_moves_fewer_rows_than_the_expand(spark, tmp_path):
     assert users.agg(F.sum("visit_total_cnt")).first()[0] == 3 * visits.count()
     state = presence.counts_over(thrice, ["poi_id"]).select("poi_id", F.col("visit_user_cnt").alias("n"))
     assert state.exceptAll(plain).count() == 0 == plain.exceptAll(state).count()
+
+
+def test_sparse_groups_take_no_more_than_a_word_a_row(spark):
+    """Groups with a few numbers far apart: the state grows with the rows, not by a wide bitmap for each of them."""
+    far = spark.range(3000).select((F.col("id") % 500).cast("string").alias("g"), F.shiftleft(F.col("id") * 7919, 16).alias("no"))
+    state = B.presence(far, ["g"], {"user": "no"}, {"n": F.lit(1)})
+    size = state.agg(F.sum(F.octet_length(F.col("bits").cast("string")))).first()[0]
+    assert size <= 3000 * 20      # the digits of a long
+    got = B.counts(state, ["g"], {"user": "users"}, ["n"]).select("users", "n").distinct().collect()
+    assert [(r.users, r.n) for r in got] == [(6, 6)]
+    top = spark.createDataFrame([("a", i) for i in (0, 62, 63, 64, 127, (1 << 33) * 9 + 63)], "g string, no long")
+    assert B.counts(B.presence(top, ["g"], {"user": "no"}, {"n": F.lit(1)}), ["g"], {"user": "users"}, ["n"]).first()["users"] == 6
