@@ -14,18 +14,6 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def count_map(key: str | Column, value: str | Column, when: Column | None = None) -> Column:
-    """Aggregate: ``map<key, value>`` from one row per key, keys ascending.
-
-    Rows with a null key (or failing ``when``) are skipped, so a map key is
-    never null; with no row left the map is empty.
-    """
-    k, v = _c(key), _c(value)
-    keep = k.isNotNull() if when is None else (k.isNotNull() & when)
-    entries = F.collect_list(F.when(keep, F.struct(k.alias("key"), v.alias("value"))))
-    return F.map_from_entries(F.array_sort(entries))
-
-
 def top_keys(map_col: str | Column) -> Column:
     """All keys whose value is the largest in the map (ties kept), ascending.
 

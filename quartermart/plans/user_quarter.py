@@ -3,15 +3,15 @@
 The original builds this from ten aggregates and eight joins on
 (user, year, quarter). Here it is one scan, one dimension join and two shuffles:
 
-1. Visits are reduced to (user-quarter, trip, month, category): counts, dates
-   and the sets of cities, regions and partners. The partial step combines
-   map-side, and the key holds the trip, so a user-quarter with a large share
-   of all visits is spread over many tasks. Sets hold distinct values only.
-2. The reduced rows are dealt out by user-quarter. A trip is one user's day, so
-   a user-quarter has at most 92 trips (times their categories), however many
-   visits it has. Within that partitioning, and without another shuffle, rows
-   become trips, trips become counted (kind, key) entries, and entries become
-   one row with all counts, sets and maps.
+1. Visits are counted per (user-quarter, trip, month, city, region, category,
+   partner). The partial step combines map-side, and the key holds the trip, so a
+   user-quarter with a large share of all visits is spread over many tasks. Counts
+   and dates have fixed width, so this is a hash aggregate without collections.
+2. The counted rows are dealt out by user-quarter. A trip is one user's day, so
+   a user-quarter has at most 92 trips (times their places' cities and
+   categories), however many visits it has. They are collected once, and all
+   counts, sets and maps come from that one array, in steps linear in its length
+   (times categories, which are as many as the rules).
 
 Semantics kept from the original: unmatched POIs count as visits; a category
 equal to "unclassified" (or null) is not a category; the category map is null
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quartermart.functions import constants as K
-from quartermart.functions.collect import count_map, top_keys
+from quartermart.functions.collect import top_keys
 from quartermart.functions.metrics import quarter_level, quarter_of, quarter_range_type, ratio
 from quartermart.operators.join import attach_dim
 from quartermart.sources import schemas
@@ -44,80 +44,76 @@ def joined_visits(visits: DataFrame, poi: DataFrame, broadcast: bool | None = No
     return attach_dim(v, dim, "poi_id", how="left", broadcast=broadcast)
 
 
-def trip_rows(joined: DataFrame) -> DataFrame:
-    """Steps 1 and 2 up to the trips: one row per (U, trip), dealt out by U."""
-    partners = F.col("travel_partners")
-    parts = joined.groupBy(*U, "trip_id", "travel_month", "category").agg(
+def counted_visits(joined: DataFrame) -> DataFrame:
+    """Step 1: equal visits of a trip with their number ``n``, dealt out by U."""
+    return joined.groupBy(*U, "trip_id", "travel_month", "city", "region", "category", "travel_partners").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(partners == K.SOLO).alias("n_solo"),
-        F.count_if(partners < K.SOLO).alias("n_below"),
         F.min("travel_date").alias("dmin"),
         F.max("travel_date").alias("dmax"),
-        F.collect_set("city").alias("cities"),
-        F.collect_set("region").alias("regions"),
-        F.collect_set("travel_partners").alias("partners"),
     ).repartition(*U)
 
-    def merged(col: str) -> Column:
-        return F.array_distinct(F.flatten(F.collect_list(col))).alias(col)
 
-    def counted(col: str) -> Column:
-        return F.collect_list(F.struct(F.col(col).cast("string").alias("key"), "n"))
+def _distinct(col: str, *fields: str) -> Column:
+    """Sorted distinct values of ``fields`` (of the first one alone, if no other), where that is not null."""
+    value = (lambda r: r[fields[0]]) if len(fields) == 1 else (lambda r: F.struct(*[r[f].alias(f) for f in fields]))
+    return F.array_sort(F.array_distinct(F.transform(F.filter(col, lambda r: r[fields[0]].isNotNull()), value)))
+
+
+def _trips(rows: Column) -> Column:
+    return F.array_distinct(F.transform(rows, lambda r: r["trip_id"]))
+
+
+def _starts(keys: str) -> Column:
+    """Places at which a run of equal keys begins, in an array in which equal keys are neighbours."""
+    at = F.when(F.size(keys) > 0, F.sequence(F.lit(0), F.size(keys) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.filter(at, lambda i: (i == 0) | ~F.get(keys, i).eqNullSafe(F.get(keys, i - 1)))
 
-    return parts.groupBy(*U, "trip_id").agg(
-        F.sum("n").alias("n"),
-        ((F.sum("n_solo") > 0) & (F.sum("n_below") == 0)).alias("solo"),
-        F.min("dmin").alias("dmin"), F.max("dmax").alias("dmax"),
-        merged("cities"), merged("regions"), merged("partners"),
-        counted("category").alias("categories"), counted("travel_month").alias("months"),
-    )
 
+def _run_length(starts: str, keys: str, i: Column, j: Column) -> Column:
+    return F.coalesce(F.get(starts, j + 1), F.size(keys)) - i
 
-def entry_rows(trips: DataFrame, unclassified: str = K.UNCLASSIFIED) -> DataFrame:
-    """One row per (U, kind, key) with its count; ``n`` counts visits for months and categories, trips else."""
-
-    def entry(kind: str, key, n) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), key.alias("key"), n.cast("long").alias("n"))
-
-    def each(kind: str, col: str) -> Column:
-        return F.transform(col, lambda x: entry(kind, x, F.lit(1)))
-
-    none = F.lit(None).cast("string")
-    classified = F.filter("categories", lambda c: c["key"].isNotNull() & (c["key"] != unclassified))
-    flags = F.array(entry("trip", none, F.lit(1)), entry("visit", none, F.col("n")),
-                    entry("solo", none, F.col("solo").cast("int")),
-                    entry("cross_region", none, (F.size("regions") >= 2).cast("int")))
-    entries = F.concat(flags, each("city", "cities"), each("region", "regions"), each("partner", "partners"),
-                       F.transform(classified, lambda c: entry("category", c["key"], c["n"])),
-                       F.transform("months", lambda m: entry("month", m["key"], m["n"])))
-    return (trips.select(*U, "dmin", "dmax", F.explode(entries).alias("e"))
-            .groupBy(*U, F.col("e.kind").alias("kind"), F.col("e.key").alias("key"))
-            .agg(F.sum("e.n").alias("n"), F.min("dmin").alias("dmin"), F.max("dmax").alias("dmax")))
-
-
-def quarter_metrics(rows: DataFrame) -> DataFrame:
-    """One row per U with every base metric, set and map."""
-    of = lambda kind: F.col("kind") == kind
-    count = lambda kind: F.coalesce(F.sum(F.when(of(kind), F.col("n"))), F.lit(0))
-    keys = lambda kind: F.sort_array(F.collect_set(F.when(of(kind), F.col("key"))))
-    month = F.col("key").cast("int")
-    cat_entries = F.collect_list(F.when(of("category"), F.struct("key", F.col("n").alias("value"))))
-    return rows.groupBy(*U).agg(
-        count("trip").alias("trip_total_cnt"),
-        count("visit").alias("total_spot_cnt"),
-        count("cross_region").alias("cross_region_trip_cnt"),
-        count("solo").alias("solo_trip_cnt"),
+
+def _sum_n(rows: Column) -> Column:
+    return F.aggregate(rows, F.lit(0).cast("long"), lambda s, r: s + r["n"])
+
+
+def quarter_metrics(rows: DataFrame, unclassified: str = K.UNCLASSIFIED) -> DataFrame:
+    """Step 2: one row per U with every base metric, set and map, from ``counted_visits``."""
+    entry = F.struct("trip_id", "travel_month", "city", "region", "category", "travel_partners", "n")
+    u = rows.groupBy(*U).agg(
+        F.sum("n").alias("total_spot_cnt"),
         F.min("dmin").alias("first_trip_date"),
         F.max("dmax").alias("last_trip_date"),
-        F.max_by(F.when(of("month"), month), F.when(of("month"), F.struct(F.col("n"), -month))).alias("peak_month"),
-        keys("region").alias("region_arr"),
-        keys("partner").alias("partner_arr"),
-        count_map("key", "n", when=of("city")).alias("city_visit_map"),
-        F.array_sort(cat_entries).alias("_cat_entries"),
-    ).withColumn(
-        "cate_visit_map",
-        F.when(F.size("_cat_entries") > 0, F.map_from_entries("_cat_entries")),
-    ).drop("_cat_entries")
+        F.collect_list(entry).alias("v"),
+    )
+    # one entry a (city, trip) and a (trip, region), ordered, so that equal cities and equal trips are neighbours;
+    # each array is a column of its own before a lambda looks into it, so it is made once a row
+    u = u.select(*u.columns,
+                 F.transform(_distinct("v", "city", "trip_id"), lambda p: p["city"]).alias("_cities"),
+                 F.array_sort(F.transform(_distinct("v", "region", "trip_id"), lambda p: p["trip_id"])).alias("_region_trips"),
+                 F.array_distinct(F.transform("v", lambda r: r["travel_month"])).alias("_months"),
+                 _distinct("v", "category").alias("_categories"))
+    u = u.select(*u.columns, _starts("_cities").alias("_city_starts"), _starts("_region_trips").alias("_trip_starts"))
+    month = lambda m: F.struct(_sum_n(F.filter("v", lambda r: r["travel_month"].eqNullSafe(m))).alias("n"),
+                               (-m).alias("minus"), m.alias("month"))
+    category = lambda c: F.struct(c.alias("key"), _sum_n(F.filter("v", lambda r: r["category"] == c)).alias("value"))
+    city = lambda i, j: F.struct(F.get("_cities", i).alias("key"),
+                                 _run_length("_city_starts", "_cities", i, j).cast("long").alias("value"))
+    several = F.filter("_trip_starts", lambda i, j: _run_length("_trip_starts", "_region_trips", i, j) >= 2)
+    with_solo = _trips(F.filter("v", lambda r: r["travel_partners"] == K.SOLO))
+    with_smaller = _trips(F.filter("v", lambda r: r["travel_partners"] < K.SOLO))
+    classified = F.filter("_categories", lambda c: c != unclassified)
+    return u.select(
+        *U, "total_spot_cnt", "first_trip_date", "last_trip_date",
+        F.size(_trips(F.col("v"))).alias("trip_total_cnt"),
+        F.size(several).alias("cross_region_trip_cnt"),
+        F.size(F.array_except(with_solo, with_smaller)).alias("solo_trip_cnt"),
+        F.array_max(F.transform("_months", month))["month"].alias("peak_month"),
+        _distinct("v", "region").alias("region_arr"),
+        _distinct("v", "travel_partners").alias("partner_arr"),
+        F.map_from_entries(F.transform("_city_starts", city)).alias("city_visit_map"),
+        F.when(F.size(classified) > 0, F.map_from_entries(F.transform(classified, category))).alias("cate_visit_map"),
+    )
 
 
 def finish(df: DataFrame) -> DataFrame:
@@ -147,5 +143,5 @@ def finish(df: DataFrame) -> DataFrame:
 def user_quarter(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None,
                  unclassified: str = K.UNCLASSIFIED) -> DataFrame:
     """The user-quarter mart with the declared columns of ``DWS_USER_QUARTER``."""
-    trips = trip_rows(joined_visits(visits, poi, broadcast))
-    return finish(quarter_metrics(entry_rows(trips, unclassified)))
+    rows = counted_visits(joined_visits(visits, poi, broadcast))
+    return finish(quarter_metrics(rows, unclassified))

@@ -66,6 +66,16 @@ def test_user_quarter_scans_the_fact_once(spark):
     assert sum("FileScan parquet" in line and "/visits" in line for line in plan.splitlines()) == 1
 
 
+def test_user_quarter_collects_once_and_expands_nothing(spark):
+    """Visits are counted by a hash aggregate and collected once a user-quarter: no sets a trip, no rows a set's value."""
+    path = tempfile.mkdtemp(prefix="qm-plan-") + "/visits"
+    C.fact(spark, SF001).write.parquet(path)
+    dim = tempfile.mkdtemp(prefix="qm-plan-") + "/dim"
+    C.dim(spark, SF001).write.parquet(dim)
+    plan = _plan(user_quarter(spark.read.parquet(path), spark.read.parquet(dim)))
+    assert plan.count("ObjectHashAggregate(") == 2 and "Generate" not in plan and "SortAggregate" not in plan
+
+
 def test_portrait_shuffles_once(spark):
     mart = spark.createDataFrame(C.uq(spark, SF001).collect(), C.uq(spark, SF001).schema)
     full = user_portrait(mart)._jdf.queryExecution().executedPlan().toString()
