@@ -4,9 +4,11 @@ A city name can fall in two regions (regions come from coordinates), so the
 key is (city, region) everywhere, including the growth window; joining the
 growth back on city alone would multiply rows.
 
-Visits are first reduced to (poi, quarter, user) with their visit and solo
-counts (map-side combined, and keyed by the user too, so a hot POI is spread);
-only that reduced frame meets the dimension.
+Visits are first reduced to one row a (poi, quarter) with its visit and solo
+counts and one a (poi, quarter, user), map-side combined and keyed by the user
+too, so a hot POI is spread; only that reduced frame meets the dimension. A POI
+is in one city (the dimension is unique by id), so its row counts as one place
+and needs no distinct count; users become distinct by a plain grouping.
 """
 
 from __future__ import annotations
@@ -33,17 +35,23 @@ def city_counts(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None
     """Per (city, region, year, quarter): users, trips (= visit rows), visits, POIs, solo visits."""
     v = visits.withColumn("travel_quarter", quarter_of("travel_date"))
     dim = poi.select("poi_id", *CITY)
-    reduced = v.groupBy("poi_id", *QUARTER, "blog_id").agg(
-        F.count("trip_id").alias("n_trip"),
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("travel_partners") == K.SOLO).alias("n_solo"),
+    entries = F.array(F.struct(F.lit(False).alias("is_user"), F.lit(None).cast("string").alias("user")),
+                      F.struct(F.lit(True).alias("is_user"), F.col("blog_id").cast("string").alias("user")))
+    e = v.select("poi_id", *QUARTER, "trip_id", "travel_partners", F.explode(entries).alias("e")).select("*", "e.is_user", "e.user")
+    of_place = ~F.col("is_user")
+    reduced = e.where(of_place | F.col("user").isNotNull()).groupBy("poi_id", *QUARTER, "is_user", "user").agg(
+        F.count_if(of_place & F.col("trip_id").isNotNull()).alias("n_trip"),
+        F.count_if(of_place).alias("n"),
+        F.count_if(of_place & (F.col("travel_partners") == K.SOLO)).alias("n_solo"),
     )
     j = attach_dim(reduced, dim, "poi_id", how="inner", broadcast=broadcast)
-    return j.groupBy(*CITY, *QUARTER).agg(
-        F.countDistinct("blog_id").alias("visit_user_cnt"),
+    users = j.groupBy(*CITY, *QUARTER, "is_user", "user").agg(
+        F.count(F.lit(1)).alias("places"), *[F.sum(c).alias(c) for c in ("n_trip", "n", "n_solo")])
+    return users.groupBy(*CITY, *QUARTER).agg(
+        F.count_if(F.col("is_user")).alias("visit_user_cnt"),
         F.sum("n_trip").alias("visit_trip_cnt"),
         F.sum("n").alias("visit_spot_cnt"),
-        F.countDistinct("poi_id").alias("unique_attraction_cnt"),
+        F.sum(F.when(of_place, F.col("places"))).alias("unique_attraction_cnt"),
         F.sum("n_solo").alias("solo_trip_cnt"),
     )
 

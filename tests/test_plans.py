@@ -5,12 +5,12 @@ import tempfile
 
 import pytest
 
-from conftest import SF001, SF01
+from conftest import SF001, SF01, poi_df, visits_df
 
 from quartermart import catalog as C
 from quartermart.operators.join import attach_dim, measure
 from quartermart.plans.attraction_quarter import attraction_quarter
-from quartermart.plans.city_quarter import city_quarter
+from quartermart.plans.city_quarter import city_counts, city_quarter
 from quartermart.plans.portrait import user_portrait
 from quartermart.plans.user_quarter import user_quarter
 
@@ -66,6 +66,16 @@ def test_user_quarter_scans_the_fact_once(spark):
     assert sum("FileScan parquet" in line and "/visits" in line for line in plan.splitlines()) == 1
 
 
+def test_city_quarter_makes_no_row_threefold(spark):
+    """Users and places of a city are counted by plain grouping, without an Expand; users and partners may be null."""
+    visits = visits_df(spark, [("u1", "2015-01-05", "Solo", "p1"), ("u1", "2015-01-05", None, "p1"), ("u2", "2015-02-05", "A", "p2"),
+                               (None, "2015-02-06", "Solo", "p2"), ("u1", "2015-03-05", "A", "p3"), ("u3", "2015-03-05", "A", "gone")])
+    poi = poi_df(spark, [("p1", "c", "k", "r"), ("p2", "c", "k", "r"), ("p3", "d", "k", None)])
+    df = city_counts(visits, poi)
+    assert "Expand" not in _plan(df)
+    assert sorted(tuple(r)[:1] + tuple(r)[4:] for r in df.collect()) == [("c", 2, 4, 4, 2, 2), ("d", 1, 1, 1, 1, 0)]
+
+
 def test_user_quarter_collects_once_and_expands_nothing(spark):
     """Visits are counted by a hash aggregate and collected once a user-quarter: no sets a trip, no rows a set's value."""
     path = tempfile.mkdtemp(prefix="qm-plan-") + "/visits"
