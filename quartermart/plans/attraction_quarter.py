@@ -6,15 +6,16 @@ dimension is unique by id), so the inner join on the aggregated rows gives the
 same rows as joining first, but the join input is one row per POI-quarter
 instead of one row per visit, and the fact is never shuffled for a join.
 
-The two distinct counts are planned by Catalyst as one Expand + two-level hash
-aggregate: the first shuffle is keyed by (POI, quarter, user-or-trip), so a
-POI-quarter holding a large share of all visits is still spread over many
-tasks and combined map-side.
+Users and trips become distinct by a plain grouping each, keyed by (POI,
+quarter, user) and by (POI, quarter, trip), so a POI-quarter holding a large
+share of all visits is still spread over many tasks and combined map-side. They
+are two stages: a task holds the users or the trips of its rows, not both as
+with Catalyst's Expand for two distinct counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quartermart.functions import constants as K
@@ -40,12 +41,19 @@ def with_quarter(visits: DataFrame) -> DataFrame:
 def attraction_counts(visits: DataFrame) -> DataFrame:
     """Per (poi_id, year, quarter): distinct users, distinct trips, visits, solo visits."""
     v = with_quarter(visits)
-    return v.groupBy("poi_id", *QUARTER).agg(
-        F.countDistinct("blog_id").alias("visit_user_cnt"),
-        F.countDistinct("trip_id").alias("visit_trip_cnt"),
-        F.count(F.lit(1)).alias("visit_total_cnt"),
-        F.count_if(F.col("travel_partners") == K.SOLO).alias("solo_trip_cnt"),
-    )
+    place, solo = ["poi_id", *QUARTER], F.coalesce(F.col("travel_partners") == K.SOLO, F.lit(False))
+
+    def parts(who: str, counted: Column, users: Column, trips: Column, solos: Column) -> DataFrame:
+        """Counts from one row a place, quarter and ``who``; ``n``: the visits that are ``counted``."""
+        return v.groupBy(*place, who).agg(F.count_if(counted).alias("n")).groupBy(*place).agg(
+            users.alias("visit_user_cnt"), trips.alias("visit_trip_cnt"), F.sum("n").alias("visit_total_cnt"), solos.alias("solo_trip_cnt"))
+
+    # each half counts its part of the visits, so both read the same columns of plans that end in a shuffle, which run once
+    none = F.sum(F.lit(0).cast("long"))
+    by_user = parts("blog_id", solo, F.count("blog_id"), none, F.sum("n"))
+    by_trip = parts("trip_id", ~solo, none, F.count("trip_id"), none)
+    return by_user.unionByName(by_trip).groupBy(*place).agg(
+        *[F.sum(c).alias(c) for c in ("visit_user_cnt", "visit_trip_cnt", "visit_total_cnt", "solo_trip_cnt")])
 
 
 def attraction_quarter(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None,

@@ -9,7 +9,7 @@ from conftest import SF001, SF01, poi_df, visits_df
 
 from quartermart import catalog as C
 from quartermart.operators.join import attach_dim, measure
-from quartermart.plans.attraction_quarter import attraction_quarter
+from quartermart.plans.attraction_quarter import attraction_counts, attraction_quarter
 from quartermart.plans.city_quarter import city_counts, city_quarter
 from quartermart.plans.portrait import user_portrait
 from quartermart.plans.user_quarter import user_quarter
@@ -76,6 +76,20 @@ def test_city_quarter_makes_no_row_threefold(spark):
     assert sorted(tuple(r)[:1] + tuple(r)[4:] for r in df.collect()) == [("c", 2, 4, 4, 2, 2), ("d", 1, 1, 1, 1, 0)]
 
 
+def test_attraction_counts_hold_users_and_trips_apart(spark):
+    """Users and trips of a place are counted by a plain grouping each, over shuffles that run once; any column may be null."""
+    visits = visits_df(spark, [("u1", "2015-01-05", "Solo", "p1"), ("u1", "2015-01-05", None, "p1"), ("u1", "2015-02-05", "Solo", "p1"),
+                               (None, "2015-02-06", "A", "p1"), ("u2", "2015-05-05", "A", "p1"), ("u2", "2015-05-05", "A", None), ("u1", "2015-05-05", "Solo", None)])
+    df = attraction_counts(visits.unionByName(visits.limit(1).selectExpr("blog_id", "cast(null as string) trip_id", *visits.columns[2:])))
+    assert "Expand" not in _plan(df)
+    got = {tuple(r)[:3]: tuple(r)[3:] for r in df.collect()}
+    assert got == {("p1", 2015, 1): (1, 3, 5, 3), ("p1", 2015, 2): (1, 1, 1, 0), (None, 2015, 2): (2, 2, 2, 1)}
+    counts = attraction_counts(C.fact(spark, SF001))
+    counts.collect()
+    ran = _plan(counts).split("Initial Plan")[0]
+    assert ran.count("FileScan parquet") <= _plan(C.fact(spark, SF001)).count("FileScan parquet"), "the visits are put together twice"
+
+
 def test_user_quarter_collects_once_and_expands_nothing(spark):
     """Visits are counted by a hash aggregate and collected once a user-quarter: no sets a trip, no rows a set's value."""
     path = tempfile.mkdtemp(prefix="qm-plan-") + "/visits"
