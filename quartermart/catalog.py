@@ -307,7 +307,7 @@ def q_read_after_failed_write(spark, d):
 def _refreshed(spark, d) -> warehouse.Config:
     """All layers after two loads, the second one by refresh."""
     cfg = warehouse.Config(categories=binding.TEST_CATEGORY_RULES, years=binding.TEST_YEAR_RANGE, root=_scratch(spark, "layers"))
-    first, second = (rename(x, K.TRIP_HEADER_RENAMES) for x in binding.two_loads(spark, d))
+    first, second = (rename(x, K.TRIP_HEADER_RENAMES) for x in binding.two_loads(spark, d, _write(spark)))
     warehouse.load_ods(spark, ods_poi(spark, d), first, cfg)
     warehouse.run(spark, cfg)
     refresh.start(spark, cfg)

@@ -21,14 +21,14 @@ def top_keys(map_col: str | Column) -> Column:
     """
     m = _c(map_col)
     best = F.array_max(F.map_values(m))
-    return F.array_sort(F.transform(F.filter(F.map_entries(m), lambda e: e["value"] == best),
+    return F.sort_array(F.transform(F.filter(F.map_entries(m), lambda e: e["value"] == best),
                                     lambda e: e["key"]))
 
 
 def keys_with_max(entries: Column) -> Column:
     """From an array of ``struct(value, key)`` keep the keys with the largest value, ascending."""
     best = F.array_max(F.transform(entries, lambda e: e["value"]))
-    return F.array_sort(F.transform(F.filter(entries, lambda e: e["value"] == best),
+    return F.sort_array(F.transform(F.filter(entries, lambda e: e["value"] == best),
                                     lambda e: e["key"]))
 
 
@@ -39,6 +39,6 @@ def array_text(col: str | Column, sep: str = ",") -> Column:
 
 def map_text(col: str | Column, sep: str = ",") -> Column:
     """Map as ``k:v`` pairs sorted by key, as one string."""
-    entries = F.array_sort(F.map_entries(_c(col)))
+    entries = F.sort_array(F.map_entries(_c(col)))
     return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit(":"),
                                                                 e["value"].cast("string"))), sep)

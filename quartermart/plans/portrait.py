@@ -3,8 +3,9 @@
 One linear plan with a single shuffle: the mart is hash-partitioned by user
 (a user has at most one mart row per quarter, so no key can hold more than
 that many rows: this shuffle cannot be skewed), then every quarter row becomes
-an array of entries (its year totals, its city counts, its category counts,
-its regions), exploded, summed per (user, kind, key) and aggregated per user.
+four rows, one a kind of entry (its year with the totals, its city counts, its
+category counts, its regions), whose entries are exploded, summed per (user,
+kind, key) and aggregated per user. No lambda runs for an entry.
 Both aggregates run inside the user partitioning, without another exchange.
 No branch reads the mart twice and no join is needed.
 
@@ -22,46 +23,25 @@ from quartermart.functions.collect import keys_with_max
 from quartermart.functions.metrics import exact_mean, lifetime_level, lifetime_range_type, scaled
 from quartermart.sources import schemas
 
-ENTRY = T.StructType([
-    T.StructField("kind", T.StringType()),
-    T.StructField("key", T.StringType()),
-    T.StructField("cnt", T.LongType()),
-    T.StructField("trips", T.LongType()),
-    T.StructField("spots", T.LongType()),
-    T.StructField("spt4", T.LongType()),
-    T.StructField("solo4", T.LongType()),
-    T.StructField("nq", T.LongType()),
-])
+ENTRIES = T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("cnt", T.LongType())]))
 VALUE_FIELDS = ("cnt", "trips", "spots", "spt4", "solo4", "nq")
 
 
-def _entry(kind: str, key: Column, **values: Column) -> Column:
-    """One entry struct; value fields not given are null."""
-    fields = [F.lit(kind).alias("kind"), key.cast("string").alias("key")]
-    for name in VALUE_FIELDS:
-        v = values.get(name)
-        fields.append((F.lit(None) if v is None else v).cast("long").alias(name))
-    return F.struct(*fields)
-
-
-def _or_empty(arr: Column) -> Column:
-    return F.coalesce(arr, F.array().cast(T.ArrayType(ENTRY)))
-
-
 def portrait_entries(mart: DataFrame, clustered: bool = False) -> DataFrame:
     """(blog_id, kind, key) -> summed values; kinds Y(ear), C(ity), K (category), R(egion).
 
     ``clustered``: the mart is stored in buckets of blog_id, so it isn't dealt out again.
     """
-    year = F.array(_entry("Y", F.col("travel_year"), trips=F.col("trip_total_cnt"),
-                          spots=F.col("total_spot_cnt"), spt4=scaled("avg_spot_per_trip"),
-                          solo4=scaled("solo_trip_ratio"), nq=F.lit(1)))
-    cities = F.transform(F.map_entries("city_visit_map"), lambda e: _entry("C", e["key"], cnt=e["value"]))
-    cats = F.transform(F.map_entries("cate_visit_map"), lambda e: _entry("K", e["key"], cnt=e["value"]))
-    regions = F.transform("region_arr", lambda r: _entry("R", r, cnt=F.lit(1)))
-    entries = F.concat(year, _or_empty(cities), _or_empty(cats), _or_empty(regions))
+    year = F.array(F.struct(F.col("travel_year").cast("string"), F.lit(None).cast("long")))
+    regions = F.arrays_zip(F.col("region_arr"), F.array_repeat(F.lit(1).cast("long"), F.size("region_arr")))
+    kinds = {"Y": year, "C": F.map_entries("city_visit_map"), "K": F.map_entries("cate_visit_map"), "R": regions}
+    of_year = {"trips": F.col("trip_total_cnt"), "spots": F.col("total_spot_cnt"), "spt4": scaled("avg_spot_per_trip"),
+               "solo4": scaled("solo_trip_ratio"), "nq": F.lit(1)}
     by_user = mart if clustered else mart.repartition("blog_id")
-    e = by_user.select("blog_id", F.explode(entries).alias("e")).select("blog_id", "e.*")
+    totals = by_user.select("blog_id", *[v.cast("long").alias(f"_{c}") for c, v in of_year.items()],
+                            F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), v.cast(ENTRIES).alias("entries")) for k, v in kinds.items()])).alias("k"))
+    e = totals.select("blog_id", F.col("k.kind").alias("kind"), *[F.when(F.col("k.kind") == "Y", F.col(f"_{c}")).alias(c) for c in of_year],
+                      F.explode("k.entries").alias("e")).select("*", "e.key", "e.cnt")
     return e.groupBy("blog_id", "kind", "key").agg(
         *[F.sum(c).alias(c) for c in VALUE_FIELDS])
 

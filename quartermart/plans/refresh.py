@@ -34,13 +34,14 @@ from pyspark.sql import functions as F
 from quartermart.functions import constants as K
 from quartermart.operators import clean
 from quartermart.operators.growth import growth
+from quartermart.operators.join import persisted
 from quartermart.plans import warehouse as W
 from quartermart.plans.attraction_quarter import attraction_quarter
 from quartermart.plans.city_quarter import CITY, city_quarter
 from quartermart.plans.portrait import user_portrait
 from quartermart.plans.user_quarter import user_quarter
 from quartermart.plans.visits import VISIT_COLUMNS, add_trip_id, dedupe_trips, prepared_trips
-from quartermart.sources import schemas
+from quartermart.sources import schemas, sinks, versions
 from quartermart.sources.raw import scan_trip_csv
 
 GROWTH = ["user_cnt_growth_rate", "is_hot_rising"]
@@ -92,26 +93,28 @@ def _refresh_mart(spark: SparkSession, cfg: W.Config, table: str, schema, fresh:
     by = W.QUARTER_PARTITION
     before = W._read(spark, cfg, table)
     # growth is null-free in a written mart, so a null old value marks a fresh row
-    kept = before.where(~_in(by, quarters)).withColumnsRenamed({c: f"_old_{c}" for c in GROWTH})
     none = {f"_old_{f.name}": F.lit(None).cast(f.dataType) for f in schema.fields if f.name in GROWTH}
-    rows = kept.unionByName(fresh.drop(*GROWTH).withColumns(none))
-    grown = growth(rows, entity, metric)
-    other = F.lit(False)
-    for c in GROWTH:
-        other = other | ~F.col(c).eqNullSafe(F.col(f"_old_{c}"))
-    changed = sorted(set(quarters) | set(_keys(grown.where(other), by)))
-    out = grown.where(_in(by, changed))
-    W._write(schemas.conform(out, schema), cfg, table, schema, partition_by=by, replace=changed)
+    kept = before.where(~_in(by, quarters)).withColumnsRenamed({c: f"_old_{c}" for c in GROWTH})
+    with persisted(fresh.drop(*GROWTH)) as counted:  # read twice: for the quarters that change and for their rows
+        grown = growth(kept.unionByName(counted.withColumns(none)), entity, metric)
+        other = F.lit(False)
+        for c in GROWTH:
+            other = other | ~F.col(c).eqNullSafe(F.col(f"_old_{c}"))
+        changed = sorted(set(quarters) | set(_keys(grown.where(other), by)))
+        out = grown.where(_in(by, changed))
+        W._write(schemas.conform(out, schema), cfg, table, schema, partition_by=by, replace=changed)
 
 
 def refresh(spark: SparkSession, arriving: DataFrame, cfg: W.Config = W.Config()) -> list[tuple]:
     """Bring every layer up to date with the raw trips ``arriving``; the quarters that were rewritten from visits.
 
-    ``arriving`` has the columns of the raw trip table and is added to it first. A run that broke off is mended by
-    running it again: trips that were merged already change nothing but the raw table.
+    ``arriving`` has the columns of the raw trip table and is added to it first; what follows reads it from there, so it
+    is computed once. A run that broke off is mended by running it again: trips that were merged already change nothing
+    but the raw table.
     """
     t, by = cfg.tables, W.QUARTER_PARTITION
-    W._write(schemas.conform(arriving, schemas.ODS_TRIP), cfg, t.ods_trip, schemas.ODS_TRIP, append=True)
+    commit = W._write(schemas.conform(arriving, schemas.ODS_TRIP), cfg, t.ods_trip, schemas.ODS_TRIP, append=True)
+    arriving = versions.added(spark, sinks.location(t.ods_trip, cfg.root), commit)
     months = merge_trips(spark, arriving, cfg)
     if not months:
         return []

@@ -53,10 +53,19 @@ def counted_visits(joined: DataFrame) -> DataFrame:
     ).repartition(*U)
 
 
-def _distinct(col: str, *fields: str) -> Column:
-    """Sorted distinct values of ``fields`` (of the first one alone, if no other), where that is not null."""
-    value = (lambda r: r[fields[0]]) if len(fields) == 1 else (lambda r: F.struct(*[r[f].alias(f) for f in fields]))
-    return F.array_sort(F.array_distinct(F.transform(F.filter(col, lambda r: r[fields[0]].isNotNull()), value)))
+def _distinct(col: str, field: str) -> Column:
+    """Sorted distinct values of the text column ``field`` that are not null."""
+    return F.sort_array(F.array_distinct(F.transform(F.filter(col, lambda r: r[field].isNotNull()), lambda r: r[field])))
+
+
+def _pairs(col: str, of: str, first: str, second: str) -> Column:
+    """Sorted pairs of two fields where ``of`` is not null. Equal pairs stay, as neighbours: Spark's ``array_distinct`` compares structs each with each."""
+    return F.sort_array(F.transform(F.filter(col, lambda r: r[of].isNotNull()), lambda r: F.struct(r[first].alias(first), r[second].alias(second))))
+
+
+def _firsts(pairs: str, field: str) -> Column:
+    """``field`` of each distinct pair of a sorted array, in its order."""
+    return F.transform(F.filter(pairs, lambda p, i: (i == 0) | ~p.eqNullSafe(F.get(pairs, i - 1))), lambda p: p[field])
 
 
 def _trips(rows: Column) -> Column:
@@ -88,9 +97,10 @@ def quarter_metrics(rows: DataFrame, unclassified: str = K.UNCLASSIFIED) -> Data
     )
     # one entry a (city, trip) and a (trip, region), ordered, so that equal cities and equal trips are neighbours;
     # each array is a column of its own before a lambda looks into it, so it is made once a row
+    u = u.select(*u.columns, _pairs("v", "city", "city", "trip_id").alias("_city_pairs"), _pairs("v", "region", "trip_id", "region").alias("_region_pairs"))
     u = u.select(*u.columns,
-                 F.transform(_distinct("v", "city", "trip_id"), lambda p: p["city"]).alias("_cities"),
-                 F.array_sort(F.transform(_distinct("v", "region", "trip_id"), lambda p: p["trip_id"])).alias("_region_trips"),
+                 _firsts("_city_pairs", "city").alias("_cities"),
+                 _firsts("_region_pairs", "trip_id").alias("_region_trips"),
                  F.array_distinct(F.transform("v", lambda r: r["travel_month"])).alias("_months"),
                  _distinct("v", "category").alias("_categories"))
     u = u.select(*u.columns, _starts("_cities").alias("_city_starts"), _starts("_region_trips").alias("_trip_starts"))

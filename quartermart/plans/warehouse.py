@@ -34,7 +34,7 @@ from quartermart.plans.poi import clean_poi
 from quartermart.plans.portrait import user_portrait
 from quartermart.plans.user_quarter import user_quarter
 from quartermart.plans.visits import clean_visits
-from quartermart.sources import schemas, sinks
+from quartermart.sources import schemas, sinks, versions
 from quartermart.sources.buckets import write_bucketed
 from quartermart.sources.raw import scan_poi_csv, scan_trip_csv
 
@@ -84,8 +84,8 @@ def _read(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
     return sinks.read_table(spark, name, cfg.root)
 
 
-def _write(df: DataFrame, cfg: Config, name: str, schema, **how) -> None:
-    sinks.overwrite_table(df, name, schema, root=cfg.root, **how)
+def _write(df: DataFrame, cfg: Config, name: str, schema, **how) -> versions.Commit:
+    return sinks.overwrite_table(df, name, schema, root=cfg.root, **how)
 
 
 def load_ods(spark: SparkSession, poi: DataFrame, trip: DataFrame, cfg: Config = Config()) -> None:

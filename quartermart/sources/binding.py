@@ -13,6 +13,8 @@ CSV headers from it, entirely in Spark (joins and one group-by per order):
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,7 +69,7 @@ def raw_poi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _visit_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
-    ordered = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_partkey")))
+    ordered = F.sort_array(F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_partkey")))
     return li.groupBy("l_orderkey").agg(
         F.array_join(F.transform(ordered, lambda e: e["l_suppkey"].cast("string")), ";").alias("seq"))
 
@@ -176,14 +178,16 @@ def write_messy_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
 SECOND_LOAD_FROM, LATE_QUARTER = "2001-01-01", (1997, 2)
 
 
-def two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The raw trips, cut into those of a first load and those that arrive later; every tenth late one comes in both, with another partner."""
-    base = _raw_trip_columns(spark, sf_dir).withColumn("_day", F.to_date("Departure_Date", "yyyy/M/d"))
+def two_loads(spark: SparkSession, sf_dir: str, write: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> tuple[DataFrame, DataFrame]:
+    """The raw trips, cut into those of a first load and those that arrive later; every tenth late one comes in both, with another partner.
+
+    ``write`` keeps the trips in a table that both loads read, so they are put together once.
+    """
+    base = write(_raw_trip_columns(spark, sf_dir), "raw_trips").withColumn("_day", F.to_date("Departure_Date", "yyyy/M/d"))
     k, day = F.col("_k"), F.col("_day")
     late = (F.year(day) == LATE_QUARTER[0]) & (F.quarter(day) == LATE_QUARTER[1]) & (k % 3 == 0)
     second = (day >= SECOND_LOAD_FROM) | late
-    copies = base.where(late & (k % 10 == 0)).withColumn("Travel_Partners", F.lit("zz"))
-    first = base.where(~second).unionByName(copies)
+    first = base.where(~second | (late & (k % 10 == 0))).withColumn("Travel_Partners", F.when(second, F.lit("zz")).otherwise(F.col("Travel_Partners")))
     return first.select(*RAW_TRIP_COLUMNS), base.where(second).select(*RAW_TRIP_COLUMNS)
 
 

@@ -48,7 +48,7 @@ def read_table(spark: SparkSession, name: str, root: str | None = None) -> DataF
 
 
 def overwrite_table(df: DataFrame, name: str, schema: T.StructType | None = None, partition_by: Sequence[str] = (), root: str | None = None,
-                    rebalance: bool = True, replace: Collection[tuple] | None = None, append: bool = False) -> None:
+                    rebalance: bool = True, replace: Collection[tuple] | None = None, append: bool = False) -> versions.Commit:
     """Replace table ``name`` with ``df`` (Parquet), after checking the declared schema and adding its comments.
 
     Partitioned tables are written as one directory per partition value. Rows
@@ -71,6 +71,7 @@ def overwrite_table(df: DataFrame, name: str, schema: T.StructType | None = None
     commit = versions.publish(out, home, partition_by, replace, append)
     if not root:
         _register(spark, name, home, commit)
+    return commit
 
 
 def _register(spark: SparkSession, name: str, home: str, commit: versions.Commit) -> None:

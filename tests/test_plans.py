@@ -11,7 +11,7 @@ from quartermart import catalog as C
 from quartermart.operators.join import attach_dim, measure
 from quartermart.plans.attraction_quarter import attraction_counts, attraction_quarter
 from quartermart.plans.city_quarter import city_counts, city_quarter
-from quartermart.plans.portrait import user_portrait
+from quartermart.plans.portrait import portrait_entries, user_portrait
 from quartermart.plans.user_quarter import user_quarter
 
 
@@ -100,6 +100,24 @@ def test_user_quarter_collects_once_and_expands_nothing(spark):
     assert plan.count("ObjectHashAggregate(") == 2 and "Generate" not in plan and "SortAggregate" not in plan
 
 
+def test_user_quarter_compares_no_entries_each_with_each(spark):
+    """Pairs of (city, trip) and (trip, region) become distinct by sorting: ``array_distinct`` of structs is quadratic."""
+    visits = visits_df(spark, [("u1", "2015-01-05", "Solo", "p1"), ("u1", "2015-01-05", "Solo", "p2"), ("u1", "2015-01-05", "A", "p3"),
+                               ("u1", "2015-02-05", "Solo", "p1"), ("u1", "2015-02-06", "Solo", "gone")])
+    poi = poi_df(spark, [("p1", "c", "k", "r"), ("p2", "c", "l", "r"), ("p3", "d", "k", "s")])
+    df = user_quarter(visits, poi)
+    assert "array_sort(" not in df._jdf.queryExecution().analyzed().toString()
+    (row,) = df.collect()
+    assert row.city_visit_map == {"c": 2, "d": 1} and row.cross_region_trip_cnt == 1 and row.region_arr == ["r", "s"]
+    assert row.cate_visit_map == {"k": 3, "l": 1} and row.trip_total_cnt == 3 and row.total_spot_cnt == 5
+
+
+def test_portrait_runs_no_lambda_for_an_entry(spark):
+    mart = spark.createDataFrame(C.uq(spark, SF001).collect(), C.uq(spark, SF001).schema)
+    entries = portrait_entries(mart)
+    assert "lambdafunction" not in entries._jdf.queryExecution().analyzed().toString()
+
+
 def test_portrait_shuffles_once(spark):
     mart = spark.createDataFrame(C.uq(spark, SF001).collect(), C.uq(spark, SF001).schema)
     full = user_portrait(mart)._jdf.queryExecution().executedPlan().toString()
