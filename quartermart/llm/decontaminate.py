@@ -24,7 +24,10 @@ The benchmark is cut into slices of at most about ``SLICE_BYTES`` of text by a
 hash of its rows. Each slice's index is sent to all tasks, and one Python worker
 a task looks a text up in all of them: what is sent out, and a worker's memory,
 grow with the benchmark (not with the documents). What is a name is told by the
-whole benchmark, so the number of slices changes no result.
+whole benchmark, so the number of slices changes no result. Windows are looked
+up for many texts at once, in their bytes; only texts that share a window with
+an item are cut into words and aligned with it. Ordinary words that the
+benchmark lacks equal no word of it and need no ids.
 
 Defined results: null and empty texts and items match nothing; an item of
 fewer words than a window has one, the whole item, so an item of one word is in
@@ -38,18 +41,20 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import pack, received, send, unpack
-from .shingles import mix
+from .shingles import Hasher, mix, pieces, texts_of
 
 WINDOW = 5
 LITERALS = 3
@@ -57,6 +62,7 @@ SHARE = 0.5
 SLICE_BYTES = 8_000_000
 _MEMO = 200_000
 _PIECE = 400_000  # words of one text handled at once; pieces overlap by an item's length
+_GROUP = 1 << 18  # bytes of short texts looked up at once
 #: Words for units of measure.
 UNITS = frozenset("""
 mm cm m km in inch inches ft foot feet yd yard yards mile miles meter meters metre metres kilometer kilometers kilometre
@@ -69,6 +75,7 @@ _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?")
 _NUMBER_UNIT = re.compile(r"([+-]?\d[\d.,]*)([a-z]+)")
 _EDGE = ".,;:!?\"'()[]{}<>*#&|`~_=…«»“”‘’"
 NUMBER, UNIT, NUMBER_UNIT, NAME = 1, 2, 3, 4  # template ids; ordinary words have larger ones, 0 is nothing
+OTHER = np.uint64(8)  # both ids of ordinary words that no item has
 
 
 def _hash(text: str) -> int:
@@ -76,56 +83,60 @@ def _hash(text: str) -> int:
     return (zlib.crc32(data) << 32 | zlib.adler32(data, len(data))) + 16
 
 
-def template_word(word: str, common: frozenset[str]) -> tuple[int, int]:
-    """(template id, id of the value) of a word; (0, 0) for punctuation alone."""
-    w = word.strip(_EDGE)
-    if not w:
-        return 0, 0
-    low = w.lower()
-    if _NUMBER.fullmatch(w):
-        return NUMBER, _hash(low)
+def placeholder(w: str, low: str, common: frozenset[str]) -> int:
+    """Template id of a number, unit, number with a unit or name; 0 for an ordinary word."""
     if low in UNITS:
-        return UNIT, _hash(low)
-    if (m := _NUMBER_UNIT.fullmatch(low)) and m[2] in UNITS:
-        return NUMBER_UNIT, _hash(low)
-    if len(w) > 1 and w[0].isupper() and w[1:].islower() and low not in common:
-        return NAME, _hash(low)
-    return _hash(low), _hash(low)
-
-
-class Templates:
-    """Template and value ids of words, with a bounded memory of words seen."""
-
-    def __init__(self, common: frozenset[str]):
-        self.common, self.memo = common, {}
-        self.ids = np.zeros((1024, 2), np.uint64)
+        return UNIT
+    if not w.isalpha():
+        if _NUMBER.fullmatch(w):
+            return NUMBER
+        if (m := _NUMBER_UNIT.fullmatch(low)) and m[2] in UNITS:
+            return NUMBER_UNIT
+    return NAME if len(w) > 1 and w[0].isupper() and w[1:].islower() and low not in common else 0
+
+
+class Templates(dict):
+    """Template and value ids of words, with a bounded memory of words seen: word -> its place in ``ids``."""
+
+    def __init__(self, common: frozenset[str], known: frozenset[str] | None = None):
+        """``known``: the words of all items (see ``item_words``); ordinary words beside them are ``OTHER``. None: every word has ids."""
+        self.common, self.known = common, known
+        self.ids = array("Q", (int(OTHER), int(OTHER), 0, 0))
+
+    def __missing__(self, word: bytes) -> int:
+        w = word.decode("utf-8", "replace").strip(_EDGE)
+        low = w.lower()
+        if not w:
+            place = 1  # punctuation alone
+        else:
+            kind = placeholder(w, low, self.common)
+            if not kind and self.known is not None and low not in self.known:
+                place = 0
+            else:
+                place, value = len(self.ids) >> 1, _hash(low)
+                self.ids.extend((kind or value, value))
+        self[word] = place
+        return place
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
         """(words, 2): template id and value id of each word."""
-        new = [w for w in dict.fromkeys(words) if w not in self.memo]
-        if len(self.memo) + len(new) > _MEMO and self.memo:
-            self.memo.clear()
-            new = list(dict.fromkeys(words))
-        first = len(self.memo)
-        while len(self.ids) < first + len(new):
-            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        for i, w in enumerate(new, first):
-            self.memo[w] = i
-            self.ids[i] = template_word(w.decode("utf-8", "replace"), self.common)
-        return self.ids[np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))]
+        if len(self) > _MEMO:
+            self.clear()
+            del self.ids[4:]
+        places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.frombuffer(self.ids, np.uint64).reshape(-1, 2)[places]
 
 
 _FACTORS = np.random.default_rng(5).integers(1 << 60, 1 << 63, WINDOW + 1, dtype=np.uint64) | np.uint64(1)
 
 
-def windows(template: np.ndarray, size: int = WINDOW) -> np.ndarray:
-    """Hashes of all runs of ``size`` template ids."""
-    if len(template) < size:
-        return np.zeros(0, np.uint64)
+def windows(template: np.ndarray, size: int = WINDOW, at: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of all runs of ``size`` template ids, or of those that start ``at`` some."""
+    n = max(0, len(template) - size + 1) if at is None else len(at)
     with np.errstate(over="ignore"):
-        h = np.full(max(0, len(template) - size + 1), size, np.uint64) * _FACTORS[WINDOW]
-        for j in range(size):
-            h += template[j:len(template) - size + 1 + j] * _FACTORS[j]
+        h = np.full(n, size, np.uint64) * _FACTORS[WINDOW]
+        for j in range(size if n else 0):
+            h += (template[j:n + j] if at is None else template[at + j]) * _FACTORS[j]
     return mix(h)
 
 
@@ -133,17 +144,26 @@ _COPY = np.uint64(0xA5A5A5A5A5A5A5A5)  # keeps windows of values apart from wind
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def collapse(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Names side by side as one name, a number and its unit as one; and the place of each one's first word."""
-    kind = ids[:, 0]
+def collapsed(kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Template ids with names side by side as one name, a number and its unit as one; and the place of each one's first word."""
     joins = (kind[1:] == NAME) & (kind[:-1] == NAME) | (kind[1:] == UNIT) & (kind[:-1] == NUMBER)
     if not joins.any():
-        return ids, np.arange(len(ids))
+        return kind, np.arange(len(kind))
     first = np.flatnonzero(np.concatenate(([True], ~joins)))
+    out, size = kind[first], np.diff(np.append(first, len(kind)))
+    out[(size > 1) & (out == NUMBER)] = NUMBER_UNIT
+    return out, first
+
+
+def collapse(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same of template and value ids."""
+    kind, first = collapsed(ids[:, 0])
+    if len(first) == len(ids):
+        return ids, first
     size = np.diff(np.append(first, len(ids)))
     nth = (np.arange(len(ids)) - np.repeat(first, size)).astype(np.uint64)
     out = ids[first]
-    out[(size > 1) & (out[:, 0] == NUMBER), 0] = NUMBER_UNIT
+    out[:, 0] = kind
     with np.errstate(over="ignore"):
         value = np.add.reduceat(mix(ids[:, 1] + nth * _ODD), first)
     out[:, 1] = np.where(size > 1, value | np.uint64(16), out[:, 1])
@@ -166,6 +186,17 @@ class Table:
         self.maybe = np.zeros(1 << 21, bool)
         self.maybe[(self.hashes >> np.uint64(43)).astype(np.int64)] = True
 
+    def places(self, values: np.ndarray, skip: np.uint64) -> np.ndarray:
+        """Where in ``values`` a window of some item starts; no item has the value ``skip``."""
+        out, none = [], np.concatenate(([0], np.cumsum(values == skip)))
+        for size in self.sizes:
+            pos = np.flatnonzero(none[size:] == none[:-size])
+            h = windows(values, size, pos)
+            few = np.flatnonzero(self.maybe[(h >> np.uint64(43)).astype(np.int64)])
+            pos, h = pos[few], h[few]
+            out.append(pos[np.searchsorted(self.hashes, h, "right") > np.searchsorted(self.hashes, h, "left")])
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
+
     def hits(self, values: np.ndarray) -> dict[int, dict[int, set[int]]]:
         """item -> shift -> places of the item's windows found in ``values``."""
         found: dict[int, dict[int, set[int]]] = {}
@@ -188,6 +219,11 @@ def lower_words(texts: Iterable[str | None]) -> frozenset[str]:
                      if (s := w.decode("utf-8", "replace").strip(_EDGE)) and s == s.lower())
 
 
+def item_words(texts: Iterable[str | None]) -> frozenset[str]:
+    """Distinct words of items without case and outer punctuation."""
+    return frozenset(w.decode("utf-8", "replace").strip(_EDGE).lower() for text in texts for w in (text or "").encode().split())
+
+
 class Index:
     """Windows of the items of one slice: of templates, and of the words themselves."""
 
@@ -303,31 +339,144 @@ def find_leaks(ids: np.ndarray, index: Index, share: float = SHARE) -> list[tupl
     return [leaks[o] for o in sorted(leaks)]
 
 
+_EDGES, _UPPER, _LOWER, _PYTHON = 1, 2, 4, 8  # classes of bytes; 0 is white space, 16 any other
+_CLASS = np.full(256, 16, np.uint8)
+_CLASS[[b for b in range(128) if chr(b) in _EDGE]] = _EDGES
+_CLASS[65:91], _CLASS[97:123], _CLASS[48:58], _CLASS[128:] = _UPPER, _LOWER, _PYTHON, _PYTHON
+_CLASS[[0x20, *range(0x09, 0x0E)]] = 0
+
+
+class Screen:
+    """Finds the texts that share a window with an item, many texts at once.
+
+    Words of ASCII without digits are told by hashes of their bytes, all others by ``Templates``. Their ids are those of
+    ``Templates``, but values that no item has may be ``OTHER``.
+    """
+
+    def __init__(self, common: frozenset[str], known: frozenset[str]):
+        self.template, self.hasher = Templates(common, known), Hasher()
+        words = [w for w in known | common | UNITS if w and not (_CLASS[list(w.encode())] & _PYTHON).any()]
+        value = np.array([_hash(w) if w in known else OTHER for w in words], np.uint64)
+        plain = np.where([w in UNITS for w in words], np.uint64(UNIT), value)
+        name = np.where([w in UNITS or w in common for w in words], plain, np.uint64(NAME))
+        hashes = np.concatenate([self._hashes(words[i:i + 10_000]) for i in range(0, len(words), 10_000)])
+        order = np.argsort(hashes)
+        self.hashes, self.value, self.plain, self.name = hashes[order], value[order], plain[order], name[order]
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(hashes >> np.uint64(44)).astype(np.int64)] = True
+
+    def _hashes(self, words: list[str]) -> np.ndarray:
+        size = np.array([len(w) for w in words], np.int64)
+        ends = np.cumsum(size + 1) - 1
+        return self.hasher.spans(np.frombuffer(" ".join(words).encode(), np.uint8), ends - size, ends)
+
+    def words(self, data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+        """(template ids, value ids, numbers, places in ``data``) of its words but punctuation alone, and how many words it has.
+
+        A word also ends at each of ``cuts``.
+        """
+        kind = np.append(_CLASS[data], np.uint8(0))
+        inside = kind[:-1] != 0
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        cuts = cuts[cuts < len(data)]
+        first[cuts] = inside[cuts]
+        begin = np.flatnonzero(first)
+        core = np.flatnonzero(kind > _EDGES)
+        at = np.searchsorted(core, begin)
+        stop = np.append(at[1:], len(core))
+        number = np.flatnonzero(stop > at)
+        if not len(number):
+            none = np.zeros(0, np.uint64)
+            return none, none, number, number, len(begin)
+        start, end = core[at[number]], core[stop[number] - 1] + 1
+        rest = np.bitwise_or.reduceat(kind, np.stack((start + 1, end), 1).ravel())[::2]
+        rest[end - start == 1] = 0
+        name = (kind[start] == _UPPER) & (rest & (_UPPER | _LOWER) == _LOWER)
+        h = self.hasher.spans(data, start, end)
+        template, value = np.where(name, np.uint64(NAME), OTHER), np.full(len(h), OTHER, np.uint64)
+        few = np.flatnonzero(self.maybe[(h >> np.uint64(44)).astype(np.int64)])
+        place = np.searchsorted(self.hashes, h[few])
+        place[place == len(self.hashes)] = 0
+        same = self.hashes[place] == h[few]
+        few, place = few[same], place[same]
+        value[few], template[few] = self.value[place], np.where(name[few], self.name[place], self.plain[place])
+        slow = np.flatnonzero((kind[start] | rest) & _PYTHON)
+        if len(slow):
+            raw = data.tobytes()
+            ids = self.template([raw[a:b] for a, b in zip(start[slow].tolist(), end[slow].tolist())])
+            template[slow], value[slow] = ids[:, 0], ids[:, 1]
+            if not template[slow].all():
+                kept = np.flatnonzero(template)
+                return template[kept], value[kept], number[kept], start[kept], len(begin)
+        return template, value, number, start, len(begin)
+
+    def _sharing(self, template: np.ndarray, value: np.ndarray, text: np.ndarray, slices: list[Index]) -> Iterator[tuple[int, np.ndarray]]:
+        """(slice, the numbers in ``text`` of texts that share a window with an item of it), from the ids of words of these texts in order."""
+        place = np.arange(len(text)) + text  # with an OTHER between two texts
+        kinds, values = np.full((2, int(place[-1]) + 1 if len(text) else 0), OTHER, np.uint64)
+        kinds[place], values[place] = template, value
+        kinds, first = collapsed(kinds)
+        for s, index in enumerate(slices):
+            at = np.concatenate((index.copies.places(values ^ _COPY, OTHER ^ _COPY), first[index.likes.places(kinds, OTHER)]))
+            yield s, np.unique(text[np.searchsorted(place, at)])
+
+    def sharing(self, column: pa.Array, slices: list[Index], reach: int) -> set[tuple[int, int]]:
+        """(row, slice) of all texts that share a window with an item of the slice; null is an empty text."""
+        found = set()
+        data, offsets = texts_of(column)
+        row, n = 0, len(offsets) - 1
+        while row < n:
+            end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + _GROUP, "right")) - 1)
+            lo, hi = int(offsets[row]), int(offsets[end])
+            if hi - lo <= _GROUP:
+                cuts = offsets[row:end + 1] - lo
+                template, value, _, start, _ = self.words(data[lo:hi], cuts[:-1])
+                for s, texts in self._sharing(template, value, np.searchsorted(cuts, start, "right") - 1, slices):
+                    found.update((row + i, s) for i in texts.tolist())
+            else:  # one long text: its words, then the pieces that are aligned
+                parts, total = [], 0
+                for a, b in pieces(data, lo, hi, self.hasher.space):
+                    template, value, number, _, size = self.words(data[a:b], np.zeros(1, np.int64))
+                    parts.append((template, value, number + total))
+                    total += size
+                template, value, number = (np.concatenate(x) for x in zip(*parts, strict=True))
+                for at in range(0, total, _PIECE):
+                    a, b = np.searchsorted(number, (at, at + _PIECE + reach))
+                    for s, texts in self._sharing(template[a:b], value[a:b], np.zeros(b - a, np.int64), slices):
+                        found.update((row, s) for _ in texts)
+            row = end
+        return found
+
+
+def leaks_in(text: str, template: Templates, index: Index, reach: int) -> list[tuple]:
+    """``find_leaks`` of a whole text, in pieces that overlap by ``reach`` words; of an item in several pieces the fullest."""
+    words, best = text.encode().split(), {}
+    for at in range(0, len(words), _PIECE):
+        ids = template(words[at:at + _PIECE + reach])
+        kept = np.flatnonzero(ids[:, 0] != 0)
+        for item, shift, n, of, same in find_leaks(ids[kept], index):
+            start = at + int(kept[min(max(shift, 0), len(kept) - 1)])
+            if item not in best or n > best[item][2]:
+                best[item] = (item, start, n, of, same)
+    return list(best.values())
+
+
 _LEAKS = "array<struct<item_id: long, start: long, kept: int, windows: int, verbatim: boolean>>"
+_FIELDS = {"item_id": pa.int64(), "start": pa.int64(), "kept": pa.int32(), "windows": pa.int32(), "verbatim": pa.bool_()}
 
 
-def _leaks_of(sent: list[Broadcast]) -> Column:
-    @F.pandas_udf(_LEAKS)
-    def leaks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        slices = [received(s) for s in sent]
-        template = Templates(slices[0].common)
+def _leaks_of(sent: list[Broadcast], sent_screen: Broadcast) -> Column:
+    @F.arrow_udf(_LEAKS)
+    def leaks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        slices, screen = [received(s) for s in sent], received(sent_screen)
         reach = 8 * max(s.longest for s in slices)
         for texts in batches:
-            out = []
-            for text in texts:
-                words = text.encode().split() if text else []
-                found = [{} for _ in slices]
-                for at in range(0, max(1, len(words)), _PIECE):
-                    part = words[at:at + _PIECE + reach]
-                    ids = template(part) if part else np.zeros((0, 2), np.uint64)
-                    kept = np.flatnonzero(ids[:, 0] != 0)
-                    for slice_, best in zip(slices, found, strict=True):
-                        for item, shift, n, of, same in find_leaks(ids[kept], slice_):
-                            start = at + int(kept[min(max(shift, 0), len(kept) - 1)])
-                            if item not in best or n > best[item][2]:
-                                best[item] = (item, start, n, of, same)
-                out.append([dict(zip(("item_id", "start", "kept", "windows", "verbatim"), x, strict=True)) for best in found for x in best.values()])
-            yield pd.Series(out)
+            out = [[] for _ in range(len(texts))]
+            for row, s in sorted(screen.sharing(texts, slices, reach)):
+                for x in leaks_in(texts[row].as_py(), screen.template, slices[s], reach):
+                    out[row].append(dict(zip(_FIELDS, x, strict=True)))
+            yield pa.array(out, pa.list_(pa.struct(list(_FIELDS.items()))))
 
     return leaks.asNondeterministic()(F.col("text"))  # else the planner may run it twice: in a filter and for its value
 
@@ -339,9 +488,15 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, slice_bytes: int = SLICE_B
     slices = max(1, -(-total // slice_bytes))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(slices))
     rows = lambda i: [tuple(r) for r in items.where(part == i).sort("item_id", "text").collect()]
+    if slices == 1:
+        rows = cache(rows)
     # Names are told from words by the whole benchmark, so the number of slices changes no result.
-    common = frozenset().union(*(lower_words(text for _, text in rows(i)) for i in range(slices))) if slices > 1 else None
-    found = _leaks_of([send(docs.sparkSession, Index(rows(i), common)) for i in range(slices)])
+    common, known = frozenset(), frozenset()
+    for i in range(slices):
+        texts = [text for _, text in rows(i)]
+        common, known = common | lower_words(texts), known | item_words(texts)
+    spark = docs.sparkSession
+    found = _leaks_of([send(spark, Index(rows(i), common)) for i in range(slices)], send(spark, Screen(common, known)))
     packed = pack(docs, "text").withColumn("leaks", found)
     return unpack(packed, docs.columns, ["text"], ["leaks"])
 

@@ -64,6 +64,16 @@ class Hasher:
             sums = np.add.reduceat(self.value[data] * self.power[: len(data)], starts)
             return mix(sums * self.inverse[starts]), starts
 
+    def spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the bytes [start, end) of ``data``, none empty, each behind the one before."""
+        if not len(starts):
+            return np.zeros(0, np.uint64)
+        self._powers(len(data))
+        with np.errstate(over="ignore"):
+            values = np.append(self.value[data] * self.power[: len(data)], _U(0))
+            sums = np.add.reduceat(values, np.stack((starts, ends), 1).ravel())[::2]
+            return mix(sums * self.inverse[starts])
+
     def shingles(self, words: np.ndarray) -> np.ndarray:
         """Hashes of all runs of five words (of the whole sequence, if shorter), in order."""
         n = min(len(words), WORDS)
@@ -86,6 +96,20 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)), offsets
 
 
+def pieces(data: np.ndarray, lo: int, hi: int, space: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pieces of the bytes [lo, hi) of a text that end after a white space."""
+    while lo < hi:
+        stop = min(hi, lo + _PIECE)
+        while stop < hi:
+            blank = np.flatnonzero(space[data[max(lo, stop - 65536):stop]])
+            if len(blank):
+                stop = max(lo, stop - 65536) + int(blank[-1]) + 1
+                break
+            stop = min(hi, stop + 65536)
+        yield lo, stop
+        lo = stop
+
+
 def word_hashes(column: pa.Array, hasher: Hasher) -> Iterator[tuple[int, np.ndarray]]:
     """(row, hashes of all its words) for every row of a string column."""
     data, offsets = texts_of(column)
@@ -99,17 +123,7 @@ def word_hashes(column: pa.Array, hasher: Hasher) -> Iterator[tuple[int, np.ndar
             at = np.searchsorted(starts, cuts)
             for i in range(end - row):
                 yield row + i, words[at[i]:at[i + 1]]
-        else:  # one long text, in pieces that end after a white space
-            parts = []
-            while lo < hi:
-                stop = min(hi, lo + _PIECE)
-                while stop < hi:
-                    blank = np.flatnonzero(hasher.space[data[max(lo, stop - 65536):stop]])
-                    if len(blank):
-                        stop = max(lo, stop - 65536) + int(blank[-1]) + 1
-                        break
-                    stop = min(hi, stop + 65536)
-                parts.append(hasher.words(data[lo:stop], np.zeros(1, np.int64))[0])
-                lo = stop
+        else:  # one long text
+            parts = [hasher.words(data[a:b], np.zeros(1, np.int64))[0] for a, b in pieces(data, lo, hi, hasher.space)]
             yield row, np.concatenate(parts)
         row = end
