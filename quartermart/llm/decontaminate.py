@@ -25,9 +25,9 @@ hash of its rows. Each slice's index is sent to all tasks, and one Python worker
 a task looks a text up in all of them: what is sent out, and a worker's memory,
 grow with the benchmark (not with the documents). What is a name is told by the
 whole benchmark, so the number of slices changes no result. Windows are looked
-up for many texts at once, in their bytes; only texts that share a window with
-an item are cut into words and aligned with it. Ordinary words that the
-benchmark lacks equal no word of it and need no ids.
+up for many texts at once, in their bytes; only texts that share as many with
+an item as a leak needs are cut into words and aligned with it. Ordinary words
+that the benchmark lacks equal no word of it and need no ids.
 
 Defined results: null and empty texts and items match nothing; an item of
 fewer words than a window has one, the whole item, so an item of one word is in
@@ -63,6 +63,7 @@ SLICE_BYTES = 8_000_000
 _MEMO = 200_000
 _PIECE = 400_000  # words of one text handled at once; pieces overlap by an item's length
 _GROUP = 1 << 18  # bytes of short texts looked up at once
+_HITS = 1 << 21  # hits counted at once; where they are more, texts are aligned without a count
 #: Words for units of measure.
 UNITS = frozenset("""
 mm cm m km in inch inches ft foot feet yd yard yards mile miles meter meters metre metres kilometer kilometers kilometre
@@ -173,8 +174,9 @@ def collapse(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Table:
     """Hashes of windows with the item and the place they stand at."""
 
-    def __init__(self, rows: list[tuple[int, int, np.ndarray, np.ndarray]]):
-        """``rows``: item, window size, places, hashes."""
+    def __init__(self, rows: list[tuple[int, int, np.ndarray, np.ndarray]], need: list[float]):
+        """``rows``: item, window size, places, hashes. ``need``: how many of them a text must have for a leak of the item, by item."""
+        self.need = np.array(need)
         none = np.zeros(0, np.int64)
         h = np.concatenate([r[3] for r in rows]) if rows else none.astype(np.uint64)
         order = np.argsort(h, kind="stable")
@@ -186,15 +188,22 @@ class Table:
         self.maybe = np.zeros(1 << 21, bool)
         self.maybe[(self.hashes >> np.uint64(43)).astype(np.int64)] = True
 
-    def places(self, values: np.ndarray, skip: np.uint64) -> np.ndarray:
-        """Where in ``values`` a window of some item starts; no item has the value ``skip``."""
-        out, none = [], np.concatenate(([0], np.cumsum(values == skip)))
+    def texts(self, values: np.ndarray, skip: np.uint64, text: np.ndarray) -> np.ndarray:
+        """Numbers in ``text`` (by place in ``values``) of all texts with as many windows as some item needs; no item has the value ``skip``."""
+        out, none, items = [], np.concatenate(([0], np.cumsum(values == skip))), len(self.need)
         for size in self.sizes:
             pos = np.flatnonzero(none[size:] == none[:-size])
             h = windows(values, size, pos)
             few = np.flatnonzero(self.maybe[(h >> np.uint64(43)).astype(np.int64)])
-            pos, h = pos[few], h[few]
-            out.append(pos[np.searchsorted(self.hashes, h, "right") > np.searchsorted(self.hashes, h, "left")])
+            lo, hi = np.searchsorted(self.hashes, h[few], "left"), np.searchsorted(self.hashes, h[few], "right")
+            found, lo, n = text[pos[few[hi > lo]]], lo[hi > lo], (hi - lo)[hi > lo]
+            if n.sum() > _HITS:
+                out.append(found)  # too many to count, so all of them are aligned
+                continue
+            entry = np.arange(n.sum()) + np.repeat(lo - np.cumsum(n) + n, n)
+            pairs = np.unique(np.repeat(found, n) * len(self.hashes) + entry)
+            owners, n = np.unique(pairs // max(1, len(self.hashes)) * items + self.owner[pairs % max(1, len(self.hashes))], return_counts=True)
+            out.append(owners[n >= self.need[owners % items]] // items)
         return np.concatenate(out) if out else np.zeros(0, np.int64)
 
     def hits(self, values: np.ndarray) -> dict[int, dict[int, set[int]]]:
@@ -250,8 +259,9 @@ class Index:
             if raw_size:
                 h = windows(words[:, 1] ^ _COPY, raw_size)
                 copies.append((o, raw_size, np.arange(len(h)), h))
-        self.likes, self.copies = Table(likes), Table(copies)
         self.rich = {o: len(use) for o, _, use, _ in likes}
+        self.likes = Table(likes, [SHARE * n - (n - self.rich.get(o, 0)) for o, (_, _, _, n, _) in enumerate(self.items)])
+        self.copies = Table(copies, [SHARE * n for *_, n in self.items])
 
 
 def _consistent(item: np.ndarray, doc: np.ndarray, at: list[tuple[int, int]], size: int) -> tuple[int, bool]:
@@ -347,7 +357,7 @@ _CLASS[[0x20, *range(0x09, 0x0E)]] = 0
 
 
 class Screen:
-    """Finds the texts that share a window with an item, many texts at once.
+    """Finds the texts that share enough windows with an item to be aligned with it, many texts at once.
 
     Words of ASCII without digits are told by hashes of their bytes, all others by ``Templates``. Their ids are those of
     ``Templates``, but values that no item has may be ``OTHER``.
@@ -412,17 +422,18 @@ class Screen:
         return template, value, number, start, len(begin)
 
     def _sharing(self, template: np.ndarray, value: np.ndarray, text: np.ndarray, slices: list[Index]) -> Iterator[tuple[int, np.ndarray]]:
-        """(slice, the numbers in ``text`` of texts that share a window with an item of it), from the ids of words of these texts in order."""
+        """(slice, the numbers in ``text`` of texts that share enough with an item of it), from the ids of words of these texts in order."""
         place = np.arange(len(text)) + text  # with an OTHER between two texts
         kinds, values = np.full((2, int(place[-1]) + 1 if len(text) else 0), OTHER, np.uint64)
         kinds[place], values[place] = template, value
+        of = np.zeros(len(kinds), np.int64)
+        of[place] = text
         kinds, first = collapsed(kinds)
         for s, index in enumerate(slices):
-            at = np.concatenate((index.copies.places(values ^ _COPY, OTHER ^ _COPY), first[index.likes.places(kinds, OTHER)]))
-            yield s, np.unique(text[np.searchsorted(place, at)])
+            yield s, np.union1d(index.copies.texts(values ^ _COPY, OTHER ^ _COPY, of), index.likes.texts(kinds, OTHER, of[first]))
 
     def sharing(self, column: pa.Array, slices: list[Index], reach: int) -> set[tuple[int, int]]:
-        """(row, slice) of all texts that share a window with an item of the slice; null is an empty text."""
+        """(row, slice) of all texts that share enough windows with an item of the slice for a leak; null is an empty text."""
         found = set()
         data, offsets = texts_of(column)
         row, n = 0, len(offsets) - 1

@@ -34,8 +34,10 @@ def screened(texts, screen, index_of):
     return out
 
 
-@pytest.mark.parametrize("piece, group, seed", [(400_000, 1 << 18, 1), (400_000, 1 << 18, 2), (40, 200, 3), (15, 1, 4), (400_000, 1, 5)])
-def test_the_screen_misses_no_leak(monkeypatch, piece, group, seed):
+@pytest.mark.parametrize("piece, group, seed, hits", [(400_000, 1 << 18, 1, 1 << 21), (400_000, 1 << 18, 2, 0), (40, 200, 3, 1 << 21),
+                                                      (15, 1, 4, 50), (400_000, 1, 5, 1 << 21)])
+def test_the_screen_misses_no_leak(monkeypatch, piece, group, seed, hits):
+    monkeypatch.setattr(D, "_HITS", hits)
     monkeypatch.setattr(D, "_PIECE", piece)
     monkeypatch.setattr(D, "_GROUP", group)
     monkeypatch.setattr(shingles, "_PIECE", max(group, 64))
@@ -86,3 +88,10 @@ def test_plain_words_are_not_looked_at_one_by_one():
     screen = D.Screen(common, known)
     assert screen.sharing(pa.array([text] * 3, pa.large_string()), [D.Index(list(enumerate(ITEMS)), common)], 100) == set()
     assert len(screen.template) == 0
+
+
+def test_a_common_phrase_is_no_reason_to_align():
+    items = [(i, f"before she walks 2 km home w{i} {ITEMS[0]} x{i}") for i in range(20)]
+    common, known = D.lower_words(t for _, t in items), D.item_words(t for _, t in items)
+    phrase, whole = "we all say: before she walks 2 km home, and so on.", f"as said, {items[3][1].replace('Anna', 'Maria')} indeed"
+    assert D.Screen(common, known).sharing(pa.array([phrase, whole, f"{phrase} {phrase}"]), [D.Index(items, common)], 800) == {(1, 0)}
