@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartermart.session import ensure_checkpoint_dir
+from quartermart.session import ensure_checkpoint_dir, shuffles_dropped
 
 #: A word: a run of characters other than space and the ASCII controls tab .. carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -60,12 +61,14 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage at a table every executor can read again, so a lost
-    executor costs at most the tasks it was running.
+    executor costs at most the tasks it was running. What was shuffled for it
+    goes from the executors' disks when it is written.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -83,10 +86,10 @@ def bitmap_of(keys: DataFrame, key: str, bits: int) -> np.ndarray:
     """A bitmap of ``2 ** bits`` classes (16 bits and more) with a bit set for the class (top bits) of every 64-bit ``key``; its size is fixed."""
     block = F.shiftrightunsigned(F.col(key), 64 - bits + 15)
     place = F.shiftrightunsigned(F.col(key), 64 - bits).bitwiseAND(F.lit((1 << 15) - 1))
-    rows = keys.groupBy(block.alias("block")).agg(F.bitmap_construct_agg(place).alias("bits"))
     out = np.zeros((1 << bits - 15, 4096), np.uint8)
-    for r in rows.toLocalIterator():
-        out[r["block"]] = np.frombuffer(r["bits"], np.uint8)
+    with shuffles_dropped(keys.sparkSession):
+        for r in keys.groupBy(block.alias("block")).agg(F.bitmap_construct_agg(place).alias("bits")).collect():
+            out[r["block"]] = np.frombuffer(r["bits"], np.uint8)
     return out.ravel()
 
 
@@ -94,3 +97,17 @@ def in_bitmap(bitmap: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
     """Whether the classes of the 64-bit ``keys`` have their bit set."""
     c = keys.view(np.uint64) >> np.uint64(64 - bits)
     return (bitmap[c >> np.uint64(3)] >> (c & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def split_by(docs: DataFrame, key: Column, keys: DataFrame, bits: int, where: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """``docs`` (that fulfil ``where``) whose 64-bit ``key`` may be among ``keys`` (column ``key``), and all others: told by a bitmap, without a shuffle."""
+    some = docs.sparkSession.sparkContext.broadcast((bitmap_of(keys, "key", bits), bits))
+
+    @F.pandas_udf("boolean")
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bitmap, bits = some.value
+        for k in batches:
+            yield pd.Series(in_bitmap(bitmap, bits, k.to_numpy()))
+
+    told = docs.withColumn("_told", known.asNondeterministic()(key) & (F.lit(True) if where is None else where))
+    return told.where("_told").drop("_told"), told.where("not _told").drop("_told")

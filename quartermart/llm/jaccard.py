@@ -11,6 +11,13 @@ so many some two shared tokens are neighbours in both orders (mismatches can't
 separate all), so indexing the combinations of neighbouring frequent tokens
 finds every such pair with a number of entries linear in n.
 
+Most keys are held by one set only. A pass over the texts counts the keys alone
+(about three bytes each: sorted lists of a task, dealt out by ranges of their
+hashes), a bitmap of fixed size holds those that two sets have, and only entries
+it lets through are written. Of rows with equal sets one is indexed, told by
+another bitmap. When the bitmaps fill up, more entries are written; the result
+is the same.
+
 Entries that meet need not be paired with each other in full. An entry stands
 at position i of a set of n (for a combination, i is the number of rare
 tokens): if it is the first that two sets share, they share no more than what
@@ -43,7 +50,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import write_table
+from quartermart.session import shuffles_dropped
+
+from .common import bitmap_of, drop_table, in_bitmap, write_table
 from .components import connected_components
 from .shingles import Hasher, mix, word_hashes
 
@@ -56,6 +65,10 @@ _SEEN = 1_000_000  # sets a task remembers, so that its copies of one set are in
 _NODES = pa.schema([("doc_id", pa.int64()), ("print", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("class", pa.int32()), ("entries", pa.int64())])
 _ENTRIES = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("slack", pa.int32()), ("singles", pa.int32())])
 _SETS = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("tokens", pa.binary())])
+#: Classes of rows that stand for a set and of keys that two sets have, as powers of two: 8 MB each.
+ROW_BITS, KEY_BITS = 26, 26
+#: Hashes of keys are dealt out in 2 ** RANGE_BITS ranges, as lists of 32 bits each; a task makes lists of so many keys.
+RANGE_BITS, _KEYS = 10, 1 << 20
 #: Words of 64 bits in the bitmap of nodes whose sets are needed.
 NODE_WORDS = 1 << 19
 
@@ -83,6 +96,13 @@ class _Once:
         return True
 
 
+def _indexed(batches: Iterator[pa.RecordBatch], firsts) -> Iterator[pa.RecordBatch]:
+    """The texts of the rows that stand for their sets (a few others may come along)."""
+    bitmap = firsts.value
+    for b in batches:
+        yield b.filter(pa.array(in_bitmap(bitmap, ROW_BITS, b.column("row").to_numpy())))
+
+
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher, once, classes = Hasher(), _Once(), np.zeros(1 << CLASS_BITS, np.int32)
     for b in batches:
@@ -93,9 +113,10 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.add.at(classes, (tokens >> np.uint64(64 - CLASS_BITS)).astype(np.int64), 1)
         none = pa.nulls(len(b), pa.int32()), pa.nulls(len(b), pa.int64())
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("print"), pa.array(n), pa.array(node), *none], schema=_NODES)
-    many = np.flatnonzero(classes >= LOCAL)
+    usual = classes.mean()  # what falls into any class of a large task by chance
+    many = np.flatnonzero(classes >= max(LOCAL, usual + 5 * np.sqrt(usual)))
     none = [pa.nulls(len(many), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int64())]
-    yield pa.RecordBatch.from_arrays([*none, pa.array(many.astype(np.int32)), pa.array(classes[many].astype(np.int64))], schema=_NODES)
+    yield pa.RecordBatch.from_arrays([*none, pa.array(many.astype(np.int32)), pa.array(classes[many].astype(np.int64) - int(usual))], schema=_NODES)
 
 
 def _keys(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -116,10 +137,63 @@ def _keys(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndar
     return keys, n - 7 * at, singles
 
 
-def _entries(frequent):
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lists(keys: np.ndarray) -> pa.RecordBatch:
+    """(range, list) of the hashes of ``keys``: steps from one to the next, first their lowest bytes, those of the highest last."""
+    h = np.sort(mix(keys) >> np.uint64(32 - RANGE_BITS))
+    h = h[np.concatenate((np.ones(min(2, len(h)), bool), h[2:] != h[:-2]))]  # twice at most
+    cuts = np.searchsorted(h >> np.uint64(32), np.arange((1 << RANGE_BITS) + 1, dtype=np.uint64))
+    low = h.astype(np.uint32)
+    step = np.diff(low, prepend=np.uint32(0))
+    at = np.flatnonzero(np.diff(cuts))
+    step[cuts[at]] = low[cuts[at]]
+    lists = [step[cuts[r]:cuts[r + 1]].view(np.uint8).reshape(-1, 4).T.tobytes() for r in at]
+    return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(lists, pa.binary())], ["at", "list"])
+
+
+def _key_lists(frequent, firsts):
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, once, bitmap = Hasher(), _Once(), frequent.value
         out, held = [], 0
+        for b in _indexed(batches, firsts):
+            for _, tokens, node in _sets(b, hasher):
+                if len(tokens) >= 3 and once(node):
+                    out.append(_keys(tokens, bitmap)[0])
+                    held += len(out[-1])
+                    if held > _KEYS:
+                        yield _lists(np.concatenate(out))
+                        out, held = [], 0
+        if out:
+            yield _lists(np.concatenate(out))
+
+    return lists
+
+
+def _twice(lists: pa.Table) -> pa.Table:
+    """The part of the bitmap that a range has: a bit for the class of every hash that occurs twice."""
+    found = []
+    for steps in lists.column("list").to_pylist():
+        found.append(np.cumsum(np.ascontiguousarray(np.frombuffer(steps, np.uint8).reshape(4, -1).T).view(np.uint32).ravel(), dtype=np.uint32))
+    h = np.sort(np.concatenate(found))
+    bits = np.zeros(1 << (KEY_BITS - RANGE_BITS), bool)
+    bits[h[1:][h[1:] == h[:-1]] >> np.uint32(32 + RANGE_BITS - KEY_BITS)] = True
+    return pa.table({"block": lists.column("at").slice(0, 1), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+
+def _shared_keys(texts: DataFrame, frequent, firsts):
+    """The bitmap of hashes of keys that two sets have (and of a few others), sent to all tasks."""
+    with shuffles_dropped(texts.sparkSession):
+        blocks = (texts.mapInArrow(_key_lists(frequent, firsts), "at int, list binary")
+                  .groupBy("at").applyInArrow(_twice, "block int, bits binary").collect())
+    bitmap = np.zeros((1 << RANGE_BITS, 1 << (KEY_BITS - RANGE_BITS - 3)), np.uint8)
+    for r in blocks:
+        bitmap[r["block"]] = np.frombuffer(r["bits"], np.uint8)
+    return texts.sparkSession.sparkContext.broadcast(bitmap.ravel())
+
+
+def _entries(frequent, firsts, shared):
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, once, bitmap, some = Hasher(), _Once(), frequent.value, shared.value
+        out, held = [], 0
 
         def flush() -> pa.RecordBatch:
             n = np.array([len(k) for k, *_ in out])
@@ -128,12 +202,13 @@ def _entries(frequent):
             return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), each(2, np.int64), each(3, np.int32), pa.array(slack.astype(np.int32)),
                                                each(4, np.int32)], schema=_ENTRIES)
 
-        for b in batches:
+        for b in _indexed(batches, firsts):
             for _, tokens, node in _sets(b, hasher):
                 if len(tokens) >= 3 and once(node):  # smaller sets are linked by being equal only
                     keys, slack, singles = _keys(tokens, bitmap)
-                    out.append((keys, slack, node, len(tokens), singles))
-                    held += len(keys)
+                    meet = in_bitmap(some, KEY_BITS, mix(keys))
+                    out.append((keys[meet], slack[meet], node, len(tokens), singles))
+                    held += len(out[-1][0])
                     if held > 200_000:
                         yield flush()
                         out, held = [], 0
@@ -143,10 +218,10 @@ def _entries(frequent):
     return entries
 
 
-def _token_sets(needed):
+def _token_sets(needed, firsts):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, once, bitmap = Hasher(), _Once(), needed.value
-        for b in batches:
+        for b in _indexed(batches, firsts):
             rows = [(node, len(tokens), _packed(tokens)) for _, tokens, node in _sets(b, hasher)
                     if int(bitmap[node >> 6 & NODE_WORDS - 1]) >> (node & 63) & 1 and once(node)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _SETS.types, strict=True)] if rows
@@ -186,17 +261,19 @@ def _enough(shared: Column, n: Column, m: Column) -> Column:
     return shared * (100 + NUMERATOR) >= (n + m) * NUMERATOR
 
 
-def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, texts: DataFrame, firsts) -> DataFrame:
     """The pairs (a, b) that are links.
 
     Sets are made anew from the texts, only for nodes that a bounded bitmap
     lets pass, and dealt out by node once for both ends.
     """
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-    words = needed.groupBy(F.expr(f"(node >> 6) & {NODE_WORDS - 1}").alias("at")).agg(F.expr("bit_or(shiftleft(1L, int(node & 63)))").alias("bits")).toPandas()
+    with shuffles_dropped(pairs.sparkSession):
+        words = needed.groupBy(F.expr(f"(node >> 6) & {NODE_WORDS - 1}").alias("at")).agg(F.expr("bit_or(shiftleft(1L, int(node & 63)))").alias("bits")).toPandas()
     bitmap = np.zeros(NODE_WORDS, np.int64)
     bitmap[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    sets = (texts.mapInArrow(_token_sets(texts.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))), "node long, n int, tokens binary")
+    needed = texts.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+    sets = (texts.mapInArrow(_token_sets(needed, firsts), "node long, n int, tokens binary")
             .repartition("node").dropDuplicates(["node"]))
     side = lambda node, n, tokens: sets.select(F.col("node").alias(node), F.col("n").alias(n), F.col("tokens").alias(tokens))
     both = pairs.select("a", "b").join(side("b", "m", "y"), "b").join(side("a", "n", "x"), "a")
@@ -206,29 +283,38 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _frequent_classes(found: DataFrame):
     """The bitmap of frequent classes, 2 ** CLASS_BITS bits at any size of the corpus, sent to all tasks."""
     often = found.where("class is not null").groupBy("class").agg(F.sum("entries").alias("n")).where(F.col("n") >= FREQUENT)
-    bits = often.groupBy(F.expr("class div 8").alias("at")).agg(F.expr("bit_or(shiftleft(1, class % 8))").alias("bits"))
-    bits = bits.toPandas()
+    with shuffles_dropped(found.sparkSession):
+        bits = often.groupBy(F.expr("class div 8").alias("at")).agg(F.expr("bit_or(shiftleft(1, class % 8))").alias("bits")).toPandas()
     bitmap = np.zeros(1 << (CLASS_BITS - 3), np.uint8)
     bitmap[bits["at"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64).astype(np.uint8)
     return found.sparkSession.sparkContext.broadcast(bitmap)
 
 
+def _first_rows(rows: DataFrame):
+    """The bitmap of rows that stand for their sets, one a set, sent to all tasks."""
+    first = rows.where("n > 0").groupBy("node").agg(F.min(F.xxhash64("doc_id", "print")).alias("row"))
+    return rows.sparkSession.sparkContext.broadcast(bitmap_of(first, "row", ROW_BITS))
+
+
 def near_groups(docs: DataFrame, with_groups: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
 
     ``with_groups`` adds ``print`` (xxhash64 of the text) and ``group``, a name
     of the component that is there even if none of its rows has an id (null: no shingle).
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    found = write_table(texts.withColumn("print", F.xxhash64("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("print"))
+    found = write_table(texts
                         .mapInArrow(_nodes, "doc_id long, print long, n int, node long, class int, entries long"), "jaccard-nodes")
     frequent = _frequent_classes(found)
     rows = found.where("class is null").select("doc_id", "print", "n", "node")
+    firsts = _first_rows(rows)
+    texts = texts.select("text", F.xxhash64("doc_id", "print").alias("row"))
+    shared = _shared_keys(texts, frequent, firsts)
 
     # Entries that share a key, each with those it is paired with.
     order = W.partitionBy("key").orderBy(F.col("slack").desc(), "node")
     one = F.struct("node", "n", "slack", "singles")
-    entries = (texts.mapInArrow(_entries(frequent), "key long, node long, n int, slack int, singles int")
+    entries = (texts.mapInArrow(_entries(frequent, firsts, shared), "key long, node long, n int, slack int, singles int")
                .repartition("key").dropDuplicates(["key", "node"]))
     met = entries.withColumns({"m": F.count("*").over(W.partitionBy("key")), "first": F.first(one).over(order),
                                **{f"before{i}": F.lag(one, i).over(order) for i in range(1, NEIGHBOURS + 1)}}).where("m > 1")
@@ -267,7 +353,7 @@ def near_groups(docs: DataFrame, with_groups: bool = False) -> DataFrame:
     keep = F.col("keep") & (F.col("i").isNull() | _enough(F.col("most") + after, F.col("n"), F.col("m")))
     tried = write_table(could(pairs).select("a", "b", "first", "seen", keep.alias("keep")), "jaccard-pairs")
     pairs = tried.where("keep and first").select("a", "b")
-    links = _verify(pairs, texts)
+    links = _verify(pairs, texts, firsts)
 
     def labels(links: DataFrame) -> DataFrame:
         return write_table(connected_components(links), "jaccard-labels")
@@ -288,7 +374,12 @@ def near_groups(docs: DataFrame, with_groups: bool = False) -> DataFrame:
     rest = could(rest).where("keep").select("a", "b")
     rest = write_table(rest, "jaccard-rest")
     if not rest.isEmpty():
-        label = labels(links.union(_verify(rest, texts)))
+        drop_table(label)
+        more = _verify(rest, texts, firsts)
+        label = labels(links.union(more))
+        drop_table(more)
+    for done in (met, hidden, tried, links, held, rest):
+        drop_table(done)
 
     sets_of = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     placed = sets_of.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -33,11 +33,11 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD, bitmap_of, drop_table, in_bitmap, pack, unpack, write_table
+from .common import WORD, bitmap_of, drop_table, in_bitmap, pack, split_by, unpack, write_table
 from .passages import KEY_BITS, repeated_words, without
 
 BASE, MODULUS = 131, (1 << 31) - 1
@@ -105,20 +105,6 @@ def _without(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Itera
         yield pd.Series(out, dtype=object)
 
 
-def _split_by(docs: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``docs`` whose 64-bit ``key`` may be among ``keys`` (column ``key``), and those whose key is not: told by a bitmap, without a shuffle."""
-    some = docs.sparkSession.sparkContext.broadcast((bitmap_of(keys, "key", KEY_BITS), KEY_BITS))
-
-    @F.pandas_udf("boolean")
-    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bitmap, bits = some.value
-        for k in batches:
-            yield pd.Series(in_bitmap(bitmap, bits, k.to_numpy()))
-
-    told = docs.withColumn("_told", known.asNondeterministic()(key))
-    return told.where("_told").drop("_told"), told.where("not _told").drop("_told")
-
-
 def dedup_lines(docs: DataFrame, passage_words: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text, ...) with repeated chunks taken out of ``text``; adds ``n_lines`` and ``removed`` (line ranges).
 
@@ -148,7 +134,7 @@ def dedup_lines(docs: DataFrame, passage_words: int | None = None) -> DataFrame:
     else:
         gone, ids = removed.withColumn("_words", F.lit(None).cast(word_ranges)), removed.select("_doc")
     # Only texts that lose something (and the few that share their class) are shuffled.
-    lose, same = _split_by(keyed, F.xxhash64("_doc._fp"), ids.select(F.xxhash64("_doc._fp").alias("key")))
+    lose, same = split_by(keyed, F.xxhash64("_doc._fp"), ids.select(F.xxhash64("_doc._fp").alias("key")), KEY_BITS)
     lose = lose.join(gone.hint("shuffle_hash"), "_doc", "left")
     changed = F.col("_gone").isNotNull() | F.col("_words").isNotNull()
     left = F.pandas_udf(_without, "string").asNondeterministic()(F.when(changed, F.col("text")), F.col("_gone"), F.col("_words"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,3 +49,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         path = tempfile.mkdtemp(prefix="qm-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
+
+
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is written or collected inside (from a frame made inside) loses its shuffle files when it is done.
+
+    Without, they stay on the executors' disks until the driver happens to collect garbage, so the steps of a job add up.
+    """
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
