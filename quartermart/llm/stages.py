@@ -21,9 +21,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, pack, read, unpack
+from .common import WORD, pack, read, split_by, unpack, write_table
 from .decontaminate import with_leaks
-from .jaccard import near_groups
+from .jaccard import KEY_BITS, near_groups
 from .language import UNKNOWN, learn, with_language
 from .line_dedup import dedup_lines
 from .mixing import mix
@@ -62,17 +62,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near duplicates."""
+    """Keeps the document with the smallest id of each group of near duplicates; only texts of groups of several are shuffled."""
     _small_batches(spark)
     needed, key = ["doc_id", "text"], ["_id", "_print"]
     none = F.lit(-(1 << 63))
-    groups = near_groups(docs, with_groups=True).where("n_shingles > 0")
-    first = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("first"))
-    first = first.select(F.coalesce("first.doc_id", none).alias("_id"), F.col("first.print").alias("_print"))
+    groups = write_table(near_groups(docs, with_groups=True).where("n_shingles > 0").select("doc_id", "print", "group"), "jaccard-groups")
+    first = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("first"), F.count("*").alias("n"))
+    name = lambda of="": [F.coalesce(F.col(f"{of}doc_id"), none).alias("_id"), F.col(f"{of}print").alias("_print")]
+    several = groups.join(first.where("n > 1").select("group"), "group", "left_semi").select(*name())
     worded = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
-    named = pack(docs.where(worded), *needed).withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), none), "_print": F.xxhash64("text")})
-    kept = named.join(first.hint("shuffle_hash"), key, "left_semi").dropDuplicates(key)
-    return unpack(kept, docs.columns, needed).union(docs.where(~worded))
+    named = pack(docs, *needed).withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), none), "_print": F.xxhash64("text")})
+    some, alone = split_by(named, F.xxhash64(*key), several.select(F.xxhash64(*key).alias("key")), KEY_BITS, worded)
+    kept = some.join(first.select(*name("first.")).hint("shuffle_hash"), key, "left_semi").dropDuplicates(key)
+    return unpack(kept.unionByName(alone), docs.columns, needed)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
