@@ -20,7 +20,7 @@ from quartermart.functions import constants as K
 from quartermart.functions.collect import array_text, map_text
 from quartermart.functions.rules import DEFAULT_CATEGORY_RULES, DEFAULT_REGION_RULES
 from quartermart.operators import clean, profile, top, words
-from quartermart.operators.join import SPLIT, attach_dim
+from quartermart.operators.join import BOUNDED, SPLIT, attach_dim
 from quartermart.operators.ranking import RANGE
 from quartermart.plans import poi as poi_plan
 from quartermart.plans import presence, refresh, warehouse
@@ -336,7 +336,7 @@ def _bucketed(spark, d, df: DataFrame, by: list[str], partition_by: list[str]) -
 
 def _bucketed_mart(spark, d) -> DataFrame:
     visits = _bucketed(spark, d, fact(spark, d), warehouse.TRIP_BUCKETS, [])
-    mart = user_quarter(visits, dim(spark, d))
+    mart = user_quarter(visits, dim(spark, d), broadcast=BOUNDED)
     return _bucketed(spark, d, mart, warehouse.USER_BUCKETS, warehouse.QUARTER_PARTITION)
 
 

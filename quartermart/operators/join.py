@@ -64,6 +64,8 @@ def broadcast_limit(spark) -> int:
 #: Heavy keys looked for, and the share of the rows, as a part of a shuffle partition, above which a key is heavy.
 HEAVY_KEYS, HEAVY_SHARE = 1000, 0.25
 SPLIT = "split"
+#: A form of join that broadcasts a dimension of so many measured bytes at most.
+BOUNDED, BOUNDED_BYTES = "bounded", 64 << 20
 
 
 def heavy_keys(fact: DataFrame, key: str, share: float | None = None, most: int = HEAVY_KEYS) -> list:
@@ -105,12 +107,17 @@ def attach_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: st
     broadcasts a dimension whose measured size is within ``limit`` (default:
     ``spark.sql.autoBroadcastJoinThreshold``) and raises beyond it. ``False``
     plans a shuffled sort-merge join. ``SPLIT`` is ``split_join``, for one key.
+    ``BOUNDED`` broadcasts within ``limit`` (default: ``BOUNDED_BYTES``), so the
+    fact's rows stay where they are, and leaves larger dimensions to the planner.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if broadcast == SPLIT:
         (key,) = keys
         return split_join(fact, dim, key, how)
-    if broadcast:
+    if broadcast == BOUNDED:
+        if measure(dim).bytes <= (BOUNDED_BYTES if limit is None else limit):
+            dim = F.broadcast(dim)
+    elif broadcast:
         cap = broadcast_limit(dim.sparkSession) if limit is None else limit
         size = measure(dim).bytes
         if size > cap:

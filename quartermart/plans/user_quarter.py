@@ -36,7 +36,7 @@ from quartermart.sources import schemas
 U = ["blog_id", "travel_year", "travel_quarter"]
 
 
-def joined_visits(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def joined_visits(visits: DataFrame, poi: DataFrame, broadcast: bool | str | None = None) -> DataFrame:
     """Visits LEFT JOIN POI (city, category, region), with the quarter; unmatched visits kept."""
     v = visits.select("blog_id", "trip_id", "travel_date", "travel_year", "travel_month",
                       "travel_partners", "poi_id").withColumn("travel_quarter", quarter_of("travel_date"))
@@ -150,7 +150,7 @@ def finish(df: DataFrame) -> DataFrame:
                        for f in schemas.DWS_USER_QUARTER.fields])
 
 
-def user_quarter(visits: DataFrame, poi: DataFrame, broadcast: bool | None = None,
+def user_quarter(visits: DataFrame, poi: DataFrame, broadcast: bool | str | None = None,
                  unclassified: str = K.UNCLASSIFIED) -> DataFrame:
     """The user-quarter mart with the declared columns of ``DWS_USER_QUARTER``."""
     rows = counted_visits(joined_visits(visits, poi, broadcast))

@@ -1,7 +1,10 @@
 """Catalog tables stored in buckets, so that later jobs group by the bucket columns without a shuffle.
 
 Rows are dealt by the hash that Spark gives buckets, so a task holds one bucket
-and writes one file for each partition value. The files go to a new folder and a
+and writes one file for each partition value. They aren't shuffled for that: each
+task first writes a file for each bucket, and a second pass reads a bucket's files
+as one partition, when the shuffles that made the rows are gone from the disks.
+Parquet takes a fraction of a shuffle of wide rows. The files go to a new folder and a
 table of their own; only when that table is whole does it take the old one's
 name, so a write that raises changes nothing. Earlier folders stay for readers at
 work until ``drop_old`` is called.
@@ -13,14 +16,16 @@ process (a Hive metastore on a cluster) and are read by name, not from a root pa
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from quartermart.session import shuffles_dropped
 from quartermart.sources import schemas
 
-VERSION = "buckets="
+VERSION, LOOSE = "buckets=", "loose="
 
 
 def dealt(df: DataFrame, by: Sequence[str], number: int) -> DataFrame:
@@ -28,6 +33,25 @@ def dealt(df: DataFrame, by: Sequence[str], number: int) -> DataFrame:
     return df.repartition(number, *by)
 
 
+@contextmanager
+def _buckets_read(spark: SparkSession) -> Iterator[None]:
+    """Inside, a bucket's files are read as one partition, also by a plan that only writes them."""
+    want = {"spark.sql.sources.bucketing.enabled": "true", "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in want}
+    try:
+        for k, v in want.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_bucketed(df: DataFrame, name: str, by: Sequence[str], number: int, schema: T.StructType | None = None,
                    partition_by: Sequence[str] = (), home: str | None = None, ready: bool = False) -> None:
     """Replace catalog table ``name`` by ``df`` in ``number`` buckets of ``by``.
@@ -45,14 +69,21 @@ def write_bucketed(df: DataFrame, name: str, by: Sequence[str], number: int, sch
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     home = home or f"{spark.catalog.getDatabase(db or spark.catalog.currentDatabase()).locationUri.rstrip('/')}/{table}.buckets"
     version = uuid.uuid4().hex
-    draft = f"{db}.{table}__{version}" if db else f"{table}__{version}"
-    rows = df if ready else dealt(df, by, number)
+    draft, loose = (f"{db}.{table}__{version}{x}" if db else f"{table}__{version}{x}" for x in ("", "_loose"))
     try:
-        writer = rows.write.format("parquet").bucketBy(number, *by).sortBy(*by).option("path", f"{home}/{VERSION}{version}")
-        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(draft)
+        with shuffles_dropped(spark), _buckets_read(spark):
+            if not ready:
+                df.write.format("parquet").bucketBy(number, *by).option("path", f"{home}/{LOOSE}{version}").saveAsTable(loose)
+            # dealt: Spark drops this shuffle, since the files are in these buckets
+            rows = df if ready else dealt(spark.table(loose), by, number)
+            writer = rows.write.format("parquet").bucketBy(number, *by).sortBy(*by).option("path", f"{home}/{VERSION}{version}")
+            (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(draft)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {draft}")
         raise
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {loose}")
+        _delete(spark, f"{home}/{LOOSE}{version}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")  # the entry alone: the files are outside the catalog's own folders
     spark.sql(f"ALTER TABLE {draft} RENAME TO {name}")
 
